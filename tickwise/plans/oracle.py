@@ -57,8 +57,14 @@ PRICES_DIRTY = """prices_dirty AS (
   FROM b WHERE pick = 0)"""
 
 
-def clean_of(src: str, name: str) -> str:
+VALID = """date IS NOT NULL AND open IS NOT NULL AND NOT isnan(open)
+      AND high IS NOT NULL AND NOT isnan(high) AND low IS NOT NULL AND NOT isnan(low)
+      AND close IS NOT NULL AND NOT isnan(close) AND volume IS NOT NULL"""
+
+
+def clean_of(src: str, name: str, drop_invalid: bool = True) -> str:
     """Drop NULL/NaN critical values, keep newest ingest per (ticker, date)."""
+    where = f"WHERE {VALID}" if drop_invalid else ""
     return f"""{name} AS (
   SELECT ticker, date, open, high, low, close, adj_close, volume, ingestion_timestamp FROM (
     SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY
@@ -66,9 +72,7 @@ def clean_of(src: str, name: str) -> str:
              high DESC NULLS LAST, low DESC NULLS LAST, adj_close DESC NULLS LAST,
              volume DESC NULLS LAST) AS rn
     FROM {src}
-    WHERE date IS NOT NULL AND open IS NOT NULL AND NOT isnan(open)
-      AND high IS NOT NULL AND NOT isnan(high) AND low IS NOT NULL AND NOT isnan(low)
-      AND close IS NOT NULL AND NOT isnan(close) AND volume IS NOT NULL)
+    {where})
   WHERE rn = 1)"""
 
 
@@ -132,3 +136,276 @@ FEAT_C = features_c2c_of("prices_clean", "feat")
 SQL: dict[str, str] = {}
 
 SQL["f_features_intraday"] = with_(PRICES, PRICES_CLEAN, FEAT_I) + f"SELECT {FEATURE_SELECT} FROM feat"
+
+REQUESTS = """requests AS (
+  WITH o AS (
+    SELECT o_orderkey AS request_id,
+           'S' || cast(o_custkey % (SELECT count(*) + 2 FROM supplier) AS varchar) AS ticker,
+           cast(o_orderdate AS date) AS as_of_date
+    FROM orders)
+  SELECT request_id, ticker, as_of_date FROM o
+  UNION ALL
+  SELECT -request_id AS request_id, ticker, as_of_date - 30 AS as_of_date
+  FROM o WHERE as_of_date < DATE '1995-02-01')"""
+
+EVENT_CLEAN = clean_of("event_prices", "event_clean")
+PRICES_COLS = "ticker, date, open, high, low, close, adj_close, volume, ingestion_timestamp"
+FEAT_ALL = "ticker, date, open, high, low, close, volume, " + ", ".join(FEATURE_DOUBLES) + ", feature_timestamp"
+
+
+def pct(n: str, total: str) -> str:
+    return f"coalesce(cast({n} AS double) * 100 / nullif({total}, 0), 0.0)"
+
+
+# --- sources ------------------------------------------------------------------
+
+SQL["p_source_range"] = with_(PRICES) + (
+    "SELECT * FROM prices WHERE date >= DATE '1997-01-01' AND date < DATE '1998-01-01'")
+SQL["p_source_status"] = with_(PRICES, REQUESTS) + """
+SELECT t.ticker, CASE WHEN c.n > 0 THEN 'ok' ELSE 'failed' END AS status,
+       cast(coalesce(c.n, 0) AS bigint) AS row_count
+FROM (SELECT DISTINCT ticker FROM requests) t
+LEFT JOIN (SELECT ticker, count(*) AS n FROM prices GROUP BY ticker) c ON t.ticker = c.ticker"""
+SQL["p_rename"] = with_(PRICES) + f"SELECT {PRICES_COLS} FROM prices"
+SQL["p_adj_close"] = with_(PRICES, PRICES_DIRTY) + """
+SELECT ticker, date, open, high, low, close, coalesce(adj_close, close) AS adj_close, volume,
+       ingestion_timestamp FROM prices_dirty"""
+SQL["p_typed_projection"] = with_(PRICES, PRICES_DIRTY) + f"SELECT {PRICES_COLS} FROM prices_dirty"
+SQL["p_ticker_filter"] = with_(PRICES) + "SELECT * FROM prices WHERE ticker = 'S1'"
+SQL["p_project"] = with_(PRICES) + "SELECT ticker, date, open, high, low, close, volume FROM prices"
+
+# --- cleaning -------------------------------------------------------------------
+
+SQL["p_dropna"] = with_(PRICES, PRICES_DIRTY) + f"SELECT * FROM prices_dirty WHERE {VALID}"
+SQL["p_dedup"] = with_(PRICES, PRICES_DIRTY, clean_of("prices_dirty", "d", False)) + "SELECT * FROM d"
+SQL["p_clean"] = with_(PRICES, PRICES_DIRTY, clean_of("prices_dirty", "d")) + "SELECT * FROM d"
+SQL["p_clean_counts"] = with_(PRICES, PRICES_DIRTY) + f"""
+SELECT ticker, count(*) AS rows_before,
+       count(DISTINCT date) FILTER (WHERE {VALID}) AS rows_after,
+       count(*) - count(DISTINCT date) FILTER (WHERE {VALID}) AS rows_removed
+FROM prices_dirty GROUP BY ticker"""
+SQL["p_negative_prices"] = with_(PRICES, PRICES_DIRTY) + """
+SELECT ticker, count(*) AS rows, count(*) FILTER (WHERE close < 0 OR open < 0) AS negative_rows
+FROM prices_dirty GROUP BY ticker"""
+
+# --- profiling ------------------------------------------------------------------
+
+SQL["p_symbol_counts"] = with_(PRICES) + """
+SELECT ticker, count(*) AS record_count, min(date) AS first_date, max(date) AS last_date
+FROM prices GROUP BY ticker"""
+SQL["p_record_counts"] = with_(PRICES) + "SELECT ticker, count(*) AS record_count FROM prices GROUP BY ticker"
+SQL["p_date_coverage"] = with_(PRICES) + """
+SELECT ticker, min(date) AS start_date, max(date) AS end_date, count(DISTINCT date) AS trading_days,
+       cast(max(date) - min(date) AS integer) AS total_days
+FROM prices GROUP BY ticker"""
+SQL["p_gaps"] = with_(PRICES) + """, d AS (SELECT DISTINCT ticker, date FROM prices),
+l AS (SELECT ticker, date, lag(date) OVER (PARTITION BY ticker ORDER BY date) AS prev FROM d)
+SELECT ticker, date AS gap_end, prev AS gap_start, cast(date - prev AS integer) AS days_gap
+FROM l WHERE date - prev > 1"""
+SQL["p_null_counts"] = with_(PRICES, PRICES_DIRTY) + "SELECT ticker, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in
+    ["date", "open", "high", "low", "close", "adj_close", "volume", "ingestion_timestamp"]
+) + " FROM prices_dirty GROUP BY ticker"
+SQL["p_total_rows"] = with_(PRICES) + "SELECT count(*) AS total_rows FROM prices"
+SQL["p_recent5"] = with_(PRICES) + "SELECT * FROM prices ORDER BY date DESC, ticker LIMIT 5"
+SQL["p_recent10"] = with_(PRICES) + "SELECT * FROM prices ORDER BY date DESC, ticker LIMIT 10"
+
+# --- features -------------------------------------------------------------------
+
+SQL["f_features_intraday_events"] = (with_(EVENT_PRICES, EVENT_CLEAN,
+                                           features_intraday_of("event_clean", "feat"))
+                                     + f"SELECT {FEATURE_SELECT} FROM feat")
+SQL["f_features_c2c"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + f"SELECT {FEATURE_SELECT} FROM feat"
+SQL["f_typed_projection"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + (
+    "SELECT ticker, date, open, high, low, close, cast(volume AS double) AS volume, "
+    + rounded(FEATURE_DOUBLES) + ", feature_timestamp FROM feat")
+SQL["f_moving_avg_7"] = with_(PRICES, PRICES_CLEAN) + f"""
+SELECT ticker, date, close,
+       round(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_avg_7
+FROM prices_clean"""
+SQL["f_moving_avg_30"] = with_(PRICES, PRICES_CLEAN) + f"""
+SELECT ticker, date, close,
+       round(avg(close) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS moving_avg_30
+FROM prices_clean"""
+SQL["f_volatility_7"] = with_(EVENT_PRICES, EVENT_CLEAN) + f""", r AS (
+  SELECT ticker, date, (close - open) / nullif(open, 0) AS daily_return FROM event_clean)
+SELECT ticker, date, round(daily_return, 6) AS daily_return,
+       round(stddev_samp(daily_return) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS volatility_7
+FROM r"""
+SQL["f_daily_return_c2c"] = with_(PRICES, PRICES_CLEAN) + f"""
+SELECT ticker, date, close,
+       round((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6) AS daily_return
+FROM prices_clean"""
+SQL["f_momentum_ratio7"] = with_(PRICES, PRICES_CLEAN) + f"""
+SELECT ticker, date, close, round(close / nullif(lag(close, 7) OVER ({W}), 0), 6) AS momentum
+FROM prices_clean"""
+SQL["f_momentum_return10"] = with_(PRICES, PRICES_CLEAN) + f"""
+SELECT ticker, date, close,
+       round((close - lag(close, 10) OVER ({W})) / nullif(lag(close, 10) OVER ({W}), 0), 6) AS momentum
+FROM prices_clean"""
+SQL["f_union_all"] = with_(PRICES, PRICES_CLEAN, FEAT_C, EVENT_PRICES, EVENT_CLEAN,
+                           features_c2c_of("event_clean", "efeat")) + (
+    f"SELECT {FEATURE_SELECT} FROM feat UNION ALL SELECT {FEATURE_SELECT} FROM efeat")
+SQL["f_recent5_per_ticker"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + f"""
+SELECT {FEATURE_SELECT} FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM feat)
+WHERE rn <= 5"""
+
+# --- labels and split -------------------------------------------------------------
+
+TRAIN_READ = """train_read AS (
+  SELECT ticker, date, close, daily_return, moving_avg_7, moving_avg_30, volatility_7, momentum
+  FROM feat WHERE close IS NOT NULL AND daily_return IS NOT NULL)"""
+LABELED = f"""labeled AS (
+  SELECT ticker, date, close, daily_return, moving_avg_7, moving_avg_30, volatility_7, momentum,
+         CASE WHEN next_close > close THEN 1 ELSE 0 END AS next_day_up
+  FROM (SELECT *, lead(close) OVER ({W}) AS next_close FROM train_read)
+  WHERE next_close IS NOT NULL)"""
+SPLIT_BOUNDS = """bounds AS (
+  SELECT min(date) AS min_date, max(date) AS max_date,
+         min(date) + cast(floor((max(date) - min(date)) * 0.8) AS integer) AS split_date
+  FROM labeled)"""
+LAB = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABELED)
+
+SQL["f_training_read"] = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ) + (
+    "SELECT ticker, date, close, " + rounded(FEATURE_DOUBLES) + " FROM train_read")
+SQL["f_labels"] = LAB + ("SELECT ticker, date, close, " + rounded(FEATURE_DOUBLES)
+                         + ", next_day_up FROM labeled")
+SQL["f_label_distribution"] = LAB + "SELECT next_day_up, count(*) AS count FROM labeled GROUP BY next_day_up"
+SQL["f_split_date"] = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABELED, SPLIT_BOUNDS) + (
+    "SELECT min_date, max_date, split_date FROM bounds")
+SQL["f_split"] = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABELED, SPLIT_BOUNDS) + """
+SELECT ticker, date, next_day_up,
+       CASE WHEN date <= (SELECT split_date FROM bounds) THEN 'train' ELSE 'test' END AS split
+FROM labeled"""
+
+# --- quality -----------------------------------------------------------------------
+
+FT = with_(PRICES, PRICES_CLEAN, FEAT_C)
+FEAT_COLS_NO_TICKER = ["date", "open", "high", "low", "close", "volume"] + FEATURE_DOUBLES + ["feature_timestamp"]
+OUTLIER_RULES = [  # feature, extreme, moderate, two-sided (close-to-close momentum bounds)
+    ("daily_return", 0.2, 0.1, True), ("volatility_7", 0.5, 0.3, False), ("momentum", 1.0, 0.5, False)]
+
+
+def outside(f: str, t: float, two_sided: bool) -> str:
+    return f"({f} < -{t} OR {f} > {t})" if two_sided else f"{f} > {t}"
+
+
+SQL["f_schema_check"] = FT + """
+SELECT DISTINCT ticker, cast(13 AS bigint) AS column_count, '' AS missing_columns,
+       '' AS extra_columns, true AS columns_ok FROM feat"""
+SQL["f_null_counts"] = FT + "SELECT ticker, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in FEAT_COLS_NO_TICKER) + " FROM feat GROUP BY ticker"
+
+NULL_LONG = """null_long AS (""" + "\n  UNION ALL ".join(
+    f"SELECT ticker, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count, count(*) AS total "
+    f"FROM feat GROUP BY ticker" for c in FEAT_COLS_NO_TICKER) + ")"
+NULL_REPORT = f"""null_report AS (
+  SELECT ticker, column_name, null_count, {pct('null_count', 'total')} AS null_pct FROM null_long)"""
+SQL["f_null_bands"] = FT + ", " + NULL_LONG + ", " + NULL_REPORT + """
+SELECT ticker, column_name, null_count, round(null_pct, 6) AS null_pct,
+       CASE WHEN null_pct > 5.0 THEN 'fail' WHEN null_pct > 1.0 THEN 'warn' ELSE 'ok' END AS band
+FROM null_report"""
+SQL["f_completeness"] = FT + ", c AS (" + "\n  UNION ALL ".join(
+    f"SELECT ticker, '{f}' AS feature, count({f}) AS non_null, count(*) AS total FROM feat GROUP BY ticker"
+    for f in FEATURE_DOUBLES) + f""")
+SELECT ticker, feature, non_null, round({pct('non_null', 'total')}, 6) AS completeness_pct,
+       CASE WHEN {pct('non_null', 'total')} >= 95.0 THEN 'good'
+            WHEN {pct('non_null', 'total')} >= 80.0 THEN 'fair' ELSE 'poor' END AS band
+FROM c"""
+SQL["f_date_range"] = FT + """
+SELECT ticker, min(date) AS min_date, max(date) AS max_date, count(date) AS total_days
+FROM feat GROUP BY ticker"""
+SQL["f_feature_ranges"] = FT + "\n  UNION ALL ".join(
+    f"SELECT ticker, '{f}' AS feature, round(min({f}), 6) AS min_val, round(max({f}), 6) AS max_val, "
+    f"round(avg({f}), 6) AS avg_val FROM feat GROUP BY ticker"
+    for f in ["daily_return", "volatility_7", "momentum"])
+SQL["f_summary"] = FT + "\n  UNION ALL ".join(
+    f"SELECT ticker, '{f}' AS feature, count({f}) AS count, round(avg({f}), 6) AS mean, "
+    f"round(stddev_samp({f}), 6) AS stddev, round(min({f}), 6) AS min, "
+    f"round(quantile_cont({f}, 0.25), 6) AS p25, round(quantile_cont({f}, 0.5), 6) AS p50, "
+    f"round(quantile_cont({f}, 0.75), 6) AS p75, round(max({f}), 6) AS max FROM feat GROUP BY ticker"
+    for f in FEATURE_DOUBLES)
+SQL["f_outlier_counts"] = FT + ", o AS (" + "\n  UNION ALL ".join(
+    f"SELECT ticker, '{f}' AS feature, count(*) FILTER (WHERE {outside(f, e, two)}) AS extreme_count, "
+    f"count(*) FILTER (WHERE {outside(f, m, two)}) AS moderate_count, count(*) AS total "
+    f"FROM feat GROUP BY ticker" for f, e, m, two in OUTLIER_RULES) + f""")
+SELECT ticker, feature, extreme_count, round({pct('extreme_count', 'total')}, 6) AS extreme_pct,
+       moderate_count, round({pct('moderate_count', 'total')}, 6) AS moderate_pct,
+       {pct('extreme_count', 'total')} > 1.0 AS high_rate
+FROM o"""
+SQL["f_return_outliers"] = FT + f"SELECT {FEATURE_SELECT} FROM feat WHERE daily_return < -0.2 OR daily_return > 0.2"
+VERDICT = f"""verdict AS (
+  SELECT ticker, rows, extreme_outliers, {pct('extreme_outliers', 'rows')} AS outlier_pct,
+         {pct('extreme_outliers', 'rows')} < 1.0 AS outlier_ok
+  FROM (SELECT ticker, count(*) AS rows,
+               count(*) FILTER (WHERE daily_return < -0.2 OR daily_return > 0.2) AS extreme_outliers
+        FROM feat GROUP BY ticker))"""
+SQL["f_outlier_verdict"] = FT + ", " + VERDICT + """
+SELECT ticker, rows, extreme_outliers, round(outlier_pct, 6) AS outlier_pct, outlier_ok FROM verdict"""
+SQL["f_top_outliers"] = FT + """
+SELECT date, ticker, round(daily_return, 6) AS daily_return, close FROM (
+  SELECT date, ticker, daily_return, close,
+         row_number() OVER (PARTITION BY ticker ORDER BY daily_return DESC, date DESC) AS rn
+  FROM feat WHERE daily_return < -0.2 OR daily_return > 0.2)
+WHERE rn <= 10"""
+REPORT = f"""report AS (
+  SELECT t.ticker, v.rows IS NOT NULL AS table_exists, cast(coalesce(v.rows, 0) AS bigint) AS row_count,
+         cast(CASE WHEN v.rows IS NOT NULL THEN 13 ELSE 0 END AS bigint) AS column_count,
+         v.rows IS NOT NULL AS columns_ok,
+         coalesce(nv.null_ok, false) AS null_ok, coalesce(v.outlier_ok, false) AS outlier_ok,
+         cast(coalesce(v.extreme_outliers, 0) AS bigint) AS extreme_outliers,
+         coalesce(nv.high_null_columns, '') AS high_null_columns,
+         v.rows IS NOT NULL AND coalesce(nv.null_ok, false) AND coalesce(v.outlier_ok, false) AS passed
+  FROM (SELECT DISTINCT ticker FROM requests) t
+  LEFT JOIN verdict v ON t.ticker = v.ticker
+  LEFT JOIN (SELECT ticker, coalesce(string_agg(CASE WHEN null_pct > 5.0 THEN column_name END, ',' ORDER BY column_name), '')
+                        AS high_null_columns,
+                    count(*) FILTER (WHERE null_pct > 5.0) = 0 AS null_ok
+             FROM null_report GROUP BY ticker) nv ON t.ticker = nv.ticker)"""
+REPORT_CTES = FT + ", " + REQUESTS + ", " + VERDICT + ", " + NULL_LONG + ", " + NULL_REPORT + ", " + REPORT
+SQL["f_validation_report"] = REPORT_CTES + "\nSELECT * FROM report"
+SQL["f_validation_summary"] = REPORT_CTES + """
+SELECT count(*) FILTER (WHERE table_exists) AS tables_validated,
+       count(*) FILTER (WHERE table_exists AND passed) AS tables_passed,
+       count(*) FILTER (WHERE table_exists AND NOT passed) AS tables_failed,
+       cast(coalesce(sum(row_count) FILTER (WHERE table_exists), 0) AS bigint) AS total_rows,
+       round(coalesce(cast(sum(column_count) FILTER (WHERE table_exists) AS double)
+             / greatest(count(*) FILTER (WHERE table_exists), 1), 0.0), 6) AS avg_columns,
+       cast(coalesce(sum(extreme_outliers) FILTER (WHERE table_exists), 0) AS bigint) AS total_outliers,
+       coalesce(bool_and(passed), true) AS all_passed
+FROM report"""
+SQL["f_verify_return"] = FT + f"""
+SELECT ticker, date, close, round(daily_return, 6) AS daily_return, prev_close,
+       round(calculated_return, 6) AS calculated_return FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM (
+    SELECT ticker, date, close, daily_return, lag(close) OVER ({W}) AS prev_close,
+           round((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6) AS calculated_return,
+           max(date) OVER (PARTITION BY ticker) AS last_date
+    FROM feat)
+  WHERE date >= last_date - 7)
+WHERE rn <= 5"""
+SQL["f_verify_ma7"] = FT + f"""
+SELECT ticker, date, close, round(moving_avg_7, 6) AS moving_avg_7, round(moving_avg_30, 6) AS moving_avg_30,
+       calculated_ma7 FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM (
+    SELECT ticker, date, close, moving_avg_7, moving_avg_30,
+           round(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS calculated_ma7,
+           max(date) OVER (PARTITION BY ticker) AS last_date
+    FROM feat)
+  WHERE date >= last_date - 10)
+WHERE rn <= 5"""
+
+# --- as-of ---------------------------------------------------------------------------
+
+SQL["f_asof_latest"] = FT + f"""
+SELECT {FEATURE_SELECT} FROM feat WHERE ticker = 'S1' AND date <= DATE '1998-06-30'
+ORDER BY date DESC LIMIT 1"""
+SQL["f_asof_join"] = with_(PRICES, PRICES_CLEAN, FEAT_C, REQUESTS) + """
+SELECT r.request_id, r.ticker, r.as_of_date,
+       CASE WHEN f.date IS NOT NULL THEN 'ok'
+            WHEN r.ticker IN (SELECT ticker FROM feat) THEN 'no_data_yet' ELSE 'no_ticker' END AS status,
+       f.date AS feature_date, f.close, round(f.daily_return, 6) AS daily_return,
+       round(f.moving_avg_7, 6) AS moving_avg_7, round(f.moving_avg_30, 6) AS moving_avg_30,
+       round(f.volatility_7, 6) AS volatility_7, round(f.momentum, 6) AS momentum
+FROM requests r ASOF LEFT JOIN feat f ON r.ticker = f.ticker AND r.as_of_date >= f.date"""
