@@ -409,3 +409,37 @@ SELECT r.request_id, r.ticker, r.as_of_date,
        round(f.moving_avg_7, 6) AS moving_avg_7, round(f.moving_avg_30, 6) AS moving_avg_30,
        round(f.volatility_7, 6) AS volatility_7, round(f.momentum, 6) AS momentum
 FROM requests r ASOF LEFT JOIN feat f ON r.ticker = f.ticker AND r.as_of_date >= f.date"""
+
+# --- ML ------------------------------------------------------------------------------
+
+COMPLETE = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATURE_DOUBLES)
+SQL["m_assembled_count"] = LAB + f"SELECT count(*) AS assembled_rows FROM labeled WHERE {COMPLETE}"
+SQL["m_scaled_features"] = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABELED, SPLIT_BOUNDS) + f""",
+comp AS (SELECT * FROM labeled WHERE {COMPLETE}),
+st AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURE_DOUBLES)}
+       FROM comp WHERE date <= (SELECT split_date FROM bounds))
+SELECT ticker, date, {", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS scaled_{c}" for c in FEATURE_DOUBLES)}
+FROM comp, st"""
+
+# --- daily run status ----------------------------------------------------------------
+
+RUN_CTES = with_(PRICES, PRICES_DIRTY, REQUESTS, clean_of("prices_dirty", "dclean"),
+                 features_c2c_of("dclean", "dfeat")) + """, status AS (
+  SELECT t.ticker, cast(coalesce(b.n, 0) AS bigint) AS rows_before,
+         cast(coalesce(a.n, 0) AS bigint) AS rows_after,
+         cast(coalesce(f.n, 0) AS bigint) AS feature_rows,
+         CASE WHEN coalesce(f.n, 0) > 0 THEN 'processed' ELSE 'failed' END AS status,
+         CASE WHEN coalesce(f.n, 0) > 0 THEN NULL
+              WHEN coalesce(b.n, 0) = 0 THEN 'no_data'
+              WHEN coalesce(a.n, 0) = 0 THEN 'no_valid_rows' ELSE 'no_features' END AS reason
+  FROM (SELECT DISTINCT ticker FROM requests) t
+  LEFT JOIN (SELECT ticker, count(*) AS n FROM prices_dirty GROUP BY ticker) b ON t.ticker = b.ticker
+  LEFT JOIN (SELECT ticker, count(*) AS n FROM dclean GROUP BY ticker) a ON t.ticker = a.ticker
+  LEFT JOIN (SELECT ticker, count(*) AS n FROM dfeat GROUP BY ticker) f ON t.ticker = f.ticker)
+"""
+SQL["f_run_status"] = RUN_CTES + "SELECT * FROM status"
+SQL["f_run_summary"] = RUN_CTES + """
+SELECT count(*) FILTER (WHERE status = 'processed') AS processed,
+       count(*) FILTER (WHERE status = 'failed') AS failed,
+       cast(coalesce(sum(feature_rows), 0) AS bigint) AS total_feature_rows
+FROM status"""

@@ -383,3 +383,106 @@ def f_asof_join(spark, sf_dir):
     out = AS.asof_join(FX.asof_requests(spark, sf_dir), features_c2c(spark, sf_dir),
                        FEATURE_VALUE_COLUMNS)
     return round6(out, FEATURE_DOUBLES)
+
+
+# --- ML (M1-M13) ----------------------------------------------------------------------
+
+from tickwise.plans import daily_run as DR  # noqa: E402
+from tickwise.plans import model as ML  # noqa: E402
+from tickwise.session import ensure_checkpoint_dir  # noqa: E402
+
+
+@register("m_assembled_count")
+def m_assembled_count(spark, sf_dir):
+    return ML.assembler().transform(labeled(spark, sf_dir)).agg(
+        F.count(F.lit(1)).alias("assembled_rows"))
+
+
+@register("m_scaled_features")
+def m_scaled_features(spark, sf_dir):
+    prepared, _ = ML.prepare_features(labeled(spark, sf_dir), scaler_scope="train")
+    out = ML.scaled_columns(prepared)
+    return round6(out, [c for c in out.columns if c.startswith("scaled_")])
+
+
+def _predictions(spark, sf_dir, model_type):
+    res = ML.train(labeled(spark, sf_dir), model_type)
+    prob = F.get(ML.vector_to_array(F.col("probability")), 1)
+    return res.test_predictions.select("ticker", "date", "next_day_up", "prediction",
+                                       prob.alias("probability_up"))
+
+
+@register("m_rf_predictions")
+def m_rf_predictions(spark, sf_dir):
+    return _predictions(spark, sf_dir, "rf")
+
+
+@register("m_gbt_predictions")
+def m_gbt_predictions(spark, sf_dir):
+    return _predictions(spark, sf_dir, "gbt")
+
+
+@register("m_metrics")
+def m_metrics(spark, sf_dir):
+    res = ML.train(labeled(spark, sf_dir), "gbt")
+    return ML.evaluate(spark, res.train_predictions, res.test_predictions)
+
+
+@register("m_quality_bands")
+def m_quality_bands(spark, sf_dir):
+    res = ML.train(labeled(spark, sf_dir), "rf")
+    return ML.quality_bands(ML.evaluate(spark, res.train_predictions, res.test_predictions))
+
+
+@register("m_cv_best")
+def m_cv_best(spark, sf_dir):
+    res = ML.train(labeled(spark, sf_dir), "rf", tuning=True,
+                   grid={"numTrees": [8, 15], "maxDepth": [3, 4]}, parallelism=4)
+    return spark.createDataFrame([(k, float(v)) for k, v in sorted(res.best_params.items())],
+                                 "param string, value double")
+
+
+def _scored_requests(spark, sf_dir, model):
+    asof = AS.asof_join(FX.asof_requests(spark, sf_dir), features_c2c(spark, sf_dir),
+                        FEATURE_VALUE_COLUMNS)
+    return ML.score(model, asof.filter(F.col("status") == AS.STATUS_OK))
+
+
+@register("m_score_batch")
+def m_score_batch(spark, sf_dir):
+    model = ML.train(labeled(spark, sf_dir), "gbt").model
+    return _scored_requests(spark, sf_dir, model)
+
+
+@register("m_model_roundtrip")
+def m_model_roundtrip(spark, sf_dir):
+    """Save, reload and compare predictions on the test split (mismatches = 0)."""
+    lab = labeled(spark, sf_dir)
+    res = ML.train(lab, "rf")
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/models"
+    version, _ = ML.save_model(spark, res.model, root, "direction_rf")
+    reloaded = ML.load_model(spark, root, "direction_rf", version)
+    test = LB.split_data(lab)[1]
+    a = res.model.transform(test).select("ticker", "date", F.col("prediction").alias("p1"))
+    b = reloaded.transform(test).select("ticker", "date", F.col("prediction").alias("p2"))
+    return a.join(b, ["ticker", "date"], "full").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~F.col("p1").eqNullSafe(F.col("p2"))).alias("mismatches"),
+        F.lit(version).alias("version"))
+
+
+# --- daily run status (L1, L2) ---------------------------------------------------------
+
+def _status(spark, sf_dir):
+    return DR.run_status(dirty(spark, sf_dir), requested_tickers(spark, sf_dir),
+                         "close_to_close", RUN_DATE)
+
+
+@register("f_run_status")
+def f_run_status(spark, sf_dir):
+    return _status(spark, sf_dir)
+
+
+@register("f_run_summary")
+def f_run_summary(spark, sf_dir):
+    return DR.run_summary(_status(spark, sf_dir))
