@@ -51,17 +51,20 @@ def _bars(grouped_px: DataFrame, key_cols: list[str], order_key: Column,
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars per supplier from ``lineitem`` (price-table schema)."""
+    # The ticker is formed before grouping so the bars come out hash
+    # partitioned by (ticker, date): a following dedupe on that key needs no
+    # second shuffle.
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
         "l_extendedprice", F.to_date("l_shipdate").alias("date"),
         safe_div(F.col("l_extendedprice"), F.col("l_quantity")).alias("px"))
     order_key = F.struct("l_orderkey", "l_linenumber", "l_partkey",
                          "l_extendedprice", "l_quantity")
-    bars = _bars(li, ["l_suppkey", "date"], order_key,
+    bars = _bars(li, ["ticker", "date"], order_key,
                  F.sum("l_quantity").cast("bigint"))
     return bars.select(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
-        "date", "open", "high", "low", "close",
+        "ticker", "date", "open", "high", "low", "close",
         F.col("close").alias("adj_close"), "volume",
         F.lit(FIXTURE_INGEST_DATE).alias("ingestion_timestamp"))
 
