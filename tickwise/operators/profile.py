@@ -105,15 +105,15 @@ def summary(df: DataFrame, features: list[str], exact: bool = True) -> DataFrame
     aggs = []
     for f in features:
         c = F.col(f)
-        if exact:
-            q = [F.percentile(c, p) for p in (0.25, 0.5, 0.75)]
-        else:
-            q = [F.percentile_approx(c, p, 10000) for p in (0.25, 0.5, 0.75)]
+        # one aggregate per feature returns all three quartiles
+        probs = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
+        q = F.percentile(c, probs) if exact else F.percentile_approx(c, probs, 10000)
         aggs += [F.count(c).alias(f"{f}__count"), F.avg(c).alias(f"{f}__mean"),
                  F.stddev_samp(c).alias(f"{f}__stddev"), F.min(c).alias(f"{f}__min"),
-                 q[0].cast("double").alias(f"{f}__p25"), q[1].cast("double").alias(f"{f}__p50"),
-                 q[2].cast("double").alias(f"{f}__p75"), F.max(c).alias(f"{f}__max")]
+                 q.alias(f"{f}__q"), F.max(c).alias(f"{f}__max")]
     wide = df.groupBy("ticker").agg(*aggs)
+    wide = wide.withColumns({f"{f}__{name}": F.col(f"{f}__q")[i].cast("double")
+                             for f in features for i, name in enumerate(("p25", "p50", "p75"))})
     return _unpivot_stats(wide, features, SUMMARY_STATS)
 
 

@@ -62,14 +62,32 @@ def null_report(df: DataFrame) -> DataFrame:
                         "null_pct", "band"))
 
 
+def ticker_checks(df: DataFrame) -> DataFrame:
+    """Null and outlier verdicts per ticker from ONE aggregation pass:
+    rows, extreme daily_return outliers and their percent, outlier_ok,
+    the columns whose null percent is above the fail band (comma list,
+    sorted) and null_ok."""
+    cols = sorted(c for c in df.columns if c != "ticker")
+    t = OUTLIER_THRESHOLDS["daily_return"][0]
+    wide = df.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(is_outlier("daily_return", t)).alias("extreme_outliers"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_n_{c}") for c in cols])
+    def pct(c):
+        return F.coalesce(safe_div(F.col(c) * 100.0, F.col("rows")), F.lit(0.0))
+    high = F.array_compact(F.array(*[F.when(pct(f"_n_{c}") > NULL_FAIL_PCT, F.lit(c))
+                                     for c in cols]))
+    return wide.select(
+        "ticker", "rows", "extreme_outliers",
+        pct("extreme_outliers").alias("outlier_pct"),
+        (pct("extreme_outliers") < OUTLIER_VERDICT_MAX_PCT).alias("outlier_ok"),
+        F.array_join(high, ",").alias("high_null_columns"),
+        (F.size(high) == 0).alias("null_ok"))
+
+
 def null_verdict(df: DataFrame) -> DataFrame:
     """Per ticker: columns above the fail band (comma list) and pass flag."""
-    rep = null_report(df)
-    return (rep.groupBy("ticker")
-               .agg(F.array_join(F.array_sort(F.collect_list(
-                        F.when(F.col("band") == "fail", F.col("column_name")))), ",")
-                    .alias("high_null_columns"),
-                    (F.count_if(F.col("band") == "fail") == 0).alias("null_ok")))
+    return ticker_checks(df).select("ticker", "high_null_columns", "null_ok")
 
 
 def completeness(df: DataFrame, features: list[str] | None = None) -> DataFrame:
@@ -174,9 +192,7 @@ def validation_report(df: DataFrame, tickers: DataFrame | None = None,
     """
     d = column_diff(df.columns, expected)
     cols_ok = not d["missing"]
-    rows = outlier_verdict(df)
-    nulls = null_verdict(df)
-    rep = rows.join(nulls, "ticker")
+    rep = ticker_checks(df)
     if tickers is not None:
         rep = tickers.select("ticker").distinct().join(rep, "ticker", "left")
     exists = F.col("rows").isNotNull()

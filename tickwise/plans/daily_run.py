@@ -24,14 +24,12 @@ def run_status(raw: DataFrame, requested: DataFrame, variant: str = "close_to_cl
                run_date: dt.date | None = None, features: DataFrame | None = None) -> DataFrame:
     """Per requested ticker: raw rows, clean rows, feature rows and status
     ('processed' when feature rows exist, else 'failed' with a reason)."""
-    cleaned = C.clean(raw)
-    feats = features if features is not None else FE.create_features(cleaned, variant, run_date)
-    before = raw.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows_before"))
-    after = cleaned.groupBy("ticker").agg(F.count(F.lit(1)).alias("rows_after"))
+    feats = features if features is not None else FE.create_features(C.clean(raw), variant, run_date)
+    # rows before/after cleaning in one pass over the raw rows
+    counts = C.clean_counts(raw).select("ticker", "rows_before", "rows_after")
     made = feats.groupBy("ticker").agg(F.count(F.lit(1)).alias("feature_rows"))
     out = (requested.select("ticker").distinct()
-                    .join(before, "ticker", "left").join(after, "ticker", "left")
-                    .join(made, "ticker", "left"))
+                    .join(counts, "ticker", "left").join(made, "ticker", "left"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     status = F.when(z("feature_rows") > 0, "processed").otherwise("failed")
     reason = (F.when(z("feature_rows") > 0, F.lit(None).cast("string"))
