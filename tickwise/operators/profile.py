@@ -117,6 +117,17 @@ def summary(df: DataFrame, features: list[str], exact: bool = True) -> DataFrame
     return _unpivot_stats(wide, features, SUMMARY_STATS)
 
 
+def sorted_by_key(df: DataFrame) -> DataFrame:
+    """Output order (ticker, date); a range-partitioned sort, used only where
+    ordered output is wanted (windows never need it)."""
+    return df.orderBy(F.col("ticker").asc_nulls_last(), F.col("date").asc_nulls_last())
+
+
+def head_sample(df: DataFrame, n: int = 3) -> DataFrame:
+    """A few rows to look at (any rows: no ordering is paid for)."""
+    return df.limit(n)
+
+
 def newest(df: DataFrame, n: int) -> DataFrame:
     """Newest n rows of the whole table (date desc, ticker as tie-break)."""
     return df.orderBy(F.col("date").desc_nulls_last(), F.col("ticker").asc_nulls_last()).limit(n)

@@ -179,6 +179,8 @@ SQL["p_project"] = with_(PRICES) + "SELECT ticker, date, open, high, low, close,
 SQL["p_dropna"] = with_(PRICES, PRICES_DIRTY) + f"SELECT * FROM prices_dirty WHERE {VALID}"
 SQL["p_dedup"] = with_(PRICES, PRICES_DIRTY, clean_of("prices_dirty", "d", False)) + "SELECT * FROM d"
 SQL["p_clean"] = with_(PRICES, PRICES_DIRTY, clean_of("prices_dirty", "d")) + "SELECT * FROM d"
+SQL["p_clean_sorted"] = with_(PRICES, PRICES_DIRTY, clean_of("prices_dirty", "d")) + (
+    "SELECT * FROM d ORDER BY ticker, date")
 SQL["p_clean_counts"] = with_(PRICES, PRICES_DIRTY) + f"""
 SELECT ticker, count(*) AS rows_before,
        count(DISTINCT date) FILTER (WHERE {VALID}) AS rows_after,

@@ -140,6 +140,11 @@ def p_clean(spark, sf_dir):
     return C.clean(dirty(spark, sf_dir))
 
 
+@register("p_clean_sorted")
+def p_clean_sorted(spark, sf_dir):
+    return PR.sorted_by_key(C.clean(dirty(spark, sf_dir)))
+
+
 @register("p_clean_counts")
 def p_clean_counts(spark, sf_dir):
     return C.clean_counts(dirty(spark, sf_dir))
