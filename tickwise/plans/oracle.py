@@ -9,6 +9,12 @@ may add in a different order in the two engines).
 
 from __future__ import annotations
 
+# Rounding: DuckDB's round() on a double scales in binary and can land on
+# the other side of a tie (10273.672812499999 -> ...813) where Spark rounds
+# half-up from the shortest decimal text (-> ...812). Every rounded double
+# below is therefore rounded as a decimal parsed from the double's text;
+# NaN and values outside DECIMAL(38,18) fall back to round().
+
 # --- derived fixtures -------------------------------------------------------
 
 PRICES = """prices AS (
@@ -118,7 +124,8 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-R6 = "round({c}, 6) AS {c}"
+R6 = ("coalesce(cast(round(try_cast(cast({c} AS varchar) AS decimal(38,18)), 6) AS double), "
+      "round({c}, 6)) AS {c}")
 
 
 def rounded(cols: list[str]) -> str:
@@ -223,27 +230,27 @@ SQL["f_typed_projection"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + (
     + rounded(FEATURE_DOUBLES) + ", feature_timestamp FROM feat")
 SQL["f_moving_avg_7"] = with_(PRICES, PRICES_CLEAN) + f"""
 SELECT ticker, date, close,
-       round(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_avg_7
+       coalesce(cast(round(try_cast(cast((avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) AS varchar) AS decimal(38,18)), 6) AS double), round(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6)) AS moving_avg_7
 FROM prices_clean"""
 SQL["f_moving_avg_30"] = with_(PRICES, PRICES_CLEAN) + f"""
 SELECT ticker, date, close,
-       round(avg(close) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS moving_avg_30
+       coalesce(cast(round(try_cast(cast((avg(close) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) AS varchar) AS decimal(38,18)), 6) AS double), round(avg(close) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6)) AS moving_avg_30
 FROM prices_clean"""
 SQL["f_volatility_7"] = with_(EVENT_PRICES, EVENT_CLEAN) + f""", r AS (
   SELECT ticker, date, (close - open) / nullif(open, 0) AS daily_return FROM event_clean)
-SELECT ticker, date, round(daily_return, 6) AS daily_return,
-       round(stddev_samp(daily_return) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS volatility_7
+SELECT ticker, date, coalesce(cast(round(try_cast(cast((daily_return) AS varchar) AS decimal(38,18)), 6) AS double), round(daily_return, 6)) AS daily_return,
+       coalesce(cast(round(try_cast(cast((stddev_samp(daily_return) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) AS varchar) AS decimal(38,18)), 6) AS double), round(stddev_samp(daily_return) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6)) AS volatility_7
 FROM r"""
 SQL["f_daily_return_c2c"] = with_(PRICES, PRICES_CLEAN) + f"""
 SELECT ticker, date, close,
-       round((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6) AS daily_return
+       coalesce(cast(round(try_cast(cast(((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0)) AS varchar) AS decimal(38,18)), 6) AS double), round((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6)) AS daily_return
 FROM prices_clean"""
 SQL["f_momentum_ratio7"] = with_(PRICES, PRICES_CLEAN) + f"""
-SELECT ticker, date, close, round(close / nullif(lag(close, 7) OVER ({W}), 0), 6) AS momentum
+SELECT ticker, date, close, coalesce(cast(round(try_cast(cast((close / nullif(lag(close, 7) OVER ({W}), 0)) AS varchar) AS decimal(38,18)), 6) AS double), round(close / nullif(lag(close, 7) OVER ({W}), 0), 6)) AS momentum
 FROM prices_clean"""
 SQL["f_momentum_return10"] = with_(PRICES, PRICES_CLEAN) + f"""
 SELECT ticker, date, close,
-       round((close - lag(close, 10) OVER ({W})) / nullif(lag(close, 10) OVER ({W}), 0), 6) AS momentum
+       coalesce(cast(round(try_cast(cast(((close - lag(close, 10) OVER ({W})) / nullif(lag(close, 10) OVER ({W}), 0)) AS varchar) AS decimal(38,18)), 6) AS double), round((close - lag(close, 10) OVER ({W})) / nullif(lag(close, 10) OVER ({W}), 0), 6)) AS momentum
 FROM prices_clean"""
 SQL["f_union_all"] = with_(PRICES, PRICES_CLEAN, FEAT_C, EVENT_PRICES, EVENT_CLEAN,
                            features_c2c_of("event_clean", "efeat")) + (
@@ -305,13 +312,13 @@ NULL_LONG = """null_long AS (""" + "\n  UNION ALL ".join(
 NULL_REPORT = f"""null_report AS (
   SELECT ticker, column_name, null_count, {pct('null_count', 'total')} AS null_pct FROM null_long)"""
 SQL["f_null_bands"] = FT + ", " + NULL_LONG + ", " + NULL_REPORT + """
-SELECT ticker, column_name, null_count, round(null_pct, 6) AS null_pct,
+SELECT ticker, column_name, null_count, coalesce(cast(round(try_cast(cast((null_pct) AS varchar) AS decimal(38,18)), 6) AS double), round(null_pct, 6)) AS null_pct,
        CASE WHEN null_pct > 5.0 THEN 'fail' WHEN null_pct > 1.0 THEN 'warn' ELSE 'ok' END AS band
 FROM null_report"""
 SQL["f_completeness"] = FT + ", c AS (" + "\n  UNION ALL ".join(
     f"SELECT ticker, '{f}' AS feature, count({f}) AS non_null, count(*) AS total FROM feat GROUP BY ticker"
     for f in FEATURE_DOUBLES) + f""")
-SELECT ticker, feature, non_null, round({pct('non_null', 'total')}, 6) AS completeness_pct,
+SELECT ticker, feature, non_null, coalesce(cast(round(try_cast(cast(({pct('non_null', 'total')}) AS varchar) AS decimal(38,18)), 6) AS double), round({pct('non_null', 'total')}, 6)) AS completeness_pct,
        CASE WHEN {pct('non_null', 'total')} >= 95.0 THEN 'good'
             WHEN {pct('non_null', 'total')} >= 80.0 THEN 'fair' ELSE 'poor' END AS band
 FROM c"""
@@ -319,21 +326,21 @@ SQL["f_date_range"] = FT + """
 SELECT ticker, min(date) AS min_date, max(date) AS max_date, count(date) AS total_days
 FROM feat GROUP BY ticker"""
 SQL["f_feature_ranges"] = FT + "\n  UNION ALL ".join(
-    f"SELECT ticker, '{f}' AS feature, round(min({f}), 6) AS min_val, round(max({f}), 6) AS max_val, "
-    f"round(avg({f}), 6) AS avg_val FROM feat GROUP BY ticker"
+    f"SELECT ticker, '{f}' AS feature, coalesce(cast(round(try_cast(cast((min({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(min({f}), 6)) AS min_val, coalesce(cast(round(try_cast(cast((max({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(max({f}), 6)) AS max_val, "
+    f"coalesce(cast(round(try_cast(cast((avg({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(avg({f}), 6)) AS avg_val FROM feat GROUP BY ticker"
     for f in ["daily_return", "volatility_7", "momentum"])
 SQL["f_summary"] = FT + "\n  UNION ALL ".join(
-    f"SELECT ticker, '{f}' AS feature, count({f}) AS count, round(avg({f}), 6) AS mean, "
-    f"round(stddev_samp({f}), 6) AS stddev, round(min({f}), 6) AS min, "
-    f"round(quantile_cont({f}, 0.25), 6) AS p25, round(quantile_cont({f}, 0.5), 6) AS p50, "
-    f"round(quantile_cont({f}, 0.75), 6) AS p75, round(max({f}), 6) AS max FROM feat GROUP BY ticker"
+    f"SELECT ticker, '{f}' AS feature, count({f}) AS count, coalesce(cast(round(try_cast(cast((avg({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(avg({f}), 6)) AS mean, "
+    f"coalesce(cast(round(try_cast(cast((stddev_samp({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(stddev_samp({f}), 6)) AS stddev, coalesce(cast(round(try_cast(cast((min({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(min({f}), 6)) AS min, "
+    f"coalesce(cast(round(try_cast(cast((quantile_cont({f}, 0.25)) AS varchar) AS decimal(38,18)), 6) AS double), round(quantile_cont({f}, 0.25), 6)) AS p25, coalesce(cast(round(try_cast(cast((quantile_cont({f}, 0.5)) AS varchar) AS decimal(38,18)), 6) AS double), round(quantile_cont({f}, 0.5), 6)) AS p50, "
+    f"coalesce(cast(round(try_cast(cast((quantile_cont({f}, 0.75)) AS varchar) AS decimal(38,18)), 6) AS double), round(quantile_cont({f}, 0.75), 6)) AS p75, coalesce(cast(round(try_cast(cast((max({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(max({f}), 6)) AS max FROM feat GROUP BY ticker"
     for f in FEATURE_DOUBLES)
 SQL["f_outlier_counts"] = FT + ", o AS (" + "\n  UNION ALL ".join(
     f"SELECT ticker, '{f}' AS feature, count(*) FILTER (WHERE {outside(f, e, two)}) AS extreme_count, "
     f"count(*) FILTER (WHERE {outside(f, m, two)}) AS moderate_count, count(*) AS total "
     f"FROM feat GROUP BY ticker" for f, e, m, two in OUTLIER_RULES) + f""")
-SELECT ticker, feature, extreme_count, round({pct('extreme_count', 'total')}, 6) AS extreme_pct,
-       moderate_count, round({pct('moderate_count', 'total')}, 6) AS moderate_pct,
+SELECT ticker, feature, extreme_count, coalesce(cast(round(try_cast(cast(({pct('extreme_count', 'total')}) AS varchar) AS decimal(38,18)), 6) AS double), round({pct('extreme_count', 'total')}, 6)) AS extreme_pct,
+       moderate_count, coalesce(cast(round(try_cast(cast(({pct('moderate_count', 'total')}) AS varchar) AS decimal(38,18)), 6) AS double), round({pct('moderate_count', 'total')}, 6)) AS moderate_pct,
        {pct('extreme_count', 'total')} > 1.0 AS high_rate
 FROM o"""
 SQL["f_return_outliers"] = FT + f"SELECT {FEATURE_SELECT} FROM feat WHERE daily_return < -0.2 OR daily_return > 0.2"
@@ -344,9 +351,9 @@ VERDICT = f"""verdict AS (
                count(*) FILTER (WHERE daily_return < -0.2 OR daily_return > 0.2) AS extreme_outliers
         FROM feat GROUP BY ticker))"""
 SQL["f_outlier_verdict"] = FT + ", " + VERDICT + """
-SELECT ticker, rows, extreme_outliers, round(outlier_pct, 6) AS outlier_pct, outlier_ok FROM verdict"""
+SELECT ticker, rows, extreme_outliers, coalesce(cast(round(try_cast(cast((outlier_pct) AS varchar) AS decimal(38,18)), 6) AS double), round(outlier_pct, 6)) AS outlier_pct, outlier_ok FROM verdict"""
 SQL["f_top_outliers"] = FT + """
-SELECT date, ticker, round(daily_return, 6) AS daily_return, close FROM (
+SELECT date, ticker, coalesce(cast(round(try_cast(cast((daily_return) AS varchar) AS decimal(38,18)), 6) AS double), round(daily_return, 6)) AS daily_return, close FROM (
   SELECT date, ticker, daily_return, close,
          row_number() OVER (PARTITION BY ticker ORDER BY daily_return DESC, date DESC) AS rn
   FROM feat WHERE daily_return < -0.2 OR daily_return > 0.2)
@@ -372,27 +379,28 @@ SELECT count(*) FILTER (WHERE table_exists) AS tables_validated,
        count(*) FILTER (WHERE table_exists AND passed) AS tables_passed,
        count(*) FILTER (WHERE table_exists AND NOT passed) AS tables_failed,
        cast(coalesce(sum(row_count) FILTER (WHERE table_exists), 0) AS bigint) AS total_rows,
-       round(coalesce(cast(sum(column_count) FILTER (WHERE table_exists) AS double)
-             / greatest(count(*) FILTER (WHERE table_exists), 1), 0.0), 6) AS avg_columns,
+       coalesce(cast(round(try_cast(cast((coalesce(cast(sum(column_count) FILTER (WHERE table_exists) AS double)
+             / greatest(count(*) FILTER (WHERE table_exists), 1), 0.0)) AS varchar) AS decimal(38,18)), 6) AS double), round(coalesce(cast(sum(column_count) FILTER (WHERE table_exists) AS double)
+             / greatest(count(*) FILTER (WHERE table_exists), 1), 0.0), 6)) AS avg_columns,
        cast(coalesce(sum(extreme_outliers) FILTER (WHERE table_exists), 0) AS bigint) AS total_outliers,
        coalesce(bool_and(passed), true) AS all_passed
 FROM report"""
 SQL["f_verify_return"] = FT + f"""
-SELECT ticker, date, close, round(daily_return, 6) AS daily_return, prev_close,
-       round(calculated_return, 6) AS calculated_return FROM (
+SELECT ticker, date, close, coalesce(cast(round(try_cast(cast((daily_return) AS varchar) AS decimal(38,18)), 6) AS double), round(daily_return, 6)) AS daily_return, prev_close,
+       coalesce(cast(round(try_cast(cast((calculated_return) AS varchar) AS decimal(38,18)), 6) AS double), round(calculated_return, 6)) AS calculated_return FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM (
     SELECT ticker, date, close, daily_return, lag(close) OVER ({W}) AS prev_close,
-           round((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6) AS calculated_return,
+           coalesce(cast(round(try_cast(cast(((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0)) AS varchar) AS decimal(38,18)), 6) AS double), round((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6)) AS calculated_return,
            max(date) OVER (PARTITION BY ticker) AS last_date
     FROM feat)
   WHERE date >= last_date - 7)
 WHERE rn <= 5"""
 SQL["f_verify_ma7"] = FT + f"""
-SELECT ticker, date, close, round(moving_avg_7, 6) AS moving_avg_7, round(moving_avg_30, 6) AS moving_avg_30,
+SELECT ticker, date, close, coalesce(cast(round(try_cast(cast((moving_avg_7) AS varchar) AS decimal(38,18)), 6) AS double), round(moving_avg_7, 6)) AS moving_avg_7, coalesce(cast(round(try_cast(cast((moving_avg_30) AS varchar) AS decimal(38,18)), 6) AS double), round(moving_avg_30, 6)) AS moving_avg_30,
        calculated_ma7 FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM (
     SELECT ticker, date, close, moving_avg_7, moving_avg_30,
-           round(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS calculated_ma7,
+           coalesce(cast(round(try_cast(cast((avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) AS varchar) AS decimal(38,18)), 2) AS double), round(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2)) AS calculated_ma7,
            max(date) OVER (PARTITION BY ticker) AS last_date
     FROM feat)
   WHERE date >= last_date - 10)
@@ -407,9 +415,9 @@ SQL["f_asof_join"] = with_(PRICES, PRICES_CLEAN, FEAT_C, REQUESTS) + """
 SELECT r.request_id, r.ticker, r.as_of_date,
        CASE WHEN f.date IS NOT NULL THEN 'ok'
             WHEN r.ticker IN (SELECT ticker FROM feat) THEN 'no_data_yet' ELSE 'no_ticker' END AS status,
-       f.date AS feature_date, f.close, round(f.daily_return, 6) AS daily_return,
-       round(f.moving_avg_7, 6) AS moving_avg_7, round(f.moving_avg_30, 6) AS moving_avg_30,
-       round(f.volatility_7, 6) AS volatility_7, round(f.momentum, 6) AS momentum
+       f.date AS feature_date, f.close, coalesce(cast(round(try_cast(cast((f.daily_return) AS varchar) AS decimal(38,18)), 6) AS double), round(f.daily_return, 6)) AS daily_return,
+       coalesce(cast(round(try_cast(cast((f.moving_avg_7) AS varchar) AS decimal(38,18)), 6) AS double), round(f.moving_avg_7, 6)) AS moving_avg_7, coalesce(cast(round(try_cast(cast((f.moving_avg_30) AS varchar) AS decimal(38,18)), 6) AS double), round(f.moving_avg_30, 6)) AS moving_avg_30,
+       coalesce(cast(round(try_cast(cast((f.volatility_7) AS varchar) AS decimal(38,18)), 6) AS double), round(f.volatility_7, 6)) AS volatility_7, coalesce(cast(round(try_cast(cast((f.momentum) AS varchar) AS decimal(38,18)), 6) AS double), round(f.momentum, 6)) AS momentum
 FROM requests r ASOF LEFT JOIN feat f ON r.ticker = f.ticker AND r.as_of_date >= f.date"""
 
 # --- ML ------------------------------------------------------------------------------
@@ -420,7 +428,7 @@ SQL["m_scaled_features"] = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABEL
 comp AS (SELECT * FROM labeled WHERE {COMPLETE}),
 st AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURE_DOUBLES)}
        FROM comp WHERE date <= (SELECT split_date FROM bounds))
-SELECT ticker, date, {", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS scaled_{c}" for c in FEATURE_DOUBLES)}
+SELECT ticker, date, {", ".join(f"coalesce(cast(round(try_cast(cast((({c} - m_{c}) / s_{c}) AS varchar) AS decimal(38,18)), 6) AS double), round(({c} - m_{c}) / s_{c}, 6)) AS scaled_{c}" for c in FEATURE_DOUBLES)}
 FROM comp, st"""
 
 # --- daily run status ----------------------------------------------------------------
