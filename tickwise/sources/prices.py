@@ -118,6 +118,12 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet",
         raise
 
 
+def register_view(df: DataFrame, name: str) -> str:
+    """Expose a frame to SQL under ``name`` (session scoped)."""
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def ticker_sql(spark: SparkSession, prices: DataFrame, ticker: str) -> DataFrame:
     """Parameterised SQL scan with a ticker predicate."""
     return spark.sql("SELECT * FROM {prices} WHERE ticker = :ticker",
