@@ -82,7 +82,7 @@ def run_daily(spark: SparkSession, landing_path: str, prices_path: str, features
         batch = batch.join(requested.select("ticker").distinct(), "ticker", "left_semi")
     else:
         requested = batch.select("ticker").distinct()
-    appended = SK.append_new(spark, batch, prices_path)
+    appended = SK.append_new(spark, batch, prices_path, partition_values=[run_date])
 
     bucket = SK.ticker_bucket(F.col("ticker"), n_buckets)
     # At most n_buckets rows: safe to broadcast.

@@ -453,3 +453,8 @@ SELECT count(*) FILTER (WHERE status = 'processed') AS processed,
        count(*) FILTER (WHERE status = 'failed') AS failed,
        cast(coalesce(sum(feature_rows), 0) AS bigint) AS total_feature_rows
 FROM status"""
+
+# --- sinks ---------------------------------------------------------------------------
+
+SQL["k_append_twice"] = with_(PRICES) + f"SELECT {PRICES_COLS} FROM prices"
+SQL["k_features_buckets"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + f"SELECT {FEATURE_SELECT} FROM feat"

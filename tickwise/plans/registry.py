@@ -491,3 +491,38 @@ def f_run_status(spark, sf_dir):
 @register("f_run_summary")
 def f_run_summary(spark, sf_dir):
     return DR.run_summary(_status(spark, sf_dir))
+
+
+# --- sinks (K1-K5) ------------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from tickwise.sources import sinks as SK  # noqa: E402
+
+
+def _fresh_dir(spark, name):
+    """A new folder under the session's checkpoint folder for each call."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sinks/{name}-{uuid.uuid4().hex}"
+
+
+@register("k_append_twice")
+def k_append_twice(spark, sf_dir):
+    """Append the price table twice (the second append writes nothing) and
+    read it back: equals the price table."""
+    path = _fresh_dir(spark, "prices")
+    p = FX.prices(spark, sf_dir)
+    SK.append_new(spark, p, path)
+    SK.append_new(spark, p, path)
+    return spark.read.parquet(path).select(*p.columns)
+
+
+@register("k_features_buckets")
+def k_features_buckets(spark, sf_dir):
+    """Write close-to-close features as ticker-bucket partitions, write again
+    (dynamic overwrite of the same buckets) and read back."""
+    path = _fresh_dir(spark, "features")
+    f = features_c2c(spark, sf_dir)
+    SK.overwrite_buckets(f, path)
+    SK.overwrite_buckets(f, path)
+    back = spark.read.parquet(path).select(*f.columns)
+    return round6(back, FEATURE_DOUBLES)

@@ -2,9 +2,9 @@
 
 * ``append_new``       idempotent append: rows whose key is already stored
                        are not written again, so re-running a load adds
-                       nothing. The price table is partitioned by ingest date;
-                       the anti-join against stored keys can prune to the
-                       ingest dates being loaded (dynamic partition pruning).
+                       nothing. The price table is partitioned by ingest date
+                       and the anti-join reads only the stored partitions of
+                       the ingest dates being loaded, never the history.
 * ``overwrite_buckets`` dynamic partition overwrite of ticker buckets: a
                        refresh rewrites only the buckets it recomputed.
 * ``write_counted``    any write, with the row count taken by ``observe``
@@ -57,16 +57,30 @@ def write_counted(df: DataFrame, writer_fn, name: str = "rows_written") -> int:
 
 
 def append_new(spark: SparkSession, df: DataFrame, path: str, key: list[str] | None = None,
-               partition_by: list[str] | None = None, fmt: str = "parquet") -> int:
+               partition_by: list[str] | None = None, fmt: str = "parquet",
+               partition_values: list | None = None) -> int:
     """Append rows of ``df`` whose key is not stored at ``path`` yet; returns
     the number of rows appended. Duplicate keys inside ``df`` are reduced to
-    one deterministic row first."""
+    one deterministic row first.
+
+    Only stored partitions that can hold a matching key are read: the
+    partition columns are part of the key, so ``partition_values`` (e.g. the
+    run's ingest date) prune the scan statically; without them the stored
+    side is semi-joined with the batch's distinct partition values (one row
+    per calendar day in the batch, broadcast)."""
     key = key or PRICE_KEY
     partition_by = ["ingestion_timestamp"] if partition_by is None else partition_by
+    if not set(partition_by) <= set(key):
+        raise ValueError("partition columns must be part of the key")
     new = dedupe_latest(df, keys=key)
     if path_exists(spark, path):
-        stored = spark.read.format(fmt).load(path).select(*key)
-        new = new.join(stored, key, "left_anti")
+        stored = spark.read.format(fmt).load(path)
+        if partition_values is not None and len(partition_by) == 1:
+            stored = stored.filter(F.col(partition_by[0]).isin(list(partition_values)))
+        elif partition_by:
+            days = F.broadcast(new.select(*partition_by).distinct())
+            stored = stored.join(days, partition_by, "left_semi")
+        new = new.join(stored.select(*key), key, "left_anti")
     new = new.hint("rebalance", *partition_by) if partition_by else new
     return write_counted(new, lambda d: d.write.format(fmt).mode("append")
                          .partitionBy(*partition_by).save(path))

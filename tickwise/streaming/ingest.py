@@ -66,7 +66,7 @@ def start_ingest(spark: SparkSession, landing_path: str, prices_path: str,
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = SP.normalize_source(batch, run_date)
-        SK.append_new(batch.sparkSession, rows, prices_path)
+        SK.append_new(batch.sparkSession, rows, prices_path, partition_values=[run_date])
         if features_path:
             refresh_features(batch.sparkSession, prices_path, features_path,
                              rows.select("ticker").distinct(), run_date, variant, n_buckets)
