@@ -68,3 +68,31 @@ def test_hot_duplicate_key_dedupes(spark):
     out = C.clean(p.unionByName(copies))
     assert out.count() == p.count()
     assert out.groupBy("ticker", "date").count().filter("count > 1").count() == 0
+
+
+def test_date_folds_are_consecutive_blocks(spark):
+    lab = R.labeled(spark, SF_SMALL)
+    f = LB.with_date_folds(lab, 3)
+    rows = f.groupBy("fold").agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
+                                 F.count(F.lit(1)).alias("n")).orderBy("fold").collect()
+    assert [r["fold"] for r in rows] == [0, 1, 2]
+    assert rows[0]["hi"] < rows[1]["lo"] and rows[1]["hi"] < rows[2]["lo"]
+    assert sum(r["n"] for r in rows) == lab.count()
+
+
+def test_asof_hot_request_key(spark):
+    # one (ticker, date) request repeated so it holds a third of all requests
+    feats = R.features_c2c(spark, SF_SMALL)
+    req = FX.asof_requests(spark, SF_SMALL)
+    n = req.count()
+    hot = req.filter(F.col("ticker") == "S1").orderBy("request_id").limit(1)
+    copies = hot.crossJoin(spark.range(n // 2).select(F.col("id").alias("_k"))) \
+                .select((F.lit(10 ** 12) + F.col("_k")).alias("request_id"),
+                        "ticker", "as_of_date")
+    allreq = req.unionByName(copies)
+    out = AS.asof_join(allreq, feats, ["close"])
+    assert out.count() == allreq.count()
+    one = AS.asof_join(hot, feats, ["close"]).collect()[0]
+    hot_out = out.join(copies.select("request_id"), "request_id", "left_semi")
+    assert hot_out.select("feature_date", "close").distinct().collect() == [
+        (one["feature_date"], one["close"])]

@@ -59,3 +59,14 @@ def with_split(df: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
 def split_data(df: DataFrame, fraction: float = TRAIN_FRACTION) -> tuple[DataFrame, DataFrame]:
     sd = split_date(df, fraction)
     return df.filter(F.col("date") <= sd), df.filter(F.col("date") > sd)
+
+
+def with_date_folds(df: DataFrame, k: int = 3, col: str = "fold") -> DataFrame:
+    """Assign each row to one of ``k`` consecutive calendar blocks of the
+    whole date span (a fold column for time-blocked cross-validation). The
+    span comes from a scalar subquery: no global window, no collect."""
+    b = df.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    lo = b.select("lo").scalar()
+    span = b.select((F.datediff("hi", "lo") + 1).alias("n")).scalar()
+    pos = F.datediff(F.col("date"), lo)
+    return df.withColumn(col, F.least(F.floor(pos * F.lit(k) / span), F.lit(k - 1)).cast("int"))
