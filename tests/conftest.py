@@ -12,8 +12,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from tickwise.session import local_session
-    s = local_session("*", 8, app="tickwise-tests")
+    warehouse = tempfile.mkdtemp(prefix="tickwise-warehouse-")
+    s = local_session("*", 8, app="tickwise-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

@@ -137,3 +137,17 @@ def test_stream_ingest_exactly_once(spark, scratch):
     assert stored.count() == rows.count()
     feats = table(spark, feats_path)
     assert feats.count() == rows.count() - rows.select("ticker").distinct().count()
+
+
+def test_save_as_table_typed_replace(spark):
+    from tickwise.operators import features as FE
+    from tickwise.schemas import FEATURE_SCHEMA
+    clean = C.clean(FX.prices(spark, SF_SMALL))
+    typed = FE.typed_features(FE.create_features(clean, "close_to_close", RUN))
+    n = SK.save_as_table(typed, "features_typed_probe")
+    assert n == typed.count()
+    n2 = SK.save_as_table(typed.limit(5), "features_typed_probe")  # replace, not append
+    back = SP.read_table(spark, "features_typed_probe")
+    assert n2 == 5 and back.count() == 5
+    assert [(f.name, f.dataType) for f in back.schema.fields] == \
+           [(f.name, f.dataType) for f in FEATURE_SCHEMA.fields]
