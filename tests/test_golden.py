@@ -122,6 +122,7 @@ def test_requested_ticker_without_rows(spark):
     st = {r["ticker"]: r for r in SP.source_status(req, df).collect()}
     assert st["AAA"]["status"] == "ok" and st["AAA"]["row_count"] == 3
     assert st["MISSING"]["status"] == "failed" and st["MISSING"]["row_count"] == 0
+    assert st["AAA"]["total_rows"] == st["MISSING"]["total_rows"] == 3
     run = {r["ticker"]: r for r in DR.run_status(df, req, "intraday", RUN).collect()}
     assert run["AAA"]["status"] == "processed" and run["AAA"]["feature_rows"] == 3
     assert run["MISSING"]["status"] == "failed" and run["MISSING"]["reason"] == "no_data"

@@ -168,11 +168,14 @@ def pct(n: str, total: str) -> str:
 
 SQL["p_source_range"] = with_(PRICES) + (
     "SELECT * FROM prices WHERE date >= DATE '1997-01-01' AND date < DATE '1998-01-01'")
-SQL["p_source_status"] = with_(PRICES, REQUESTS) + """
+SQL["p_source_status"] = with_(PRICES, REQUESTS) + """, st AS (
 SELECT t.ticker, CASE WHEN c.n > 0 THEN 'ok' ELSE 'failed' END AS status,
        cast(coalesce(c.n, 0) AS bigint) AS row_count
 FROM (SELECT DISTINCT ticker FROM requests) t
-LEFT JOIN (SELECT ticker, count(*) AS n FROM prices GROUP BY ticker) c ON t.ticker = c.ticker"""
+LEFT JOIN (SELECT ticker, count(*) AS n FROM prices GROUP BY ticker) c ON t.ticker = c.ticker)
+SELECT ticker, status, row_count,
+       (SELECT cast(coalesce(sum(row_count), 0) AS bigint) FROM st) AS total_rows
+FROM st"""
 SQL["p_rename"] = with_(PRICES) + f"SELECT {PRICES_COLS} FROM prices"
 SQL["p_adj_close"] = with_(PRICES, PRICES_DIRTY) + """
 SELECT ticker, date, open, high, low, close, coalesce(adj_close, close) AS adj_close, volume,

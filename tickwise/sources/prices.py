@@ -78,14 +78,16 @@ def scan_landing(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def source_status(requested: DataFrame, rows: DataFrame) -> DataFrame:
-    """Per requested ticker: ok/failed and its row count, plus the total over
-    all tickers (window over the small per-ticker result)."""
+    """Per requested ticker: ok/failed and its row count, plus total_rows,
+    the rows of all requested tickers together (a scalar subquery over the
+    per-ticker result, not a window that would gather it in one task)."""
     counts = rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("row_count"))
     out = (requested.select("ticker").distinct().join(counts, "ticker", "left")
                     .select("ticker",
                             F.when(F.col("row_count") > 0, "ok").otherwise("failed").alias("status"),
                             F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint").alias("row_count")))
-    return out
+    total = out.agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint")).scalar()
+    return out.withColumn("total_rows", total)
 
 
 def require_any(status: DataFrame) -> None:
