@@ -151,3 +151,12 @@ def test_save_as_table_typed_replace(spark):
     assert n2 == 5 and back.count() == 5
     assert [(f.name, f.dataType) for f in back.schema.fields] == \
            [(f.name, f.dataType) for f in FEATURE_SCHEMA.fields]
+
+
+def test_run_daily_all_missing_raises(spark, scratch):
+    import pytest
+    landing = os.path.join(scratch, "landing")
+    landing_rows(spark).write.parquet(landing)
+    with pytest.raises(SP.MissingTableError):
+        DR.run_daily(spark, landing, os.path.join(scratch, "p"), os.path.join(scratch, "f"), RUN,
+                     ["NOPE1", "NOPE2"], start=dt.date(1990, 1, 1), end=RUN, n_buckets=4)

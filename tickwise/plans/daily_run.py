@@ -82,6 +82,8 @@ def run_daily(spark: SparkSession, landing_path: str, prices_path: str, features
         batch = batch.join(requested.select("ticker").distinct(), "ticker", "left_semi")
     else:
         requested = batch.select("ticker").distinct()
+    if batch.isEmpty():  # stops at the first row found
+        raise SP.MissingTableError("no source rows for any requested ticker")
     appended = SK.append_new(spark, batch, prices_path, partition_values=[run_date])
 
     bucket = SK.ticker_bucket(F.col("ticker"), n_buckets)
