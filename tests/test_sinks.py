@@ -160,3 +160,14 @@ def test_run_daily_all_missing_raises(spark, scratch):
     with pytest.raises(SP.MissingTableError):
         DR.run_daily(spark, landing, os.path.join(scratch, "p"), os.path.join(scratch, "f"), RUN,
                      ["NOPE1", "NOPE2"], start=dt.date(1990, 1, 1), end=RUN, n_buckets=4)
+
+
+def test_scan_landing_json_matches_parquet(spark, scratch):
+    rows = landing_rows(spark)
+    rows.write.json(os.path.join(scratch, "json"))
+    rows.write.parquet(os.path.join(scratch, "pq"))
+    kw = dict(run_date=dt.date(1999, 1, 1), start=dt.date(1996, 1, 1), tickers=["S1", "S7"])
+    a = SP.scan_landing(spark, os.path.join(scratch, "json"), "json", **kw)
+    b = SP.scan_landing(spark, os.path.join(scratch, "pq"), "parquet", **kw)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
