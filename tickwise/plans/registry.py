@@ -9,14 +9,24 @@ are rounded to 6 places for the comparison with the DuckDB text in
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.operators import asof as AS
 from tickwise.operators import clean as C
 from tickwise.operators import features as FE
+from tickwise.operators import labels as LB
+from tickwise.operators import profile as PR
+from tickwise.operators import quality as QA
+from tickwise.plans import daily_run as DR
+from tickwise.plans import model as ML
+from tickwise.session import ensure_checkpoint_dir
 from tickwise.sources import fixtures as FX
+from tickwise.sources import prices as SP
+from tickwise.sources import sinks as SK
 
 RUN_DATE = dt.date(2002, 1, 1)  # fixed feature_timestamp for reproducible output
 
@@ -59,11 +69,6 @@ def f_features_intraday(spark, sf_dir):
 
 # --- shared derived frames ---------------------------------------------------
 
-from tickwise.operators import asof as AS  # noqa: E402
-from tickwise.operators import labels as LB  # noqa: E402
-from tickwise.operators import profile as PR  # noqa: E402
-from tickwise.operators import quality as QA  # noqa: E402
-from tickwise.sources import prices as SP  # noqa: E402
 
 FEATURE_VALUE_COLUMNS = ["close"] + FEATURE_DOUBLES
 
@@ -392,10 +397,6 @@ def f_asof_join(spark, sf_dir):
 
 # --- ML (M1-M13) ----------------------------------------------------------------------
 
-from tickwise.plans import daily_run as DR  # noqa: E402
-from tickwise.plans import model as ML  # noqa: E402
-from tickwise.session import ensure_checkpoint_dir  # noqa: E402
-
 
 @register("m_assembled_count")
 def m_assembled_count(spark, sf_dir):
@@ -495,10 +496,6 @@ def f_run_summary(spark, sf_dir):
 
 # --- sinks (K1-K5) ------------------------------------------------------------------------
 
-import uuid  # noqa: E402
-
-from tickwise.sources import sinks as SK  # noqa: E402
-
 
 def _fresh_dir(spark, name):
     """A new folder under the session's checkpoint folder for each call."""
