@@ -101,23 +101,25 @@ def prices_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         "_pick", dirty_pick(F.col("ticker"), F.col("date")))
     day_even = F.datediff(F.col("date"), F.lit(DIRTY_EPOCH)) % 2 == 0
     p = F.col("_pick")
-    dirty = base.select(
-        "ticker", "date",
+    edited = F.struct(
         F.when(p == 2, -F.col("open")).when(p == 3, F.lit(0.0))
          .otherwise(F.col("open")).alias("open"),
-        "high", "low",
         F.when((p == 5) & day_even, F.lit(float("nan")))
          .otherwise(F.col("close")).alias("close"),
         F.when(p == 4, F.lit(None).cast("double"))
          .otherwise(F.col("adj_close")).alias("adj_close"),
         F.when(p == 1, F.lit(None).cast("bigint"))
          .otherwise(F.col("volume")).alias("volume"),
-        "ingestion_timestamp")
-    copies = base.filter(p == 0).select(
-        "ticker", "date", "open", "high", "low",
-        (F.col("close") + 1).alias("close"), "adj_close", "volume",
-        F.lit(DIRTY_COPY_INGEST_DATE).alias("ingestion_timestamp"))
-    return dirty.unionByName(copies)
+        F.col("ingestion_timestamp"))
+    newer = F.struct(
+        F.col("open"), (F.col("close") + 1).alias("close"), F.col("adj_close"),
+        F.col("volume"), F.lit(DIRTY_COPY_INGEST_DATE).alias("ingestion_timestamp"))
+    # One pass over the bars: picked rows also emit their newer copy, so the
+    # output keeps the bars' (ticker, date) partitioning for the dedupe.
+    versions = F.when(p == 0, F.array(edited, newer)).otherwise(F.array(edited))
+    return (base.select("ticker", "date", "high", "low", F.explode(versions).alias("_v"))
+                .select("ticker", "date", "_v.open", "high", "low", "_v.close", "_v.adj_close",
+                        "_v.volume", "_v.ingestion_timestamp"))
 
 
 def asof_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
