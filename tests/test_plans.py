@@ -48,3 +48,17 @@ def test_no_python_udf_or_cross_join(spark, key):
 def test_date_filter_reaches_scan(spark):
     p = QUERIES["p_source_range"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in p and "LessThan(l_shipdate" in p
+
+
+def test_landing_scan_pushes_date_and_ticker(spark, scratch):
+    import datetime as dt
+    import os
+    from test_sinks import landing_rows
+    from tickwise.sources import prices as SP
+    path = os.path.join(scratch, "pq")
+    landing_rows(spark).write.parquet(path)
+    df = SP.scan_landing(spark, path, run_date=dt.date(1998, 1, 1), tickers=["S1", "S2"])
+    p = df._jdf.queryExecution().executedPlan().toString()
+    pushed = p[p.index("PushedFilters"):]
+    assert "GreaterThanOrEqual(Date" in pushed and "LessThan(Date" in pushed
+    assert "In(ticker" in pushed
