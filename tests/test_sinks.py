@@ -171,3 +171,19 @@ def test_scan_landing_json_matches_parquet(spark, scratch):
     b = SP.scan_landing(spark, os.path.join(scratch, "pq"), "parquet", **kw)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
+
+
+def test_read_features_prunes_buckets(spark, scratch):
+    path = os.path.join(scratch, "features")
+    from tickwise.plans import registry as R
+    f = R.features_c2c(spark, SF_SMALL)
+    SK.overwrite_buckets(f, path, n_buckets=16)
+    want = snapshot(f.filter(F.col("ticker").isin("S1", "S2")))
+    by_list = SK.read_features(spark, path, ["S2", "S1", "S1"], n_buckets=16)
+    assert snapshot(by_list.select(*f.columns)) == want
+    plan = by_list._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [ticker_bucket" in plan
+    req = spark.createDataFrame([("S1",), ("S2",), ("NOPE",)], "ticker string")
+    by_frame = SK.read_features(spark, path, req, n_buckets=16)
+    assert snapshot(by_frame.select(*f.columns)) == want
+    assert SK.read_features(spark, path).count() == f.count()

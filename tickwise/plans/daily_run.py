@@ -94,9 +94,8 @@ def run_daily(spark: SparkSession, landing_path: str, prices_path: str, features
     feats = FE.create_features(C.clean(in_buckets), variant, run_date)
     written = SK.overwrite_buckets(feats, features_path, n_buckets)
 
-    table = spark.read.parquet(features_path).drop("ticker_bucket")
     req = requested.select("ticker").distinct()
-    table_req = table.join(req, "ticker", "left_semi")
+    table_req = SK.read_features(spark, features_path, req, n_buckets)
     stored_req = stored.join(req, "ticker", "left_semi")
     status = run_status(stored_req, requested, variant, run_date, features=table_req)
     report = QA.validation_report(table_req, requested)

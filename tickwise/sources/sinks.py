@@ -110,3 +110,30 @@ def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = N
 def save_as_table(df: DataFrame, name: str, fmt: str = "parquet") -> int:
     """Create or replace a catalog table from a typed frame (no temp view)."""
     return write_counted(df, lambda d: d.write.format(fmt).mode("overwrite").saveAsTable(name))
+
+
+def read_features(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None = None,
+                  n_buckets: int = DEFAULT_TICKER_BUCKETS, fmt: str = "parquet") -> DataFrame:
+    """Read a ticker-bucket feature table, optionally for some tickers only.
+
+    For a ticker list (already on the driver) the bucket ids are computed by
+    a tiny query -- at most ``n_buckets`` integers come back -- and used as a
+    static partition filter, so only those bucket folders are listed and
+    read; the ticker predicate then skips row groups inside them (files are
+    sorted by ticker). For a ticker frame, the table is semi-joined with the
+    frame's bucket ids (bounded, broadcast), which lets Spark prune
+    dynamically where it judges it worthwhile, and then with the tickers."""
+    table = spark.read.format(fmt).load(path)
+    if tickers is None:
+        return table.drop("ticker_bucket")
+    if isinstance(tickers, DataFrame):
+        req = tickers.select("ticker").distinct()
+        buckets = F.broadcast(req.select(ticker_bucket(F.col("ticker"), n_buckets)
+                                         .alias("ticker_bucket")).distinct())
+        return (table.join(buckets, "ticker_bucket", "left_semi")
+                     .join(req, "ticker", "left_semi").drop("ticker_bucket"))
+    names = sorted(set(tickers))
+    ids = [r[0] for r in spark.createDataFrame([(t,) for t in names], "ticker string")
+           .select(ticker_bucket(F.col("ticker"), n_buckets)).distinct().collect()]
+    return (table.filter(F.col("ticker_bucket").isin(ids) & F.col("ticker").isin(names))
+                 .drop("ticker_bucket"))
