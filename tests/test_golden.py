@@ -259,3 +259,34 @@ def test_verify_scopes(spark):
     assert len(filt) == 5 and all(r["prev_close"] is not None for r in filt)
     ma = QA.verify_ma7(f).collect()
     assert all(r["calculated_ma7"] == round(r["moving_avg_7"], 2) for r in ma)
+
+
+def test_completeness_band_boundaries(spark):
+    def feats_with_nulls(n_rows, n_null):
+        rows = [("CB", d, 1.0, 1.0, 1.0, 1.0, 1) for d in days("2024-01-01", n_rows)]
+        df = price_rows(spark, rows)
+        cut = D("2024-01-01") + dt.timedelta(days=n_null)
+        return df.withColumn("momentum", F.when(F.col("date") < cut, None).otherwise(F.lit(1.0))) \
+                 .withColumn("daily_return", F.lit(0.0)).withColumn("moving_avg_7", F.lit(1.0)) \
+                 .withColumn("moving_avg_30", F.lit(1.0)).withColumn("volatility_7", F.lit(0.0))
+    for n_rows, n_null, band in ((20, 1, "good"), (20, 4, "fair"), (20, 5, "poor")):
+        r = {x["feature"]: x for x in QA.completeness(feats_with_nulls(n_rows, n_null)).collect()}
+        assert r["momentum"]["band"] == band, (n_rows, n_null, r["momentum"])
+    # 95.0 and 80.0 exactly are inclusive
+    r = {x["feature"]: x for x in QA.completeness(feats_with_nulls(20, 1)).collect()}
+    assert r["momentum"]["completeness_pct"] == 95.0
+
+
+def test_model_band_boundaries(spark):
+    from tickwise.plans import model as ML
+    def bands(train, test):
+        m = spark.createDataFrame([("train", "auc", train), ("test", "auc", test)],
+                                  "split string, metric string, value double")
+        r = ML.quality_bands(m).collect()[0]
+        return r["auc_band"], r["gap_band"]
+    assert bands(0.8, 0.8) == ("excellent", "low")
+    # 0.75 - 0.7 is 0.050000000000000044 in doubles (as in plain Python): above 0.05
+    assert bands(0.75, 0.7) == ("good", "moderate")
+    assert bands(0.625, 0.6) == ("moderate", "low")
+    assert bands(0.7, 0.6) == ("moderate", "moderate")
+    assert bands(0.9, 0.59) == ("poor", "high")
