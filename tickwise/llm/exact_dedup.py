@@ -73,9 +73,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                         best_of(keep, "keep_id").alias("keep_id"))
                .withColumn("group_size", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(
                    F.raise_error(F.lit("two texts agree in both content hashes")).cast("long"))))
+    # one key column: both sides are dealt out anew for the join, so a hot class can be split
+    key = F.concat("h", F.col("sha").cast("binary"))
+    classes = classes.select(key.alias("key"), "group_size", "keep_id")
     rows = (_hashed(docs, id_col, text_col, normalise, content_hash, False)
-            .groupBy("id", "h", "sha").agg(F.count(F.lit(1)).alias("copies")))
-    out = (rows.join(classes, ["h", "sha"])
+            .groupBy("id", "h", "sha").agg(F.count(F.lit(1)).alias("copies")).select("id", "sha", "copies", key.alias("key")))
+    out = (rows.join(classes, "key")
            .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))
     return out.select(F.col("id").alias(id_col), "keep_id", "group_size",
                       (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
