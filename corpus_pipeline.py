@@ -1,29 +1,50 @@
-"""Corpus cleaning pipeline: stages from documents to packed sequences."""
+"""Corpus cleaning: documents to packed token sequences in five stages.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it
+kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwise.llm import decontaminate, exact_dedup, packing, registry
+from tickwise.llm import decontaminate, exact_dedup, packing, registry, simhash, toxicity
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the class-conditional models find toxic go."""
+    return toxicity.reject_toxic(docs, toxicity.train(docs, registry.table(spark, sf_dir, "labels")))
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the row with the largest id stays."""
     return exact_dedup.drop_exact_copies(docs, keep="largest")
 
 
-def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints the document with the smallest id stays."""
+    return simhash.drop_near_copies(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark passages make up a twentieth or more go."""
     return decontaminate.remove_contaminated(docs, registry.table(spark, sf_dir, "benchmark"))
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as pieces of sequences of at most 1024 tokens."""
     return packing.pack(docs, registry.TOKENIZER_PATH, registry.RANKS_PATH)
 
 
-STAGES = [("exact_dedup", exact_copies), ("decontaminate", benchmark_passages), ("packing", packed)]
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("simhash_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
 
+# Models, fingerprints and tokens have no SQL form.
 ORACLE_SQL = None
 
 

@@ -49,3 +49,30 @@ r AS (SELECT *, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PAR
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size,
   doc_id IS NOT DISTINCT FROM keep_id AND copy = 1 AS kept, sha256(t) AS text_sha256
 FROM r"""
+
+TURN = """replace(replace(replace(replace({}, chr(92), chr(92) || chr(92)), '</turn>', '<' || chr(92) || '/turn>'),
+  '<|', '<' || chr(92) || '|'), '###', chr(92) || '###')"""
+
+SQL["op1_chat_format"] = f"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, k, ['user', 'assistant'][k + 1], chr(92) || '### Assistant: </turn> ok' FROM range(2) t(k)),
+f AS (SELECT *, '### ' || {TURN.format("replace(replace(role, '%', '%25'), ':', '%3A')")} || ': '
+  || {TURN.format('text')} || '</turn>' || chr(10) AS block FROM m)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, block)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, block) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(block)) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""
+
+SQL["op6_url_filter"] = rf"""
+WITH p AS (
+  SELECT row_number() OVER () AS r, page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{UPPER}', '{LOWER}') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(h, s, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+  ('org', '/fr/', 'allow')),
+best AS (SELECT r, max_by(h || s, length(h || s)) AS rule, max_by(action, length(h || s)) AS action
+  FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s) GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN best USING (r)"""
