@@ -8,20 +8,23 @@ Only what is still shared goes on to the next length, until the threshold.
 
 Ranks are 64-bit names computed where the text is (a name of ``2h`` bytes is a mix of two
 names of ``h``), so a round needs no global numbering; every decision rests on a pair
-of names, 128 bits. The rounds over the cluster are
+of names, 96 bits. At the threshold of 100 the rounds over the cluster go through the lengths 32, 66, 83 and 100:
 
-1. Sampled positions. Of the ``k``-byte names in a window of the threshold's length the smallest is
+1. Sampled positions. Of the 32-byte names in a window of 100 bytes the smallest is
    the window's anchor, the same in every copy of the window; a run of windows with
-   one anchor is an interval, a few dozen bytes long. Positions sorted by (anchor name, name of all the
-   interval's bytes): an interval equal to an earlier one is repeated as a whole; one
-   whose anchor occurs nowhere else is unique; the others are asked for in
-2. All positions of those intervals, sorted by the pair of names at ``p`` and ``p + T - T/2``,
-   which is the whole threshold's length: all but the first of each class are repeated.
+   one anchor is an interval, a few dozen windows long. Sorted by (anchor name, name of all the
+   interval's bytes), an interval equal to an earlier one is repeated as a whole; one
+   whose anchor occurs nowhere else is unique; the others go on.
+2. Halves of those intervals. All windows of a half have 66 bytes around the anchor
+   in common; sorted by (name of these, name of all the half's bytes) as before.
+3. Quarters of the halves that are left; all windows of a quarter share 83 bytes.
+4. Every position of the quarters that are left, sorted by the pair of names at ``p`` and
+   ``p + 50``, which is the whole window: all but the first of each class are repeated.
 
 Every map task settles repeats inside its own batch and sends on one position of a
 class, and of an anchor with several classes only a mark goes to the anchor's partition (its
 classes are dealt out by their own names). So a passage that a third of all documents hold costs a
-reducer a row or two per map batch. Texts are shuffled once, by id, and both later passes read that shuffle.
+reducer a row or two per map batch. Texts are shuffled once, by id, and all later passes read that shuffle.
 """
 
 from __future__ import annotations
@@ -38,9 +41,10 @@ from pyspark.sql import functions as F
 from tickwise.llm.textblocks import BYTE_CODES, column, mix, text_bytes
 
 THRESHOLD = 100
-SEGMENT = 1 << 20   # bytes worked on at once
+SEGMENT = 1 << 16   # bytes worked on at once: the arrays stay in the processor's cache
 REPEATED, ASKED = 0, 1
-PLAIN, SHARED, MARK = 0, 1, 2   # an interval; one whose anchor has others in its batch; a mark for such an anchor
+# an interval; one whose anchor has others in its batch; a mark for such an anchor; a settled repeat
+PLAIN, SHARED, MARK, DONE = 0, 1, 2, 3
 _POS = np.uint64((1 << 24) - 1)
 _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA24BAED4963EE407)
 
@@ -82,6 +86,12 @@ class Lengths:
         self.t = threshold
         self.half = threshold - threshold // 2
         self.k = 1 << ((threshold // 3).bit_length() - 1)
+        far = threshold - self.k  # a window starts at most so many bytes before its anchor
+        # rounds 1 to 3: distances of window starts from the anchor, and bytes that all these windows share
+        self.cells = {}
+        for step, parts in ((1, 1), (2, 2), (3, 4)):
+            size = -(-(far + 1) // parts)
+            self.cells[step] = [(a, min(a + size - 1, far), threshold - size + 1) for a in range(0, far + 1, size)]
 
 
 def _segments(first: np.ndarray, last: np.ndarray, row: np.ndarray, t: int) -> tuple[np.ndarray, ...]:
@@ -102,7 +112,7 @@ def _runs(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int]]:
     total = np.cumsum(b - a)
     i = 0
     while i < len(a):
-        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + 2 * SEGMENT, "right")))
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + SEGMENT, "right")))
         yield i, j
         i = j
 
@@ -118,22 +128,34 @@ def _block(values: np.ndarray, a: np.ndarray, b: np.ndarray, t: int):
     return data, seg, place, inside
 
 
-def _intervals(values: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: Lengths):
-    """Intervals of windows with one anchor: segment, first and last window in it, anchor name, name of all bytes."""
+def _intervals(values: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: Lengths, step: int):
+    """Intervals of windows with one anchor, cut into the cells of a round: segment, first and last
+    window in it, name of the bytes that the cell's windows share, name of all bytes."""
     t, half, k = lengths.t, lengths.half, lengths.k
     data, seg, place, inside = _block(values, a, b, t)
-    name_k, name_half = _names(data, [k, half])
-    at = np.arange(len(name_k), dtype=np.uint64)
-    anchor = (_sliding_min((name_k & ~_POS) | at, t - k + 1) & _POS).astype(np.int64)
-    new = inside.copy()
-    new[1:] &= (anchor[1:] != anchor[:-1]) | ~inside[:-1]
-    lo = np.flatnonzero(new)
-    stop = np.flatnonzero(inside & np.append((anchor[1:] != anchor[:-1]) | ~inside[1:], True))
-    hi, p = stop, anchor[lo]
-    tail = hi + t - half
-    whole = _join(_join(name_half[lo], name_half[lo + t - half]), _join(name_half[np.minimum(lo + t, tail)], name_half[tail]))
-    shape = mix((p - lo).astype(np.uint64) * np.uint64(1 << 20) + (hi - lo).astype(np.uint64))
-    return seg[lo], place[lo], place[hi], name_k[p], _join(whole, shape)
+    wanted = sorted({k, half, *[c for _, _, c in lengths.cells[step]]})
+    names = dict(zip(wanted, _names(data, wanted)))
+    key = names[k] & ~_POS
+    key |= np.arange(len(key), dtype=np.uint64)
+    anchor = (_sliding_min(key, t - k + 1) & _POS).astype(np.int64)
+    del key
+    change = anchor[1:] != anchor[:-1]
+    new, last = inside.copy(), inside.copy()
+    new[1:] &= change | ~inside[:-1]
+    last[:-1] &= change | ~inside[1:]
+    lo, hi = np.flatnonzero(new), np.flatnonzero(last)
+    p = anchor[lo]
+    found = []
+    for i, (near, far, shared) in enumerate(lengths.cells[step]):
+        first, end = np.maximum(lo, p - far), np.minimum(hi, p - near)
+        has = first <= end
+        first, end, at = first[has], end[has], p[has]
+        tail = end + t - half
+        whole = _join(_join(names[half][first], names[half][first + t - half]),
+                      _join(names[half][np.minimum(first + t, tail)], names[half][tail]))
+        shape = mix((at - first).astype(np.uint64) * np.uint64(1 << 20) + (end - first).astype(np.uint64))
+        found.append((seg[first], place[first], place[end], names[shared][at - near] + np.uint64(i), _join(whole, shape)))
+    return tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _order(ids: pa.Array, text_hash: np.ndarray) -> np.ndarray:
@@ -174,43 +196,79 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x, np.uint64).view(np.int64))
 
 
-SPAN = ["route", "x", "y", "flag", "id", "text_hash", "lo", "hi"]
+# A position of a round, packed: the name it is grouped by; the second name (32 bits), length and
+# flag; its id; the text's hash and the place. Rows of one class agree in ``x`` and ``y`` but for the flag.
+SPAN = ["x", "y", "id", "at"]
+_FLAG, _LENGTH = np.uint64(3), np.uint64((1 << 30) - 1)
 
 
-def _rows(batch: pa.RecordBatch, route, x, y, flag, row, lo, hi) -> pa.RecordBatch:
-    pick = pa.array(row, pa.int64())
+def _rows(batch: pa.RecordBatch, x, y, flag, row, lo, hi) -> pa.RecordBatch:
+    low32 = np.uint64(0xFFFFFFFF)
+    y = (y & ~low32) | ((hi - lo).astype(np.uint64) << np.uint64(2)) | np.uint64(flag)
+    text_hash = column(batch, "text_hash").to_numpy().astype(np.int64).astype(np.uint64)[row]
     return pa.RecordBatch.from_arrays([
-        _signed(route), _signed(x), _signed(y), pa.array(np.asarray(flag, np.int32)), column(batch, "id").take(pick),
-        column(batch, "text_hash").take(pick), pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], SPAN)
+        _signed(x), _signed(y), column(batch, "id").take(pa.array(row, pa.int64())),
+        _signed((text_hash << np.uint64(32)) | lo.astype(np.uint64))], SPAN)
+
+
+def _done(batch: pa.RecordBatch, row, lo, hi) -> pa.RecordBatch:
+    """Rows of spans that are known to be repeated, dealt out evenly."""
+    row, lo, hi = _merged(row, lo, hi)
+    while len(hi) and (hi - lo).max() > int(_LENGTH):  # longer than a row can say
+        cut = np.minimum(hi, lo + int(_LENGTH))
+        more = hi > cut
+        row, lo, hi = np.append(row, row[more]), np.append(lo, cut[more] + 1), np.append(cut, hi[more])
+    return _rows(batch, mix(_at(row, lo)), np.zeros(len(row), np.uint64), DONE, row, lo, hi)
+
+
+def _compare_intervals(b: pa.RecordBatch, values, offs, first, last, row, lengths: Lengths, step: int) -> Iterator[pa.RecordBatch]:
+    """Rows of rounds 1 to 3 for byte ranges [first, last) of a batch's rows; repeats inside the batch are settled."""
+    a, z, row = _segments(first, last, row, lengths.t)
+    found = []
+    for i, j in _runs(a, z):
+        seg, lo, hi, x, y = _intervals(values, a[i:j], z[i:j], lengths, step)
+        r = row[i:j][seg]
+        base = a[i:j][seg] - offs[r]
+        found.append((r, base + lo, base + hi, x, y))
+    if not found:
+        return
+    row, lo, hi, x, y = (np.concatenate(c) for c in zip(*found))
+    del found
+    order = _order(column(b, "id"), column(b, "text_hash").to_numpy())
+    first, repeated = _first_of_class(x, y, order[row], lo)
+    yield _done(b, row[repeated], lo[repeated], hi[repeated])
+    row, lo, hi, x, y = (c[first] for c in (row, lo, hi, x, y))
+    _, at, inv, count = np.unique(x, return_index=True, return_inverse=True, return_counts=True)
+    shared = count[inv] > 1
+    for flag, pick in ((PLAIN, ~shared), (SHARED, shared), (MARK, at[count > 1])):  # one mark an anchor
+        yield _rows(b, x[pick], y[pick], flag, row[pick], lo[pick], hi[pick])
 
 
 def _sample(lengths: Lengths):
-    """Batches of texts to rows of round 1; repeats inside a batch are settled."""
+    """Batches of texts to rows of round 1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             values, offs = text_bytes(column(b, "text"))
-            a, z, row = _segments(offs[:-1], offs[1:], np.arange(b.num_rows), lengths.t)
-            found = []
-            for i, j in _runs(a, z):
-                seg, lo, hi, x, y = _intervals(values, a[i:j], z[i:j], lengths)
-                r = row[i:j][seg]
-                base = a[i:j][seg] - offs[r]
-                found.append((r, base + lo, base + hi, x, y))
-            if not found:
-                continue
-            row, lo, hi, x, y = (np.concatenate(c) for c in zip(*found))
-            del found
-            order = _order(column(b, "id"), column(b, "text_hash").to_numpy())
-            first, repeated = _first_of_class(x, y, order[row], lo)
-            r, l, h = _merged(row[repeated], lo[repeated], hi[repeated])
-            none = np.zeros(len(r), np.uint64)
-            yield _rows(b, mix(_at(r, l)), none, none, np.full(len(r), -1), r, l, h)
-            row, lo, hi, x, y = (c[first] for c in (row, lo, hi, x, y))
-            _, at, inv, count = np.unique(x, return_index=True, return_inverse=True, return_counts=True)
-            shared = count[inv] > 1
-            yield _rows(b, np.where(shared, mix(x ^ mix(y)), x), x, y, np.where(shared, SHARED, PLAIN), row, lo, hi)
-            at = at[count > 1]  # one mark an anchor
-            yield _rows(b, x[at], x[at], y[at], np.full(len(at), MARK), row[at], lo[at], hi[at])
+            yield from _compare_intervals(b, values, offs, offs[:-1], offs[1:], np.arange(b.num_rows), lengths, 1)
+
+    return run
+
+
+def _asked(b: pa.RecordBatch, lengths: Lengths):
+    """Bytes of a batch's texts, and of the spans: rows, first and last windows of those repeated and those asked for."""
+    values, offs = text_bytes(column(b, "text"))
+    row, kind, lo, hi = _spans(b)
+    done, ask = kind == REPEATED, kind == ASKED
+    return values, offs, (row[done], lo[done], hi[done]), _merged(row[ask], lo[ask], hi[ask])
+
+
+def _parts(lengths: Lengths, step: int):
+    """Texts with their spans to rows of round 2 or 3."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values, offs, done, (r, lo, hi) = _asked(b, lengths)
+            yield _done(b, *done)
+            yield from _compare_intervals(b, values, offs, offs[r] + lo, offs[r] + hi + lengths.t, r, lengths, step)
 
     return run
 
@@ -229,31 +287,29 @@ def _settle(ask: bool):
     to the next Arrow batch if it may go on there.
     """
     def settled(t: pa.Table) -> pa.RecordBatch:
-        t = t.combine_chunks()
-        col = lambda c: t.column(c).to_numpy()
-        x, y, flag, lo, th = col("x"), col("y"), col("flag"), col("lo"), col("text_hash")
-        done = flag == -1
-        codes = pc.fill_null(pc.dictionary_encode(t.column("id").combine_chunks()).indices, -1).to_numpy(zero_copy_only=False)
-        live = ~done & (flag != MARK)
-        n = len(x)
-        kind = np.full(n, -1)
-        kind[done] = REPEATED
-        i = np.flatnonzero(live)
+        x, y, at = (t.column(c).to_numpy().view(np.uint64) for c in ("x", "y", "at"))
+        flag = (y & _FLAG).astype(np.int64)
+        codes = pc.fill_null(pc.dictionary_encode(_one(t.column("id"))).indices, -1).to_numpy(zero_copy_only=False)
+        kind = np.where(flag == DONE, REPEATED, -1)
+        i = np.flatnonzero((flag != DONE) & (flag != MARK))
         if len(i):
             new = np.append(True, (x[i][1:] != x[i][:-1]) | (y[i][1:] != y[i][:-1]))
             head = i[np.flatnonzero(new)[np.cumsum(new) - 1]]
-            other = (codes[i] != codes[head]) | (th[i] != th[head]) | (lo[i] != lo[head])
+            other = (codes[i] != codes[head]) | (at[i] != at[head])
             kind[i[~new & other]] = REPEATED
             if ask:
                 heads = i[new]
                 asked = flag[heads] == SHARED
-                names, inv, count = np.unique(x[heads], return_inverse=True, return_counts=True)
+                _, inv, count = np.unique(x[heads], return_inverse=True, return_counts=True)
                 asked |= (count[inv] > 1) | np.isin(x[heads], x[flag == MARK])
                 kind[heads[asked]] = ASKED
         keep = np.flatnonzero(kind >= 0)
-        t = t.take(pa.array(keep)).combine_chunks()
-        cols = [pa.array(kind[keep].astype(np.int32))] + [_one(t.column(c)) for c in KIND[1:]]
-        return pa.RecordBatch.from_arrays(cols, KIND)
+        lo = (at[keep] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        length = ((y[keep] >> np.uint64(2)) & _LENGTH).astype(np.int64)
+        return pa.RecordBatch.from_arrays([
+            pa.array(kind[keep].astype(np.int32)), _one(t.column("id").take(pa.array(keep))),
+            pa.array((at[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+            pa.array(lo.astype(np.int32)), pa.array((lo + length).astype(np.int32))], KIND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -286,22 +342,18 @@ def _spans(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     c = column(b, "spans")
     row = np.repeat(np.arange(b.num_rows), pc.fill_null(pc.list_value_length(c), 0).to_numpy().astype(np.int64))
     flat = c.flatten()
-    return (row, *(flat.field(k).to_numpy() for k in ("kind", "lo", "hi")))
+    kind, lo, hi = (flat.field(k).to_numpy().astype(np.int64) for k in ("kind", "lo", "hi"))
+    return row, kind, lo, hi
 
 
-def _double(lengths: Lengths):
-    """Texts with their spans to rows of round 2: the pairs of names of all positions asked for."""
+def _positions(lengths: Lengths):
+    """Texts with their spans to rows of round 4: the pairs of names of all positions asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, half = lengths.t, lengths.half
         for b in batches:
-            values, offs = text_bytes(column(b, "text"))
-            row, kind, lo, hi = _spans(b)
-            r, l, h = _merged(row[kind == REPEATED], lo[kind == REPEATED], hi[kind == REPEATED])
-            none = np.zeros(len(r), np.uint64)
-            yield _rows(b, mix(_at(r, l)), none, none, np.full(len(r), -1), r, l, h)
-            r, l, h = _merged(row[kind == ASKED], lo[kind == ASKED], hi[kind == ASKED])
-            a, z, row = _segments(offs[r] + l, offs[r] + h + t, r, t)
-            order = _order(column(b, "id"), column(b, "text_hash").to_numpy())
+            values, offs, done, (r, lo, hi) = _asked(b, lengths)
+            yield _done(b, *done)
+            a, z, row = _segments(offs[r] + lo, offs[r] + hi + t, r, t)
             found = []
             for i, j in _runs(a, z):
                 data, seg, place, inside = _block(values, a[i:j], z[i:j], t)
@@ -313,13 +365,13 @@ def _double(lengths: Lengths):
                 continue
             r, p, x, y = (np.concatenate(c) for c in zip(*found))
             del found
+            order = _order(column(b, "id"), column(b, "text_hash").to_numpy())
             first, repeated = _first_of_class(x, y, order[r], p)
-            dr, dl, dh = _merged(r[repeated], p[repeated], p[repeated])
-            none = np.zeros(len(dr), np.uint64)
-            yield _rows(b, mix(_at(dr, dl)), none, none, np.full(len(dr), -1), dr, dl, dh)
-            for i in range(0, int(first.sum()), 1 << 18):
-                f = np.flatnonzero(first)[i:i + (1 << 18)]
-                yield _rows(b, mix(x[f] ^ mix(y[f])), x[f], y[f], np.full(len(f), PLAIN), r[f], p[f], p[f])
+            yield _done(b, r[repeated], p[repeated], p[repeated])
+            first = np.flatnonzero(first)
+            for i in range(0, len(first), 1 << 18):  # dealt out by both names
+                f = first[i:i + (1 << 18)]
+                yield _rows(b, x[f], y[f], SHARED, r[f], p[f], p[f])
 
     return run
 
@@ -371,15 +423,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     lengths = Lengths(threshold)
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    d = d.withColumn("text_hash", F.xxhash64("text"))
+    d = d.withColumn("text_hash", F.hash("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = f"route bigint, x bigint, y bigint, flag int, id {kind}, text_hash bigint, lo bigint, hi bigint"
-    spans = f"kind int, id {kind}, text_hash bigint, lo bigint, hi bigint"
+    rows = f"x bigint, y bigint, id {kind}, at bigint"
+    spans = f"kind int, id {kind}, text_hash int, lo int, hi int"
 
     def ranked(df: DataFrame, ask: bool) -> DataFrame:
         """Positions dealt out by name, sorted by their pair of names, reranked."""
-        return (df.repartition("route").sortWithinPartitions("x", "y", "id", "text_hash", "lo")
-                .mapInArrow(_settle(ask), spans))
+        by_second = F.col("y").bitwiseAND(F.lit(3)) == SHARED
+        route = F.when(by_second, F.shiftright("y", 32)).otherwise(F.col("x"))
+        return df.repartition(route).sortWithinPartitions("x", "y", "id", "at").mapInArrow(_settle(ask), spans)
 
     def with_spans(df: DataFrame, how: str) -> DataFrame:
         own = df.groupBy("id", "text_hash").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans")).select(
@@ -387,9 +440,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return d.join(own, F.col("id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), how).select(
             "id", "text", "text_hash", "spans")
 
-    once = ranked(d.mapInArrow(_sample(lengths), rows), True)
-    twice = ranked(with_spans(once, "inner").mapInArrow(_double(lengths), rows), False)
-    out = with_spans(twice, "left").mapInArrow(
+    found = ranked(d.mapInArrow(_sample(lengths), rows), True)
+    for step in (2, 3):
+        found = ranked(with_spans(found, "inner").mapInArrow(_parts(lengths, step), rows), True)
+    found = ranked(with_spans(found, "inner").mapInArrow(_positions(lengths), rows), False)
+    out = with_spans(found, "left").mapInArrow(
         _remove(lengths, with_text),
         f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)
     return out.withColumnRenamed("id", id_col)
