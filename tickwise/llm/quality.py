@@ -87,6 +87,8 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
+    if not len(col):
+        return np.zeros((0, len(STATS)))
     return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
 
 
@@ -226,7 +228,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = shared.value
         for b in batches:
-            s = c.score(_matrix(column(b, "x"))) if c and b.num_rows else np.zeros(b.num_rows)
+            s = c.score(_matrix(column(b, "x"))) if c else np.zeros(b.num_rows)
             yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(s)], ["id", "score"])
 
     return stats.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, score double").withColumnRenamed("id", id_col)
