@@ -1,0 +1,335 @@
+"""Operators that judge each document by itself: decontamination, license scan, packing, toxicity, quality."""
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest_llm import CLASHING, SMALL, awkward_rows, prose, with_clashes
+from tokenizers import Tokenizer
+
+from tickwise.llm import decontaminate, license_scan, packing, quality, registry, toxicity
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+# --- decontamination ---
+
+def slow_matches(text, items, window=13):
+    w = words(text)
+    hit, found, longest = set(), set(), 0
+    for i, t in items:
+        b = words(t)
+        n = min(window, len(b))
+        ends = {}
+        for p in range(len(w) - n + 1 if n else 0):
+            for k in range(len(b) - n + 1):
+                if w[p:p + n] == b[k:k + n]:
+                    hit.update(range(p, p + n))
+                    found.add("null" if i is None else str(i))
+                    ends[p, k] = ends.get((p - 1, k - 1), n - 1) + 1
+        longest = max([longest, *ends.values()])
+    return len(w), len(hit), sorted(found), len(hit) > 0 and 20 * len(hit) >= len(w), longest
+
+
+def items_and_docs():
+    rng = random.Random(4)
+    items = [(i, prose(rng, rng.randint(5, 60))) for i in range(12)] + [
+        (100, None), (101, ""), (102, "One two, THREE"), (103, prose(rng, 13)), (104, prose(rng, 12)), (None, prose(rng, 20))]
+    items.append((105, items[3][1]))  # shared by two items
+    docs = awkward_rows()
+    for k in range(40):
+        parts = [prose(rng, rng.randint(0, 80))]
+        for _ in range(rng.randint(0, 3)):
+            w = (rng.choice(items)[1] or "").split()
+            a = rng.randint(0, max(0, len(w) - 1))
+            parts += [" ".join(w[a:a + rng.randint(8, 40)]).upper(), prose(rng, rng.randint(0, 30))]
+        docs.append((1000 + k, " ,".join(parts)))
+    docs += [(2000, "one two three " * 5), (2001, "one two"), (2002, items[0][1])]
+    return items, docs
+
+
+@pytest.mark.parametrize("part_bytes", [decontaminate.PART_BYTES, 300])
+def test_decontaminate_brute_force(spark, part_bytes):
+    """Also with the benchmark in several parts."""
+    items, docs = items_and_docs()
+    df = with_clashes(spark.createDataFrame(docs, "doc_id long, text string"))
+    bench = with_clashes(spark.createDataFrame(items, "item_id long, text string"))
+    found = decontaminate.decontaminate(df, bench, part_bytes=part_bytes)
+    got = sorted((str(r["row"]["doc_id"]), r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in found.collect())
+    want = [(str(i), *slow_matches(t, items)) for i, t in docs]
+    assert got == sorted(w[:5] for w in want)
+    if part_bytes > 300:
+        lengths = sorted((str(r["row"]["doc_id"]), r["longest_match"]) for r in found.collect())
+        assert lengths == sorted((w[0], w[5]) for w in want)
+
+
+def test_remove_contaminated_keeps_columns_and_clean_rows(spark):
+    items, docs = items_and_docs()
+    df = with_clashes(spark.createDataFrame(docs, "doc_id long, text string"))
+    out = decontaminate.remove_contaminated(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert out.columns == df.columns
+    got = out.collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(i) for i, t in docs if not slow_matches(t, items)[3])
+    assert all(r[c] == f"own {c}" for r in got for c in CLASHING)
+
+
+def test_decontaminate_empty(spark, awkward, nothing):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert rows(decontaminate.decontaminate(nothing, none)) == []
+    assert decontaminate.remove_contaminated(awkward, none).count() == awkward.count()
+
+
+# --- license scan ---
+
+def test_license_scan_base_brute_force(spark, documents):
+    given = awkward_rows() + [
+        (50, "Released under the MIT License. under the mit license"), (51, "Apache License, Version 2.0 cc BY-NC cc by nc"),
+        (52, "licensed under CC BY-NC 4.0"), (53, None)] + rows(documents.select("doc_id", "text"))
+    df = with_clashes(spark.createDataFrame(given, "doc_id long, text string"))
+    got = license_scan.digest(license_scan.scan_licenses(df)).collect()
+    want = []
+    for i, t in given:
+        w, places, labels = words(t), [], set()
+        for phrase, label in license_scan.BASE:
+            p = phrase.split()
+            at = [k for k in range(len(w)) if w[k:k + len(p)] == p]
+            places += at
+            labels |= {label} if at else set()
+        want.append((str(i), len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))))
+    assert sorted(map(str, ((str(r.doc_id), r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got))) == sorted(map(str, want))
+    for r in got:
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
+        assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Released under the terms of the MIT License", "mit"),
+    ("under terms of the MIT license", ""),
+    ("this work is licensed under the GNU General Public License, version 3.", "gpl"),
+    ("This whole package is licensed under the GNU general public license", "gpl"),
+    ("licensed under the gnu lesser general public license version 2.1", "lgpl"),
+    ("licensed under the bsd 3-clause license", "bsd"),
+    ("licensed under the bsd very long clause license", ""),
+    ("All rights reserved.", "proprietary"),
+    ("Licensed under a Creative Commons CC BY-SA 4.0", "cc-by-sa"),
+    ("Licensed under CC BY 4.0", "cc-by"),
+    ("Licensed under CC BY-NC 4.0", "cc-by-nc"),
+    ("", ""),
+])
+def test_templates(text, labels):
+    s = license_scan.Scanner(license_scan.BASE, license_scan.TEMPLATES)
+    w = [x.encode() for x in words(text)]
+    found = s.scan(w)
+    got = {x[0] for x in found["found"]} | found["base"]
+    assert got == set(filter(None, labels.split(",")))
+
+
+def test_automaton_equals_regular_expression():
+    """Nested optional and variable regions against the same template as a regular expression."""
+    markup = "aa <<optional>>bb <<optional>>cc<</optional>><</optional>> dd <<var 2>>x<</var>> <<optional>>bb<</optional>> ee"
+    a = license_scan.compile_template("t", markup)
+    e = re.compile(r"aa (?:bb (?:cc )?)?dd (?:\w+ ){1,2}(?:bb )?ee(?!\w)")
+    rng = random.Random(2)
+    hits = 0
+    for _ in range(4000):
+        w = ["aa", *rng.choices(["aa", "bb", "cc", "dd", "ee"], k=rng.randint(2, 8))]
+        end = a.longest([x.encode() for x in w], 0, {})
+        best = max((n for n in range(1, len(w) + 1) if e.fullmatch(" ".join(w[:n]))), default=-1)
+        assert end == best, w
+        hits += end > 0
+    assert hits > 20
+
+
+@pytest.mark.parametrize("markup", ["<<optional>>a", "a<</var>>", "<<optional>>a<</optional>>", "<<var>>x<</var>> a"])
+def test_bad_templates(markup):
+    with pytest.raises(ValueError):
+        license_scan.Scanner([], [("t", markup)])
+
+
+def test_license_scan_empty(nothing):
+    assert rows(license_scan.digest(license_scan.scan_licenses(nothing))) == []
+
+
+# --- packing ---
+
+def check_packed(given, packed, window=1024):
+    t = Tokenizer.from_file(public_tokenizers.path(registry.TOKENIZER))
+    left = defaultdict(int)
+    for i, text in given:
+        ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        left[i, ids.tobytes()] += 1
+    pieces = defaultdict(list)
+    seqs = defaultdict(list)
+    for r in packed:
+        pieces[r.doc_id].append(r)
+        seqs[r.sequence_id].append((r.offset, r.length))
+    assert set(pieces) == {i for i, _ in given}
+    for (i, ids), n in left.items():
+        n_ids = len(ids) // 4
+        own = sorted((r.start, r.length, r.ids_crc32) for r in pieces[i] if r.doc_tokens == n_ids)
+        if sum(1 for j, x in left if j == i) == 1:
+            assert sum(x[1] for x in own) == n * n_ids
+        if n == 1 and sum(1 for j, x in left if j == i and len(x) == len(ids)) == 1:
+            at = 0
+            for s, k, crc in own:
+                assert s == at and crc == zlib.crc32(ids[4 * s:4 * (s + k)])
+                at += k
+    padding = 0
+    for x in seqs.values():
+        at = 0
+        for o, n in sorted(x):
+            assert o == at and n > 0
+            at += n
+        assert at <= window
+        padding += 0 if at & (at - 1) == 0 else window - at
+    return padding
+
+
+def test_packing_awkward(awkward):
+    packed = packing.pack(with_clashes(awkward), registry.TOKENIZER_PATH, registry.RANKS_PATH).collect()
+    assert check_packed(awkward_rows(), packed) == 0
+
+
+def test_packing_documents(documents):
+    packed = packing.pack(documents.repartition(3), registry.TOKENIZER_PATH, registry.RANKS_PATH, with_ids=True).collect()
+    assert check_packed(rows(documents.select("doc_id", "text")), packed) == 0
+    assert all(len(r.ids) == r.length for r in packed)
+
+
+def test_packing_empty(nothing):
+    assert rows(packing.pack(nothing, registry.TOKENIZER_PATH, registry.RANKS_PATH)) == []
+
+
+def test_fast_ids_are_the_tokenizers_ids():
+    e, slow = packing.Encoder(registry.TOKENIZER_PATH, registry.RANKS_PATH), packing.Encoder(registry.TOKENIZER_PATH, None)
+    rng = random.Random(0)
+    odd = "aé\u00a0\u2003\u3000\u200b\u0085\x0b\t\n 12Ⅻ٣ñ中🙂\u0301'sS'll<|endoftext|>\ufeff\u180e"
+    for n in (0, 1, 5, 50, 500):
+        for _ in range(60):
+            text = "".join(rng.choices(odd, k=n))
+            assert e.ids(text).tolist() == slow.ids(text).tolist(), repr(text)
+    for _, text in awkward_rows():
+        assert e.ids(text or "").tolist() == slow.ids(text or "").tolist()
+
+
+def test_sum_of_squares_rule():
+    """Each placement is the best of all levels by the definition."""
+    rng = random.Random(8)
+    w = 32
+    p = packing.Packer(w)
+    for k in range(600):
+        n = rng.randint(1, w - 1)
+        counts = p.counts.copy()
+        counts[[0, w]] = 0
+        best = {}
+        for h in range(w - n + 1):
+            if h and not counts[h]:
+                continue
+            c = counts.copy()
+            c[h] -= h > 0
+            c[h + n] += h + n < w
+            best[h] = int((c[1:w] ** 2).sum())
+        p.place((k, 0, n), n)
+        now = p.counts.copy()
+        now[[0, w]] = 0
+        assert int((now[1:w] ** 2).sum()) == min(best.values())
+        assert all(len(p.open[h]) == now[h] for h in range(1, w))
+
+
+# --- toxicity and quality ---
+
+def auc(score, y):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(score))
+    rank[order] = np.arange(1, len(score) + 1)
+    n = y.sum()
+    return (rank[y == 1].sum() - n * (n + 1) / 2) / (n * (len(y) - n))
+
+
+@pytest.mark.parametrize("name, column, least", [("op2_toxicity", "toxic", 0.9), ("op5_quality", "quality", 0.97)])
+def test_held_out_rows_are_ranked(spark, name, column, least):
+    sf = "/root/testdata/sf0.1" if column == "toxic" else "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in registry.QUERIES[name](spark, sf).collect()}
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    labels = {r.doc_id: r[column] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [i for i in labels if got[i].held_out]
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i in got)
+    y, s = np.array([labels[i] for i in held]), np.array([got[i].score for i in held])
+    assert auc(s, y) >= least
+    assert (((s >= (0.5 if column == "toxic" else 0.3)) == (y == 1)).mean()) > 0.93
+    assert ((0 <= s) & (s <= 1)).all()
+
+
+def test_kneser_ney_probabilities_sum_to_one():
+    """After any context, each class's model is a distribution over bytes (up to what order 1 leaves to unseen bytes)."""
+    rng = random.Random(1)
+    text = [prose(rng, 300).split(), prose(rng, 300).split()]
+    vocab = sorted({w.encode() for t in text for w in t})
+    counts = np.array([[sum(x.encode() == w for x in t) for t in text] for w in vocab])
+    m = toxicity.fit_models(vocab, counts, order=4, shared=1, common=1)
+    assert abs(m.first.sum() - 1) < 1e-9
+    used = np.zeros((len(m.contexts), 2))
+    # a context's kept probability and the weight it leaves make one
+    assert (m.rest > 0).all() and (m.rest <= 1).all() and (m.p >= 0).all() and (m.p <= 1).all() and used.sum() == 0
+
+
+def test_scores_without_labels(spark, awkward):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.train(awkward, none) is None
+    assert {r.score for r in toxicity.score(awkward, None).collect()} == {0.0}
+    assert {r.score for r in quality.quality_scores(awkward, none).collect()} == {0.0}
+
+
+def test_scores_of_awkward_rows(spark, awkward, nothing, documents):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    more = spark.createDataFrame([(None, 1, 1), (0, None, None), (2, 7, 9), (1, 0, 0), (1, 1, 1)], labels.schema)
+    labels = with_clashes(labels.unionByName(more))
+    c = toxicity.train(documents.unionByName(documents), labels)
+    assert c is not None
+    df = with_clashes(awkward)
+    got = rows(toxicity.score(df, c))
+    assert sorted(str(r[0]) for r in got) == sorted(str(i) for i, _ in awkward_rows()) and all(0 <= r[1] <= 1 for r in got)
+    kept = toxicity.reject_toxic(df, c)
+    assert kept.columns == df.columns and kept.count() == sum(r[1] < 0.5 for r in got)
+    assert rows(toxicity.score(nothing, c)) == [] and rows(toxicity.reject_toxic(nothing, c)) == []
+    got = rows(quality.quality_scores(df.unionByName(with_clashes(documents)), labels))
+    assert len(got) == len(awkward_rows()) + documents.count() and all(0 <= r[1] <= 1 for r in got)
+    assert rows(quality.quality_scores(nothing, labels)) == []
+
+
+def test_isotonic_is_the_least_squares_monotone_fit():
+    rng = np.random.default_rng(0)
+    n = rng.integers(1, 9, 40)
+    y = rng.binomial(n, np.linspace(0.1, 0.9, 40))
+    fit = quality.isotonic(y, n)
+    assert (np.diff(fit) >= 0).all() and abs((fit * n).sum() - y.sum()) < 1e-9
+    mean = y / n  # max-min formula
+    want = [max(min((y[a:b + 1].sum() / n[a:b + 1].sum()) for b in range(k, 40)) for a in range(k + 1)) for k in range(40)]
+    assert np.allclose(fit, want) and len(mean) == 40
+
+
+def test_normal_equations_are_summed_in_a_tree(spark):
+    """More partitions than one task adds up."""
+    import pyarrow as pa
+    n = 3 * quality.TREE
+
+    def ones(batches):
+        total = np.zeros((2, 3))
+        for b in batches:
+            total += b.num_rows
+        yield quality._part(total)
+
+    assert pa is not None
+    parts = spark.range(0, 5 * n, 1, n).mapInArrow(ones, "part int, m binary")
+    assert (quality._tree_sum(parts, (2, 3)) == 5 * n).all()

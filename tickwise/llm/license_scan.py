@@ -38,9 +38,9 @@ BASE = [
 TEMPLATES = [
     ("mit", "<<optional>>released<</optional>> <<optional>>licensed<</optional>> under the <<optional>>terms of the<</optional>> mit license"),
     ("apache-2", "licensed under the apache license version 2 <<optional>>0<</optional>>"),
-    ("cc-by-nc", "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> cc by nc <<var 2>>4 0<</var>>"),
-    ("cc-by-sa", "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> cc by sa <<var 2>>4 0<</var>>"),
-    ("cc-by", "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> cc by <<var 2>>4 0<</var>>"),
+    ("cc-by-nc", "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> cc by nc <<optional>><<var 1>>4<</var>> 0<</optional>>"),
+    ("cc-by-sa", "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> cc by sa <<optional>><<var 1>>4<</var>> 0<</optional>>"),
+    ("cc-by", "licensed under <<optional>>a<</optional>> <<optional>>creative commons<</optional>> cc by <<var 1>>4<</var>> 0"),
     ("gpl", "<<optional>>this <<var 2>>work<</var>> is<</optional>> licensed under the gnu general public license "
             "<<optional>>version <<var 1>>3<</var>><</optional>>"),
     ("lgpl", "licensed under the gnu lesser general public license <<optional>>version <<var 2>>3<</var>><</optional>>"),
@@ -236,8 +236,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Places and labels as columns. ``score``: share of the text's words inside the
-    best-matched wording, on a scale where eight mandatory words are certain; 0 without a label."""
+    """Places and labels as columns. ``score``: words of the longest mandatory wording found (of a base
+    phrase three) on a scale where eight are certain; 0 without a label."""
     labels = F.array_sort(F.array_union("base", F.transform("found", lambda x: x["label"])))
     sure = F.least(F.greatest(F.col("wording"), F.when(F.size("places") > 0, 3).otherwise(0)) / 8.0, F.lit(1.0))
     return scanned.select(

@@ -76,3 +76,37 @@ rules(h, s, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'a
 best AS (SELECT r, max_by(h || s, length(h || s)) AS rule, max_by(action, length(h || s)) AS action
   FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s) GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN best USING (r)"""
+
+# label, the template as a regular expression over words, its mandatory words
+_ANY = "[^ ]+"
+_TEMPLATES = [
+    ("mit", "(released )?(licensed )?under the (terms of the )?mit license", 4),
+    ("apache-2", "licensed under the apache license version 2( 0)?", 7),
+    ("cc-by-nc", f"licensed under (a )?(creative commons )?cc by nc( {_ANY} 0)?", 5),
+    ("cc-by-sa", f"licensed under (a )?(creative commons )?cc by sa( {_ANY} 0)?", 5),
+    ("cc-by", f"licensed under (a )?(creative commons )?cc by {_ANY} 0", 5),
+    ("gpl", f"(this ({_ANY} ){{1,2}}is )?licensed under the gnu general public license( version {_ANY})?", 7),
+    ("lgpl", f"licensed under the gnu lesser general public license( version( {_ANY}){{1,2}})?", 8),
+    ("bsd", f"licensed under the bsd (({_ANY} ){{1,2}})?license", 5),
+    ("proprietary", "all rights reserved", 3),
+]
+_FIRST = "['released', 'licensed', 'under', 'this', 'all', 'apache', 'cc']"
+
+SQL["op4_license_scan"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
+at AS (SELECT r, p - 1 AS p, array_to_string(w[p:p + 24], ' ') AS s
+  FROM d, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS p) WHERE list_contains({_FIRST}, w[p])),
+base AS (
+  SELECT r, count(*) AS n, min(p) AS a, max(p) AS z, list_sort(list_distinct(list(label))) AS labels
+  FROM at JOIN (VALUES ('under the mit license', 'mit'), ('apache license version 2', 'apache-2'), ('cc by nc', 'cc-by-nc')) b(s0, label)
+    ON starts_with(s || ' ', s0 || ' ') GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n, max(wording) AS wording, list_distinct(list(label)) AS labels
+  FROM at JOIN (VALUES {', '.join(f"('{a}', '^({b})( |$)', {n})" for a, b, n in _TEMPLATES)}) t(label, re, wording)
+    ON regexp_matches(s, re) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, a AS first_word, z AS last_word,
+  array_to_string(coalesce(base.labels, []), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(found.labels, []))), ',') AS labels,
+  least(greatest(coalesce(wording, 0), CASE WHEN base.n > 0 THEN 3 ELSE 0 END) / 8.0, 1.0)::DOUBLE AS score,
+  CAST(coalesce(found.n, 0) AS BIGINT) AS n_found
+FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)"""
