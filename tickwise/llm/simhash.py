@@ -171,11 +171,15 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = fingerprints(docs, id_col, text_col, shingle, seed).checkpoint()
     nodes = own.groupBy("fp").agg(F.min("id").alias("least")).checkpoint()
     label = components(links(nodes.select("fp"), max_bits))
-    linked = label.join(nodes, label.node == nodes.fp).groupBy("label").agg(F.min("least").alias("component_id")).join(
-        label, "label").select(F.col("node").alias("fp"), "component_id")
-    groups = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return own.join(groups, "fp").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash")
+    # joins on a key of their own: both sides are dealt out anew, so a hot value can be split
+    least = label.join(nodes, label.node == nodes.fp).groupBy("label").agg(F.min("least").alias("component_id"))
+    linked = label.select("node", F.hex("label").alias("key")).join(
+        least.select(F.hex("label").alias("key"), "component_id"), "key").select(F.col("node").alias("fp"), "component_id")
+    groups = nodes.join(linked, "fp", "left").select(
+        F.hex("fp").alias("key"), F.coalesce("component_id", "least").alias("component_id"))
+    own = own.withColumn("key", F.hex("fp"))
+    return own.join(groups, "key").select(
+        F.col("id").alias(id_col), F.lpad(F.lower("key"), 16, "0").alias("fingerprint"), "component_id", "text_hash")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
