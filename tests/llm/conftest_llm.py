@@ -16,7 +16,7 @@ def awkward_rows() -> list[tuple]:
     rng = random.Random(5)
     base = prose(rng, 120)
     return [
-        (1, base), (2, base), (3, base.upper()), (4, base + " end"), (4, base + " end"), (5, None), (6, ""), (7, None),
+        (1, base), (2, base), (3, "".join(c.upper() if "a" <= c <= "z" else c for c in base)), (4, base + " end"), (4, base + " end"), (5, None), (6, ""), (7, None),
         (None, base), (None, "no id"), (8, "x"), (9, "\x00\x01 \n\t"), (10, "<|endoftext|> </turn> ### \\ %3A"),
         (11, prose(rng, 30000)), (12, "ab " * 20000), (13, " " * 70000 + "end"), (14, "a" * 300000),
         (15, "🙂 ñandú İ K ﬀ 中文 １２３"), (16, "  lead and trail  "), (17, base[:200]), (18, prose(rng, 13)), (19, prose(rng, 12)),

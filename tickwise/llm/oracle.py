@@ -94,15 +94,15 @@ _FIRST = "['released', 'licensed', 'under', 'this', 'all', 'apache', 'cc']"
 
 SQL["op4_license_scan"] = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
-at AS (SELECT r, p - 1 AS p, array_to_string(w[p:p + 24], ' ') AS s
+spot AS (SELECT r, p - 1 AS p, array_to_string(w[p:p + 24], ' ') AS s
   FROM d, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS p) WHERE list_contains({_FIRST}, w[p])),
 base AS (
   SELECT r, count(*) AS n, min(p) AS a, max(p) AS z, list_sort(list_distinct(list(label))) AS labels
-  FROM at JOIN (VALUES ('under the mit license', 'mit'), ('apache license version 2', 'apache-2'), ('cc by nc', 'cc-by-nc')) b(s0, label)
+  FROM spot JOIN (VALUES ('under the mit license', 'mit'), ('apache license version 2', 'apache-2'), ('cc by nc', 'cc-by-nc')) b(s0, label)
     ON starts_with(s || ' ', s0 || ' ') GROUP BY r),
 found AS (
   SELECT r, count(*) AS n, max(wording) AS wording, list_distinct(list(label)) AS labels
-  FROM at JOIN (VALUES {', '.join(f"('{a}', '^({b})( |$)', {n})" for a, b, n in _TEMPLATES)}) t(label, re, wording)
+  FROM spot JOIN (VALUES {', '.join(f"('{a}', '^({b})( |$)', {n})" for a, b, n in _TEMPLATES)}) t(label, re, wording)
     ON regexp_matches(s, re) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, a AS first_word, z AS last_word,
   array_to_string(coalesce(base.labels, []), ',') AS base_labels,
