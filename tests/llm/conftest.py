@@ -1,11 +1,6 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from conftest_llm import SMALL, awkward_rows  # noqa: E402
+from .rows import SMALL, awkward_rows
 
 
 @pytest.fixture(scope="session")

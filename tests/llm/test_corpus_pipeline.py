@@ -4,9 +4,9 @@ import subprocess
 import sys
 
 import pytest
-from conftest_llm import CLASHING, SMALL, awkward_rows, with_clashes
-from test_pairs import groups_of, slow_groups
-from test_rows import check_packed, slow_matches
+from .rows import CLASHING, SMALL, awkward_rows, with_clashes
+from .test_pairs import groups_of, slow_groups
+from .test_rows import check_packed, slow_matches
 
 import corpus_pipeline
 from tickwise.llm import toxicity

@@ -3,7 +3,7 @@ import hashlib
 import random
 
 import pytest
-from conftest_llm import with_clashes
+from .rows import with_clashes
 from pyspark.sql import functions as F
 
 from tickwise.llm import chat_format, registry, url_filter

@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
-from conftest_llm import CLASHING, awkward_rows, prose, with_clashes
+from .rows import CLASHING, awkward_rows, prose, with_clashes
 
 from tickwise.llm import exact_dedup, simhash, suffix_dedup
 

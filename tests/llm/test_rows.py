@@ -7,7 +7,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest_llm import CLASHING, SMALL, awkward_rows, prose, with_clashes
+from .rows import CLASHING, SMALL, awkward_rows, prose, with_clashes
 from tokenizers import Tokenizer
 
 from tickwise.llm import decontaminate, license_scan, packing, quality, registry, toxicity
