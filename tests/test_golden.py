@@ -186,16 +186,13 @@ def test_empty_feature_table(spark):
     assert r["table_exists"] is False and r["passed"] is False
 
 
-def test_top_outliers_gate(spark):
-    rows = [("G", d, 1.0, 1.0, 1.0, 1.0, 1) for d in days("2024-01-01", 30)]
-    base = price_rows(spark, rows)
-    few = base.withColumn("daily_return", F.when(F.dayofmonth("date") <= 12, F.dayofmonth("date") * 1.0)
-                          .otherwise(0.0))
-    out = QA.top_outliers(few).collect()
-    assert [r["daily_return"] for r in out] == [12.0, 11.0, 10.0, 9.0, 8.0, 7.0, 6.0, 5.0, 4.0, 3.0]
-    many = base.withColumn("daily_return", F.lit(0.5))  # 30 outliers > 20: not shown
-    assert QA.top_outliers(many).count() == 0
-    assert QA.top_outliers(many, max_shown=None).count() == 10
+def test_top_outliers_reports_every_ticker(spark):
+    rows = [(t, d, 1.0, 1.0, 1.0, 1.0, 1) for t in ("G", "H") for d in days("2024-01-01", 30)]
+    day = F.dayofmonth("date")
+    f = price_rows(spark, rows).withColumn("daily_return", F.when((F.col("ticker") == "G") & (day > 12), 0.0).otherwise(day * 1.0))
+    out = {t: [(r["daily_return"], r["n_extreme"]) for r in QA.top_outliers(f).collect() if r["ticker"] == t] for t in "GH"}
+    assert out["G"] == [(float(x), 12) for x in range(12, 2, -1)]
+    assert out["H"] == [(float(x), 30) for x in range(30, 20, -1)]  # the ticker with the most isn't hidden
 
 
 def test_asof_inclusive_and_before_first(spark):
@@ -290,3 +287,32 @@ def test_model_band_boundaries(spark):
     assert bands(0.625, 0.6) == ("moderate", "low")
     assert bands(0.7, 0.6) == ("moderate", "moderate")
     assert bands(0.9, 0.59) == ("poor", "high")
+
+
+def test_negative_prices_rows_and_counts(spark):
+    p = price_rows(spark, [("N", d, o, 1.0, 1.0, c, 1) for d, o, c in zip(days("2024-01-01", 4), (1.0, -1.0, 1.0, -2.0), (1.0, 1.0, -1.0, -2.0))])
+    assert C.negative_prices(p).count() == 3
+    assert C.negative_price_counts(p).first()["negative_rows"] == 3
+
+
+def test_download_window_is_a_year_before_its_end():
+    run = D("2024-03-01")
+    assert SP.default_range(run) == (D("2023-03-02"), run)
+    assert SP.default_range(run, D("2020-01-01"), D("2021-01-01")) == (D("2020-01-01"), D("2021-01-01"))
+
+
+def test_dedupe_is_total_with_extra_columns(spark):
+    p = price_rows(spark, [("T", "2024-01-01", 1.0, 1.0, 1.0, 1.0, 1)] * 3).withColumn("venue", F.lit("a"))
+    p = p.unionByName(p.withColumn("venue", F.lit("b"))).repartition(4)
+    for n in (1, 3):
+        got = C.dedupe_latest(p.repartition(n)).collect()
+        assert len(got) == 1 and got[0]["venue"] == "b"
+
+
+def test_full_recompute_check_finds_one_wrong_value(spark):
+    f = FE.create_features(rising(spark, 40), "close_to_close", RUN)
+    assert QA.verify_summary(f).first()["passed"]
+    day = f.orderBy("date").collect()[30]["date"]
+    bad = f.withColumn("moving_avg_30", F.when(F.col("date") == day, F.col("moving_avg_30") + 1e-3).otherwise(F.col("moving_avg_30")))
+    r = QA.verify_summary(bad).first()
+    assert (r["ma30_mismatches"], r["ma7_mismatches"], r["return_mismatches"], r["passed"]) == (1, 0, 0, False)

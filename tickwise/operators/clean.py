@@ -14,10 +14,44 @@ DEDUPE_ORDER = ["ingestion_timestamp", "close", "open", "high", "low",
                 "adj_close", "volume"]
 
 
+def parsed(col, data_type):
+    """Cast a column; unparsable values become NULL. Text and floating values
+    of an integral column may carry a zero fraction (``1000.0``)."""
+    if data_type.typeName() not in ("long", "integer", "short", "byte"):
+        return col.try_cast(data_type)
+    number = col.try_cast("decimal(38,10)")
+    return F.coalesce(F.when(number == F.floor(number), number).try_cast(data_type),
+                      col.cast("string").try_cast(data_type))
+
+
 def typed_projection(df: DataFrame, schema=PRICE_SCHEMA) -> DataFrame:
-    """Cast every declared column; unparsable values become NULL (try_cast)."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    """Cast every declared column (``parsed``)."""
+    return df.select(*[parsed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def unparsed_counts(df: DataFrame, schema=PRICE_SCHEMA) -> DataFrame:
+    """Per declared column: values that are present but can't be parsed, in one pass."""
+    found = df.agg(*[F.count_if(F.col(f.name).isNotNull() & parsed(F.col(f.name), f.dataType).isNull()).alias(f.name)
+                     for f in schema.fields])
+    return found.unpivot([], [f.name for f in schema.fields], "column_name", "unparsed")
+
+
+def required_columns(schema=PRICE_SCHEMA) -> list[str]:
+    """The columns that the schema declares NOT NULL."""
+    return [f.name for f in schema.fields if not f.nullable]
+
+
+def keyed_rows(df: DataFrame, schema=PRICE_SCHEMA) -> DataFrame:
+    """Rows whose NOT NULL columns are all there."""
+    return df.dropna(subset=[c for c in required_columns(schema) if c in df.columns])
+
+
+def reject_counts(df: DataFrame, schema=PRICE_SCHEMA) -> DataFrame:
+    """One row: rows, and rows rejected for a NULL in a NOT NULL column."""
+    missing = F.lit(False)
+    for c in required_columns(schema):
+        missing = missing | F.col(c).isNull()
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("rejected"))
 
 
 def drop_invalid(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -37,15 +71,18 @@ def valid_row(df: DataFrame, subset: list[str] | None = None):
 
 def dedupe_latest(df: DataFrame, keys: list[str] | None = None,
                   order: list[str] | None = None) -> DataFrame:
-    """One row per key: the newest ingest, ties broken by the value columns.
+    """One row per key: the newest ingest, ties broken by the value columns,
+    then by every other column that can be ordered, so the choice is total.
 
     A grouped ``max_by`` (not a window): each map task reduces its copies of
     a key to one before the shuffle, so a key with a huge number of copies
     costs one row per task, not one task holding all of them.
     """
     keys = keys or KEY
-    order = [c for c in (order or DEDUPE_ORDER) if c in df.columns]
     rest = [c for c in df.columns if c not in keys]
+    order = [c for c in (order or DEDUPE_ORDER) if c in rest]
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    order += [c for c in rest if c not in order and kinds[c] not in ("map", "variant")]
     picked = df.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
     return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]) \

@@ -8,13 +8,13 @@ that single aggregate row per ticker.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.exprs import band, pct_change, safe_div, ticker_window, trailing_rows
 from tickwise.schemas import (COMPLETENESS_FAIR_PCT, COMPLETENESS_GOOD_PCT,
                               EXPECTED_FEATURE_TABLE_COLUMNS, FEATURE_COLUMNS,
-                              NULL_FAIL_PCT, NULL_WARN_PCT, OUTLIER_SAMPLE_MAX_SHOWN,
+                              FEATURE_SCHEMA, NULL_FAIL_PCT, NULL_WARN_PCT,
                               OUTLIER_SAMPLE_ROWS, OUTLIER_THRESHOLDS,
                               OUTLIER_VERDICT_MAX_PCT, TWO_SIDED_OUTLIER_FEATURES)
 
@@ -85,11 +85,6 @@ def ticker_checks(df: DataFrame) -> DataFrame:
         (F.size(high) == 0).alias("null_ok"))
 
 
-def null_verdict(df: DataFrame) -> DataFrame:
-    """Per ticker: columns above the fail band (comma list) and pass flag."""
-    return ticker_checks(df).select("ticker", "high_null_columns", "null_ok")
-
-
 def completeness(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     """Per ticker and feature: non-null percent, band good >= 95, fair >= 80."""
     features = features or FEATURE_COLUMNS
@@ -164,21 +159,16 @@ def outlier_verdict(df: DataFrame) -> DataFrame:
              .withColumn("outlier_ok", F.col("outlier_pct") < OUTLIER_VERDICT_MAX_PCT))
 
 
-def top_outliers(df: DataFrame, max_shown: int | None = OUTLIER_SAMPLE_MAX_SHOWN,
-                 rows: int = OUTLIER_SAMPLE_ROWS) -> DataFrame:
-    """Largest extreme daily_return rows per ticker, at most ``rows`` each.
-
-    max_shown: the display gate -- only tickers with 1..max_shown extreme
-    rows are reported; None reports every ticker."""
+def top_outliers(df: DataFrame, rows: int = OUTLIER_SAMPLE_ROWS) -> DataFrame:
+    """Largest extreme daily_return rows of every ticker, at most ``rows`` each, beside
+    ``n_extreme``, the ticker's number of extreme rows."""
     out = return_outliers(df).select("date", "ticker", "daily_return", "close")
     per = Window.partitionBy("ticker")
     rank = Window.partitionBy("ticker").orderBy(F.col("daily_return").desc_nulls_last(),
                                                 F.col("date").desc_nulls_last())
-    return (out.withColumn("_n", F.count(F.lit(1)).over(per))
+    return (out.withColumn("n_extreme", F.count(F.lit(1)).over(per))
                .withColumn("_rn", F.row_number().over(rank))
-               .filter(((F.col("_n") <= max_shown) if max_shown is not None else F.lit(True))
-                       & (F.col("_rn") <= rows))
-               .drop("_n", "_rn"))
+               .filter(F.col("_rn") <= rows).drop("_rn"))
 
 
 # --- validation report ----------------------------------------------------------
@@ -209,6 +199,12 @@ def validation_report(df: DataFrame, tickers: DataFrame | None = None,
          & F.coalesce(F.col("outlier_ok"), F.lit(False))).alias("passed"))
 
 
+def validate_source(spark: SparkSession, table: DataFrame | None, tickers: DataFrame) -> DataFrame:
+    """``validation_report`` of a guarded read (``prices.read_table(..., 'skip')``): a table that
+    does not exist gives a failed row for every requested ticker."""
+    return validation_report(spark.createDataFrame([], FEATURE_SCHEMA) if table is None else table, tickers)
+
+
 def validation_summary(report: DataFrame) -> DataFrame:
     """One row over the report: tables validated/passed/failed, rows, average
     columns, outliers, all passed (tickers without rows count as failures)."""
@@ -267,3 +263,33 @@ def verify_ma7(features: DataFrame, days: int = 10, newest: int = 5,
         df = _within_days_of_last(df, days)
     df = df.withColumn("calculated_ma7", F.round(F.avg("close").over(trailing_rows(7)), 2))
     return _recent(df, days, newest)
+
+
+VERIFY_TOLERANCE = 1e-9  # relative, for sums added in another order
+
+
+def verify_summary(features: DataFrame) -> DataFrame:
+    """Per ticker: rows compared and mismatches of the recomputed daily return (close to close)
+    and both moving averages over the whole series, and whether all agree.
+
+    A row is compared when the series holds all the rows its value is made of: the first
+    price of a ticker is not in the feature table, so its first return is not compared, nor are averages
+    with a frame that reaches beyond the first row."""
+    w = ticker_window()
+    df = features.withColumns({"_rn": F.row_number().over(w), "_prev": F.lag("close", 1).over(w)}).withColumns({
+        "_return": pct_change(F.col("close"), F.col("_prev")),
+        "_ma7": F.avg("close").over(trailing_rows(7)), "_ma30": F.avg("close").over(trailing_rows(30))})
+
+    def differs(stored: str, again: str) -> Column:
+        a, b = F.col(stored), F.col(again)
+        near = F.abs(a - b) <= VERIFY_TOLERANCE * F.greatest(F.abs(b), F.lit(1.0))
+        return ~F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).otherwise(near)
+
+    checks = {"return": ("daily_return", "_return", 2), "ma7": ("moving_avg_7", "_ma7", 7), "ma30": ("moving_avg_30", "_ma30", 30)}
+    aggs = []
+    for name, (stored, again, first) in checks.items():
+        compared = F.col("_rn") >= first
+        aggs += [F.count_if(compared).alias(f"{name}_compared"),
+                 F.count_if(compared & differs(stored, again)).alias(f"{name}_mismatches")]
+    wrong = sum((F.col(f"{n}_mismatches") for n in checks), F.lit(0))
+    return df.groupBy("ticker").agg(*aggs).withColumn("passed", wrong == 0)

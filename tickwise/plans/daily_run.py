@@ -1,7 +1,7 @@
 """The daily job as one set-based plan over all tickers.
 
-ingest (scan landing zone, idempotent append) -> clean -> features ->
-write (ticker buckets) -> validate, with a status row per requested
+ingest (scan landing zone, merge) -> clean -> features from the earliest
+change on -> write (ticker buckets) -> validate, with a status row per requested
 ticker instead of a Python loop that processes one ticker at a time.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tickwise.operators import clean as C
 from tickwise.operators import features as FE
 from tickwise.operators import quality as QA
+from tickwise.plans.refresh import refresh_features
 from tickwise.sources import prices as SP
 from tickwise.sources import sinks as SK
 
@@ -52,7 +53,10 @@ def run_summary(status: DataFrame) -> DataFrame:
 
 @dataclass
 class RunResult:
-    appended_rows: int
+    """``changed_rows``: new or corrected prices; ``rejected_rows``: landed rows without a key."""
+
+    changed_rows: int
+    rejected_rows: int
     feature_rows: int
     status: DataFrame
     report: DataFrame
@@ -67,36 +71,28 @@ def _requested_frame(spark: SparkSession, tickers) -> DataFrame | None:
 def run_daily(spark: SparkSession, landing_path: str, prices_path: str, features_path: str,
               run_date: dt.date, tickers=None, landing_format: str = "parquet",
               variant: str = "close_to_close", start=None, end=None,
-              n_buckets: int = SK.DEFAULT_TICKER_BUCKETS) -> RunResult:
+              n_buckets: int | None = None) -> RunResult:
     """Ingest, clean, compute features, write and validate in one run.
 
     tickers: list or one-column frame of requested tickers (None = all in
-    the landing batch). Features are recomputed for every ticker in the
-    buckets the requested tickers fall in, so the bucket overwrite never
-    drops a ticker that was not requested. Re-running with the same inputs
-    leaves both tables unchanged (append skips stored keys; the feature
-    write replaces the same buckets with the same rows)."""
+    the landing zone). All landed dates are loaded unless ``start`` or ``end``
+    says otherwise. Prices are merged (one row per ticker and date, the newest ingest wins), and
+    features are refreshed from each ticker's earliest changed date on.
+    Re-running with the same inputs changes nothing and writes nothing."""
     requested = _requested_frame(spark, tickers)
     batch = SP.scan_landing(spark, landing_path, landing_format, run_date, start, end)
     if requested is not None:
         batch = batch.join(requested.select("ticker").distinct(), "ticker", "left_semi")
     else:
-        requested = batch.select("ticker").distinct()
+        requested = batch.select("ticker").filter(F.col("ticker").isNotNull()).distinct()
     if batch.isEmpty():  # stops at the first row found
         raise SP.MissingTableError("no source rows for any requested ticker")
-    appended = SK.append_new(spark, batch, prices_path, partition_values=[run_date])
-
-    bucket = SK.ticker_bucket(F.col("ticker"), n_buckets)
-    # At most n_buckets rows: safe to broadcast.
-    touched = F.broadcast(requested.select(bucket.alias("_b")).distinct())
-    stored = spark.read.parquet(prices_path)
-    in_buckets = stored.withColumn("_b", bucket).join(touched, "_b", "left_semi").drop("_b")
-    feats = FE.create_features(C.clean(in_buckets), variant, run_date)
-    written = SK.overwrite_buckets(feats, features_path, n_buckets)
+    done = SK.upsert_latest(spark, batch, prices_path, n_buckets)
+    written = refresh_features(spark, prices_path, features_path, done.first_dates, run_date, variant, n_buckets)
 
     req = requested.select("ticker").distinct()
-    table_req = SK.read_features(spark, features_path, req, n_buckets)
-    stored_req = stored.join(req, "ticker", "left_semi")
+    table_req = SK.read_features(spark, features_path, req)
+    stored_req = SK.read_prices(spark, prices_path, req)
     status = run_status(stored_req, requested, variant, run_date, features=table_req)
     report = QA.validation_report(table_req, requested)
-    return RunResult(appended, written, status, report)
+    return RunResult(done.changed, done.rejected, written, status, report)

@@ -11,9 +11,26 @@ from __future__ import annotations
 
 # Rounding: DuckDB's round() on a double scales in binary and can land on
 # the other side of a tie (10273.672812499999 -> ...813) where Spark rounds
-# half-up from the shortest decimal text (-> ...812). Every rounded double
-# below is therefore rounded as a decimal parsed from the double's text;
-# NaN and values outside DECIMAL(38,18) fall back to round().
+# half-up from the shortest decimal text (-> ...812). Texts below write
+# ROUND_TEXT(expression, places); ``expanded`` makes of it a rounding of the decimal
+# parsed from the double's text. NaN and values outside DECIMAL(38,18) fall
+# back to round().
+
+
+def expanded(text: str) -> str:
+    """Replace every ROUND_TEXT(expression, places), innermost first."""
+    mark = "ROUND_TEXT("
+    while (at := text.rfind(mark)) >= 0:
+        begin = end = at + len(mark)
+        depth = 1
+        while depth:
+            depth += (text[end] == "(") - (text[end] == ")")
+            end += 1
+        expr, places = text[begin:end - 1].rsplit(",", 1)
+        text = (f"{text[:at]}coalesce(cast(round(try_cast(cast(({expr}) AS varchar) AS decimal(38,18)),{places}) AS double), "
+                f"round({expr},{places})){text[end:]}")
+    return text
+
 
 # --- derived fixtures -------------------------------------------------------
 
@@ -124,8 +141,7 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-R6 = ("coalesce(cast(round(try_cast(cast({c} AS varchar) AS decimal(38,18)), 6) AS double), "
-      "round({c}, 6)) AS {c}")
+R6 = "ROUND_TEXT({c}, 6) AS {c}"
 
 
 def rounded(cols: list[str]) -> str:
@@ -157,7 +173,6 @@ REQUESTS = """requests AS (
 
 EVENT_CLEAN = clean_of("event_prices", "event_clean")
 PRICES_COLS = "ticker, date, open, high, low, close, adj_close, volume, ingestion_timestamp"
-FEAT_ALL = "ticker, date, open, high, low, close, volume, " + ", ".join(FEATURE_DOUBLES) + ", feature_timestamp"
 
 
 def pct(n: str, total: str) -> str:
@@ -233,27 +248,27 @@ SQL["f_typed_projection"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + (
     + rounded(FEATURE_DOUBLES) + ", feature_timestamp FROM feat")
 SQL["f_moving_avg_7"] = with_(PRICES, PRICES_CLEAN) + f"""
 SELECT ticker, date, close,
-       coalesce(cast(round(try_cast(cast((avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) AS varchar) AS decimal(38,18)), 6) AS double), round(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6)) AS moving_avg_7
+       ROUND_TEXT(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_avg_7
 FROM prices_clean"""
 SQL["f_moving_avg_30"] = with_(PRICES, PRICES_CLEAN) + f"""
 SELECT ticker, date, close,
-       coalesce(cast(round(try_cast(cast((avg(close) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) AS varchar) AS decimal(38,18)), 6) AS double), round(avg(close) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6)) AS moving_avg_30
+       ROUND_TEXT(avg(close) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS moving_avg_30
 FROM prices_clean"""
 SQL["f_volatility_7"] = with_(EVENT_PRICES, EVENT_CLEAN) + f""", r AS (
   SELECT ticker, date, (close - open) / nullif(open, 0) AS daily_return FROM event_clean)
-SELECT ticker, date, coalesce(cast(round(try_cast(cast((daily_return) AS varchar) AS decimal(38,18)), 6) AS double), round(daily_return, 6)) AS daily_return,
-       coalesce(cast(round(try_cast(cast((stddev_samp(daily_return) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) AS varchar) AS decimal(38,18)), 6) AS double), round(stddev_samp(daily_return) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6)) AS volatility_7
+SELECT ticker, date, ROUND_TEXT(daily_return, 6) AS daily_return,
+       ROUND_TEXT(stddev_samp(daily_return) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS volatility_7
 FROM r"""
 SQL["f_daily_return_c2c"] = with_(PRICES, PRICES_CLEAN) + f"""
 SELECT ticker, date, close,
-       coalesce(cast(round(try_cast(cast(((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0)) AS varchar) AS decimal(38,18)), 6) AS double), round((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6)) AS daily_return
+       ROUND_TEXT((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6) AS daily_return
 FROM prices_clean"""
 SQL["f_momentum_ratio7"] = with_(PRICES, PRICES_CLEAN) + f"""
-SELECT ticker, date, close, coalesce(cast(round(try_cast(cast((close / nullif(lag(close, 7) OVER ({W}), 0)) AS varchar) AS decimal(38,18)), 6) AS double), round(close / nullif(lag(close, 7) OVER ({W}), 0), 6)) AS momentum
+SELECT ticker, date, close, ROUND_TEXT(close / nullif(lag(close, 7) OVER ({W}), 0), 6) AS momentum
 FROM prices_clean"""
 SQL["f_momentum_return10"] = with_(PRICES, PRICES_CLEAN) + f"""
 SELECT ticker, date, close,
-       coalesce(cast(round(try_cast(cast(((close - lag(close, 10) OVER ({W})) / nullif(lag(close, 10) OVER ({W}), 0)) AS varchar) AS decimal(38,18)), 6) AS double), round((close - lag(close, 10) OVER ({W})) / nullif(lag(close, 10) OVER ({W}), 0), 6)) AS momentum
+       ROUND_TEXT((close - lag(close, 10) OVER ({W})) / nullif(lag(close, 10) OVER ({W}), 0), 6) AS momentum
 FROM prices_clean"""
 SQL["f_union_all"] = with_(PRICES, PRICES_CLEAN, FEAT_C, EVENT_PRICES, EVENT_CLEAN,
                            features_c2c_of("event_clean", "efeat")) + (
@@ -315,13 +330,13 @@ NULL_LONG = """null_long AS (""" + "\n  UNION ALL ".join(
 NULL_REPORT = f"""null_report AS (
   SELECT ticker, column_name, null_count, {pct('null_count', 'total')} AS null_pct FROM null_long)"""
 SQL["f_null_bands"] = FT + ", " + NULL_LONG + ", " + NULL_REPORT + """
-SELECT ticker, column_name, null_count, coalesce(cast(round(try_cast(cast((null_pct) AS varchar) AS decimal(38,18)), 6) AS double), round(null_pct, 6)) AS null_pct,
+SELECT ticker, column_name, null_count, ROUND_TEXT(null_pct, 6) AS null_pct,
        CASE WHEN null_pct > 5.0 THEN 'fail' WHEN null_pct > 1.0 THEN 'warn' ELSE 'ok' END AS band
 FROM null_report"""
 SQL["f_completeness"] = FT + ", c AS (" + "\n  UNION ALL ".join(
     f"SELECT ticker, '{f}' AS feature, count({f}) AS non_null, count(*) AS total FROM feat GROUP BY ticker"
     for f in FEATURE_DOUBLES) + f""")
-SELECT ticker, feature, non_null, coalesce(cast(round(try_cast(cast(({pct('non_null', 'total')}) AS varchar) AS decimal(38,18)), 6) AS double), round({pct('non_null', 'total')}, 6)) AS completeness_pct,
+SELECT ticker, feature, non_null, ROUND_TEXT({pct('non_null', 'total')}, 6) AS completeness_pct,
        CASE WHEN {pct('non_null', 'total')} >= 95.0 THEN 'good'
             WHEN {pct('non_null', 'total')} >= 80.0 THEN 'fair' ELSE 'poor' END AS band
 FROM c"""
@@ -329,21 +344,21 @@ SQL["f_date_range"] = FT + """
 SELECT ticker, min(date) AS min_date, max(date) AS max_date, count(date) AS total_days
 FROM feat GROUP BY ticker"""
 SQL["f_feature_ranges"] = FT + "\n  UNION ALL ".join(
-    f"SELECT ticker, '{f}' AS feature, coalesce(cast(round(try_cast(cast((min({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(min({f}), 6)) AS min_val, coalesce(cast(round(try_cast(cast((max({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(max({f}), 6)) AS max_val, "
-    f"coalesce(cast(round(try_cast(cast((avg({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(avg({f}), 6)) AS avg_val FROM feat GROUP BY ticker"
+    f"SELECT ticker, '{f}' AS feature, ROUND_TEXT(min({f}), 6) AS min_val, ROUND_TEXT(max({f}), 6) AS max_val, "
+    f"ROUND_TEXT(avg({f}), 6) AS avg_val FROM feat GROUP BY ticker"
     for f in ["daily_return", "volatility_7", "momentum"])
 SQL["f_summary"] = FT + "\n  UNION ALL ".join(
-    f"SELECT ticker, '{f}' AS feature, count({f}) AS count, coalesce(cast(round(try_cast(cast((avg({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(avg({f}), 6)) AS mean, "
-    f"coalesce(cast(round(try_cast(cast((stddev_samp({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(stddev_samp({f}), 6)) AS stddev, coalesce(cast(round(try_cast(cast((min({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(min({f}), 6)) AS min, "
-    f"coalesce(cast(round(try_cast(cast((quantile_cont({f}, 0.25)) AS varchar) AS decimal(38,18)), 6) AS double), round(quantile_cont({f}, 0.25), 6)) AS p25, coalesce(cast(round(try_cast(cast((quantile_cont({f}, 0.5)) AS varchar) AS decimal(38,18)), 6) AS double), round(quantile_cont({f}, 0.5), 6)) AS p50, "
-    f"coalesce(cast(round(try_cast(cast((quantile_cont({f}, 0.75)) AS varchar) AS decimal(38,18)), 6) AS double), round(quantile_cont({f}, 0.75), 6)) AS p75, coalesce(cast(round(try_cast(cast((max({f})) AS varchar) AS decimal(38,18)), 6) AS double), round(max({f}), 6)) AS max FROM feat GROUP BY ticker"
+    f"SELECT ticker, '{f}' AS feature, count({f}) AS count, ROUND_TEXT(avg({f}), 6) AS mean, "
+    f"ROUND_TEXT(stddev_samp({f}), 6) AS stddev, ROUND_TEXT(min({f}), 6) AS min, "
+    f"ROUND_TEXT(quantile_cont({f}, 0.25), 6) AS p25, ROUND_TEXT(quantile_cont({f}, 0.5), 6) AS p50, "
+    f"ROUND_TEXT(quantile_cont({f}, 0.75), 6) AS p75, ROUND_TEXT(max({f}), 6) AS max FROM feat GROUP BY ticker"
     for f in FEATURE_DOUBLES)
 SQL["f_outlier_counts"] = FT + ", o AS (" + "\n  UNION ALL ".join(
     f"SELECT ticker, '{f}' AS feature, count(*) FILTER (WHERE {outside(f, e, two)}) AS extreme_count, "
     f"count(*) FILTER (WHERE {outside(f, m, two)}) AS moderate_count, count(*) AS total "
     f"FROM feat GROUP BY ticker" for f, e, m, two in OUTLIER_RULES) + f""")
-SELECT ticker, feature, extreme_count, coalesce(cast(round(try_cast(cast(({pct('extreme_count', 'total')}) AS varchar) AS decimal(38,18)), 6) AS double), round({pct('extreme_count', 'total')}, 6)) AS extreme_pct,
-       moderate_count, coalesce(cast(round(try_cast(cast(({pct('moderate_count', 'total')}) AS varchar) AS decimal(38,18)), 6) AS double), round({pct('moderate_count', 'total')}, 6)) AS moderate_pct,
+SELECT ticker, feature, extreme_count, ROUND_TEXT({pct('extreme_count', 'total')}, 6) AS extreme_pct,
+       moderate_count, ROUND_TEXT({pct('moderate_count', 'total')}, 6) AS moderate_pct,
        {pct('extreme_count', 'total')} > 1.0 AS high_rate
 FROM o"""
 SQL["f_return_outliers"] = FT + f"SELECT {FEATURE_SELECT} FROM feat WHERE daily_return < -0.2 OR daily_return > 0.2"
@@ -354,10 +369,10 @@ VERDICT = f"""verdict AS (
                count(*) FILTER (WHERE daily_return < -0.2 OR daily_return > 0.2) AS extreme_outliers
         FROM feat GROUP BY ticker))"""
 SQL["f_outlier_verdict"] = FT + ", " + VERDICT + """
-SELECT ticker, rows, extreme_outliers, coalesce(cast(round(try_cast(cast((outlier_pct) AS varchar) AS decimal(38,18)), 6) AS double), round(outlier_pct, 6)) AS outlier_pct, outlier_ok FROM verdict"""
-SQL["f_top_outliers"] = FT + """
-SELECT date, ticker, coalesce(cast(round(try_cast(cast((daily_return) AS varchar) AS decimal(38,18)), 6) AS double), round(daily_return, 6)) AS daily_return, close FROM (
-  SELECT date, ticker, daily_return, close,
+SELECT ticker, rows, extreme_outliers, ROUND_TEXT(outlier_pct, 6) AS outlier_pct, outlier_ok FROM verdict"""
+SQL["f_top_outliers"] = FT + f"""
+SELECT date, ticker, {rounded(['daily_return'])}, close, n_extreme FROM (
+  SELECT date, ticker, daily_return, close, count(*) OVER (PARTITION BY ticker) AS n_extreme,
          row_number() OVER (PARTITION BY ticker ORDER BY daily_return DESC, date DESC) AS rn
   FROM feat WHERE daily_return < -0.2 OR daily_return > 0.2)
 WHERE rn <= 10"""
@@ -382,28 +397,27 @@ SELECT count(*) FILTER (WHERE table_exists) AS tables_validated,
        count(*) FILTER (WHERE table_exists AND passed) AS tables_passed,
        count(*) FILTER (WHERE table_exists AND NOT passed) AS tables_failed,
        cast(coalesce(sum(row_count) FILTER (WHERE table_exists), 0) AS bigint) AS total_rows,
-       coalesce(cast(round(try_cast(cast((coalesce(cast(sum(column_count) FILTER (WHERE table_exists) AS double)
-             / greatest(count(*) FILTER (WHERE table_exists), 1), 0.0)) AS varchar) AS decimal(38,18)), 6) AS double), round(coalesce(cast(sum(column_count) FILTER (WHERE table_exists) AS double)
-             / greatest(count(*) FILTER (WHERE table_exists), 1), 0.0), 6)) AS avg_columns,
+       ROUND_TEXT(coalesce(cast(sum(column_count) FILTER (WHERE table_exists) AS double)
+             / greatest(count(*) FILTER (WHERE table_exists), 1), 0.0), 6) AS avg_columns,
        cast(coalesce(sum(extreme_outliers) FILTER (WHERE table_exists), 0) AS bigint) AS total_outliers,
        coalesce(bool_and(passed), true) AS all_passed
 FROM report"""
 SQL["f_verify_return"] = FT + f"""
-SELECT ticker, date, close, coalesce(cast(round(try_cast(cast((daily_return) AS varchar) AS decimal(38,18)), 6) AS double), round(daily_return, 6)) AS daily_return, prev_close,
-       coalesce(cast(round(try_cast(cast((calculated_return) AS varchar) AS decimal(38,18)), 6) AS double), round(calculated_return, 6)) AS calculated_return FROM (
+SELECT ticker, date, close, ROUND_TEXT(daily_return, 6) AS daily_return, prev_close,
+       ROUND_TEXT(calculated_return, 6) AS calculated_return FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM (
     SELECT ticker, date, close, daily_return, lag(close) OVER ({W}) AS prev_close,
-           coalesce(cast(round(try_cast(cast(((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0)) AS varchar) AS decimal(38,18)), 6) AS double), round((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6)) AS calculated_return,
+           ROUND_TEXT((close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0), 6) AS calculated_return,
            max(date) OVER (PARTITION BY ticker) AS last_date
     FROM feat)
   WHERE date >= last_date - 7)
 WHERE rn <= 5"""
 SQL["f_verify_ma7"] = FT + f"""
-SELECT ticker, date, close, coalesce(cast(round(try_cast(cast((moving_avg_7) AS varchar) AS decimal(38,18)), 6) AS double), round(moving_avg_7, 6)) AS moving_avg_7, coalesce(cast(round(try_cast(cast((moving_avg_30) AS varchar) AS decimal(38,18)), 6) AS double), round(moving_avg_30, 6)) AS moving_avg_30,
+SELECT ticker, date, close, ROUND_TEXT(moving_avg_7, 6) AS moving_avg_7, ROUND_TEXT(moving_avg_30, 6) AS moving_avg_30,
        calculated_ma7 FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM (
     SELECT ticker, date, close, moving_avg_7, moving_avg_30,
-           coalesce(cast(round(try_cast(cast((avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) AS varchar) AS decimal(38,18)), 2) AS double), round(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2)) AS calculated_ma7,
+           ROUND_TEXT(avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS calculated_ma7,
            max(date) OVER (PARTITION BY ticker) AS last_date
     FROM feat)
   WHERE date >= last_date - 10)
@@ -418,9 +432,9 @@ SQL["f_asof_join"] = with_(PRICES, PRICES_CLEAN, FEAT_C, REQUESTS) + """
 SELECT r.request_id, r.ticker, r.as_of_date,
        CASE WHEN f.date IS NOT NULL THEN 'ok'
             WHEN r.ticker IN (SELECT ticker FROM feat) THEN 'no_data_yet' ELSE 'no_ticker' END AS status,
-       f.date AS feature_date, f.close, coalesce(cast(round(try_cast(cast((f.daily_return) AS varchar) AS decimal(38,18)), 6) AS double), round(f.daily_return, 6)) AS daily_return,
-       coalesce(cast(round(try_cast(cast((f.moving_avg_7) AS varchar) AS decimal(38,18)), 6) AS double), round(f.moving_avg_7, 6)) AS moving_avg_7, coalesce(cast(round(try_cast(cast((f.moving_avg_30) AS varchar) AS decimal(38,18)), 6) AS double), round(f.moving_avg_30, 6)) AS moving_avg_30,
-       coalesce(cast(round(try_cast(cast((f.volatility_7) AS varchar) AS decimal(38,18)), 6) AS double), round(f.volatility_7, 6)) AS volatility_7, coalesce(cast(round(try_cast(cast((f.momentum) AS varchar) AS decimal(38,18)), 6) AS double), round(f.momentum, 6)) AS momentum
+       f.date AS feature_date, f.close, ROUND_TEXT(f.daily_return, 6) AS daily_return,
+       ROUND_TEXT(f.moving_avg_7, 6) AS moving_avg_7, ROUND_TEXT(f.moving_avg_30, 6) AS moving_avg_30,
+       ROUND_TEXT(f.volatility_7, 6) AS volatility_7, ROUND_TEXT(f.momentum, 6) AS momentum
 FROM requests r ASOF LEFT JOIN feat f ON r.ticker = f.ticker AND r.as_of_date >= f.date"""
 
 # --- ML ------------------------------------------------------------------------------
@@ -431,7 +445,7 @@ SQL["m_scaled_features"] = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABEL
 comp AS (SELECT * FROM labeled WHERE {COMPLETE}),
 st AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURE_DOUBLES)}
        FROM comp WHERE date <= (SELECT split_date FROM bounds))
-SELECT ticker, date, {", ".join(f"coalesce(cast(round(try_cast(cast((({c} - m_{c}) / s_{c}) AS varchar) AS decimal(38,18)), 6) AS double), round(({c} - m_{c}) / s_{c}, 6)) AS scaled_{c}" for c in FEATURE_DOUBLES)}
+SELECT ticker, date, {", ".join(f"ROUND_TEXT(({c} - m_{c}) / s_{c}, 6) AS scaled_{c}" for c in FEATURE_DOUBLES)}
 FROM comp, st"""
 
 # --- daily run status ----------------------------------------------------------------
@@ -461,3 +475,96 @@ FROM status"""
 
 SQL["k_append_twice"] = with_(PRICES) + f"SELECT {PRICES_COLS} FROM prices"
 SQL["k_features_buckets"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + f"SELECT {FEATURE_SELECT} FROM feat"
+
+
+def corrected(src: str) -> str:
+    return (f"SELECT ticker, date, open, high, low, close + 100 AS close, adj_close, volume, DATE '2002-01-02' AS "
+            f"ingestion_timestamp FROM {src} WHERE day(date) = 15")
+
+
+SQL["k_upsert_days"] = with_(PRICES, PRICES_DIRTY) + f"""
+SELECT {PRICES_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY ingestion_timestamp DESC, load DESC) AS rn
+  FROM (SELECT {PRICES_COLS}, 1 AS load FROM prices_dirty UNION ALL SELECT {PRICES_COLS}, 2 FROM ({corrected('prices')})))
+WHERE rn = 1"""
+SQL["k_evolve"] = with_(PRICES) + f"""
+SELECT {PRICES_COLS}, NULL AS exchange FROM prices WHERE day(date) <> 15
+UNION ALL SELECT {PRICES_COLS}, 'X' || ticker FROM ({corrected('prices')})"""
+SQL["k_rebucket"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + f"SELECT {FEATURE_SELECT}, 2 AS refused FROM feat"
+SQL["k_incremental_refresh"] = SQL["k_features_buckets"]
+SQL["p_landing_mixed"] = with_(PRICES) + """
+SELECT ticker, date, open, high, low, close, CASE WHEN day(date) % 2 = 0 THEN adj_close + 1 ELSE close END AS adj_close,
+       volume, ingestion_timestamp FROM prices"""
+
+# --- full recompute checks ---
+
+
+def verify_summary(src: str) -> str:
+    wrong = lambda a, b: (f"NOT CASE WHEN {a} IS NULL OR {b} IS NULL THEN {a} IS NULL AND {b} IS NULL "
+                          f"ELSE abs({a} - {b}) <= 1e-9 * greatest(abs({b}), 1.0) END")
+    parts = [f"""count(*) FILTER (rn >= {n}) AS {k}_compared,
+  count(*) FILTER (rn >= {n} AND {wrong(a, b)}) AS {k}_mismatches""" for k, a, b, n in (
+        ("return", "daily_return", "r", 2), ("ma7", "moving_avg_7", "m7", 7), ("ma30", "moving_avg_30", "m30", 30))]
+    return f"""
+SELECT *, return_mismatches + ma7_mismatches + ma30_mismatches = 0 AS passed FROM (
+  SELECT ticker, {", ".join(parts)} FROM (
+    SELECT *, row_number() OVER ({W}) AS rn,
+      (close - lag(close) OVER ({W})) / nullif(lag(close) OVER ({W}), 0) AS r,
+      avg(close) OVER ({W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS m7,
+      avg(close) OVER ({W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS m30
+    FROM {src}) GROUP BY ticker)"""
+
+
+SQL["f_verify_summary"] = FT + verify_summary("feat")
+SQL["f_verify_injected"] = FT + verify_summary("""(
+  SELECT * REPLACE (
+    CASE WHEN day(date) = 15 THEN daily_return + 0.5 ELSE daily_return END AS daily_return,
+    CASE WHEN day(date) = 20 THEN NULL ELSE moving_avg_7 END AS moving_avg_7,
+    CASE WHEN day(date) = 20 THEN moving_avg_30 * 1.01 ELSE moving_avg_30 END AS moving_avg_30) FROM feat)""")
+
+# --- models: what does not depend on the fitted trees ---
+
+TEST_ROWS = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABELED, SPLIT_BOUNDS) + f""",
+test AS (SELECT * FROM labeled WHERE {COMPLETE} AND date > (SELECT split_date FROM bounds))
+"""
+for _key in ("m_rf_predictions", "m_gbt_predictions"):
+    SQL[_key] = TEST_ROWS + """SELECT ticker, date, next_day_up, true AS prediction_ok, true AS probability_ok,
+  true AS agrees FROM test"""
+SQL["m_metrics"] = """SELECT split, metric, true AS in_range
+FROM (VALUES ('train'), ('test')) s(split), (VALUES ('auc'), ('accuracy'), ('f1')) m(metric)"""
+SQL["m_quality_bands"] = "SELECT true AS auc_band_ok, true AS gap_band_ok"
+SQL["m_cv_best"] = """SELECT CAST(27 AS BIGINT) AS grid_points, CAST(3 AS BIGINT) AS folds, true AS best_in_grid"""
+SQL["m_model_roundtrip"] = TEST_ROWS + "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatches FROM test"
+SQL["m_score_batch"] = with_(PRICES, PRICES_CLEAN, FEAT_C, REQUESTS) + f"""
+SELECT r.request_id, r.ticker,
+       CASE WHEN f.date IS NOT NULL THEN 'ok'
+            WHEN r.ticker IN (SELECT ticker FROM feat) THEN 'no_data_yet' ELSE 'no_ticker' END AS status,
+       f.date AS feature_date, f.date IS NOT NULL AND {COMPLETE} AS has_prediction, true AS confidence_ok
+FROM requests r ASOF LEFT JOIN feat f ON r.ticker = f.ticker AND r.as_of_date >= f.date"""
+RULE = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABELED, SPLIT_BOUNDS) + """,
+s AS (SELECT CASE WHEN date <= (SELECT split_date FROM bounds) THEN 'train' ELSE 'test' END AS split, daily_return AS x,
+        next_day_up AS y, CASE WHEN daily_return > 0 THEN 1 ELSE 0 END AS p FROM labeled),
+ranked AS (  -- mid-ranks of equal scores
+  SELECT split, y, p, avg(rk) OVER (PARTITION BY split, x) AS mid FROM (
+    SELECT *, row_number() OVER (PARTITION BY split ORDER BY x) AS rk FROM s)),
+auc AS (SELECT split, (sum(mid) FILTER (y = 1) - (sum(y) * (sum(y) + 1)) / 2.0) / (sum(y) * (count(*) - sum(y))) AS auc
+        FROM ranked GROUP BY split),
+cls AS (SELECT split, c, count(*) FILTER (y = c) AS actual, count(*) FILTER (p = c) AS predicted,
+          count(*) FILTER (y = c AND p = c) AS tp FROM s, (VALUES (0), (1)) k(c) GROUP BY split, c),
+m AS (SELECT split, sum(tp) / CAST(sum(actual) AS DOUBLE) AS accuracy,
+        sum(CASE WHEN tp > 0 THEN 2.0 * tp / (actual + predicted) ELSE 0 END * actual) / sum(actual) AS f1
+      FROM cls GROUP BY split),
+metrics AS (
+  SELECT split, 'auc' AS metric, CAST(auc AS DOUBLE) AS value FROM auc
+  UNION ALL SELECT split, 'accuracy', CAST(accuracy AS DOUBLE) FROM m UNION ALL SELECT split, 'f1', CAST(f1 AS DOUBLE) FROM m)
+"""
+SQL["m_metrics_rule"] = RULE + f"SELECT split, metric, {rounded(['value'])} FROM metrics"
+SQL["m_bands_rule"] = RULE + f""",
+b AS (SELECT max(value) FILTER (split = 'test') AS test_auc,
+        abs(max(value) FILTER (split = 'train') - max(value) FILTER (split = 'test')) AS auc_gap FROM metrics WHERE metric = 'auc')
+SELECT {rounded(['test_auc', 'auc_gap'])},
+  CASE WHEN test_auc >= 0.8 THEN 'excellent' WHEN test_auc >= 0.7 THEN 'good' WHEN test_auc >= 0.6 THEN 'moderate' ELSE 'poor' END AS auc_band,
+  CASE WHEN auc_gap <= 0.05 THEN 'low' WHEN auc_gap <= 0.1 THEN 'moderate' ELSE 'high' END AS gap_band
+FROM b"""
+
+SQL = {k: expanded(v) for k, v in SQL.items()}

@@ -23,6 +23,7 @@ from tickwise.operators import profile as PR
 from tickwise.operators import quality as QA
 from tickwise.plans import daily_run as DR
 from tickwise.plans import model as ML
+from tickwise.plans import refresh as RF
 from tickwise.session import ensure_checkpoint_dir
 from tickwise.sources import fixtures as FX
 from tickwise.sources import prices as SP
@@ -353,9 +354,7 @@ def f_outlier_verdict(spark, sf_dir):
 
 @register("f_top_outliers")
 def f_top_outliers(spark, sf_dir):
-    # Every fixture ticker has more than 20 extreme returns, so the display
-    # gate would report nothing; the gate itself is covered by golden tests.
-    return round6(QA.top_outliers(features_c2c(spark, sf_dir), max_shown=None), ["daily_return"])
+    return round6(QA.top_outliers(features_c2c(spark, sf_dir)), ["daily_return"])
 
 
 @register("f_validation_report")
@@ -380,6 +379,23 @@ def f_verify_ma7(spark, sf_dir):
                   ["moving_avg_7", "moving_avg_30", "calculated_ma7"])
 
 
+@register("f_verify_summary")
+def f_verify_summary(spark, sf_dir):
+    return QA.verify_summary(features_c2c(spark, sf_dir))
+
+
+@register("f_verify_injected")
+def f_verify_injected(spark, sf_dir):
+    """The full recompute check on a table with wrong returns on the 15th of a
+    month and wrong averages on the 20th."""
+    day = F.dayofmonth("date")
+    bad = features_c2c(spark, sf_dir).withColumns({
+        "daily_return": F.when(day == 15, F.col("daily_return") + 0.5).otherwise(F.col("daily_return")),
+        "moving_avg_7": F.when(day == 20, F.lit(None).cast("double")).otherwise(F.col("moving_avg_7")),
+        "moving_avg_30": F.when(day == 20, F.col("moving_avg_30") * 1.01).otherwise(F.col("moving_avg_30"))})
+    return QA.verify_summary(bad)
+
+
 # --- as-of (J1) ------------------------------------------------------------------------
 
 @register("f_asof_latest")
@@ -411,11 +427,24 @@ def m_scaled_features(spark, sf_dir):
     return round6(out, [c for c in out.columns if c.startswith("scaled_")])
 
 
+def _trained(spark, sf_dir, model_type, **kw):
+    """A model over all labeled rows; the features are computed once (checkpoint) for
+    training, prediction and scoring, and nothing stays persisted."""
+    ensure_checkpoint_dir(spark)
+    feats = features_c2c(spark, sf_dir).checkpoint()
+    res = ML.train(LB.create_labels(LB.training_read(feats)), model_type, **kw)
+    res.release()
+    return res, feats
+
+
 def _predictions(spark, sf_dir, model_type):
-    res = ML.train(labeled(spark, sf_dir), model_type)
-    prob = F.get(ML.vector_to_array(F.col("probability")), 1)
-    return res.test_predictions.select("ticker", "date", "next_day_up", "prediction",
-                                       prob.alias("probability_up"))
+    """What holds for any fitted trees: a 0/1 prediction that agrees with its probability."""
+    res, _ = _trained(spark, sf_dir, model_type)
+    up = F.get(ML.vector_to_array(F.col("probability")), 1)
+    return res.test_predictions.select(
+        "ticker", "date", "next_day_up", F.col("prediction").isin(0.0, 1.0).alias("prediction_ok"),
+        up.between(0.0, 1.0).alias("probability_ok"),
+        ((up > 0.5) == (F.col("prediction") == 1.0)).alias("agrees"))
 
 
 @register("m_rf_predictions")
@@ -430,51 +459,75 @@ def m_gbt_predictions(spark, sf_dir):
 
 @register("m_metrics")
 def m_metrics(spark, sf_dir):
-    res = ML.train(labeled(spark, sf_dir), "gbt")
-    return ML.evaluate(spark, res.train_predictions, res.test_predictions)
+    res, _ = _trained(spark, sf_dir, "gbt")
+    return ML.evaluate(spark, res.train_predictions, res.test_predictions).select(
+        "split", "metric", F.col("value").between(0.0, 1.0).alias("in_range"))
 
 
 @register("m_quality_bands")
 def m_quality_bands(spark, sf_dir):
-    res = ML.train(labeled(spark, sf_dir), "rf")
-    return ML.quality_bands(ML.evaluate(spark, res.train_predictions, res.test_predictions))
+    """The bands of the fitted model agree with its figures."""
+    res, _ = _trained(spark, sf_dir, "rf")
+    b = ML.quality_bands(ML.evaluate(spark, res.train_predictions, res.test_predictions))
+    auc, gap = F.col("test_auc"), F.col("auc_gap")
+    return b.select(
+        (F.col("auc_band") == F.when(auc >= 0.8, "excellent").when(auc >= 0.7, "good").when(auc >= 0.6, "moderate")
+         .otherwise("poor")).alias("auc_band_ok"),
+        (F.col("gap_band") == F.when(gap <= 0.05, "low").when(gap <= 0.1, "moderate").otherwise("high")).alias("gap_band_ok"))
 
 
-@register("m_cv_best")
-def m_cv_best(spark, sf_dir):
-    res = ML.train(labeled(spark, sf_dir), "rf", tuning=True,
-                   grid={"numTrees": [8, 15], "maxDepth": [3, 4]}, parallelism=4)
-    return spark.createDataFrame([(k, float(v)) for k, v in sorted(res.best_params.items())],
-                                 "param string, value double")
+def _rule_metrics(spark, sf_dir):
+    """A fixed rule in the place of a model: up when today's return is positive, ranked by it."""
+    scored = labeled(spark, sf_dir).withColumns({
+        "rawPrediction": F.col("daily_return"),
+        "prediction": F.when(F.col("daily_return") > 0, 1.0).otherwise(0.0)})
+    train, test = LB.split_data(scored)
+    return ML.evaluate(spark, train, test)
 
 
-def _scored_requests(spark, sf_dir, model):
-    asof = AS.asof_join(FX.asof_requests(spark, sf_dir), features_c2c(spark, sf_dir),
-                        FEATURE_VALUE_COLUMNS)
-    return ML.score(model, asof.filter(F.col("status") == AS.STATUS_OK))
+@register("m_metrics_rule")
+def m_metrics_rule(spark, sf_dir):
+    return round6(_rule_metrics(spark, sf_dir), ["value"])
+
+
+@register("m_bands_rule")
+def m_bands_rule(spark, sf_dir):
+    return round6(ML.quality_bands(_rule_metrics(spark, sf_dir)), ["test_auc", "auc_gap"])
+
+
+@register("m_cv_best")
+def m_cv_best(spark, sf_dir):
+    """The default grid: its size, the folds, and whether the best point is one of it."""
+    res, _ = _trained(spark, sf_dir, "rf", tuning=True, parallelism=4)
+    grid = ML.param_grid(ML.classifier("rf"), "rf")
+    inside = any(all(res.best_params[p.name] == v for p, v in point.items()) for point in grid)
+    return spark.range(1).select(F.lit(len(grid)).cast("bigint").alias("grid_points"),
+                                 F.lit(ML.CV_FOLDS).cast("bigint").alias("folds"), F.lit(inside).alias("best_in_grid"))
 
 
 @register("m_score_batch")
 def m_score_batch(spark, sf_dir):
-    model = ML.train(labeled(spark, sf_dir), "gbt").model
-    return _scored_requests(spark, sf_dir, model)
+    """Every request is scored; one without a complete feature row has no prediction."""
+    res, feats = _trained(spark, sf_dir, "gbt")
+    asof = AS.asof_join(FX.asof_requests(spark, sf_dir), feats, FEATURE_VALUE_COLUMNS)
+    return ML.score(res.model, asof).select(
+        "request_id", "ticker", "status", "feature_date", F.col("prediction").isNotNull().alias("has_prediction"),
+        F.coalesce(F.col("confidence") >= 0.5, F.col("prediction").isNull()).alias("confidence_ok"))
 
 
 @register("m_model_roundtrip")
 def m_model_roundtrip(spark, sf_dir):
     """Save, reload and compare predictions on the test split (mismatches = 0)."""
-    lab = labeled(spark, sf_dir)
-    res = ML.train(lab, "rf")
-    root = ensure_checkpoint_dir(spark).rstrip("/") + "/models"
+    res, feats = _trained(spark, sf_dir, "rf")
+    root = _fresh_dir(spark, "models")
     version, _ = ML.save_model(spark, res.model, root, "direction_rf")
     reloaded = ML.load_model(spark, root, "direction_rf", version)
-    test = LB.split_data(lab)[1]
+    test = LB.split_data(LB.create_labels(LB.training_read(feats)))[1]
     a = res.model.transform(test).select("ticker", "date", F.col("prediction").alias("p1"))
     b = reloaded.transform(test).select("ticker", "date", F.col("prediction").alias("p2"))
     return a.join(b, ["ticker", "date"], "full").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(~F.col("p1").eqNullSafe(F.col("p2"))).alias("mismatches"),
-        F.lit(version).alias("version"))
+        F.count_if(~F.col("p1").eqNullSafe(F.col("p2"))).alias("mismatches"))
 
 
 # --- daily run status (L1, L2) ---------------------------------------------------------
@@ -523,3 +576,79 @@ def k_features_buckets(spark, sf_dir):
     SK.overwrite_buckets(f, path)
     back = spark.read.parquet(path).select(*f.columns)
     return round6(back, FEATURE_DOUBLES)
+
+
+def _corrections(p):
+    """Later quotes for every bar of the 15th of a month: close + 100, same ingest date as the newest load."""
+    return p.filter(F.dayofmonth("date") == 15).withColumns({
+        "close": F.col("close") + 100, "ingestion_timestamp": F.lit(FX.DIRTY_COPY_INGEST_DATE)})
+
+
+@register("k_upsert_days")
+def k_upsert_days(spark, sf_dir):
+    """Two ingest dates, then corrections landed again on the second: one row per key, the newest."""
+    path = _fresh_dir(spark, "upsert")
+    d = dirty(spark, sf_dir)
+    first = F.col("ingestion_timestamp") == F.lit(FX.FIXTURE_INGEST_DATE)
+    for batch in (d.filter(first), d.filter(~first), _corrections(FX.prices(spark, sf_dir))):
+        SK.upsert_latest(spark, batch, path, 2)
+    return SK.read_prices(spark, path).select(*d.columns)
+
+
+@register("k_evolve")
+def k_evolve(spark, sf_dir):
+    """A column that only a later load has is stored, and NULL for the rows before it."""
+    path = _fresh_dir(spark, "evolve")
+    p = FX.prices(spark, sf_dir)
+    SK.upsert_latest(spark, p, path, 2)
+    SK.upsert_latest(spark, _corrections(p).withColumn("exchange", F.concat(F.lit("X"), F.col("ticker"))), path)
+    return SK.read_prices(spark, path).select(*p.columns, "exchange")
+
+
+@register("k_rebucket")
+def k_rebucket(spark, sf_dir):
+    """Another bucket count than the stored one is refused; the table stays as it was."""
+    path = _fresh_dir(spark, "rebucket")
+    f = features_c2c(spark, sf_dir)
+    SK.overwrite_buckets(f, path, 16)
+    refused = 0
+    for again in (lambda: SK.overwrite_buckets(f, path, 7), lambda: SK.read_features(spark, path, n_buckets=7)):
+        try:
+            again()
+        except ValueError:
+            refused += 1
+    back = SK.read_features(spark, path, f.select("ticker")).select(*f.columns)
+    return round6(back, FEATURE_DOUBLES).withColumn("refused", F.lit(refused).cast("bigint"))
+
+
+@register("k_incremental_refresh")
+def k_incremental_refresh(spark, sf_dir):
+    """Prices up to a date with wrong closes, then all of them corrected: the incremental
+    refresh gives what a full recompute gives."""
+    prices_path, path = _fresh_dir(spark, "inc-prices"), _fresh_dir(spark, "inc-features")
+    p = FX.prices(spark, sf_dir)
+    wrong = (F.dayofmonth("date") == 15) & (F.month("date") == 3)
+    early = p.filter(F.col("date") < F.lit(dt.date(1998, 6, 1))).withColumn(
+        "close", F.when(wrong, F.col("close") + 5).otherwise(F.col("close")))
+    for batch in (early, p.filter(F.col("date") >= F.lit(dt.date(1996, 3, 1)))):
+        done = SK.upsert_latest(spark, batch, prices_path, 2)
+        RF.refresh_features(spark, prices_path, path, done.first_dates, RUN_DATE, n_buckets=2)
+    fixed = p.filter(wrong & (F.col("date") < F.lit(dt.date(1996, 3, 1))))
+    done = SK.upsert_latest(spark, fixed, prices_path)
+    RF.refresh_features(spark, prices_path, path, done.first_dates, RUN_DATE)
+    back = SK.read_features(spark, path)
+    return round6(back, FEATURE_DOUBLES)
+
+
+@register("p_landing_mixed")
+def p_landing_mixed(spark, sf_dir):
+    """Landing files with and without an adjusted close: the real value is kept where it is."""
+    path = _fresh_dir(spark, "landing")
+    raw = FX.prices(spark, sf_dir).select(
+        "ticker", F.col("date").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"),
+        F.col("low").alias("Low"), F.col("close").alias("Close"), (F.col("adj_close") + 1).alias("Adj Close"),
+        F.col("volume").alias("Volume"))
+    even = F.dayofmonth("Date") % 2 == 0
+    raw.filter(~even).drop("Adj Close").write.parquet(f"{path}/day=1")
+    raw.filter(even).write.parquet(f"{path}/day=2")
+    return SP.scan_landing(spark, path, run_date=FX.FIXTURE_INGEST_DATE)

@@ -14,10 +14,6 @@ from pyspark.sql.types import (DateType, DoubleType, LongType, StringType,
 # Fixed values
 # ---------------------------------------------------------------------------
 
-# Price table (bronze) columns, in order.
-PRICE_COLUMNS = ["ticker", "date", "open", "high", "low", "close", "adj_close",
-                 "volume", "ingestion_timestamp"]
-
 # Source column names and their snake-case names.
 SOURCE_RENAMES = {"Date": "date", "Open": "open", "High": "high", "Low": "low",
                   "Close": "close", "Adj Close": "adj_close", "Volume": "volume"}
@@ -61,8 +57,7 @@ OUTLIER_THRESHOLDS = {
 TWO_SIDED_OUTLIER_FEATURES = ("daily_return",)
 # Verdict: share of extreme daily_return outliers must stay below 1 percent.
 OUTLIER_VERDICT_MAX_PCT = 1.0
-# Sample of largest outliers is shown when 1..20 exist, 10 rows at most.
-OUTLIER_SAMPLE_MAX_SHOWN = 20
+# Rows in the sample of largest outliers.
 OUTLIER_SAMPLE_ROWS = 10
 
 # Time split: share of the calendar span that goes to training.
@@ -88,12 +83,10 @@ AUC_BAND_ELSE = "poor"
 GAP_BANDS = [(0.05, "low"), (0.1, "moderate")]
 GAP_BAND_ELSE = "high"
 
-# Default source window when no start date is given: 365 days.
+# Length of a download window when only its end is given.
 DEFAULT_LOOKBACK_DAYS = 365
 
-# ---------------------------------------------------------------------------
-# Declared schemas
-# ---------------------------------------------------------------------------
+# --- Declared schemas (fixed: names, types and nullability) ---
 
 PRICE_SCHEMA = StructType([
     StructField("ticker", StringType(), False),
@@ -115,7 +108,24 @@ FEATURE_SCHEMA = StructType([
     StructField("feature_timestamp", DateType(), False),
 ])
 
+# ---------------------------------------------------------------------------
+# Landing zone
+# ---------------------------------------------------------------------------
+
+# File layout of the landing zone (source column names). Batch and stream read
+# with it, so a file that lacks a column gives NULL there and never changes the
+# type or the presence of a column for the others.
+LANDING_SCHEMA = StructType([
+    StructField("ticker", StringType()),
+    StructField("Date", DateType()),
+    StructField("Open", DoubleType()),
+    StructField("High", DoubleType()),
+    StructField("Low", DoubleType()),
+    StructField("Close", DoubleType()),
+    StructField("Adj Close", DoubleType()),
+    StructField("Volume", LongType()),
+])
 
-def define_schema() -> StructType:
-    """The declared price schema (9 fields)."""
-    return PRICE_SCHEMA
+# The same for text formats: every column as text, parsed by
+# ``sources.prices.normalize_source`` (so ``1000.0`` is a volume).
+LANDING_TEXT_SCHEMA = StructType([StructField(f.name, StringType()) for f in LANDING_SCHEMA.fields])

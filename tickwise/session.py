@@ -7,6 +7,7 @@ Library operators never build a session; they take DataFrames (or a
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,12 +50,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when it is unset (local tests,
-    the bench) create a scratch folder for it."""
+    """Use the session's checkpoint folder. Only a local session (tests, the
+    bench) gets a scratch folder when it is unset: on a cluster each executor
+    would write to its own disk, so there the setting is required."""
     existing = checkpoint_dir(spark)
     if existing:
-        spark.sparkContext.setCheckpointDir(existing)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(existing)
         return existing
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set and {master} is no local master: "
+                           "set it to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="tickwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)

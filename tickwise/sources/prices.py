@@ -12,8 +12,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tickwise.schemas import DEFAULT_LOOKBACK_DAYS, PRICE_SCHEMA, SOURCE_RENAMES
+from tickwise.operators.clean import parsed
+from tickwise.schemas import (DEFAULT_LOOKBACK_DAYS, LANDING_SCHEMA, LANDING_TEXT_SCHEMA,
+                              PRICE_SCHEMA, SOURCE_RENAMES)
 
 
 class MissingTableError(RuntimeError):
@@ -22,7 +25,8 @@ class MissingTableError(RuntimeError):
 
 def default_range(run_date: dt.date, start: dt.date | None = None,
                   end: dt.date | None = None) -> tuple[dt.date, dt.date]:
-    """[start, end): end defaults to run_date, start to 365 days before end."""
+    """A download window [start, end): end defaults to run_date, start to 365
+    days before end. What has landed is not cut to it unless the caller asks."""
     end = end or run_date
     start = start or (end - dt.timedelta(days=DEFAULT_LOOKBACK_DAYS))
     return start, end
@@ -40,18 +44,26 @@ def restrict(df: DataFrame, start=None, end=None, tickers: list[str] | None = No
     return df
 
 
-def normalize_source(raw: DataFrame, ingest_date, ticker: str | None = None) -> DataFrame:
+def normalize_source(raw: DataFrame, ingest_date, ticker: str | None = None,
+                     extra: list[str] | None = None) -> DataFrame:
     """Source columns to the price schema: snake-case names, timestamps to
     dates (any time zone dropped), ticker and ingest-date tags, adj_close
-    falling back to close, declared types (unparsable values -> NULL)."""
+    falling back to close, declared types (unparsable values -> NULL;
+    ``clean.unparsed_counts`` counts them). ``extra`` columns are kept as
+    they are behind the declared ones."""
+    return named_source(raw, ingest_date, ticker).select(
+        *[parsed(F.col(f.name), f.dataType).alias(f.name) for f in PRICE_SCHEMA.fields],
+        *[F.col(f"`{c}`") for c in extra or []])
+
+
+def named_source(raw: DataFrame, ingest_date, ticker: str | None = None) -> DataFrame:
+    """``normalize_source`` before the values are parsed."""
     df = raw.withColumnsRenamed({k: v for k, v in SOURCE_RENAMES.items() if k in raw.columns})
     if ticker is not None:
         df = df.withColumn("ticker", F.lit(ticker))
-    df = df.withColumn("date", F.to_date("date"))
-    df = with_adj_close(df)
-    df = df.withColumn("ingestion_timestamp", F.lit(ingest_date).cast("date"))
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
-                       for f in PRICE_SCHEMA.fields])
+    df = df.withColumn("date", F.col("date").try_cast("timestamp").cast("date")
+                       if dict(df.dtypes)["date"] == "string" else F.to_date("date"))
+    return with_adj_close(df).withColumn("ingestion_timestamp", F.lit(ingest_date).cast("date"))
 
 
 def with_adj_close(df: DataFrame) -> DataFrame:
@@ -61,20 +73,27 @@ def with_adj_close(df: DataFrame) -> DataFrame:
     return df.withColumn("adj_close", F.coalesce(F.col("adj_close"), F.col("close")))
 
 
+def landing_schema(fmt: str, extra: StructType | None = None) -> StructType:
+    """The declared file layout of a format, with declared additional columns."""
+    base = LANDING_TEXT_SCHEMA if fmt in ("csv", "json") else LANDING_SCHEMA
+    return StructType([*base.fields, *(extra.fields if extra else [])])
+
+
 def scan_landing(spark: SparkSession, path: str, fmt: str = "parquet",
                  run_date: dt.date | None = None, start=None, end=None,
-                 tickers: list[str] | None = None, options: dict | None = None) -> DataFrame:
-    """Read quote files from a landing zone and return price-schema rows in
-    [start, end) for the requested tickers (default: the 365 days before
-    ``run_date``). Files must carry a ``ticker`` column (or a partition
-    directory ``ticker=...``)."""
-    run_date = run_date or dt.date.today()
-    start, end = default_range(run_date, start, end)
-    reader = spark.read.format(fmt).options(**(options or {}))
-    if fmt in ("csv", "json"):
-        reader = reader.option("header", "true") if fmt == "csv" else reader
-    raw = reader.load(path)
-    return restrict(normalize_source(raw, run_date), start, end, tickers)
+                 tickers: list[str] | None = None, options: dict | None = None,
+                 extra: StructType | None = None) -> DataFrame:
+    """Read quote files from a landing zone with the declared schema and return
+    price-schema rows for the requested tickers, all dates unless ``start`` (inclusive) or
+    ``end`` (exclusive) says otherwise. Files must carry a ``ticker`` column (or a partition
+    directory ``ticker=...``). A column that a file lacks is NULL there;
+    ``extra`` declares additional source columns to keep. A CSV header that
+    does not follow the declared order is an error, not a shift of columns."""
+    reader = spark.read.schema(landing_schema(fmt, extra)).options(**{
+        **({"header": "true", "enforceSchema": "false"} if fmt == "csv" else {}), **(options or {})})
+    raw = reader.format(fmt).load(path)
+    rows = normalize_source(raw, run_date or dt.date.today(), extra=[f.name for f in extra.fields] if extra else None)
+    return restrict(rows, start, end, tickers)
 
 
 def source_status(requested: DataFrame, rows: DataFrame) -> DataFrame:
@@ -99,7 +118,7 @@ def require_any(status: DataFrame) -> None:
 
 def read_table(spark: SparkSession, name: str, on_missing: str = "error") -> DataFrame | None:
     """Catalog scan guarded by ``tableExists``: on_missing = 'error' raises,
-    'skip' returns None."""
+    'skip' returns None (``quality.validate_source`` turns that into failed rows)."""
     if spark.catalog.tableExists(name):
         return spark.table(name)
     if on_missing == "skip":

@@ -1,15 +1,21 @@
 """Table writers.
 
-* ``append_new``       idempotent append: rows whose key is already stored
-                       are not written again, so re-running a load adds
-                       nothing. The price table is partitioned by ingest date
-                       and the anti-join reads only the stored partitions of
-                       the ingest dates being loaded, never the history.
+* ``upsert_latest``    one row per key over time: the newest ingest of a
+                       (ticker, date) replaces the stored row, also when it is
+                       landed again on the same run date. The price table is partitioned by
+                       ticker bucket and month; only the partitions that the batch touches
+                       are read, and only those that change are rewritten.
+* ``append_new``       idempotent append (keep-first): rows whose key is already
+                       stored are not written again.
 * ``overwrite_buckets`` dynamic partition overwrite of ticker buckets: a
-                       refresh rewrites only the buckets it recomputed.
+                       refresh rewrites only the buckets it recomputed, and clears those
+                       that have no rows any more.
 * ``write_counted``    any write, with the row count taken by ``observe``
                        during the write instead of a second job.
 
+A bucketed table stores its bucket count beside its data; another count is
+refused, since it would spread a ticker over two partitions.
+
 Layout: ``rebalance`` asks AQE to even out output partitions (splitting a
 skewed ticker bucket, merging small ones) before files are written.
 Parquet is the default format; ``fmt="delta"`` works where the Delta jar is
@@ -18,13 +24,21 @@ on the classpath.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.operators.clean import dedupe_latest
+from tickwise.operators.clean import DEDUPE_ORDER, KEY, dedupe_latest, keyed_rows, reject_counts
 
 PRICE_KEY = ["ticker", "date", "ingestion_timestamp"]
+# Buckets of a new table when the caller names none; a large table should name its own.
 DEFAULT_TICKER_BUCKETS = 64
+LAYOUT_FILE = "_bucket_count"  # Spark's readers skip names that begin with _
+BUCKET, MONTH = "ticker_bucket", "month"
 
 
 def ticker_bucket(ticker: Column, n_buckets: int = DEFAULT_TICKER_BUCKETS) -> Column:
@@ -49,6 +63,60 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file on a (shared) file system, None when it is not there."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, path: str, text: str) -> str:
+    """Write a small file unless it exists; the text that it has then (of two
+    writers the first wins)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        try:
+            out = fs.create(p, False)
+            out.write(bytearray(text.encode()))
+            out.close()
+        except Exception:  # noqa: BLE001 - another writer was first
+            if not fs.exists(p):
+                raise
+    return read_text(spark, path)
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The bucket count of the table at ``path``."""
+    text = read_text(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")
+    return int(text) if text else None
+
+
+def bucket_count(spark: SparkSession, path: str, n_buckets: int | None) -> int:
+    """The table's bucket count: stored when the table is first written, checked after."""
+    stored = stored_buckets(spark, path)
+    if stored is None:
+        stored = int(write_text_once(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}", str(n_buckets or DEFAULT_TICKER_BUCKETS)))
+    if n_buckets is not None and n_buckets != stored:
+        raise ValueError(f"the table at {path} has {stored} ticker buckets, not {n_buckets}")
+    return stored
+
+
+def bucket_ids(tickers: DataFrame, n_buckets: int) -> list[int]:
+    """The buckets of the tickers of a frame: at most ``n_buckets`` integers come back."""
+    return sorted(r[0] for r in tickers.select(ticker_bucket(F.col("ticker"), n_buckets)).distinct().collect()
+                  if r[0] is not None)
+
+
 def write_counted(df: DataFrame, writer_fn, name: str = "rows_written") -> int:
     """Run ``writer_fn(observed_df)`` and return the rows it wrote."""
     obs = Observation(name)
@@ -59,15 +127,13 @@ def write_counted(df: DataFrame, writer_fn, name: str = "rows_written") -> int:
 def append_new(spark: SparkSession, df: DataFrame, path: str, key: list[str] | None = None,
                partition_by: list[str] | None = None, fmt: str = "parquet",
                partition_values: list | None = None) -> int:
-    """Append rows of ``df`` whose key is not stored at ``path`` yet; returns
+    """Append rows of ``df`` whose key is not stored at ``path`` yet (keep-first); returns
     the number of rows appended. Duplicate keys inside ``df`` are reduced to
     one deterministic row first.
 
-    Only stored partitions that can hold a matching key are read: the
-    partition columns are part of the key, so ``partition_values`` (e.g. the
-    run's ingest date) prune the scan statically; without them the stored
-    side is semi-joined with the batch's distinct partition values (one row
-    per calendar day in the batch, broadcast)."""
+    ``partition_values`` (e.g. the run's ingest date) prune the stored side
+    statically when there is one partition column; without them the keys of all stored
+    partitions are read (key columns only)."""
     key = key or PRICE_KEY
     partition_by = ["ingestion_timestamp"] if partition_by is None else partition_by
     if not set(partition_by) <= set(key):
@@ -77,26 +143,143 @@ def append_new(spark: SparkSession, df: DataFrame, path: str, key: list[str] | N
         stored = spark.read.format(fmt).load(path)
         if partition_values is not None and len(partition_by) == 1:
             stored = stored.filter(F.col(partition_by[0]).isin(list(partition_values)))
-        elif partition_by:
-            days = F.broadcast(new.select(*partition_by).distinct())
-            stored = stored.join(days, partition_by, "left_semi")
         new = new.join(stored.select(*key), key, "left_anti")
     new = new.hint("rebalance", *partition_by) if partition_by else new
     return write_counted(new, lambda d: d.write.format(fmt).mode("append")
                          .partitionBy(*partition_by).save(path))
 
 
-def overwrite_buckets(df: DataFrame, path: str, n_buckets: int = DEFAULT_TICKER_BUCKETS,
-                      fmt: str = "parquet") -> int:
+@dataclass
+class Upserted:
+    """``changed``: keys that are new or have a new row; ``rejected``: rows of the batch
+    without a key; ``first_dates``: for each ticker that changed its earliest changed date."""
+
+    changed: int
+    rejected: int
+    first_dates: DataFrame
+
+
+def _located(df: DataFrame, n_buckets: int) -> DataFrame:
+    return df.withColumns({BUCKET: ticker_bucket(F.col("ticker"), n_buckets), MONTH: F.date_format("date", "yyyy-MM")})
+
+
+def _in_partitions(places: dict[str, list[int]]) -> Column:
+    """A static filter on the partition columns: buckets by month."""
+    return reduce(or_, [(F.col(MONTH) == m) & F.col(BUCKET).isin(ids) for m, ids in sorted(places.items())], F.lit(False))
+
+
+def _places(df: DataFrame) -> dict[str, list[int]]:
+    """The (month, bucket) partitions of a frame: one row a month and bucket at most."""
+    found: dict[str, list[int]] = {}
+    for m, b in df.select(MONTH, BUCKET).distinct().collect():
+        found.setdefault(m, []).append(b)
+    return found
+
+
+def upsert_latest(spark: SparkSession, df: DataFrame, path: str, n_buckets: int | None = None,
+                  fmt: str = "parquet") -> Upserted:
+    """Merge a batch into the price table: one row per (ticker, date), the newest ingest wins,
+    of equal ingest dates the batch wins over what is stored.
+
+    Running the same batch again changes nothing and writes nothing. Columns that only one side
+    has are NULL on the other, so the table's schema grows with its sources (read it with
+    ``read_prices``). Rows without a ticker, date or ingest date are rejected and counted."""
+    rejected = reject_counts(df).first()["rejected"]
+    exists = stored_buckets(spark, path) is not None
+    n = bucket_count(spark, path, n_buckets)
+    new = _located(dedupe_latest(keyed_rows(df)), n)
+    # once for all the steps below; lost blocks are computed again
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        places = _places(new)
+        merged = new.withColumn("_new", F.lit(1))
+        if exists and places:
+            stored = _read_table(spark, path, fmt)
+            if stored is not None:
+                merged = merged.unionByName(stored.filter(_in_partitions(places)).withColumn("_new", F.lit(0)),
+                                            allowMissingColumns=True)
+        columns = [c for c in merged.columns if c != "_new"]
+        order = ["ingestion_timestamp", "_new", *[c for c in DEDUPE_ORDER if c in columns and c != "ingestion_timestamp"]]
+        row = F.struct(*columns)
+        merged = merged.groupBy(*KEY).agg(
+            F.max_by(row, F.struct(*order)).alias("row"),
+            F.max_by(F.when(F.col("_new") == 0, row), F.when(F.col("_new") == 0, F.struct(*order))).alias("old"))
+        merged = merged.select("row.*", (~F.col("row").eqNullSafe(F.col("old"))).alias("_changed")).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            changed = merged.filter("_changed")
+            places = _places(changed)
+            first = changed.groupBy("ticker").agg(F.min("date").alias("first_date")).checkpoint()
+            count = 0
+            if places:
+                out = (merged.filter(_in_partitions(places)).hint("rebalance", MONTH, BUCKET)
+                       .sortWithinPartitions(MONTH, BUCKET, "ticker", "date"))
+                obs = Observation("changed")
+                out = out.observe(obs, F.count_if("_changed").alias("rows")).drop("_changed")
+                (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(MONTH, BUCKET).save(path))
+                count = int(obs.get["rows"])
+        finally:
+            merged.unpersist()
+    finally:
+        new.unpersist()
+    return Upserted(count, rejected, first)
+
+
+def _read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """A table with partition folders, with the columns of all its files; None when it has none yet."""
+    if not list_dirs(spark, path):
+        return None
+    return spark.read.option("mergeSchema", "true").format(fmt).load(path)
+
+
+def read_prices(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None = None,
+                start=None, fmt: str = "parquet") -> DataFrame:
+    """The price table, optionally for some tickers and from a date on: static filters on bucket and month."""
+    table = _read_table(spark, path, fmt)
+    if table is None:
+        raise FileNotFoundError(f"no price table at {path}")
+    table = _for_tickers(spark, table, path, tickers)
+    if start is not None:
+        month = f"{start:%Y-%m}"
+        table = table.filter((F.col(MONTH) >= month) & (F.col("date") >= F.lit(start)))
+    return table.drop(BUCKET, MONTH)
+
+
+def _for_tickers(spark: SparkSession, table: DataFrame, path: str, tickers: DataFrame | list[str] | None) -> DataFrame:
+    """Rows of the tickers; the buckets are a static partition filter (at most as many integers as buckets)."""
+    if tickers is None:
+        return table
+    names = None if isinstance(tickers, DataFrame) else sorted(set(tickers))
+    frame = tickers if names is None else spark.createDataFrame([(t,) for t in names], "ticker string")
+    table = table.filter(F.col(BUCKET).isin(bucket_ids(frame, bucket_count(spark, path, None))))
+    if names is not None:
+        return table.filter(F.col("ticker").isin(names))
+    return table.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
+
+
+def overwrite_buckets(df: DataFrame, path: str, n_buckets: int | None = None,
+                      fmt: str = "parquet", touched: list[int] | None = None) -> int:
     """Write a feature frame partitioned by ticker bucket, replacing only the
     buckets present in ``df`` (dynamic partition overwrite). Files are sorted
-    by (ticker, date) so readers skip row groups by ticker statistics."""
-    out = (df.withColumn("ticker_bucket", ticker_bucket(F.col("ticker"), n_buckets))
-             .hint("rebalance", "ticker_bucket")
-             .sortWithinPartitions("ticker_bucket", "ticker", "date"))
-    return write_counted(out, lambda d: d.write.format(fmt).mode("overwrite")
-                         .option("partitionOverwriteMode", "dynamic")
-                         .partitionBy("ticker_bucket").save(path))
+    by (ticker, date) so readers skip row groups by ticker statistics.
+
+    ``touched``: the buckets that ``df`` was made for; one that has no rows left is cleared."""
+    spark = df.sparkSession
+    n = bucket_count(spark, path, n_buckets)
+    out = (df.withColumn(BUCKET, ticker_bucket(F.col("ticker"), n))
+             .hint("rebalance", BUCKET)
+             .sortWithinPartitions(BUCKET, "ticker", "date"))
+    obs = Observation("buckets")
+    # at most n integers
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("buckets"))
+    (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).save(path))
+    for b in set(touched or ()) - set(obs.get["buckets"]):
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{BUCKET}={b}")
+        if fs.exists(p):
+            fs.delete(p, True)
+    return int(obs.get["rows"])
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -113,27 +296,12 @@ def save_as_table(df: DataFrame, name: str, fmt: str = "parquet") -> int:
 
 
 def read_features(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None = None,
-                  n_buckets: int = DEFAULT_TICKER_BUCKETS, fmt: str = "parquet") -> DataFrame:
+                  n_buckets: int | None = None, fmt: str = "parquet") -> DataFrame:
     """Read a ticker-bucket feature table, optionally for some tickers only.
 
-    For a ticker list (already on the driver) the bucket ids are computed by
-    a tiny query -- at most ``n_buckets`` integers come back -- and used as a
-    static partition filter, so only those bucket folders are listed and
-    read; the ticker predicate then skips row groups inside them (files are
-    sorted by ticker). For a ticker frame, the table is semi-joined with the
-    frame's bucket ids (bounded, broadcast), which lets Spark prune
-    dynamically where it judges it worthwhile, and then with the tickers."""
+    The bucket ids of a ticker list or frame -- at most as many integers as the table has
+    buckets -- are a static partition filter, so only those bucket folders are listed and
+    read; the ticker predicate (a semi-join for a frame) then picks the rows inside."""
+    bucket_count(spark, path, n_buckets)
     table = spark.read.format(fmt).load(path)
-    if tickers is None:
-        return table.drop("ticker_bucket")
-    if isinstance(tickers, DataFrame):
-        req = tickers.select("ticker").distinct()
-        buckets = F.broadcast(req.select(ticker_bucket(F.col("ticker"), n_buckets)
-                                         .alias("ticker_bucket")).distinct())
-        return (table.join(buckets, "ticker_bucket", "left_semi")
-                     .join(req, "ticker", "left_semi").drop("ticker_bucket"))
-    names = sorted(set(tickers))
-    ids = [r[0] for r in spark.createDataFrame([(t,) for t in names], "ticker string")
-           .select(ticker_bucket(F.col("ticker"), n_buckets)).distinct().collect()]
-    return (table.filter(F.col("ticker_bucket").isin(ids) & F.col("ticker").isin(names))
-                 .drop("ticker_bucket"))
+    return _for_tickers(spark, table, path, tickers).drop(BUCKET)

@@ -1,12 +1,11 @@
 """Incremental ingest of a quote landing zone with Structured Streaming.
 
-The daily append job as a file stream: each new file in the landing zone
-is read once (the stream checkpoint records which files were processed),
-normalised to the price schema, and appended with the idempotent
-``append_new``; features of the ticker buckets a batch touched are then
-recomputed and written with a bucket overwrite. A batch that is replayed
-after a failure finds its keys already stored and appends nothing, so the
-tables see each row once.
+The daily load job as a file stream: each new file in the landing zone
+is read once (the stream checkpoint records which files were processed) with the declared
+schema, normalised to the price schema and merged with ``upsert_latest``;
+features of the tickers that changed are then refreshed from their earliest changed
+date on. A batch that is replayed after a failure changes nothing: it has the
+ingest date that was recorded for it the first time.
 
 Run it with ``trigger(availableNow=True)`` for a scheduled job that drains
 what has landed and stops, or with a processing-time trigger to keep it
@@ -18,58 +17,39 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import (DateType, DoubleType, LongType, StringType,
-                               StructField, StructType)
 
-from tickwise.operators import clean as C
-from tickwise.operators import features as FE
+from tickwise.plans.refresh import refresh_features
 from tickwise.sources import prices as SP
 from tickwise.sources import sinks as SK
 
-# Landing-zone file layout (source column names).
-LANDING_SCHEMA = StructType([
-    StructField("ticker", StringType()),
-    StructField("Date", DateType()),
-    StructField("Open", DoubleType()),
-    StructField("High", DoubleType()),
-    StructField("Low", DoubleType()),
-    StructField("Close", DoubleType()),
-    StructField("Adj Close", DoubleType()),
-    StructField("Volume", LongType()),
-])
 
-
-def refresh_features(spark: SparkSession, prices_path: str, features_path: str,
-                     touched: DataFrame, run_date: dt.date, variant: str = "close_to_close",
-                     n_buckets: int = SK.DEFAULT_TICKER_BUCKETS) -> int:
-    """Recompute features for every ticker in the buckets of ``touched``
-    (one-column ticker frame) and overwrite those buckets."""
-    bucket = SK.ticker_bucket(F.col("ticker"), n_buckets)
-    # At most n_buckets rows: safe to broadcast.
-    buckets = F.broadcast(touched.select(bucket.alias("_b")).distinct())
-    stored = spark.read.parquet(prices_path)
-    in_buckets = stored.withColumn("_b", bucket).join(buckets, "_b", "left_semi").drop("_b")
-    feats = FE.create_features(C.clean(in_buckets), variant, run_date)
-    return SK.overwrite_buckets(feats, features_path, n_buckets)
+def epoch_date(spark: SparkSession, checkpoint_path: str, epoch_id: int, today: dt.date) -> dt.date:
+    """The ingest date of a micro-batch: ``today`` when it is first seen, the
+    recorded date when it is replayed."""
+    path = f"{checkpoint_path.rstrip('/')}/ingest_dates/{epoch_id}"
+    return dt.date.fromisoformat(SK.write_text_once(spark, path, today.isoformat()))
 
 
 def start_ingest(spark: SparkSession, landing_path: str, prices_path: str,
-                 checkpoint_path: str, run_date: dt.date, features_path: str | None = None,
+                 checkpoint_path: str, run_date: dt.date | None = None, features_path: str | None = None,
                  fmt: str = "parquet", available_now: bool = True,
                  variant: str = "close_to_close",
-                 n_buckets: int = SK.DEFAULT_TICKER_BUCKETS) -> StreamingQuery:
-    """Start the landing-zone stream; returns the running query."""
-    stream = (spark.readStream.format(fmt).schema(LANDING_SCHEMA)
-              .option("header", "true").load(landing_path))
+                 n_buckets: int | None = None) -> StreamingQuery:
+    """Start the landing-zone stream; returns the running query.
+
+    Each micro-batch gets the date it is first run on, or ``run_date`` for a backfill."""
+    reader = spark.readStream.format(fmt).schema(SP.landing_schema(fmt))
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("enforceSchema", "false")
+    stream = reader.load(landing_path)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = SP.normalize_source(batch, run_date)
-        SK.append_new(batch.sparkSession, rows, prices_path, partition_values=[run_date])
+        own = batch.sparkSession
+        day = epoch_date(own, checkpoint_path, epoch_id, run_date or dt.date.today())
+        done = SK.upsert_latest(own, SP.normalize_source(batch, day), prices_path, n_buckets)
         if features_path:
-            refresh_features(batch.sparkSession, prices_path, features_path,
-                             rows.select("ticker").distinct(), run_date, variant, n_buckets)
+            refresh_features(own, prices_path, features_path, done.first_dates, day, variant, n_buckets)
 
     writer = (stream.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint_path))
