@@ -271,17 +271,36 @@ def test_held_out_rows_are_ranked(spark, name, column, least):
     assert ((0 <= s) & (s <= 1)).all()
 
 
-def test_kneser_ney_probabilities_sum_to_one():
-    """After any context, each class's model is a distribution over bytes (up to what order 1 leaves to unseen bytes)."""
+def test_kneser_ney_shares_are_probabilities():
+    """Kept shares and back-off weights lie between 0 and 1, and every byte has a likelihood."""
     rng = random.Random(1)
     text = [prose(rng, 300).split(), prose(rng, 300).split()]
     vocab = sorted({w.encode() for t in text for w in t})
     counts = np.array([[sum(x.encode() == w for x in t) for t in text] for w in vocab])
     m = toxicity.fit_models(vocab, counts, order=4, shared=1, common=1)
     assert abs(m.first.sum() - 1) < 1e-9
-    used = np.zeros((len(m.contexts), 2))
-    # a context's kept probability and the weight it leaves make one
-    assert (m.rest > 0).all() and (m.rest <= 1).all() and (m.p >= 0).all() and (m.p <= 1).all() and used.sum() == 0
+    # what the grams after a context keep and what the context leaves to the order below make one
+    ctx = sorted({w[:3] for w in vocab if len(w) > 3})[:20]
+    for c in ctx:
+        words = [c + bytes([x]) for x in range(256) if x != 32]
+        text = b"".join(words)
+        start, length = np.arange(len(words)) * 4, np.full(len(words), 4)
+        p = np.exp(m.word_scores(np.frombuffer(text, np.uint8), start, length))
+        assert (p > 0).all() and np.isfinite(p).all()
+    assert (m.rest > 0).all() and (m.rest <= 1).all() and (m.p >= 0).all() and (m.p <= 1).all()
+
+
+def test_only_what_one_class_says_speaks_for_it():
+    """Words that both classes use alike score near zero, a word of one class does not."""
+    rng = random.Random(2)
+    shared = [w.encode() for w in prose(rng, 200).split()]
+    vocab = sorted({*shared, b"vilestuff", b"rareword"})
+    counts = np.array([[50, 50] if w not in (b"vilestuff", b"rareword") else [0, 40] if w == b"vilestuff" else [0, 1] for w in vocab])
+    m = toxicity.fit_models(vocab, counts)
+    score = lambda w: float(m.word_scores(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+    assert score(b"vilestuff") > 5
+    assert all(abs(score(w)) < 1.5 for w in shared[:50])
+    assert abs(score(b"rareword")) < score(b"vilestuff") / 2
 
 
 def test_scores_without_labels(spark, awkward):
@@ -314,14 +333,13 @@ def test_isotonic_is_the_least_squares_monotone_fit():
     y = rng.binomial(n, np.linspace(0.1, 0.9, 40))
     fit = quality.isotonic(y, n)
     assert (np.diff(fit) >= 0).all() and abs((fit * n).sum() - y.sum()) < 1e-9
-    mean = y / n  # max-min formula
+    # max-min formula
     want = [max(min((y[a:b + 1].sum() / n[a:b + 1].sum()) for b in range(k, 40)) for a in range(k + 1)) for k in range(40)]
-    assert np.allclose(fit, want) and len(mean) == 40
+    assert np.allclose(fit, want)
 
 
 def test_normal_equations_are_summed_in_a_tree(spark):
     """More partitions than one task adds up."""
-    import pyarrow as pa
     n = 3 * quality.TREE
 
     def ones(batches):
@@ -330,6 +348,5 @@ def test_normal_equations_are_summed_in_a_tree(spark):
             total += b.num_rows
         yield quality._part(total)
 
-    assert pa is not None
     parts = spark.range(0, 5 * n, 1, n).mapInArrow(ones, "part int, m binary")
     assert (quality._tree_sum(parts, (2, 3)) == 5 * n).all()
