@@ -232,5 +232,32 @@ def test_suffix_dedup_long_text_is_cut_into_segments(spark):
     assert got[1]["n_removed"] == 0 and got[1]["kept"] == text.encode()
 
 
+def test_suffix_dedup_compares_whole_names(spark):
+    """Windows that differ in their last ten bytes only, and whose second names agree in the high 32 bits,
+    in batches of their own: nothing is repeated."""
+    rng = np.random.default_rng(3)
+    lengths = suffix_dedup.Lengths(100)
+    while True:  # a start that holds the anchor, and all that the rounds before the last compare by
+        start = rng.integers(97, 123, 90).astype(np.uint8)
+        name = suffix_dedup._names(start, [lengths.k])[0] >> np.uint64(24)
+        if name.argmin() < 4 and name.min() < np.uint64(1 << 33):
+            break
+    ends = rng.integers(97, 123, (10, 200_000)).astype(np.uint8)
+    last, = suffix_dedup._names(np.concatenate([np.repeat(start[50:, None], ends.shape[1], axis=1), ends]), [50])
+    high = last[0] >> np.uint64(32)
+    o = np.argsort(high, kind="stable")
+    twins = np.flatnonzero(high[o[1:]] == high[o[:-1]])[:20]
+    pairs = [(o[i], o[i + 1]) for i in twins if (ends[:, o[i]] != ends[:, o[i + 1]]).any()]
+    assert pairs
+    given = [(n, (start.tobytes() + ends[:, c].tobytes()).decode()) for n, c in enumerate(c for p in pairs for c in p)]
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1")
+    try:
+        check(spark, given, 100)
+    finally:
+        spark.conf.set(size, before)
+
+
 def test_suffix_dedup_empty(nothing):
     assert rows(suffix_dedup.remove_repeats(nothing)) == []

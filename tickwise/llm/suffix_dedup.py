@@ -8,7 +8,8 @@ Only what is still shared goes on to the next length, until the threshold.
 
 Ranks are 64-bit names computed where the text is (a name of ``2h`` bytes is a mix of two
 names of ``h``), so a round needs no global numbering; every decision rests on a pair
-of names, 96 bits. At the threshold of 100 the rounds over the cluster go through the lengths 32, 66, 83 and 100:
+of whole names. Strings with the same anchor or first half have the first name in common, and
+the 64 bits of the second one tell them apart. At the threshold of 100 the rounds over the cluster go through the lengths 32, 66, 83 and 100:
 
 1. Sampled positions. Of the 32-byte names in a window of 100 bytes the smallest is
    the window's anchor, the same in every copy of the window; a run of windows with
@@ -196,18 +197,17 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x, np.uint64).view(np.int64))
 
 
-# A position of a round, packed: the name it is grouped by; the second name (32 bits), length and
-# flag; its id; the text's hash and the place. Rows of one class agree in ``x`` and ``y`` but for the flag.
-SPAN = ["x", "y", "id", "at"]
-_FLAG, _LENGTH = np.uint64(3), np.uint64((1 << 30) - 1)
+# A position of a round: the name it is grouped by; the second name; length and flag; its id; the
+# text's hash and the place. Rows of one class agree in ``x``, ``y`` and ``n`` but for the flag.
+SPAN = ["x", "y", "n", "id", "at"]
+_FLAG, _LENGTH = np.uint32(3), np.uint32((1 << 30) - 1)
 
 
 def _rows(batch: pa.RecordBatch, x, y, flag, row, lo, hi) -> pa.RecordBatch:
-    low32 = np.uint64(0xFFFFFFFF)
-    y = (y & ~low32) | ((hi - lo).astype(np.uint64) << np.uint64(2)) | np.uint64(flag)
+    n = ((hi - lo).astype(np.uint32) << np.uint32(2)) | np.uint32(flag)
     text_hash = column(batch, "text_hash").to_numpy().astype(np.int64).astype(np.uint64)[row]
     return pa.RecordBatch.from_arrays([
-        _signed(x), _signed(y), column(batch, "id").take(pa.array(row, pa.int64())),
+        _signed(x), _signed(y), pa.array(n.view(np.int32)), column(batch, "id").take(pa.array(row, pa.int64())),
         _signed((text_hash << np.uint64(32)) | lo.astype(np.uint64))], SPAN)
 
 
@@ -288,12 +288,13 @@ def _settle(ask: bool):
     """
     def settled(t: pa.Table) -> pa.RecordBatch:
         x, y, at = (t.column(c).to_numpy().view(np.uint64) for c in ("x", "y", "at"))
-        flag = (y & _FLAG).astype(np.int64)
+        n = t.column("n").to_numpy().view(np.uint32)
+        flag = (n & _FLAG).astype(np.int64)
         codes = pc.fill_null(pc.dictionary_encode(_one(t.column("id"))).indices, -1).to_numpy(zero_copy_only=False)
         kind = np.where(flag == DONE, REPEATED, -1)
         i = np.flatnonzero((flag != DONE) & (flag != MARK))
         if len(i):
-            new = np.append(True, (x[i][1:] != x[i][:-1]) | (y[i][1:] != y[i][:-1]))
+            new = np.append(True, (x[i][1:] != x[i][:-1]) | (y[i][1:] != y[i][:-1]) | (n[i][1:] != n[i][:-1]))
             head = i[np.flatnonzero(new)[np.cumsum(new) - 1]]
             other = (codes[i] != codes[head]) | (at[i] != at[head])
             kind[i[~new & other]] = REPEATED
@@ -305,7 +306,7 @@ def _settle(ask: bool):
                 kind[heads[asked]] = ASKED
         keep = np.flatnonzero(kind >= 0)
         lo = (at[keep] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        length = ((y[keep] >> np.uint64(2)) & _LENGTH).astype(np.int64)
+        length = (n[keep] >> np.uint32(2)).astype(np.int64)
         return pa.RecordBatch.from_arrays([
             pa.array(kind[keep].astype(np.int32)), _one(t.column("id").take(pa.array(keep))),
             pa.array((at[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
@@ -425,14 +426,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     d = d.withColumn("text_hash", F.hash("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = f"x bigint, y bigint, id {kind}, at bigint"
+    rows = f"x bigint, y bigint, n int, id {kind}, at bigint"
     spans = f"kind int, id {kind}, text_hash int, lo int, hi int"
 
     def ranked(df: DataFrame, ask: bool) -> DataFrame:
         """Positions dealt out by name, sorted by their pair of names, reranked."""
-        by_second = F.col("y").bitwiseAND(F.lit(3)) == SHARED
+        by_second = F.col("n").bitwiseAND(F.lit(3)) == SHARED
         route = F.when(by_second, F.shiftright("y", 32)).otherwise(F.col("x"))
-        return df.repartition(route).sortWithinPartitions("x", "y", "id", "at").mapInArrow(_settle(ask), spans)
+        return df.repartition(route).sortWithinPartitions("x", "y", "n", "id", "at").mapInArrow(_settle(ask), spans)
 
     def with_spans(df: DataFrame, how: str) -> DataFrame:
         own = df.groupBy("id", "text_hash").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans")).select(
