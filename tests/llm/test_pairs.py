@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from .rows import CLASHING, awkward_rows, prose, with_clashes
 
 from tickwise.llm import exact_dedup, simhash, suffix_dedup
@@ -259,5 +260,14 @@ def test_suffix_dedup_compares_whole_names(spark):
         spark.conf.set(size, before)
 
 
+def test_suffix_dedup_deals_out_by_both_names(spark):
+    """Round 4's rows before a common passage: one second name, many first ones; they do not go to one reducer."""
+    flag = suffix_dedup.SHARED
+    df = spark.createDataFrame([(i, 7 << 32, flag) for i in range(1000)] * 2, "x long, y long, n int")
+    where = rows(df.repartition(8, suffix_dedup._route()).select("x", F.spark_partition_id().alias("p")).distinct())
+    assert len(where) == 1000  # equal classes meet
+    assert len({p for _, p in where}) == 8
+
+
 def test_suffix_dedup_empty(nothing):
     assert rows(suffix_dedup.remove_repeats(nothing)) == []

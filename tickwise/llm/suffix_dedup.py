@@ -24,7 +24,7 @@ the 64 bits of the second one tell them apart. At the threshold of 100 the round
 
 Every map task settles repeats inside its own batch and sends on one position of a
 class, and of an anchor with several classes only a mark goes to the anchor's partition (its
-classes are dealt out by their own names). So a passage that a third of all documents hold costs a
+classes are dealt out by both names). So a passage that a third of all documents hold costs a
 reducer a row or two per map batch. Texts are shuffled once, by id, and all later passes read that shuffle.
 """
 
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.textblocks import BYTE_CODES, column, mix, text_bytes
@@ -411,6 +411,12 @@ def _remove(lengths: Lengths, with_text: bool):
     return run
 
 
+def _route() -> Column:
+    """What a row is dealt out by: its anchor's name, or both names if the anchor may be hot (equal classes still meet)."""
+    by_both = F.col("n").bitwiseAND(F.lit(3)) == SHARED
+    return F.when(by_both, F.xxhash64("x", "y")).otherwise(F.col("x"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
                    with_text: bool = False) -> DataFrame:
     """One row per input row: ``id_col, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the bytes left).
@@ -431,9 +437,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def ranked(df: DataFrame, ask: bool) -> DataFrame:
         """Positions dealt out by name, sorted by their pair of names, reranked."""
-        by_second = F.col("n").bitwiseAND(F.lit(3)) == SHARED
-        route = F.when(by_second, F.shiftright("y", 32)).otherwise(F.col("x"))
-        return df.repartition(route).sortWithinPartitions("x", "y", "n", "id", "at").mapInArrow(_settle(ask), spans)
+        return df.repartition(_route()).sortWithinPartitions("x", "y", "n", "id", "at").mapInArrow(_settle(ask), spans)
 
     def with_spans(df: DataFrame, how: str) -> DataFrame:
         own = df.groupBy("id", "text_hash").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans")).select(
