@@ -157,6 +157,50 @@ def test_bad_templates(markup):
         license_scan.Scanner([], [("t", markup)])
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the \u201cSoftware\u201d), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions:"""
+MIT_REST = """ The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions
+and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_THIRD = """ 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the " \
+      "Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+
+
+@pytest.mark.parametrize("text, label", [
+    (MIT_TEXT, "mit"), (MIT_TEXT + MIT_REST, "mit"), (BSD_TEXT, "bsd"), (BSD_TEXT + BSD_THIRD, "bsd"),
+    (GNU.format("General Public License"), "gpl"), (GNU.format("Lesser General Public License"), "lgpl"),
+    (GNU.format("Affero General Public License"), "agpl"),
+    ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "gpl"), ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991", "gpl"),
+    ("Apache License Version 2.0, January 2004", "apache-2"),
+    ("The ASF licenses this file to You under the Apache License, Version 2.0", "apache-2"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("licensed under the Creative Commons Attribution 4.0", "cc-by"),
+    ("licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+])
+def test_license_scan_real_texts(text, label):
+    """The whole text or header is found up to its last word; without any one mandatory word the run is not."""
+    scanner = license_scan.Scanner([], license_scan.TEMPLATES)
+    words = license_scan.words_of(text.encode())
+    found = scanner.scan(words)["found"]
+    assert {x for x, _, _ in found} == {label} and max(end for _, _, end in found) == len(words)
+    (_, first, end), = [f for f in found if f[2] == len(words)]
+    needed = 0
+    for i in range(first, end):
+        spoilt = [*words[:i], b"qqq", b"qqq", *[b"qqq"] * 11, *words[i + 1:]]  # longer than a variable region
+        needed += not scanner.scan(spoilt)["found"]
+    assert needed >= scanner.scan(words)["wording"]
+
+
 def test_license_scan_empty(nothing):
     assert rows(license_scan.digest(license_scan.scan_licenses(nothing))) == []
 

@@ -46,6 +46,47 @@ TEMPLATES = [
     ("lgpl", "licensed under the gnu lesser general public license <<optional>>version <<var 2>>3<</var>><</optional>>"),
     ("bsd", "licensed under the bsd <<optional>><<var 2>>3 clause<</var>><</optional>> license"),
     ("proprietary", "all rights reserved"),
+    # licence texts
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+            "documentation files the <<var 1>>software<</var>> to deal in the software without restriction including without "
+            "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software "
+            "and to permit persons to whom the software is furnished to do so subject to the following conditions <<optional>>the "
+            "above copyright notice and this permission notice <<optional>>including the next paragraph<</optional>> shall be "
+            "included in all copies or substantial portions of the software<</optional>> <<optional>>the software is provided "
+            "<<var 2>>as is<</var>> without warranty of any kind express or implied including but not limited to the warranties of "
+            "merchantability fitness for a particular purpose and noninfringement in no event shall <<var>>the authors or "
+            "copyright holders<</var>> be liable for any claim damages or other liability whether in an action of contract tort or "
+            "otherwise arising from out of or in connection with the software or the use or other dealings in the software<</optional>>"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+            "following conditions are met <<optional>><<var 1>>1<</var>><</optional>> redistributions of source code must retain "
+            "the above copyright notice this list of conditions and the following disclaimer <<optional>><<var 1>>2<</var>>"
+            "<</optional>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+            "following disclaimer in the documentation and or other materials provided with the distribution "
+            "<<optional>><<optional>><<var 1>>3<</var>><</optional>> all advertising materials mentioning features or use of this "
+            "software must display the following acknowledgement this product includes software developed by "
+            "<<var>>the organization<</var>><</optional>> <<optional>><<optional>><<var 1>>3<</var>><</optional>> neither the name of "
+            "<<var>>the copyright holder<</var>> nor the names of <<var>>its contributors<</var>> may be used to endorse or promote "
+            "products derived from this software without specific prior written permission<</optional>>"),
+    ("isc", "permission to use copy modify and <<optional>>or<</optional>> distribute this software for any purpose with or without "
+            "fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("apache-2", "apache license version 2 0 january 2004"),
+    ("gpl", "gnu general public license version <<var 1>>3<</var>> <<optional>><<var 1>>29<</var>><</optional>> june <<var 1>>2007<</var>>"),
+    ("lgpl", "gnu lesser general public license version 3 29 june 2007"),
+    ("lgpl", "gnu lesser general public license version 2 1 february 1999"),
+    ("agpl", "gnu affero general public license version 3 19 november 2007"),
+    # standard headers
+    ("apache-2", "licenses this file to you under the apache license version 2 <<optional>>0<</optional>>"),
+    *[(label, f"redistribute it and or modify it under the terms of the gnu {name} <<optional>>version <<var 2>>3<</var>><</optional>> "
+              "<<optional>>as published by the free software foundation <<optional>>either version <<var 2>>3<</var>> of the license "
+              "or at your option any later version<</optional>><</optional>>")
+      for label, name in (("gpl", "general public license"), ("lgpl", "lesser general public license"),
+                          ("lgpl", "library general public license"), ("agpl", "affero general public license"))],
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 <<optional>>if a copy of the mpl was "
+            "not distributed with this file you can obtain one at <<var 6>>https mozilla org mpl 2 0<</var>><</optional>>"),
+    *[(label, f"licensed under <<optional>><<var 1>>a<</var>><</optional>> creative commons attribution {more} <<var 1>>4<</var>> 0 "
+              "<<optional>>international<</optional>> <<optional>>license<</optional>>")
+      for label, more in (("cc-by", ""), ("cc-by-sa", "sharealike"), ("cc-by-sa", "share alike"), ("cc-by-nc", "noncommercial"),
+                          ("cc-by-nc", "non commercial"))],
 ]
 
 
