@@ -90,6 +90,20 @@ def test_decontaminate_empty(spark, awkward, nothing):
     assert decontaminate.remove_contaminated(awkward, none).count() == awkward.count()
 
 
+def test_decontaminate_one_part_at_a_time(spark):
+    """Three parts and one give the same rows; in the plan there is one pass, so one broadcast is live; a
+    repeated item counts once."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(40)) for k in range(9)]
+    bench = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(texts)] + [("i0", texts[0])] * 30, "item_id string, text string")
+    docs = spark.createDataFrame([(k, f"so {t} on {texts[-1 - k]}") for k, t in enumerate(texts)], "doc_id long, text string")
+    size = sum(map(len, texts))
+    assert len(list(decontaminate._parts(bench, "item_id", "text", size))) == 1
+    split = decontaminate.find_matches(docs, bench, part_bytes=size // 3 + 1)
+    assert split._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(str, rows(split))) == sorted(map(str, rows(decontaminate.find_matches(docs, bench))))
+    assert all(r["items"] for r in split.collect())
+
+
 # --- license scan ---
 
 def test_license_scan_base_brute_force(spark, documents):

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from tickwise.llm.textblocks import Words, blocks, column, text_bytes
+from tickwise.session import ensure_checkpoint_dir
 
 WINDOW = 13            # words in a window
 MIN_SHARE = (1, 20)    # share of a document's words that makes it contaminated
@@ -151,8 +152,8 @@ def _verbatim(words: Words, tests: TestSuffixes, ids: np.ndarray, place: np.ndar
 
 
 def _parts(benchmark: DataFrame, item_col: str, text_col: str, part_bytes: int) -> Iterator[list[tuple]]:
-    """The benchmark's rows in parts of about ``part_bytes``: rows leave the cluster one part at a time."""
-    own = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t"))
+    """The benchmark's different rows in parts of about ``part_bytes``: rows leave the cluster one part at a time."""
+    own = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).distinct()
     total = own.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, math.ceil(total / part_bytes))
     for k in range(n):
@@ -176,12 +177,20 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     item text has no window; a null item id counts as the string ``null``;
     repeated rows are judged one by one; empty tables give no rows, or no
     hits. The document's columns stay in a struct, so no name can clash.
+
+    Of a benchmark of several parts one is matched at a time: what is found goes to
+    ``spark.checkpoint.dir`` before the next part is sent out.
     """
     sc = docs.sparkSession.sparkContext
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = StructType([StructField("row", StructType(docs.schema.fields)), *FOUND])
     place = docs.columns.index(text_col)
+    shared = None
     for part in _parts(benchmark, item_col, item_text_col, part_bytes):
+        if shared is not None:
+            ensure_checkpoint_dir(docs.sparkSession)
+            out = out.checkpoint()
+            shared.unpersist()
         shared = sc.broadcast(test_suffixes(part, window))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
