@@ -6,9 +6,12 @@ kept. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tickwise.llm import decontaminate, exact_dedup, packing, registry, simhash, toxicity
+from tickwise.session import ensure_checkpoint_dir
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each stage but the last keeps is written under ``spark.checkpoint.dir`` as Parquet, and read by the next."""
+    folder = f"{ensure_checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = registry.table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
+        if k:
+            path = f"{folder}/{STAGES[k - 1][0]}"
+            docs.write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
         docs = stage(spark, docs, sf_dir)
     return docs

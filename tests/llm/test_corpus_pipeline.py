@@ -75,3 +75,17 @@ def test_the_rest_does_not_need_this_package(tmp_path):
             "q = e.queries()\n"
             "assert q and not any(k.startswith('op') or k == 'pipeline' for k in q)\n")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path)
+
+
+def test_run_writes_and_rereads_each_stage(spark):
+    """The last stage reads what the one before it wrote, and each written stage holds that stage's rows."""
+    out = corpus_pipeline.run(spark, SMALL)
+    files = out.inputFiles()
+    assert files and all("/corpus-" in f and "/decontamination/" in f for f in files)
+    folder = files[0].rsplit("/decontamination/", 1)[0]
+    left = [spark.read.parquet(f"{folder}/{name}") for name, _ in corpus_pipeline.STAGES[:-1]]
+    assert all(df.columns == COLUMNS for df in left)
+    counts = [df.count() for df in left]
+    assert counts == sorted(counts, reverse=True) and counts[-1] > 0
+    kept = [(r.doc_id, r.text) for r in left[-1].collect()]
+    assert check_packed(kept, out.collect()) == 0
