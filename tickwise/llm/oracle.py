@@ -110,3 +110,65 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BI
   least(greatest(coalesce(wording, 0), CASE WHEN base.n > 0 THEN 3 ELSE 0 END) / 8.0, 1.0)::DOUBLE AS score,
   CAST(coalesce(found.n, 0) AS BIGINT) AS n_found
 FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)"""
+
+
+def crc32(text: str) -> str:
+    """The CRC-32 of a string's UTF-8 bytes, four bits at a time."""
+    table = []
+    for c in range(16):
+        for _ in range(4):
+            c = (c >> 1) ^ 0xEDB88320 if c & 1 else c >> 1
+        table.append(c)
+    digits = f"hex(encode({text}))"
+    nibbles = f"list_transform(range(CAST(length({digits}) AS BIGINT)), lambda i: CAST('0x' || {digits}[CAST(xor(i, 1) AS BIGINT) + 1] AS BIGINT))"
+    return f"""xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || {nibbles},
+  lambda a, x: xor(a >> 4, CAST({table} AS BIGINT[])[(xor(a, x) & 15) + 1])))"""
+
+
+SQL["op12_line_dedup"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+n AS (SELECT r, i, l[i] AS line, translate(trim(l[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key
+  FROM d, LATERAL (SELECT unnest(range(1, len(l) + 1)) AS i)),
+common AS (SELECT key FROM n WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10),
+k AS (SELECT r, count(*) AS n_lines, count(*) FILTER (common.key IS NOT NULL) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (common.key IS NULL), '') AS kept
+  FROM n LEFT JOIN common USING (key) GROUP BY r)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM d JOIN k USING (r)"""
+
+SQL["op11_spelling"] = rf"""
+WITH RECURSIVE runs AS (  -- a document's different runs
+  SELECT doc_id, translate(w, '{UPPER}', '{LOWER}') AS w, count(*) AS n FROM (
+    SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS w FROM documents)
+  GROUP BY r, 1, 2),
+h AS (SELECT w, n, {crc32("coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || w")} AS h FROM runs),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, n FROM h)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z
+  FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),
+near AS (
+  SELECT x.word, y.word AS other, y.n FROM cut x JOIN cut y ON x.a = y.a AND x.z = y.z AND x.word <> y.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.a || c.z
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.a || c.z),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS other_n FROM near GROUP BY word),
+f AS (SELECT word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * words.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS at FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL)
+SELECT f.*, walk.at AS root FROM f JOIN walk USING (word) JOIN f AS e ON e.word = walk.at WHERE e.form IS NULL"""
+
+SQL["op13_importance"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
+o AS (SELECT r, unnest(w) AS w FROM d), b AS (SELECT unnest({words('text')}) AS w FROM benchmark),
+hashed AS (SELECT w, {crc32('w')} % 10000 AS k FROM (SELECT w FROM o UNION SELECT w FROM b)),
+s AS (SELECT k, count(*) AS s FROM o JOIN hashed USING (w) GROUP BY k), t AS (SELECT k, count(*) AS t FROM b JOIN hashed USING (w) GROUP BY k),
+gain AS (SELECT k, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE)
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM range(10000) x(k) LEFT JOIN s USING (k) LEFT JOIN t USING (k)),
+g AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM o JOIN hashed USING (w) JOIN gain USING (k) GROUP BY r),
+v AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(weight, 0) AS weight,
+    CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), 'null'))[1:8] AS BIGINT) AS h FROM d LEFT JOIN g USING (r)),
+x AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM v),
+p AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n FROM x WHERE n_words >= 20)
+SELECT doc_id, n_words AS n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank, n_words
+FROM x LEFT JOIN p USING (r)"""

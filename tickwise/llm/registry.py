@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import (chat_format, decontaminate, exact_dedup, license_scan, packing, quality, simhash,
-                          suffix_dedup, toxicity, url_filter)
+from tickwise.llm import (chat_format, decontaminate, exact_dedup, importance, license_scan, line_dedup, packing, quality,
+                          simhash, spelling, suffix_dedup, toxicity, url_filter)
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"  # the same vocabulary as ranks
@@ -87,6 +87,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), typo_every=97)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_common_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), sizes=range(1, 2),
+                                buckets=10_000, min_words=20, share=(10, 100), seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_format, op2_toxicity, op3_suffix_dedup, op4_license_scan, op5_quality, op6_url_filter, op7_decontaminate, op8_simhash,
-    op9_packing, op10_exact_dedup)}
+    op9_packing, op10_exact_dedup, op11_spelling, op12_line_dedup, op13_importance)}
