@@ -17,6 +17,7 @@ from tickwise.operators import clean as C
 from tickwise.operators import features as FE
 from tickwise.operators import quality as QA
 from tickwise.plans.refresh import refresh_features
+from tickwise.sources import landing as LA
 from tickwise.sources import prices as SP
 from tickwise.sources import sinks as SK
 
@@ -53,13 +54,15 @@ def run_summary(status: DataFrame) -> DataFrame:
 
 @dataclass
 class RunResult:
-    """``changed_rows``: new or corrected prices; ``rejected_rows``: landed rows without a key."""
+    """``changed_rows``: new or corrected prices; ``rejected_rows``: landed rows without a key;
+    ``files``: the landed files, which of them were read and why others were not."""
 
     changed_rows: int
     rejected_rows: int
     feature_rows: int
     status: DataFrame
     report: DataFrame
+    files: DataFrame
 
 
 def _requested_frame(spark: SparkSession, tickers) -> DataFrame | None:
@@ -71,16 +74,22 @@ def _requested_frame(spark: SparkSession, tickers) -> DataFrame | None:
 def run_daily(spark: SparkSession, landing_path: str, prices_path: str, features_path: str,
               run_date: dt.date, tickers=None, landing_format: str = "parquet",
               variant: str = "close_to_close", start=None, end=None,
-              n_buckets: int | None = None) -> RunResult:
+              n_buckets: int | None = None, quarantine_path: str | None = None) -> RunResult:
     """Ingest, clean, compute features, write and validate in one run.
 
+    A file that can't be read is left out and reported (``landing.scan_landing_files``), and recorded in the table at
+    ``quarantine_path`` if one is named; the run fails only if no file has rows of a requested ticker.
+
     tickers: list or one-column frame of requested tickers (None = all in
     the landing zone). All landed dates are loaded unless ``start`` or ``end``
     says otherwise. Prices are merged (one row per ticker and date, the newest ingest wins), and
     features are refreshed from each ticker's earliest changed date on.
     Re-running with the same inputs changes nothing and writes nothing."""
     requested = _requested_frame(spark, tickers)
-    batch = SP.scan_landing(spark, landing_path, landing_format, run_date, start, end)
+    landed = LA.scan_landing_files(spark, landing_path, landing_format, run_date, start, end)
+    batch = landed.rows
+    if quarantine_path:
+        LA.record_quarantine(spark, landed.files, quarantine_path, run_date)
     if requested is not None:
         batch = batch.join(requested.select("ticker").distinct(), "ticker", "left_semi")
     else:
@@ -95,4 +104,4 @@ def run_daily(spark: SparkSession, landing_path: str, prices_path: str, features
     stored_req = SK.read_prices(spark, prices_path, req)
     status = run_status(stored_req, requested, variant, run_date, features=table_req)
     report = QA.validation_report(table_req, requested)
-    return RunResult(done.changed, done.rejected, written, status, report)
+    return RunResult(done.changed, done.rejected, written, status, report, landed.files)

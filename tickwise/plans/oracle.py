@@ -496,6 +496,10 @@ SQL["p_landing_mixed"] = with_(PRICES) + """
 SELECT ticker, date, open, high, low, close, CASE WHEN day(date) % 2 = 0 THEN adj_close + 1 ELSE close END AS adj_close,
        volume, ingestion_timestamp FROM prices"""
 
+SQL["p_local_dates"] = SQL["p_rename"]
+SQL["p_landing_quarantine"] = with_(PRICES) + f"SELECT {PRICES_COLS}, 4 AS bad_files FROM prices WHERE day(date) % 5 < 2"
+SQL["p_landing_quarantine_csv"] = with_(PRICES) + f"SELECT {PRICES_COLS}, 2 AS bad_files FROM prices WHERE day(date) % 5 < 2"
+
 # --- full recompute checks ---
 
 

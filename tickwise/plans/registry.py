@@ -26,6 +26,7 @@ from tickwise.plans import model as ML
 from tickwise.plans import refresh as RF
 from tickwise.session import ensure_checkpoint_dir
 from tickwise.sources import fixtures as FX
+from tickwise.sources import landing as LA
 from tickwise.sources import prices as SP
 from tickwise.sources import sinks as SK
 
@@ -652,3 +653,62 @@ def p_landing_mixed(spark, sf_dir):
     raw.filter(~even).drop("Adj Close").write.parquet(f"{path}/day=1")
     raw.filter(even).write.parquet(f"{path}/day=2")
     return SP.scan_landing(spark, path, run_date=FX.FIXTURE_INGEST_DATE)
+
+
+def _landing_columns(df):
+    """Price rows as a download writes them."""
+    return df.select("ticker", F.col("date").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"),
+                     F.col("low").alias("Low"), F.col("close").alias("Close"), F.col("adj_close").alias("Adj Close"),
+                     F.col("volume").alias("Volume"))
+
+
+OFFSETS = ["+09:00", "-05:00", "+01:00"]
+
+
+@register("p_local_dates")
+def p_local_dates(spark, sf_dir):
+    """Bars written as text, each day with one of three offsets, some late in the evening: the date as written stays."""
+    path = _fresh_dir(spark, "local")
+    day = F.dayofmonth("Date")
+    hour = F.when(day % 2 == 0, "00:00:00").otherwise("23:30:00")
+    offset = F.element_at(F.array(*[F.lit(o) for o in OFFSETS]), (day % 3 + 1).cast("int"))
+    bars = _landing_columns(FX.prices(spark, sf_dir))
+    bars.withColumn("Date", F.concat(F.date_format("Date", "yyyy-MM-dd "), hour, offset)).write.option("header", "true").csv(path)
+    return SP.scan_landing(spark, path, "csv", FX.FIXTURE_INGEST_DATE)
+
+
+def _landing_parts(spark, sf_dir, path, write):
+    """Bars by day of the month modulo 5: 0 and 1 as they should be, 2 with foreign names, 3 without usable keys."""
+    bars = _landing_columns(FX.prices(spark, sf_dir))
+    part = F.dayofmonth("Date") % 5
+    write(bars.filter(part == 0), f"{path}/d0")
+    write(bars.filter(part == 1), f"{path}/d1")
+    write(bars.filter(part == 2).withColumnsRenamed({c: f"{c} x" for c in bars.columns}).coalesce(1), f"{path}/d2")
+    write(bars.filter(part == 3).withColumn("ticker", F.lit(None).cast("string")).coalesce(1), f"{path}/d3")
+
+
+def _good_and_bad(spark, path, fmt):
+    landed = LA.scan_landing_files(spark, path, fmt, FX.FIXTURE_INGEST_DATE)
+    bad = landed.files.agg(F.count_if(F.col("status") == LA.QUARANTINED)).scalar()
+    return landed.rows.withColumn("bad_files", bad)
+
+
+@register("p_landing_quarantine")
+def p_landing_quarantine(spark, sf_dir):
+    """Parquet files, of which one has foreign names, one no keys, one is cut off and one is text: the rows of the
+    others, and how many are bad."""
+    path = _fresh_dir(spark, "quarantine")
+    _landing_parts(spark, sf_dir, path, lambda df, p: df.write.parquet(p))
+    cut = _landing_columns(FX.prices(spark, sf_dir)).filter(F.dayofmonth("Date") % 5 == 4).coalesce(1)
+    cut.write.parquet(f"{path}-whole")
+    SK.copy_part(spark, LA.list_files(spark, f"{path}-whole", "*.parquet").first()["path"], f"{path}/d4/cut.parquet", 0.5)
+    cut.select(F.col("ticker").alias("value")).write.text(f"{path}/d5")
+    return _good_and_bad(spark, path, "parquet")
+
+
+@register("p_landing_quarantine_csv")
+def p_landing_quarantine_csv(spark, sf_dir):
+    """The same with CSV files: a foreign header, and rows without a ticker."""
+    path = _fresh_dir(spark, "quarantine-csv")
+    _landing_parts(spark, sf_dir, path, lambda df, p: df.write.option("header", "true").csv(p))
+    return _good_and_bad(spark, path, "csv")

@@ -47,7 +47,7 @@ def restrict(df: DataFrame, start=None, end=None, tickers: list[str] | None = No
 def normalize_source(raw: DataFrame, ingest_date, ticker: str | None = None,
                      extra: list[str] | None = None) -> DataFrame:
     """Source columns to the price schema: snake-case names, timestamps to
-    dates (any time zone dropped), ticker and ingest-date tags, adj_close
+    dates (any time zone or offset dropped: the date as written), ticker and ingest-date tags, adj_close
     falling back to close, declared types (unparsable values -> NULL;
     ``clean.unparsed_counts`` counts them). ``extra`` columns are kept as
     they are behind the declared ones."""
@@ -61,7 +61,8 @@ def named_source(raw: DataFrame, ingest_date, ticker: str | None = None) -> Data
     df = raw.withColumnsRenamed({k: v for k, v in SOURCE_RENAMES.items() if k in raw.columns})
     if ticker is not None:
         df = df.withColumn("ticker", F.lit(ticker))
-    df = df.withColumn("date", F.col("date").try_cast("timestamp").cast("date")
+    # text is read without a zone: an offset is dropped and the exchange's own date stays
+    df = df.withColumn("date", F.col("date").try_cast("timestamp_ntz").cast("date")
                        if dict(df.dtypes)["date"] == "string" else F.to_date("date"))
     return with_adj_close(df).withColumn("ingestion_timestamp", F.lit(ingest_date).cast("date"))
 
@@ -96,17 +97,24 @@ def scan_landing(spark: SparkSession, path: str, fmt: str = "parquet",
     return restrict(rows, start, end, tickers)
 
 
-def source_status(requested: DataFrame, rows: DataFrame) -> DataFrame:
+def source_status(requested: DataFrame, rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Per requested ticker: ok/failed and its row count, plus total_rows,
     the rows of all requested tickers together (a scalar subquery over the
-    per-ticker result, not a window that would gather it in one task)."""
+    per-ticker result, not a window that would gather it in one task).
+
+    ``files``: the table of landed files (``landing.scan_landing_files``); bad_files is then the number of
+    those that could not be used, in which a failed ticker's rows may be."""
     counts = rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("row_count"))
     out = (requested.select("ticker").distinct().join(counts, "ticker", "left")
                     .select("ticker",
                             F.when(F.col("row_count") > 0, "ok").otherwise("failed").alias("status"),
                             F.coalesce(F.col("row_count"), F.lit(0)).cast("bigint").alias("row_count")))
     total = out.agg(F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint")).scalar()
-    return out.withColumn("total_rows", total)
+    out = out.withColumn("total_rows", total)
+    if files is None:
+        return out
+    bad = files.agg(F.count_if(F.col("status") == "quarantined")).scalar()
+    return out.withColumn("bad_files", bad)
 
 
 def require_any(status: DataFrame) -> None:

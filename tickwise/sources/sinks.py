@@ -95,6 +95,19 @@ def write_text_once(spark: SparkSession, path: str, text: str) -> str:
     return read_text(spark, path)
 
 
+def copy_part(spark: SparkSession, source: str, target: str, share: float) -> None:
+    """The first ``share`` of a file's bytes as another file: what an interrupted upload leaves."""
+    fs, p = _fs(spark, source)
+    to_fs, to = _fs(spark, target)
+    given, made = fs.open(p), to_fs.create(to, False)
+    try:
+        spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes(
+            given, made, int(fs.getFileStatus(p).getLen() * share), False)
+    finally:
+        made.close()
+        given.close()
+
+
 def stored_buckets(spark: SparkSession, path: str) -> int | None:
     """The bucket count of the table at ``path``."""
     text = read_text(spark, f"{path.rstrip('/')}/{LAYOUT_FILE}")

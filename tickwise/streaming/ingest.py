@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.plans.refresh import refresh_features
+from tickwise.sources import landing as LA
 from tickwise.sources import prices as SP
 from tickwise.sources import sinks as SK
 
@@ -35,19 +36,34 @@ def start_ingest(spark: SparkSession, landing_path: str, prices_path: str,
                  checkpoint_path: str, run_date: dt.date | None = None, features_path: str | None = None,
                  fmt: str = "parquet", available_now: bool = True,
                  variant: str = "close_to_close",
-                 n_buckets: int | None = None) -> StreamingQuery:
+                 n_buckets: int | None = None, quarantine_path: str | None = None) -> StreamingQuery:
     """Start the landing-zone stream; returns the running query.
 
-    Each micro-batch gets the date it is first run on, or ``run_date`` for a backfill."""
-    reader = spark.readStream.format(fmt).schema(SP.landing_schema(fmt))
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("enforceSchema", "false")
-    stream = reader.load(landing_path)
+    Each micro-batch gets the date it is first run on, or ``run_date`` for a backfill.
+
+    With ``quarantine_path`` the stream is one of file names: each micro-batch probes its files as the batch job does, reads
+    those that can be read and records the others there, so a bad file does not stop the stream."""
+    if quarantine_path:
+        stream = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+                  .option("recursiveFileLookup", "true").load(landing_path).select("path"))
+    else:
+        reader = spark.readStream.format(fmt).schema(SP.landing_schema(fmt))
+        if fmt == "csv":
+            reader = reader.option("header", "true").option("enforceSchema", "false")
+        stream = reader.load(landing_path)
+
+    def landed_rows(batch: DataFrame, day: dt.date) -> DataFrame:
+        if not quarantine_path:
+            return SP.normalize_source(batch, day)
+        names = [LA.literal(r[0]) for r in batch.collect()]  # one row a file
+        landed = LA.scan_landing_files(batch.sparkSession, names, fmt, day)
+        LA.record_quarantine(batch.sparkSession, landed.files, quarantine_path, day)
+        return landed.rows
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         own = batch.sparkSession
         day = epoch_date(own, checkpoint_path, epoch_id, run_date or dt.date.today())
-        done = SK.upsert_latest(own, SP.normalize_source(batch, day), prices_path, n_buckets)
+        done = SK.upsert_latest(own, landed_rows(batch, day), prices_path, n_buckets)
         if features_path:
             refresh_features(own, prices_path, features_path, done.first_dates, day, variant, n_buckets)
 
