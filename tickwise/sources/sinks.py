@@ -101,8 +101,7 @@ def copy_part(spark: SparkSession, source: str, target: str, share: float) -> No
     to_fs, to = _fs(spark, target)
     given, made = fs.open(p), to_fs.create(to, False)
     try:
-        spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes(
-            given, made, int(fs.getFileStatus(p).getLen() * share), False)
+        spark.sparkContext._jvm.org.apache.commons.io.IOUtils.copyLarge(given, made, 0, int(fs.getFileStatus(p).getLen() * share))
     finally:
         made.close()
         given.close()
