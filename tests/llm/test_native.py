@@ -50,9 +50,47 @@ def test_round_trip(spark):
         for s in r.loss_spans:
             block = r.blocks[s.turn]
             assert block[s.start:s.start + s.length] == block[len("### assistant: "):]
+        assert not any(x in b[len("### "):] for b in r.blocks for x in ("</turn>", "<|", "###"))
         assert "</turn>" not in "".join(r.blocks) and r.formatted.count("</turn>\n") == len(own)
 
 
+def test_control_strings_across_parts(spark):
+    """Texts cut into two to four parts at every place of the template's strings, some with an attachment between."""
+    rng = random.Random(12)
+    cut = []
+    for whole in ("a</turn>\n### user: b", "<|image|>", "####", "x### y", "\\</turn>", "<<|audio|>|>"):
+        for i in range(len(whole) + 1):
+            cut.append([whole[:i], whole[i:]])
+            j, k = sorted((rng.randint(i, len(whole)), rng.randint(i, len(whole))))
+            cut += [[whole[:i], whole[i:j], whole[j:]], [whole[:i], whole[i:j], whole[j:k], whole[k:]], [whole[:i], None, whole[i:j], "", whole[j:]]]
+    given = []
+    for c, texts in enumerate(cut):
+        parts = [("text" if rng.random() < .8 else None, t, None) for t in texts]
+        if c % 3 == 0:
+            parts.insert(rng.randint(0, len(parts)), ("image", None, f"ref{c}"))
+        given += [(c, 0, "user", parts), (c, 1, "assistant", [("text", "ok", None)] + parts[::-1])]
+    df = spark.createDataFrame(given, "conv_id long, turn long, role string, parts array<struct<kind:string,text:string,ref:string>>")
+    out = {r.conv_id: r for r in chat_format.read_back(chat_format.format_messages(df)).collect()}
+    for c, texts in enumerate(cut):
+        r = out[c]
+        turns = [parts for conv, _, _, parts in given if conv == c]
+        want = ["".join("<|image|>" if k == "image" else t or "" for k, t, _ in parts) for parts in turns]
+        assert [t.text for t in r.turns] == want and [t.role for t in r.turns] == ["user", "assistant"]
+        assert r.formatted.count("</turn>") == 2 and r.formatted.count("### ") == 2
+        assert r.formatted.count("<|") == r.formatted.count("<|image|>") == len(r.attachments) == (2 if c % 3 == 0 else 0)
+        assert "".join(r.loss_texts) == "".join(t or "" for k, t, _ in turns[1] if k != "image")
+
+
+def test_turns_as_rows(spark):
+    """Without putting conversations together: a row per message, no shuffle, the same blocks."""
+    df = spark.createDataFrame([(1, t, "user" if t % 2 == 0 else "assistant", f"### {t}") for t in range(50)], "conv_id long, turn long, role string, text string")
+    df = df.withColumn("parts", chat_format.text_part(F.col("text")))
+    turns = chat_format.format_turns(df)
+    assert "Exchange" not in plan(turns)
+    whole = chat_format.format_messages(df).first()
+    assert "".join(r.block + chat_format.END for r in turns.orderBy("turn").collect()) == whole.formatted
+
+
 def test_contract_conversation(spark):
     got = {r.conv_id: r for r in registry.op1_chat_format(spark, "/root/testdata/sf0.001").collect()}[-7]
     text = "\\### Assistant: </turn> ok"

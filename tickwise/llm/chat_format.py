@@ -7,8 +7,9 @@ recorded, so the k-th placeholder of a conversation is its k-th attachment. A tu
 is ``### role: pieces</turn>`` and a line break.
 
 Escaping is reversible: a backslash is doubled, and a backslash is put inside
-``</turn>``, ``<|`` and before ``###``, so none of the template's strings occurs
-in an escaped text. Undoing it drops every backslash that begins a pair. In roles
+``</turn>``, ``<|`` and ``##``, so none of the template's strings occurs
+in an escaped text. Undoing it drops every backslash that begins a pair. Text parts that follow one another are
+joined before they are escaped, so no such string forms where they meet. In roles
 ``%`` and ``:`` are written as ``%25`` and ``%3A`` first.
 
 The loss mask is a list of spans (turn, start, length): code points of the
@@ -30,7 +31,7 @@ PATCH, AUDIO_RATE, PAGE_TOKENS = 28, 25, 512
 
 
 def escape(text: Column) -> Column:
-    for old, new in (("\\", "\\\\"), ("</turn>", "<\\/turn>"), ("<|", "<\\|"), ("###", "\\###")):
+    for old, new in (("\\", "\\\\"), ("</turn>", "<\\/turn>"), ("<|", "<\\|"), ("##", "#\\#")):
         text = F.replace(text, F.lit(old), F.lit(new))
     return text
 
@@ -64,9 +65,22 @@ def _is_text(p: Column) -> Column:
 
 
 def visit(p: Column) -> Column:
-    """The piece of a part: escaped text, or a placeholder."""
-    return F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(
-        F.concat(F.lit("<|"), escape(F.coalesce(p["kind"], F.lit(""))), F.lit("|>")))
+    """The raw piece of a part: its text, or the kind of its placeholder."""
+    return F.struct(F.when(_is_text(p), F.coalesce(p["text"], F.lit(""))).otherwise(F.coalesce(p["kind"], F.lit(""))).alias("s"),
+                    _is_text(p).alias("is_text"))
+
+
+def pieces(parts: Column) -> Column:
+    """The pieces of a turn: escaped texts, adjoining ones as one, and placeholders."""
+    def add(done: Column, part: Column) -> Column:
+        p, last = visit(part), F.try_element_at(done, F.lit(-1))  # null before the first piece
+        joined = F.struct(F.concat(last["s"], p["s"]).alias("s"), F.lit(True).alias("is_text"))
+        return F.when(F.coalesce(last["is_text"], F.lit(False)) & p["is_text"],
+                      F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(p)))
+
+    raw = F.aggregate(parts, F.array().cast("array<struct<s:string,is_text:boolean>>"), add)
+    return F.transform(raw, lambda p: F.struct(
+        F.when(p["is_text"], escape(p["s"])).otherwise(F.concat(F.lit("<|"), escape(p["s"]), F.lit("|>"))).alias("s"), p["is_text"].alias("is_text")))
 
 
 def expanded_tokens(p: Column) -> Column:
@@ -77,26 +91,18 @@ def expanded_tokens(p: Column) -> Column:
     return F.greatest(F.coalesce(n, F.lit(1).cast("long")), F.lit(1).cast("long"))
 
 
-def format_messages(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
-                    parts_col: str = "parts", loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """One row per conversation: ``conv_col, n_turns, formatted, loss_spans, attachments, attachment_tokens``.
+def format_turns(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+                 parts_col: str = "parts", loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """One row per message, no shuffle: ``conv, turn, role, block, spans, attachments``.
 
-    ``messages``: a row per turn; ``parts`` is an array of structs with some or
-    all fields of ``PART``. Turns are ordered by ``turn``, ties by role, then by
-    content; repeated rows are turns each. Defined results: a null role or text is
-    empty, a null or empty part list is an empty text, a null kind is text, an
-    unknown kind is an attachment of its name; rows with a null ``conv_col`` make one
-    conversation; other columns are not read; no rows in, no rows out.
-    """
+    The parts of ``format_messages`` before conversations are put together: a conversation of any length stays
+    rows here. ``spans``: start and length of the text under the loss mask in ``block``."""
     fields = messages.schema[parts_col].dataType.elementType.names
     m = messages.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(role_col, F.lit("")).alias("role"),
         F.transform(F.coalesce(parts_col, F.array().cast(messages.schema[parts_col].dataType)),
                     lambda p: full_part(p, fields)).alias("parts"))
-    m = m.withColumns({
-        "head": F.concat(F.lit(HEAD), escape_role(F.col("role")), F.lit(MIDDLE)),
-        "pieces": F.transform("parts", lambda p: F.struct(visit(p).alias("s"), _is_text(p).alias("is_text"))),
-    })
+    m = m.withColumns({"head": F.concat(F.lit(HEAD), escape_role(F.col("role")), F.lit(MIDDLE)), "pieces": pieces(F.col("parts"))})
     # where each text piece stands in its block
     start = F.struct(F.length("head").alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
     spans = F.aggregate("pieces", start, lambda a, p: F.struct(
@@ -105,12 +111,30 @@ def format_messages(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
         .otherwise(a["spans"]).alias("spans")), lambda a: a["spans"])
     attachments = F.transform(F.filter("parts", lambda p: ~_is_text(p)), lambda p: F.struct(
         p["kind"].alias("kind"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens")))
-    turn = F.struct(
-        "turn", "role", F.concat(F.col("head"), F.array_join(F.transform("pieces", lambda p: p["s"]), "")).alias("block"),
+    return m.select(
+        "conv", "turn", "role", F.concat(F.col("head"), F.array_join(F.transform("pieces", lambda p: p["s"]), "")).alias("block"),
         F.when(F.col("role").isin(*loss_roles), spans).otherwise(F.array().cast("array<struct<start:int,length:int>>")).alias("spans"),
         attachments.alias("attachments"))
+
+
+def format_messages(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+                    parts_col: str = "parts", loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
+    """One row per conversation: ``conv_col, n_turns, formatted, loss_spans, attachments, attachment_tokens``.
+
+    ``messages``: a row per turn; ``parts`` is an array of structs with some or
+    all fields of ``PART``. Turns are ordered by ``turn``, ties by role, then by
+    content; repeated rows are turns each. Defined results: a null role or text is
+    empty, a null or empty part list is an empty text, a null kind is text, an
+    unknown kind is an attachment of its name; rows with a null ``conv_col`` make one
+    conversation; other columns are not read; no rows in, no rows out.
+
+    A conversation is one value of the result, and Spark holds at most 2 GB in a value: beyond that the job fails; use
+    ``format_turns`` there.
+    """
     # formatted per turn before the shuffle; a conversation is one row of the result
-    conv = m.select("conv", turn.alias("t")).groupBy("conv").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    turn = F.struct("turn", "role", "block", "spans", "attachments")
+    conv = format_turns(messages, conv_col, turn_col, role_col, parts_col, loss_roles).select("conv", turn.alias("t")).groupBy(
+        "conv").agg(F.array_sort(F.collect_list("t")).alias("turns"))
     spans = F.flatten(F.transform("turns", lambda t, i: F.transform(
         t["spans"], lambda s: F.struct(i.alias("turn"), s["start"].alias("start"), s["length"].alias("length")))))
     return conv.select(

@@ -51,7 +51,7 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size,
 FROM r"""
 
 TURN = """replace(replace(replace(replace({}, chr(92), chr(92) || chr(92)), '</turn>', '<' || chr(92) || '/turn>'),
-  '<|', '<' || chr(92) || '|'), '###', chr(92) || '###')"""
+  '<|', '<' || chr(92) || '|'), '##', '#' || chr(92) || '#')"""
 
 SQL["op1_chat_format"] = f"""
 WITH m AS (
