@@ -161,10 +161,10 @@ def test_drop_near_copies(awkward, nothing):
 
 # --- suffix dedup ---
 
-def slow_repeats(given, t):
-    """(n_bytes, n_removed, n_spans, sha) by row; rows repeating id and text are one document."""
+def slow_repeats(given, t, rank=str):
+    """(n_bytes, n_removed, n_spans, sha) by row; rows repeating id and text are one document; ``rank`` orders texts of one id."""
     docs = {}
-    order = sorted({(i is not None, i or 0, x or "") for i, x in given})
+    order = sorted({(i is not None, i or 0, x or "") for i, x in given}, key=lambda d: (d[0], d[1], rank(d[2])))
     seen = set()
     for known, i, text in order:
         b = text.encode()
@@ -182,10 +182,10 @@ def slow_repeats(given, t):
     return sorted((str(i), *docs[(i, x or "")]) for i, x in given)
 
 
-def check(spark, given, t):
+def check(spark, given, t, rank=str):
     df = spark.createDataFrame(given, "doc_id long, text string").repartition(5)
     got = sorted((str(i), *r) for i, *r in rows(suffix_dedup.remove_repeats(df, threshold=t)))
-    assert got == slow_repeats(given, t)
+    assert got == slow_repeats(given, t, rank)
 
 
 @pytest.mark.parametrize("t", [8, 13, 100])
@@ -260,6 +260,21 @@ def test_suffix_dedup_compares_whole_names(spark):
         spark.conf.set(size, before)
 
 
+def test_suffix_dedup_rows_that_share_an_id(spark):
+    """Texts whose 32-bit hashes agree, under one id or none, are documents each: what they share goes once."""
+    rng = random.Random(21)
+    base = prose(rng, 60)
+    made = spark.range(300_000).select(F.concat(F.lit(base), F.lit(" "), F.hex(F.xxhash64("id"))).alias("t"))
+    twins = [r["ts"] for r in made.groupBy(F.hash("t")).agg(F.collect_list("t").alias("ts")).filter("size(ts) = 2").limit(4).collect()]
+    assert len(twins) == 4 and len(base) > 150
+    by_hash = {r["text"]: (r["h"], r["g"]) for r in suffix_dedup._document(spark.createDataFrame(
+        [(1, t) for pair in twins for t in pair], "id long, text string")).collect()}
+    assert len(set(by_hash.values())) == 8
+    for key in (7, None):
+        check(spark, [(key, t) for t in twins[0]], 100, by_hash.get)
+    check(spark, [(k % 2 or None, t) for k, pair in enumerate(twins) for t in pair] + [(1, twins[0][0])] * 3, 100, by_hash.get)
+
+
 def test_suffix_dedup_deals_out_by_both_names(spark):
     """Round 4's rows before a common passage: one second name, many first ones; they do not go to one reducer."""
     flag = suffix_dedup.SHARED

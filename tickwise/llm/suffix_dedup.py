@@ -159,10 +159,10 @@ def _intervals(values: np.ndarray, a: np.ndarray, b: np.ndarray, lengths: Length
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _order(ids: pa.Array, text_hash: np.ndarray) -> np.ndarray:
+def _order(b: pa.RecordBatch) -> np.ndarray:
     """Each row's place among the batch's rows by id (null first), then text hash; equal rows share one."""
-    rank = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
-    _, place = np.unique(np.column_stack([rank, text_hash]), axis=0, return_inverse=True)
+    rank = pc.rank(column(b, "id"), sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+    _, place = np.unique(np.column_stack([rank, column(b, "h").to_numpy(), column(b, "g").to_numpy()]), axis=0, return_inverse=True)
     return place.ravel()
 
 
@@ -197,18 +197,19 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x, np.uint64).view(np.int64))
 
 
-# A position of a round: the name it is grouped by; the second name; length and flag; its id; the
-# text's hash and the place. Rows of one class agree in ``x``, ``y`` and ``n`` but for the flag.
-SPAN = ["x", "y", "n", "id", "at"]
+# A position of a round: the name it is grouped by; the second name; length and flag; its id; its
+# text's hash (``_document``) and the place. Rows of one class agree in ``x``, ``y`` and ``n`` but for the flag.
+DOCUMENT = ["id", "h", "g"]
+SPAN = ["x", "y", "n", *DOCUMENT, "at"]
 _FLAG, _LENGTH = np.uint32(3), np.uint32((1 << 30) - 1)
 
 
 def _rows(batch: pa.RecordBatch, x, y, flag, row, lo, hi) -> pa.RecordBatch:
     n = ((hi - lo).astype(np.uint32) << np.uint32(2)) | np.uint32(flag)
-    text_hash = column(batch, "text_hash").to_numpy().astype(np.int64).astype(np.uint64)[row]
+    take = pa.array(row, pa.int64())
     return pa.RecordBatch.from_arrays([
-        _signed(x), _signed(y), pa.array(n.view(np.int32)), column(batch, "id").take(pa.array(row, pa.int64())),
-        _signed((text_hash << np.uint64(32)) | lo.astype(np.uint64))], SPAN)
+        _signed(x), _signed(y), pa.array(n.view(np.int32)), *[column(batch, c).take(take) for c in DOCUMENT],
+        pa.array(lo.astype(np.int32))], SPAN)
 
 
 def _done(batch: pa.RecordBatch, row, lo, hi) -> pa.RecordBatch:
@@ -234,7 +235,7 @@ def _compare_intervals(b: pa.RecordBatch, values, offs, first, last, row, length
         return
     row, lo, hi, x, y = (np.concatenate(c) for c in zip(*found))
     del found
-    order = _order(column(b, "id"), column(b, "text_hash").to_numpy())
+    order = _order(b)
     first, repeated = _first_of_class(x, y, order[row], lo)
     yield _done(b, row[repeated], lo[repeated], hi[repeated])
     row, lo, hi, x, y = (c[first] for c in (row, lo, hi, x, y))
@@ -277,7 +278,7 @@ def _at(row: np.ndarray, lo: np.ndarray) -> np.ndarray:
     return row.astype(np.uint64) * np.uint64(1 << 32) + lo.astype(np.uint64)
 
 
-KIND = ["kind", "id", "text_hash", "lo", "hi"]
+KIND = ["kind", *DOCUMENT, "lo", "hi"]
 
 
 def _settle(ask: bool):
@@ -287,7 +288,8 @@ def _settle(ask: bool):
     to the next Arrow batch if it may go on there.
     """
     def settled(t: pa.Table) -> pa.RecordBatch:
-        x, y, at = (t.column(c).to_numpy().view(np.uint64) for c in ("x", "y", "at"))
+        x, y = (t.column(c).to_numpy().view(np.uint64) for c in ("x", "y"))
+        h, g, at = (t.column(c).to_numpy() for c in ("h", "g", "at"))
         n = t.column("n").to_numpy().view(np.uint32)
         flag = (n & _FLAG).astype(np.int64)
         codes = pc.fill_null(pc.dictionary_encode(_one(t.column("id"))).indices, -1).to_numpy(zero_copy_only=False)
@@ -296,7 +298,7 @@ def _settle(ask: bool):
         if len(i):
             new = np.append(True, (x[i][1:] != x[i][:-1]) | (y[i][1:] != y[i][:-1]) | (n[i][1:] != n[i][:-1]))
             head = i[np.flatnonzero(new)[np.cumsum(new) - 1]]
-            other = (codes[i] != codes[head]) | (at[i] != at[head])
+            other = (codes[i] != codes[head]) | (at[i] != at[head]) | (h[i] != h[head]) | (g[i] != g[head])
             kind[i[~new & other]] = REPEATED
             if ask:
                 heads = i[new]
@@ -305,11 +307,10 @@ def _settle(ask: bool):
                 asked |= (count[inv] > 1) | np.isin(x[heads], x[flag == MARK])
                 kind[heads[asked]] = ASKED
         keep = np.flatnonzero(kind >= 0)
-        lo = (at[keep] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        lo = at[keep].astype(np.int64)
         length = (n[keep] >> np.uint32(2)).astype(np.int64)
         return pa.RecordBatch.from_arrays([
-            pa.array(kind[keep].astype(np.int32)), _one(t.column("id").take(pa.array(keep))),
-            pa.array((at[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+            pa.array(kind[keep].astype(np.int32)), *[_one(t.column(c).take(pa.array(keep))) for c in DOCUMENT],
             pa.array(lo.astype(np.int32)), pa.array((lo + length).astype(np.int32))], KIND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,7 +367,7 @@ def _positions(lengths: Lengths):
                 continue
             r, p, x, y = (np.concatenate(c) for c in zip(*found))
             del found
-            order = _order(column(b, "id"), column(b, "text_hash").to_numpy())
+            order = _order(b)
             first, repeated = _first_of_class(x, y, order[r], p)
             yield _done(b, r[repeated], p[repeated], p[repeated])
             first = np.flatnonzero(first)
@@ -417,6 +418,14 @@ def _route() -> Column:
     return F.when(by_both, F.xxhash64("x", "y")).otherwise(F.col("x"))
 
 
+def _document(d: DataFrame) -> DataFrame:
+    """Adds ``h, g``: with its id they name a document. Both are 0 where ids are unique; if any id is shared, 128 bits
+    of each text tell the rows that share it apart (and order them)."""
+    shared = not d.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    h, g = (F.xxhash64("text"), F.xxhash64(F.lit(1), "text")) if shared else (F.lit(0).cast("long"), F.lit(0).cast("long"))
+    return d.withColumns({"h": h, "g": g})
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
                    with_text: bool = False) -> DataFrame:
     """One row per input row: ``id_col, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the bytes left).
@@ -429,21 +438,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are one document, whose result each of them gets; other columns are not read; no rows in, no rows out.
     """
     lengths = Lengths(threshold)
-    d = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    d = d.withColumn("text_hash", F.hash("text"))
+    d = _document(docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")))
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = f"x bigint, y bigint, n int, id {kind}, at bigint"
-    spans = f"kind int, id {kind}, text_hash int, lo int, hi int"
+    own = f"id {kind}, h bigint, g bigint"
+    rows = f"x bigint, y bigint, n int, {own}, at int"
+    spans = f"kind int, {own}, lo int, hi int"
 
     def ranked(df: DataFrame, ask: bool) -> DataFrame:
         """Positions dealt out by name, sorted by their pair of names, reranked."""
-        return df.repartition(_route()).sortWithinPartitions("x", "y", "n", "id", "at").mapInArrow(_settle(ask), spans)
+        return df.repartition(_route()).sortWithinPartitions(*SPAN).mapInArrow(_settle(ask), spans)
 
     def with_spans(df: DataFrame, how: str) -> DataFrame:
-        own = df.groupBy("id", "text_hash").agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans")).select(
-            F.col("id").alias("of"), F.col("text_hash").alias("of_hash"), "spans")
-        return d.join(own, F.col("id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash")), how).select(
-            "id", "text", "text_hash", "spans")
+        own = df.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("kind", "lo", "hi")).alias("spans")).select(
+            *[F.col(c).alias(f"of_{c}") for c in DOCUMENT], "spans")
+        same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h")) & (F.col("g") == F.col("of_g"))
+        return d.join(own, same, how).select(*DOCUMENT, "text", "spans")
 
     found = ranked(d.mapInArrow(_sample(lengths), rows), True)
     for step in (2, 3):
