@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from .rows import CLASHING, SMALL, awkward_rows, prose, with_clashes
 from tokenizers import Tokenizer
 
@@ -408,3 +409,23 @@ def test_normal_equations_are_summed_in_a_tree(spark):
 
     parts = spark.range(0, 5 * n, 1, n).mapInArrow(ones, "part int, m binary")
     assert (quality._tree_sum(parts, (2, 3)) == 5 * n).all()
+
+
+def test_toxicity_uses_long_and_repeated_rows(spark):
+    """Long labelled texts are counted; of an id's rows one is; the bound is on all characters together."""
+    rng = random.Random(2)
+    bad, good = ["grobian", "scumbag", "vermin"], ["garden", "letter", "window"]
+    def text(words, n):
+        return " ".join(rng.choice(words if rng.random() < .5 else ["the", "and", "of"]) for _ in range(n))
+    docs = [(k, text(bad if k % 2 else good, 6000 if k < 40 else 30)) for k in range(200)]
+    docs += [(1, "again " * 10)] * 300  # one id with many rows
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")  # long texts alone are labelled
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    c = toxicity.train(df, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df.filter("doc_id >= 40"), c).collect()}
+    assert sum((s >= .5) == bool(k % 2) for k, s in got.items()) >= 0.95 * len(got)
+    other = df.withColumnRenamed("text", "body").withColumn("text", F.lit("the"))
+    kept = toxicity.reject_toxic(other.filter("doc_id >= 40"), c, text_col="body")
+    assert kept.columns == other.columns and {r["doc_id"] for r in kept.collect()} == {k for k, s in got.items() if s < .5}
+    assert toxicity.train(df, labels, max_train_chars=10) is None
+    assert toxicity._fitting([{"size": 5}, {"size": 9}, {"size": 3}], 8) == [{"size": 5}, {"size": 3}]

@@ -13,7 +13,7 @@ long text hardly move its mean. A logistic curve, fitted on labelled rows that
 the models have not counted, turns both into a score.
 
 The counted rows are a sample of the labelled ones, at most ``max_train_docs`` of
-each class, each of at most ``max_train_chars`` characters (both parameters):
+each class, of ``max_train_chars`` characters together at most (both parameters):
 that bounds the model, which is broadcast. All documents are scored
 where they are read, over their whole text; nothing is shuffled but ids.
 """
@@ -27,13 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tickwise.llm.textblocks import Words, blocks, column, mix, text_bytes
 from tickwise.session import ensure_checkpoint_dir
 
 ORDER, SHARED, COMMON, TOP = 9, 2, 6, 3
-MAX_TRAIN_DOCS, MAX_TRAIN_CHARS = 1500, 20_000
+MAX_TRAIN_DOCS, MAX_TRAIN_CHARS = 1500, 30_000_000
 _PAD = 0x20
 _CACHE = 1 << 19  # word scores a task remembers
 
@@ -245,46 +244,61 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
+def _fitting(rows: list, max_chars: int) -> list:
+    """The rows, in their order, that fit into a number of characters together."""
+    out, used = [], 0
+    for r in rows:
+        if used + r["size"] <= max_chars:
+            out.append(r)
+            used += r["size"]
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           max_train_docs: int = MAX_TRAIN_DOCS, max_train_chars: int = MAX_TRAIN_CHARS) -> Classifier | None:
     """Fit on labelled rows of folds 1 to 4: 1 to 3 are counted, 4 fits the curve.
 
     Of each class and purpose the ``max_train_docs`` rows that come first by a hash
-    of the id. None when a class has no row. Labels other than 0 and 1, null ids and
-    longer texts are left out; an id labelled both ways counts as toxic.
+    of the id, as far as they have at most ``max_train_chars`` characters together (a row that
+    does not fit any more is passed over). Texts of every length are used. None when a class has no row. Labels other
+    than 0 and 1 and null ids are left out; an id labelled both ways counts as toxic; of rows that share an id
+    one is used, chosen by a hash of the text.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter(
         F.col("y").isin(0, 1)).groupBy("id").agg(F.max("y").alias("y"))
-    short = docs.select(F.col(id_col).alias("id")).filter(
-        F.col(id_col).isNotNull() & (F.length(text_col) <= max_train_chars)).distinct()
-    marked = marked.join(short, "id", "left_semi").withColumn("fold", fold("id")).filter("fold > 0").withColumn(
-        "counted", F.col("fold") < 4).checkpoint()
+    text_hash = F.xxhash64("text")
+    given = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    one = given.filter(F.col("id").isNotNull()).groupBy("id").agg(
+        F.min(text_hash).alias("hash"), F.max(F.length("text")).alias("size"))
+    marked = marked.withColumn("fold", fold("id")).filter("fold > 0").join(one, "id").select(
+        "id", "y", (F.col("fold") < 4).alias("counted"), "hash", "size").checkpoint()
     n = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
     picks = [marked.filter((F.col("y") == y) & (F.col("counted") == c)).orderBy(F.xxhash64("id"), "id").limit(max_train_docs)
              for y in (0, 1) for c in (True, False)]
-    ids = [r for p in picks for r in p.select("id", "y", "counted").collect()]  # 4 * max_train_docs at most
+    ids = [r for p in picks for r in _fitting(p.collect(), max_train_chars)]  # 4 * max_train_docs at most
     if len({(r["y"], r["counted"]) for r in ids}) < 4:
         return None
-    sample = spark.createDataFrame([tuple(r) for r in ids], StructType([marked.schema[c] for c in ("id", "y", "counted")]))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(
-        F.length("text") <= max_train_chars).join(F.broadcast(sample), "id")
+    sample = spark.createDataFrame([tuple(r) for r in ids], marked.schema)
+    rows = (given.withColumn("hash", text_hash).join(F.broadcast(sample), ["id", "hash"])
+            .dropDuplicates(["id"]).select("text", "y", "counted"))  # an id's rows may repeat
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = text_bytes(column(b, "text"))
-            y = column(b, "y").to_numpy()
-            w = Words(data, offs)
-            h = w.hashes()
-            if not len(h):
-                continue
-            _, at, inv = np.unique(h, return_index=True, return_inverse=True)
-            toxic = y[w.row] == 1
-            yield pa.RecordBatch.from_arrays([
-                pa.array([w.low[w.start[i]:w.end[i]].tobytes() for i in at.tolist()], pa.binary()),
-                pa.array(np.bincount(inv, ~toxic, len(at)).astype(np.int64)), pa.array(np.bincount(inv, toxic, len(at)).astype(np.int64))],
-                ["word", "ordinary", "toxic"])
+            for a, z in blocks(offs):
+                y = column(b, "y").to_numpy()[a:z]
+                w = Words(data, offs[a:z + 1])
+                h = w.hashes()
+                if not len(h):
+                    continue
+                _, at, inv = np.unique(h, return_index=True, return_inverse=True)
+                toxic = y[w.row] == 1
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([w.low[w.start[i]:w.end[i]].tobytes() for i in at.tolist()], pa.binary()),
+                    pa.array(np.bincount(inv, ~toxic, len(at)).astype(np.int64)), pa.array(np.bincount(inv, toxic, len(at)).astype(np.int64))],
+                    ["word", "ordinary", "toxic"])
 
     counted = rows.filter("counted").select("text", "y").mapInArrow(count, "word binary, ordinary bigint, toxic bigint").groupBy(
         "word").agg(F.sum("ordinary").alias("o"), F.sum("toxic").alias("t")).toArrow()
@@ -313,7 +327,7 @@ def _features(spark, models: Models):
     return run
 
 
-def _run(classifier: Classifier | None, spark, out):
+def _run(classifier: Classifier | None, spark, out, text_col: str = "text"):
     """Batches through the classifier; ``out(rows, scores)`` makes what is sent on."""
     shared = spark.sparkContext.broadcast(classifier)
 
@@ -324,7 +338,7 @@ def _run(classifier: Classifier | None, spark, out):
             if c is None:
                 yield out(b, np.zeros(b.num_rows))
                 continue
-            for rows, x in _over_rows(b, column(b, "text"), features):
+            for rows, x in _over_rows(b, column(b, text_col), features):
                 yield out(rows, c.score(x))
 
     return run
@@ -345,10 +359,7 @@ def score(docs: DataFrame, classifier: Classifier | None, id_col: str = "doc_id"
 
 def reject_toxic(docs: DataFrame, classifier: Classifier | None, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The documents that score below ``threshold``, all columns as they were."""
-    if text_col != "text":
-        raise ValueError("the text column has to be named text")
-
     def out(rows: pa.RecordBatch, s: np.ndarray) -> pa.RecordBatch:
         return rows.filter(pa.array(s < threshold))
 
-    return docs.mapInArrow(_run(classifier, docs.sparkSession, out), docs.schema)
+    return docs.mapInArrow(_run(classifier, docs.sparkSession, out, text_col), docs.schema)
