@@ -9,6 +9,7 @@ from tickwise.operators import clean as C
 from tickwise.plans import daily_run as DR
 from tickwise.sources import fixtures as FX
 from tickwise.sources import prices as SP
+from tickwise.sources import published as PB
 from tickwise.sources import sinks as SK
 from tickwise.streaming import ingest as ST
 
@@ -90,12 +91,9 @@ def test_upsert_rewrites_only_changed_partitions(spark, scratch):
     path = os.path.join(scratch, "prices")
     p = FX.prices(spark, SF_SMALL)
     SK.upsert_latest(spark, p, path, 1)
-    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
-    before = files()
     one = p.filter((F.col("ticker") == "S1") & (F.col("date") >= dt.date(1997, 3, 1)) & (F.col("date") < dt.date(1997, 4, 1)))
     done = SK.upsert_latest(spark, one.withColumn("close", F.col("close") + 1), path)
-    gone = {os.path.dirname(f) for f in before - files()}
-    assert done.changed == one.count() > 0 and len(gone) == 1 and "month=1997-03" in gone.pop()
+    assert done.changed == one.count() > 0 and PB.changed_parts(done.base, done.made) == ["month=1997-03/ticker_bucket=0"]
     assert done.first_dates.collect()[0]["first_date"] == one.agg(F.min("date")).first()[0]
 
 
@@ -249,11 +247,11 @@ def test_overwrite_buckets_replaces_only_touched(spark, scratch):
     path = os.path.join(scratch, "features")
     p = FX.prices(spark, SF_SMALL)
     SK.overwrite_buckets(p, path, n_buckets=4)
-    before = table(spark, path)
+    before = PB.read(spark, path)
     b0 = before.filter("ticker_bucket = 0").select("ticker").distinct().collect()[0]["ticker"]
     part = p.filter(F.col("ticker") == b0).withColumn("close", F.lit(-1.0))
     SK.overwrite_buckets(part, path, n_buckets=4)
-    after = table(spark, path)
+    after = PB.read(spark, path)
     assert same(after.filter("ticker_bucket != 0"), before.filter("ticker_bucket != 0"))
     assert after.filter("ticker_bucket = 0").select("ticker").distinct().count() == 1
 
@@ -319,15 +317,15 @@ def test_stream_ingest_exactly_once(spark, scratch):
     src = os.path.join(landing, "*")
     q = ST.start_ingest(spark, src, prices_path, ckpt, RUN, feats_path, n_buckets=4)
     q.awaitTermination(300)
-    assert table(spark, prices_path).count() == first.count()
+    assert SK.read_prices(spark, prices_path).count() == first.count()
     second.write.parquet(os.path.join(landing, "part2"))
     q = ST.start_ingest(spark, src, prices_path, ckpt, RUN, feats_path, n_buckets=4)
     q.awaitTermination(300)
     q = ST.start_ingest(spark, src, prices_path, ckpt, RUN, feats_path, n_buckets=4)
     q.awaitTermination(300)
-    stored = table(spark, prices_path)
+    stored = SK.read_prices(spark, prices_path)
     assert stored.count() == rows.count()
-    feats = table(spark, feats_path)
+    feats = SK.read_features(spark, feats_path)
     assert feats.count() == rows.count() - rows.select("ticker").distinct().count()
 
 

@@ -500,6 +500,13 @@ SQL["p_local_dates"] = SQL["p_rename"]
 SQL["p_landing_quarantine"] = with_(PRICES) + f"SELECT {PRICES_COLS}, 4 AS bad_files FROM prices WHERE day(date) % 5 < 2"
 SQL["p_landing_quarantine_csv"] = with_(PRICES) + f"SELECT {PRICES_COLS}, 2 AS bad_files FROM prices WHERE day(date) % 5 < 2"
 
+FIXED = PRICES.replace("prices AS (", "prices_given AS (", 1) + """, prices AS (
+  SELECT * REPLACE (CASE WHEN day(date) = 15 AND month(date) = 3 AND year(date) <> 1997 THEN close + 5 ELSE close END AS close) FROM prices_given)"""
+SQL["k_state_refresh"] = with_(FIXED, PRICES_CLEAN, FEAT_C) + f"""
+SELECT {FEATURE_SELECT}, (SELECT count(DISTINCT a.ticker) FROM prices a WHERE date >= DATE '1998-06-01' AND NOT EXISTS (
+  SELECT 1 FROM prices b WHERE b.ticker = a.ticker AND b.date < DATE '1998-06-01')) AS late_in_order FROM feat"""
+SQL["k_compact"] = with_(PRICES) + f"SELECT {PRICES_COLS}, true AS fewer_files, 1 AS files_a_year FROM prices"
+
 # --- full recompute checks ---
 
 

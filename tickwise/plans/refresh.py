@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tickwise.operators import clean as C
 from tickwise.operators import features as FE
 from tickwise.schemas import LONG_WINDOW_ROWS, MOMENTUM_LAG_CLOSE_TO_CLOSE, SHORT_WINDOW_ROWS
+from tickwise.sources import published as PB
 from tickwise.sources import sinks as SK
 
 # Rows before a row that any of its features reads: the 30-row average reads 29, the
@@ -57,7 +58,13 @@ def refresh_features(spark: SparkSession, prices_path: str, features_path: str,
         return 0
     prices = SK.read_prices(spark, prices_path, first_dates)
     fresh = features_since(prices, first_dates, variant, run_date)
-    stored = None
-    if SK.list_dirs(spark, features_path):
-        stored = spark.read.parquet(features_path).filter(F.col(SK.BUCKET).isin(touched)).drop(SK.BUCKET)
-    return SK.overwrite_buckets(merged_features(stored, fresh, first_dates), features_path, n, touched=touched)
+    for _ in range(PB.ATTEMPTS):
+        base = PB.current(spark, features_path.rstrip("/"))
+        stored = PB.read(spark, features_path.rstrip("/"), base, lambda v: int(v[SK.BUCKET]) in touched)
+        if stored is not None:
+            stored = stored.filter(F.col(SK.BUCKET).isin(touched)).drop(SK.BUCKET)
+        try:
+            return SK.overwrite_buckets(merged_features(stored, fresh, first_dates), features_path, n, touched, base)
+        except PB.Conflict:  # another writer was there first: merge with its rows
+            continue
+    raise PB.Conflict(f"{features_path} changed under {PB.ATTEMPTS} attempts to refresh")

@@ -24,10 +24,12 @@ from tickwise.operators import quality as QA
 from tickwise.plans import daily_run as DR
 from tickwise.plans import model as ML
 from tickwise.plans import refresh as RF
+from tickwise.plans import rolling as RO
 from tickwise.session import ensure_checkpoint_dir
 from tickwise.sources import fixtures as FX
 from tickwise.sources import landing as LA
 from tickwise.sources import prices as SP
+from tickwise.sources import published as PB
 from tickwise.sources import sinks as SK
 
 RUN_DATE = dt.date(2002, 1, 1)  # fixed feature_timestamp for reproducible output
@@ -575,7 +577,7 @@ def k_features_buckets(spark, sf_dir):
     f = features_c2c(spark, sf_dir)
     SK.overwrite_buckets(f, path)
     SK.overwrite_buckets(f, path)
-    back = spark.read.parquet(path).select(*f.columns)
+    back = SK.read_features(spark, path).select(*f.columns)
     return round6(back, FEATURE_DOUBLES)
 
 
@@ -712,3 +714,35 @@ def p_landing_quarantine_csv(spark, sf_dir):
     path = _fresh_dir(spark, "quarantine-csv")
     _landing_parts(spark, sf_dir, path, lambda df, p: df.write.option("header", "true").csv(p))
     return _good_and_bad(spark, path, "csv")
+
+
+@register("k_state_refresh")
+def k_state_refresh(spark, sf_dir):
+    """History, two later batches from the rolling state, and a correction of old days: the features of a full
+    recompute, beside how many tickers went by look-back after the first load."""
+    prices_path, path, state = (_fresh_dir(spark, f"state-{n}") for n in ("prices", "features", "rows"))
+    p = FX.prices(spark, sf_dir)
+    wrong = (F.dayofmonth("date") == 15) & (F.month("date") == 3)
+    said = p.withColumn("close", F.when(wrong, F.col("close") + 5).otherwise(F.col("close")))
+    day = lambda m: F.lit(dt.date(1998, m, 1))
+    late = 0
+    for k, batch in enumerate((said.filter(F.col("date") < day(6)), said.filter((F.col("date") >= day(6)) & (F.col("date") < day(8))),
+                               said.filter(F.col("date") >= day(8)), p.filter(wrong & (F.year("date") == 1997)))):
+        done = SK.upsert_latest(spark, batch, prices_path, 2)
+        ran = RO.refresh_rolling(spark, prices_path, path, state, done, RUN_DATE, n_buckets=2)
+        late += ran["late"] if k in (1, 2) else 0
+    back = SK.read_features(spark, path)
+    return round6(back, FEATURE_DOUBLES).withColumn("late_in_order", F.lit(late).cast("bigint"))
+
+
+@register("k_compact")
+def k_compact(spark, sf_dir):
+    """Small appends by year, compacted into bins: the same rows in fewer files."""
+    path = _fresh_dir(spark, "compact")
+    p = FX.prices(spark, sf_dir).withColumn("year", F.year("date"))
+    for k in range(4):
+        PB.append(p.filter(F.dayofmonth("date") % 4 == k), path, ["year"])
+    done = PB.compact(spark, path, sort_by=["ticker", "date"])
+    back = PB.read(spark, path).drop("year")
+    return back.withColumns({"fewer_files": F.lit(done["after"] < done["before"]),
+                             "files_a_year": F.lit(PB.files(spark, path).groupBy("part").count().agg(F.max("count")).first()[0])})

@@ -4,10 +4,11 @@
                        (ticker, date) replaces the stored row, also when it is
                        landed again on the same run date. The price table is partitioned by
                        ticker bucket and month; only the partitions that the batch touches
-                       are read, and only those that change are rewritten.
+                       are read, only those that change are rewritten, and the change is
+                       visible at once (``sources.published``).
 * ``append_new``       idempotent append (keep-first): rows whose key is already
                        stored are not written again.
-* ``overwrite_buckets`` dynamic partition overwrite of ticker buckets: a
+* ``overwrite_buckets`` replaces ticker buckets, all at once: a
                        refresh rewrites only the buckets it recomputed, and clears those
                        that have no rows any more.
 * ``write_counted``    any write, with the row count taken by ``observe``
@@ -18,8 +19,8 @@ refused, since it would spread a ticker over two partitions.
 
 Layout: ``rebalance`` asks AQE to even out output partitions (splitting a
 skewed ticker bucket, merging small ones) before files are written.
-Parquet is the default format; ``fmt="delta"`` works where the Delta jar is
-on the classpath.
+Published tables are Parquet; ``append_new``, ``overwrite_table`` and ``save_as_table`` take
+any file format that Spark has.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators.clean import DEDUPE_ORDER, KEY, dedupe_latest, keyed_rows, reject_counts
+from tickwise.sources import published as PB
 
 PRICE_KEY = ["ticker", "date", "ingestion_timestamp"]
 # Buckets of a new table when the caller names none; a large table should name its own.
@@ -164,14 +166,18 @@ def append_new(spark: SparkSession, df: DataFrame, path: str, key: list[str] | N
 @dataclass
 class Upserted:
     """``changed``: keys that are new or have a new row; ``rejected``: rows of the batch
-    without a key; ``first_dates``: for each ticker that changed its earliest changed date."""
+    without a key; ``first_dates``: for each ticker that changed its earliest changed date; ``places``: the
+    partitions that changed, buckets by month; ``base``, ``made``: the table's versions before and after."""
 
     changed: int
     rejected: int
     first_dates: DataFrame
+    places: dict[str, list[int]]
+    base: PB.Version
+    made: PB.Version
 
 
-def _located(df: DataFrame, n_buckets: int) -> DataFrame:
+def located(df: DataFrame, n_buckets: int) -> DataFrame:
     return df.withColumns({BUCKET: ticker_bucket(F.col("ticker"), n_buckets), MONTH: F.date_format("date", "yyyy-MM")})
 
 
@@ -188,109 +194,126 @@ def _places(df: DataFrame) -> dict[str, list[int]]:
     return found
 
 
-def upsert_latest(spark: SparkSession, df: DataFrame, path: str, n_buckets: int | None = None,
-                  fmt: str = "parquet") -> Upserted:
+def upsert_latest(spark: SparkSession, df: DataFrame, path: str, n_buckets: int | None = None) -> Upserted:
     """Merge a batch into the price table: one row per (ticker, date), the newest ingest wins,
     of equal ingest dates the batch wins over what is stored.
 
     Running the same batch again changes nothing and writes nothing. Columns that only one side
     has are NULL on the other, so the table's schema grows with its sources (read it with
-    ``read_prices``). Rows without a ticker, date or ingest date are rejected and counted."""
+    ``read_prices``). Rows without a ticker, date or ingest date are rejected and counted. The change is published at
+    once; if another writer changed the same partitions meanwhile, the merge is made again with its rows."""
+    path = path.rstrip("/")
     rejected = reject_counts(df).first()["rejected"]
-    exists = stored_buckets(spark, path) is not None
     n = bucket_count(spark, path, n_buckets)
-    new = _located(dedupe_latest(keyed_rows(df)), n)
+    new = located(dedupe_latest(keyed_rows(df)), n)
     # once for all the steps below; lost blocks are computed again
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         places = _places(new)
-        merged = new.withColumn("_new", F.lit(1))
-        if exists and places:
-            stored = _read_table(spark, path, fmt)
-            if stored is not None:
-                merged = merged.unionByName(stored.filter(_in_partitions(places)).withColumn("_new", F.lit(0)),
-                                            allowMissingColumns=True)
-        columns = [c for c in merged.columns if c != "_new"]
-        order = ["ingestion_timestamp", "_new", *[c for c in DEDUPE_ORDER if c in columns and c != "ingestion_timestamp"]]
-        row = F.struct(*columns)
-        merged = merged.groupBy(*KEY).agg(
-            F.max_by(row, F.struct(*order)).alias("row"),
-            F.max_by(F.when(F.col("_new") == 0, row), F.when(F.col("_new") == 0, F.struct(*order))).alias("old"))
-        merged = merged.select("row.*", (~F.col("row").eqNullSafe(F.col("old"))).alias("_changed")).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        try:
-            changed = merged.filter("_changed")
-            places = _places(changed)
-            first = changed.groupBy("ticker").agg(F.min("date").alias("first_date")).checkpoint()
-            count = 0
-            if places:
-                out = (merged.filter(_in_partitions(places)).hint("rebalance", MONTH, BUCKET)
-                       .sortWithinPartitions(MONTH, BUCKET, "ticker", "date"))
-                obs = Observation("changed")
-                out = out.observe(obs, F.count_if("_changed").alias("rows")).drop("_changed")
-                (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(MONTH, BUCKET).save(path))
-                count = int(obs.get["rows"])
-        finally:
-            merged.unpersist()
+        for _ in range(PB.ATTEMPTS):
+            try:
+                return _merged_once(spark, new, places, path, rejected)
+            except PB.Conflict:
+                continue
+        raise PB.Conflict(f"{path} changed under {PB.ATTEMPTS} attempts to merge")
     finally:
         new.unpersist()
-    return Upserted(count, rejected, first)
 
 
-def _read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
-    """A table with partition folders, with the columns of all its files; None when it has none yet."""
-    if not list_dirs(spark, path):
-        return None
-    return spark.read.option("mergeSchema", "true").format(fmt).load(path)
+def _merged_once(spark: SparkSession, new: DataFrame, places: dict[str, list[int]], path: str, rejected: int) -> Upserted:
+    base = PB.current(spark, path)
+    merged = new.withColumn("_new", F.lit(1))
+    stored = PB.read(spark, path, base, _within(places), merge_schema=True) if places else None
+    if stored is not None:
+        merged = merged.unionByName(stored.filter(_in_partitions(places)).withColumn("_new", F.lit(0)), allowMissingColumns=True)
+    columns = [c for c in merged.columns if c != "_new"]
+    order = ["ingestion_timestamp", "_new", *[c for c in DEDUPE_ORDER if c in columns and c != "ingestion_timestamp"]]
+    row = F.struct(*columns)
+    merged = merged.groupBy(*KEY).agg(
+        F.max_by(row, F.struct(*order)).alias("row"),
+        F.max_by(F.when(F.col("_new") == 0, row), F.when(F.col("_new") == 0, F.struct(*order))).alias("old"))
+    merged = merged.select("row.*", (~F.col("row").eqNullSafe(F.col("old"))).alias("_changed")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        changed = merged.filter("_changed")
+        places = _places(changed)
+        first = changed.groupBy("ticker").agg(F.min("date").alias("first_date")).checkpoint()
+        if not places:
+            return Upserted(0, rejected, first, {}, base, base)
+        out = (merged.filter(_in_partitions(places)).hint("rebalance", MONTH, BUCKET)
+               .sortWithinPartitions(MONTH, BUCKET, "ticker", "date"))
+        obs = Observation("changed")
+        out = out.observe(obs, F.count_if("_changed").alias("rows")).drop("_changed")
+        staged = PB.stage(out, path, [MONTH, BUCKET])
+        made = PB.publish(spark, path, base, staged)
+        return Upserted(int(obs.get["rows"]), rejected, first, places, base, made)
+    finally:
+        merged.unpersist()
+
+
+def _within(places: dict[str, list[int]]):
+    """The partitions of ``places``, by their names' values."""
+    return lambda v: int(v[BUCKET]) in places.get(v[MONTH], ())
 
 
 def read_prices(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None = None,
-                start=None, fmt: str = "parquet") -> DataFrame:
-    """The price table, optionally for some tickers and from a date on: static filters on bucket and month."""
-    table = _read_table(spark, path, fmt)
+                start=None, at: PB.Version | None = None, places: dict[str, list[int]] | None = None) -> DataFrame:
+    """The price table, optionally for some tickers, from a date on, or of some partitions (buckets by month): static
+    filters on bucket and month. ``at``: a version of the table, the newest one if not given."""
+    month = f"{start:%Y-%m}" if start is not None else None
+    table = _pruned(spark, path, tickers, at, lambda v: (month is None or v[MONTH] >= month) and (
+        places is None or _within(places)(v)), True)
     if table is None:
         raise FileNotFoundError(f"no price table at {path}")
-    table = _for_tickers(spark, table, path, tickers)
     if start is not None:
-        month = f"{start:%Y-%m}"
         table = table.filter((F.col(MONTH) >= month) & (F.col("date") >= F.lit(start)))
+    if places is not None:
+        table = table.filter(_in_partitions(places))
     return table.drop(BUCKET, MONTH)
 
 
-def _for_tickers(spark: SparkSession, table: DataFrame, path: str, tickers: DataFrame | list[str] | None) -> DataFrame:
-    """Rows of the tickers; the buckets are a static partition filter (at most as many integers as buckets)."""
-    if tickers is None:
+def _pruned(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None, at: PB.Version | None, keep, merge_schema: bool) -> DataFrame | None:
+    """Rows of the tickers; their buckets (at most as many integers as the table has) choose the folders that are listed at
+    all, and are a static partition filter. An existing table of which nothing is chosen has no rows."""
+    path = path.rstrip("/")
+    at = at or PB.current(spark, path)
+    if not at.parts:
+        return None
+    ids = names = None
+    if tickers is not None:
+        names = None if isinstance(tickers, DataFrame) else sorted(set(tickers))
+        frame = tickers if names is None else spark.createDataFrame([(t,) for t in names], "ticker string")
+        ids = bucket_ids(frame, bucket_count(spark, path, None))
+    table = PB.read(spark, path, at, lambda v: keep(v) and (ids is None or int(v[BUCKET]) in ids), merge_schema)
+    if table is None:
+        one = next(iter(at.parts))
+        table = PB.read(spark, path, PB.Version(at.number, {one: at.parts[one]}), None, merge_schema).filter(F.lit(False))
+    if ids is None:
         return table
-    names = None if isinstance(tickers, DataFrame) else sorted(set(tickers))
-    frame = tickers if names is None else spark.createDataFrame([(t,) for t in names], "ticker string")
-    table = table.filter(F.col(BUCKET).isin(bucket_ids(frame, bucket_count(spark, path, None))))
+    table = table.filter(F.col(BUCKET).isin(ids))
     if names is not None:
         return table.filter(F.col("ticker").isin(names))
     return table.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
 
 
-def overwrite_buckets(df: DataFrame, path: str, n_buckets: int | None = None,
-                      fmt: str = "parquet", touched: list[int] | None = None) -> int:
+def overwrite_buckets(df: DataFrame, path: str, n_buckets: int | None = None, touched: list[int] | None = None,
+                      base: PB.Version | None = None) -> int:
     """Write a feature frame partitioned by ticker bucket, replacing only the
-    buckets present in ``df`` (dynamic partition overwrite). Files are sorted
+    buckets present in ``df``, all at once. Files are sorted
     by (ticker, date) so readers skip row groups by ticker statistics.
 
-    ``touched``: the buckets that ``df`` was made for; one that has no rows left is cleared."""
-    spark = df.sparkSession
+    ``touched``: the buckets that ``df`` was made for; one that has no rows left is cleared. ``base``: the version that
+    ``df`` was made from; ``published.Conflict`` if one of its buckets has changed since."""
+    spark, path = df.sparkSession, path.rstrip("/")
     n = bucket_count(spark, path, n_buckets)
+    base = base or PB.current(spark, path)
     out = (df.withColumn(BUCKET, ticker_bucket(F.col("ticker"), n))
              .hint("rebalance", BUCKET)
              .sortWithinPartitions(BUCKET, "ticker", "date"))
     obs = Observation("buckets")
-    # at most n integers
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(BUCKET).alias("buckets"))
-    (out.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).save(path))
-    for b in set(touched or ()) - set(obs.get["buckets"]):
-        fs, p = _fs(spark, f"{path.rstrip('/')}/{BUCKET}={b}")
-        if fs.exists(p):
-            fs.delete(p, True)
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    staged = PB.stage(out, path, [BUCKET])
+    PB.publish(spark, path, base, {**{f"{BUCKET}={b}": [] for b in touched or ()}, **staged})
     return int(obs.get["rows"])
 
 
@@ -308,12 +331,14 @@ def save_as_table(df: DataFrame, name: str, fmt: str = "parquet") -> int:
 
 
 def read_features(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None = None,
-                  n_buckets: int | None = None, fmt: str = "parquet") -> DataFrame:
+                  n_buckets: int | None = None, at: PB.Version | None = None) -> DataFrame:
     """Read a ticker-bucket feature table, optionally for some tickers only.
 
     The bucket ids of a ticker list or frame -- at most as many integers as the table has
     buckets -- are a static partition filter, so only those bucket folders are listed and
     read; the ticker predicate (a semi-join for a frame) then picks the rows inside."""
     bucket_count(spark, path, n_buckets)
-    table = spark.read.format(fmt).load(path)
-    return _for_tickers(spark, table, path, tickers).drop(BUCKET)
+    table = _pruned(spark, path, tickers, at, lambda v: True, False)
+    if table is None:
+        raise FileNotFoundError(f"no feature table at {path}")
+    return table.drop(BUCKET, MONTH)
