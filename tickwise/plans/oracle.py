@@ -541,10 +541,18 @@ test AS (SELECT * FROM labeled WHERE {COMPLETE} AND date > (SELECT split_date FR
 for _key in ("m_rf_predictions", "m_gbt_predictions"):
     SQL[_key] = TEST_ROWS + """SELECT ticker, date, next_day_up, true AS prediction_ok, true AS probability_ok,
   true AS agrees FROM test"""
-SQL["m_metrics"] = """SELECT split, metric, true AS in_range
-FROM (VALUES ('train'), ('test')) s(split), (VALUES ('auc'), ('accuracy'), ('f1')) m(metric)"""
-SQL["m_quality_bands"] = "SELECT true AS auc_band_ok, true AS gap_band_ok"
-SQL["m_cv_best"] = """SELECT CAST(27 AS BIGINT) AS grid_points, CAST(3 AS BIGINT) AS folds, true AS best_in_grid"""
+SIDES = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABELED, SPLIT_BOUNDS) + f""",
+sides AS (SELECT CASE WHEN date <= (SELECT split_date FROM bounds) THEN 'train' ELSE 'test' END AS split, count(*) AS rows,
+  count(*) FILTER (next_day_up = 1) AS positives FROM labeled WHERE {COMPLETE} GROUP BY 1)
+"""
+SQL["m_metrics"] = SIDES + """SELECT split, metric, rows, true AS in_range
+FROM sides, (VALUES ('auc'), ('accuracy'), ('f1')) m(metric)"""
+SQL["m_quality_bands"] = SIDES + """SELECT true AS auc_band_ok, true AS gap_band_ok, true AS auc_ok, rows, positives
+FROM sides WHERE split = 'test'"""
+SQL["m_cv_best"] = SIDES + """SELECT CAST(27 AS BIGINT) AS grid_points, CAST(3 AS BIGINT) AS folds, true AS best_in_grid, rows AS train_rows
+FROM sides WHERE split = 'train'"""
+SQL["m_tree_table"] = SIDES + """SELECT rows, CAST(0 AS BIGINT) AS prediction_mismatches, CAST(0 AS BIGINT) AS probability_mismatches, model_type
+FROM sides, (VALUES ('rf'), ('gbt')) k(model_type) WHERE split = 'test'"""
 SQL["m_model_roundtrip"] = TEST_ROWS + "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mismatches FROM test"
 SQL["m_score_batch"] = with_(PRICES, PRICES_CLEAN, FEAT_C, REQUESTS) + f"""
 SELECT r.request_id, r.ticker,
@@ -578,4 +586,38 @@ SELECT {rounded(['test_auc', 'auc_gap'])},
   CASE WHEN auc_gap <= 0.05 THEN 'low' WHEN auc_gap <= 0.1 THEN 'moderate' ELSE 'high' END AS gap_band
 FROM b"""
 
+LABELED_ROWS = with_(PRICES, PRICES_CLEAN, FEAT_C, TRAIN_READ, LABELED)
+
+
+def auc_by(key: str, src: str) -> str:
+    """Rank sums with mid-ranks of equal scores."""
+    return f"""{key}_ranked AS (
+  SELECT {key}, next_day_up AS y, avg(rk) OVER (PARTITION BY {key}, daily_return) AS mid FROM (
+    SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY daily_return) AS rk FROM {src})),
+{key}_auc AS (
+  SELECT {key}, count(*) AS rows, CAST(sum(y) AS BIGINT) AS positives, CASE WHEN sum(y) > 0 AND sum(y) < count(*) THEN
+    (sum(mid) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) END AS auc
+  FROM {key}_ranked GROUP BY {key})"""
+
+
+SQL["m_auc_by_ticker"] = LABELED_ROWS + f", {auc_by('ticker', 'labeled')} SELECT ticker, rows, positives, ROUND_TEXT(auc, 6) AS auc FROM ticker_auc"
+SQL["m_auc_by_fold"] = LABELED_ROWS + f""",
+span AS (SELECT min(date) AS lo, max(date) - min(date) + 1 AS n FROM labeled),
+folded AS (SELECT labeled.*, CAST(least(floor((date - lo) * 3 / CAST(n AS DOUBLE)), 2) AS INTEGER) AS fold FROM labeled, span),
+{auc_by('fold', 'folded')} SELECT fold, rows, positives, ROUND_TEXT(auc, 6) AS auc FROM fold_auc"""
+SQL["m_walk_forward"] = LABELED_ROWS + f""",
+span AS (SELECT min(date) AS lo, max(date) - min(date) + 1 AS n FROM labeled),
+folds AS (
+  SELECT CAST(f AS INTEGER) AS fold, lo + CAST(floor(n * (f + 1) / 5.0) AS INTEGER) AS valid_start,
+         lo + CAST(floor(n * (f + 2) / 5.0) AS INTEGER) - 1 AS valid_end FROM span, range(4) t(f)),
+trained AS (
+  SELECT fold, count(*) AS train_rows, ROUND_TEXT(avg(daily_return), 9) AS mean
+  FROM folds JOIN labeled ON date <= valid_start - 31 GROUP BY fold),
+judged AS (SELECT folds.fold, labeled.* FROM folds JOIN labeled ON date BETWEEN valid_start AND valid_end),
+{auc_by('fold', 'judged')},
+right_ones AS (SELECT fold, avg(CASE WHEN (daily_return > mean) = (next_day_up = 1) THEN 1.0 ELSE 0.0 END) AS accuracy
+  FROM judged JOIN trained USING (fold) GROUP BY fold)
+SELECT fold, valid_start - 31 AS train_end, valid_start, valid_end, train_rows, rows AS valid_rows, ROUND_TEXT(accuracy, 6) AS accuracy,
+  ROUND_TEXT(auc, 6) AS auc FROM folds JOIN trained USING (fold) JOIN fold_auc USING (fold) JOIN right_ones USING (fold)"""
+
 SQL = {k: expanded(v) for k, v in SQL.items()}

@@ -21,10 +21,13 @@ from tickwise.operators import features as FE
 from tickwise.operators import labels as LB
 from tickwise.operators import profile as PR
 from tickwise.operators import quality as QA
+from tickwise.operators import ranking as RK
 from tickwise.plans import daily_run as DR
 from tickwise.plans import model as ML
 from tickwise.plans import refresh as RF
 from tickwise.plans import rolling as RO
+from tickwise.plans import tree_table as TT
+from tickwise.plans import walk_forward as WF
 from tickwise.session import ensure_checkpoint_dir
 from tickwise.sources import fixtures as FX
 from tickwise.sources import landing as LA
@@ -460,23 +463,33 @@ def m_gbt_predictions(spark, sf_dir):
     return _predictions(spark, sf_dir, "gbt")
 
 
+def _side_rows(res):
+    """The rows that each side's metrics are made of."""
+    return (res.train_predictions.select(F.lit("train").alias("split")).unionByName(
+        res.test_predictions.select(F.lit("test").alias("split"))).groupBy("split").agg(F.count(F.lit(1)).alias("rows")))
+
+
 @register("m_metrics")
 def m_metrics(spark, sf_dir):
+    """The metrics of a fitted model: in range, and over as many rows as the sides have."""
     res, _ = _trained(spark, sf_dir, "gbt")
-    return ML.evaluate(spark, res.train_predictions, res.test_predictions).select(
-        "split", "metric", F.col("value").between(0.0, 1.0).alias("in_range"))
+    return ML.evaluate(spark, res.train_predictions, res.test_predictions).join(_side_rows(res), "split").select(
+        "split", "metric", "rows", F.col("value").between(0.0, 1.0).alias("in_range"))
 
 
 @register("m_quality_bands")
 def m_quality_bands(spark, sf_dir):
-    """The bands of the fitted model agree with its figures."""
+    """The bands of the fitted model agree with its figures, and its test AUC with the one from mid-ranks."""
     res, _ = _trained(spark, sf_dir, "rf")
     b = ML.quality_bands(ML.evaluate(spark, res.train_predictions, res.test_predictions))
     auc, gap = F.col("test_auc"), F.col("auc_gap")
-    return b.select(
+    up = F.get(ML.vector_to_array("rawPrediction"), F.lit(1))
+    exact = RK.grouped_auc(res.test_predictions.select(F.lit("test").alias("split"), up.alias("score"), "next_day_up"), ["split"], "score")
+    return b.join(exact, F.lit(True)).select(  # one row each
         (F.col("auc_band") == F.when(auc >= 0.8, "excellent").when(auc >= 0.7, "good").when(auc >= 0.6, "moderate")
          .otherwise("poor")).alias("auc_band_ok"),
-        (F.col("gap_band") == F.when(gap <= 0.05, "low").when(gap <= 0.1, "moderate").otherwise("high")).alias("gap_band_ok"))
+        (F.col("gap_band") == F.when(gap <= 0.05, "low").when(gap <= 0.1, "moderate").otherwise("high")).alias("gap_band_ok"),
+        (F.abs(auc - F.col("auc")) < 1e-9).alias("auc_ok"), "rows", "positives")
 
 
 def _rule_metrics(spark, sf_dir):
@@ -504,8 +517,9 @@ def m_cv_best(spark, sf_dir):
     res, _ = _trained(spark, sf_dir, "rf", tuning=True, parallelism=4)
     grid = ML.param_grid(ML.classifier("rf"), "rf")
     inside = any(all(res.best_params[p.name] == v for p, v in point.items()) for point in grid)
-    return spark.range(1).select(F.lit(len(grid)).cast("bigint").alias("grid_points"),
-                                 F.lit(ML.CV_FOLDS).cast("bigint").alias("folds"), F.lit(inside).alias("best_in_grid"))
+    return _side_rows(res).filter("split = 'train'").select(
+        F.lit(len(grid)).cast("bigint").alias("grid_points"), F.lit(ML.CV_FOLDS).cast("bigint").alias("folds"),
+        F.lit(inside).alias("best_in_grid"), F.col("rows").alias("train_rows"))
 
 
 @register("m_score_batch")
@@ -746,3 +760,53 @@ def k_compact(spark, sf_dir):
     back = PB.read(spark, path).drop("year")
     return back.withColumns({"fewer_files": F.lit(done["after"] < done["before"]),
                              "files_a_year": F.lit(PB.files(spark, path).groupBy("part").count().agg(F.max("count")).first()[0])})
+
+
+# --- exact metrics by group, walk-forward folds, models as tables ----------------------------
+
+
+def _ranked_rule(spark, sf_dir):
+    """The fixed rule of ``m_metrics_rule``: rows ranked by the day's return."""
+    return LB.with_date_folds(labeled(spark, sf_dir), 3).withColumn("score", F.col("daily_return"))
+
+
+@register("m_auc_by_ticker")
+def m_auc_by_ticker(spark, sf_dir):
+    return round6(RK.grouped_auc(_ranked_rule(spark, sf_dir), ["ticker"], "score"), ["auc"])
+
+
+@register("m_auc_by_fold")
+def m_auc_by_fold(spark, sf_dir):
+    return round6(RK.grouped_auc(_ranked_rule(spark, sf_dir), ["fold"], "score"), ["auc"])
+
+
+def _fit_mean_rule(train):
+    """A rule that is learned: up when the return is above the training rows' mean; ranked by the return."""
+    mean = train.agg(F.round(F.avg("daily_return"), 9)).first()[0]
+    return lambda valid: valid.withColumns({"score": F.col("daily_return"), "prediction": F.when(F.col("daily_return") > mean, 1.0).otherwise(0.0)})
+
+
+@register("m_walk_forward")
+def m_walk_forward(spark, sf_dir):
+    """Bounds, rows, accuracy and AUC of expanding folds with an embargo, for a rule in the place of the model."""
+    rows = labeled(spark, sf_dir)
+    scored = WF.walk_forward(rows, _fit_mean_rule, k=4, embargo=30)
+    out = WF.fold_bounds(rows, 4, 30).join(WF.fold_metrics(scored), "fold")
+    return round6(out, ["accuracy", "auc"])
+
+
+@register("m_tree_table")
+def m_tree_table(spark, sf_dir):
+    """Both ensembles saved and applied as tables of nodes: all test rows, mismatches of prediction and probability."""
+    out = []
+    for kind in ("rf", "gbt"):
+        res, feats = _trained(spark, sf_dir, kind)
+        _, path = ML.save_model(spark, res.model, _fresh_dir(spark, "trees"), f"direction_{kind}")
+        test = LB.split_data(LB.create_labels(LB.training_read(feats)))[1]
+        a = TT.score_with_table(spark, path, test).filter(ML.complete_cond()).select("ticker", "date", "prediction", "probability_up")
+        b = res.model.transform(test).select("ticker", "date", F.col("prediction").alias("p"), F.get(ML.vector_to_array("probability"), F.lit(1)).alias("up"))
+        out.append(a.join(b, ["ticker", "date"], "full").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("p"))).alias("prediction_mismatches"),
+            F.count_if(~F.coalesce(F.abs(F.col("probability_up") - F.col("up")) < 1e-9, F.lit(False))).alias("probability_mismatches"),
+        ).withColumn("model_type", F.lit(kind)))
+    return out[0].unionByName(out[1])
