@@ -112,3 +112,39 @@ def test_node_table(spark, scratch, kind):
     scored = TT.score_with_table(spark, f"{scratch}/m", rows)
     assert scored.columns == [*rows.columns, "prediction", "probability_up"]
     assert scored.filter("momentum is null and (prediction is not null or probability_up is not null)").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 60_000])
+def test_selected_quartiles(spark, n, monkeypatch):
+    """Exact quartiles of large and small groups, with ties, nulls and a hot value, against numpy."""
+    import numpy as np
+
+    from tickwise.operators import profile as PR
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise("b").alias("g"), F.when(F.col("id") % 11 != 5, F.xxhash64("id") / 1e15).alias("x"),
+                               F.when(F.col("id") % 2 == 0, 7.0).otherwise(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(50)).cast("double")).alias("y"))
+    monkeypatch.setattr(PR, "SKETCH_ACCURACY", 100)
+    rows = df.collect()
+    for groups in ([], ["g"]):
+        got = PR.summary_selected(df, ["x", "y"], groups).collect()
+        for r in got:
+            own = [v[r["feature"]] for v in rows if not groups or v["g"] == r["g"]]
+            own = [v for v in own if v is not None]
+            assert r["count"] == len(own)
+            if own:
+                assert np.allclose([r["min"], r["p25"], r["p50"], r["p75"], r["max"]], np.quantile(own, [0, .25, .5, .75, 1]), rtol=1e-12)
+
+
+def test_profile_recomputes_changed_partitions_only(spark, scratch):
+    from tickwise.plans import profile_state as PS
+    from tickwise.sources import published as PB
+    from tickwise.sources import sinks as SK
+    feats = R.features_c2c(spark, SF_SMALL)
+    path, profile = f"{scratch}/f", f"{scratch}/p"
+    PB.append(SK.located(feats, 2), path, [SK.MONTH, SK.BUCKET])
+    assert len(PS.refresh_profile(spark, path, profile)) == len(PB.current(spark, path).parts)
+    assert PS.refresh_profile(spark, path, profile) == []
+    more = feats.filter("ticker = 'S1' and date between '1997-03-01' and '1997-03-31'").withColumn("daily_return", F.lit(9.0))
+    PB.append(SK.located(more, 2), path, [SK.MONTH, SK.BUCKET])
+    assert [p.split("/")[0] for p in PS.refresh_profile(spark, path, profile)] == ["month=1997-03"]
+    got = {r["feature"]: r["max_val"] for r in PS.feature_ranges(PS.read_profile(spark, profile)).filter("ticker = 'S1'").collect()}
+    assert got["daily_return"] >= 9.0

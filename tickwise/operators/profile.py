@@ -72,7 +72,7 @@ def date_range(df: DataFrame) -> DataFrame:
                                     F.count("date").alias("total_days"))
 
 
-def _unpivot_stats(wide: DataFrame, features: list[str], stats: list[str],
+def unpivot_stats(wide: DataFrame, features: list[str], stats: list[str],
                    key: str = "ticker") -> DataFrame:
     """Turn columns ``{feature}__{stat}`` into rows (key, feature, stats...)."""
     rows = [F.struct(F.lit(f).alias("feature"),
@@ -89,7 +89,7 @@ def feature_ranges(df: DataFrame,
         aggs += [F.min(f).alias(f"{f}__min_val"), F.max(f).alias(f"{f}__max_val"),
                  F.avg(f).alias(f"{f}__avg_val")]
     wide = df.groupBy("ticker").agg(*aggs)
-    return _unpivot_stats(wide, list(features), ["min_val", "max_val", "avg_val"])
+    return unpivot_stats(wide, list(features), ["min_val", "max_val", "avg_val"])
 
 
 SUMMARY_STATS = ["count", "mean", "stddev", "min", "p25", "p50", "p75", "max"]
@@ -114,7 +114,61 @@ def summary(df: DataFrame, features: list[str], exact: bool = True) -> DataFrame
     wide = df.groupBy("ticker").agg(*aggs)
     wide = wide.withColumns({f"{f}__{name}": F.col(f"{f}__q")[i].cast("double")
                              for f in features for i, name in enumerate(("p25", "p50", "p75"))})
-    return _unpivot_stats(wide, features, SUMMARY_STATS)
+    return unpivot_stats(wide, features, SUMMARY_STATS)
+
+
+# Relative rank error of the sketch that bounds a quartile.
+SKETCH_ACCURACY = 10_000
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def summary_selected(df: DataFrame, features: list[str], groups: list[str] | None = None) -> DataFrame:
+    """``summary`` for groups of any size (the whole table if none are named), quartiles exact and interpolated.
+
+    Two passes and no group in one task. The first takes counts, moments and a mergeable sketch of bounded size, which
+    gives values that surely lie below and above each quartile. The second counts the values below the lower bound and keeps
+    those between the bounds -- about 4 / ``SKETCH_ACCURACY`` of a group's rows, equal values as one row -- of which the
+    quartile is picked by its rank. A group of no more rows than the sketch holds is bounded by its minimum and maximum."""
+    groups = groups or []
+    gap = 2.0 / SKETCH_ACCURACY
+    probs = [max(0.0, min(1.0, p + d)) for p in QUARTILES for d in (-gap, gap)]
+    aggs = []
+    for f in features:
+        c = F.col(f)
+        sketch = F.percentile_approx(c, F.array(*[F.lit(p) for p in probs]), SKETCH_ACCURACY)
+        aggs += [F.struct(F.lit(f).alias("feature"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("stddev"),
+                          F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"), sketch.cast("array<double>").alias("sketch")).alias(f)]
+    key = F.struct(F.lit(0).alias("_all"), *[F.col(g) for g in groups])
+    first = df.groupBy(key.alias("_key")).agg(*aggs).select("_key", F.explode(F.array(*features)).alias("_s")).select("_key", "_s.*")
+    small = F.col("count") <= SKETCH_ACCURACY
+    bounds = first.select("_key", "feature", F.explode(F.array(*[F.struct(
+        F.lit(i).alias("q"), F.when(small, F.col("min")).otherwise(F.get("sketch", F.lit(2 * i))).alias("lo"),
+        F.when(small, F.col("max")).otherwise(F.get("sketch", F.lit(2 * i + 1))).alias("hi"),
+        (F.lit(p) * (F.col("count") - 1)).alias("pos")) for i, p in enumerate(QUARTILES)])).alias("_b")).select("_key", "feature", "_b.*")
+    # one row a group: its bounds by feature and quartile
+    wide = bounds.groupBy(F.col("_key").alias("_of")).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat_ws("#", "feature", F.col("q").cast("string")), F.struct("lo", "hi")))).alias("_bounds"))
+    rows = df.select(key.alias("_key"), *[F.col(f).cast("double").alias(f) for f in features])
+    rows = rows.join(wide if groups else F.broadcast(wide), F.col("_key") == F.col("_of"))  # without groups: one row
+    cells = []
+    for f in features:
+        for i in range(len(QUARTILES)):
+            b = F.col("_bounds")[f"{f}#{i}"]
+            below, between = F.col(f) < b["lo"], (F.col(f) >= b["lo"]) & (F.col(f) <= b["hi"])
+            cells.append(F.when(below | between, F.struct(F.lit(f).alias("feature"), F.lit(i).alias("q"), F.when(between, F.col(f)).alias("value"))))
+    counted = (rows.select("_key", F.explode(F.array_compact(F.array(*cells))).alias("_c")).groupBy("_key", "_c.feature", "_c.q", "_c.value")
+               .agg(F.count(F.lit(1)).alias("n")))
+    # what lies below the bound has no value and comes first; the rest is bounded by the sketch
+    w = Window.partitionBy("_key", "feature", "q").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0))).join(
+        bounds.select("_key", "feature", "q", "pos"), ["_key", "feature", "q"])
+    at = lambda rank: F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("n")), F.col("value")))
+    low, high = F.floor("pos"), F.ceil("pos")
+    picked = placed.groupBy("_key", "feature", "q").agg(at(low).alias("a"), at(high).alias("b"), F.max("pos").alias("pos"))
+    value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - F.floor("pos"))
+    names = [f"p{int(p * 100)}" for p in QUARTILES]
+    quartiles = picked.groupBy("_key", "feature").agg(*[F.max(F.when(F.col("q") == i, value)).alias(n) for i, n in enumerate(names)])
+    return first.join(quartiles, ["_key", "feature"], "left").select(*[F.col("_key")[g].alias(g) for g in groups], "feature", *SUMMARY_STATS)
 
 
 def sorted_by_key(df: DataFrame) -> DataFrame:

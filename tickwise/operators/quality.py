@@ -8,6 +8,8 @@ that single aggregate row per ticker.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +32,11 @@ def column_diff(columns: list[str], expected: list[str] | None = None) -> dict:
 
 def validate_columns(df: DataFrame, expected: list[str] | None = None) -> bool:
     """Required-columns gate: True when no expected column is missing."""
-    return not column_diff(df.columns, expected)["missing"]
+    return validate_columns_of(df.columns, expected)
+
+
+def validate_columns_of(columns: list[str], expected: list[str] | None = None) -> bool:
+    return not column_diff(columns, expected)["missing"]
 
 
 def schema_check(df: DataFrame, expected: list[str] | None = None) -> DataFrame:
@@ -73,14 +79,18 @@ def ticker_checks(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.count_if(is_outlier("daily_return", t)).alias("extreme_outliers"),
         *[F.count_if(F.col(c).isNull()).alias(f"_n_{c}") for c in cols])
-    def pct(c):
-        return F.coalesce(safe_div(F.col(c) * 100.0, F.col("rows")), F.lit(0.0))
-    high = F.array_compact(F.array(*[F.when(pct(f"_n_{c}") > NULL_FAIL_PCT, F.lit(c))
-                                     for c in cols]))
+    return checks_of(wide, cols, lambda c: F.col(f"_n_{c}"))
+
+
+def checks_of(wide: DataFrame, cols: list[str], nulls: Callable[[str], Column]) -> DataFrame:
+    """The verdicts from counts: ``rows``, ``extreme_outliers`` and the null count of each column."""
+    def pct(c: Column) -> Column:
+        return F.coalesce(safe_div(c * 100.0, F.col("rows")), F.lit(0.0))
+    high = F.array_compact(F.array(*[F.when(pct(nulls(c)) > NULL_FAIL_PCT, F.lit(c)) for c in cols]))
+    extreme = pct(F.col("extreme_outliers"))
     return wide.select(
-        "ticker", "rows", "extreme_outliers",
-        pct("extreme_outliers").alias("outlier_pct"),
-        (pct("extreme_outliers") < OUTLIER_VERDICT_MAX_PCT).alias("outlier_ok"),
+        "ticker", "rows", "extreme_outliers", extreme.alias("outlier_pct"),
+        (extreme < OUTLIER_VERDICT_MAX_PCT).alias("outlier_ok"),
         F.array_join(high, ",").alias("high_null_columns"),
         (F.size(high) == 0).alias("null_ok"))
 
@@ -163,12 +173,12 @@ def top_outliers(df: DataFrame, rows: int = OUTLIER_SAMPLE_ROWS) -> DataFrame:
     """Largest extreme daily_return rows of every ticker, at most ``rows`` each, beside
     ``n_extreme``, the ticker's number of extreme rows."""
     out = return_outliers(df).select("date", "ticker", "daily_return", "close")
-    per = Window.partitionBy("ticker")
     rank = Window.partitionBy("ticker").orderBy(F.col("daily_return").desc_nulls_last(),
                                                 F.col("date").desc_nulls_last())
-    return (out.withColumn("n_extreme", F.count(F.lit(1)).over(per))
-               .withColumn("_rn", F.row_number().over(rank))
-               .filter(F.col("_rn") <= rows).drop("_rn"))
+    # ranked first, so each task keeps its best rows and sends no others; counted apart
+    top = out.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= rows).drop("_rn")
+    counts = out.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_extreme"))
+    return top.join(counts, "ticker")
 
 
 # --- validation report ----------------------------------------------------------
@@ -180,16 +190,19 @@ def validation_report(df: DataFrame, tickers: DataFrame | None = None,
     ``tickers``: optional one-column frame of requested tickers; requested
     tickers without rows get exists = false and fail.
     """
-    d = column_diff(df.columns, expected)
-    cols_ok = not d["missing"]
-    rep = ticker_checks(df)
+    return report_of(ticker_checks(df), df.columns, tickers, expected)
+
+
+def report_of(rep: DataFrame, columns: list[str], tickers: DataFrame | None = None, expected: list[str] | None = None) -> DataFrame:
+    """The report from ``ticker_checks`` and the table's columns."""
+    cols_ok = validate_columns_of(columns, expected)
     if tickers is not None:
         rep = tickers.select("ticker").distinct().join(rep, "ticker", "left")
     exists = F.col("rows").isNotNull()
     return rep.select(
         "ticker", exists.alias("table_exists"),
         F.coalesce(F.col("rows"), F.lit(0)).cast("bigint").alias("row_count"),
-        F.when(exists, F.lit(len(df.columns))).otherwise(0).cast("bigint").alias("column_count"),
+        F.when(exists, F.lit(len(columns))).otherwise(0).cast("bigint").alias("column_count"),
         (exists & F.lit(cols_ok)).alias("columns_ok"),
         F.coalesce(F.col("null_ok"), F.lit(False)).alias("null_ok"),
         F.coalesce(F.col("outlier_ok"), F.lit(False)).alias("outlier_ok"),

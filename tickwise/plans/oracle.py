@@ -620,4 +620,11 @@ right_ones AS (SELECT fold, avg(CASE WHEN (daily_return > mean) = (next_day_up =
 SELECT fold, valid_start - 31 AS train_end, valid_start, valid_end, train_rows, rows AS valid_rows, ROUND_TEXT(accuracy, 6) AS accuracy,
   ROUND_TEXT(auc, 6) AS auc FROM folds JOIN trained USING (fold) JOIN fold_auc USING (fold) JOIN right_ones USING (fold)"""
 
+SQL["k_profile_increment"] = SQL["f_validation_report"]
+SQL["k_profile_ranges"] = SQL["f_feature_ranges"]
+SQL["f_summary_all"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS feature, count({c}) AS count, ROUND_TEXT(avg({c}), 6) AS mean, ROUND_TEXT(stddev_samp({c}), 6) AS stddev, ROUND_TEXT(min({c}), 6) AS min,
+  ROUND_TEXT(quantile_cont({c}, 0.25), 6) AS p25, ROUND_TEXT(quantile_cont({c}, 0.5), 6) AS p50, ROUND_TEXT(quantile_cont({c}, 0.75), 6) AS p75,
+  ROUND_TEXT(max({c}), 6) AS max FROM feat""" for c in FEATURE_DOUBLES)
+
 SQL = {k: expanded(v) for k, v in SQL.items()}

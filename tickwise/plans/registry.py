@@ -24,6 +24,7 @@ from tickwise.operators import quality as QA
 from tickwise.operators import ranking as RK
 from tickwise.plans import daily_run as DR
 from tickwise.plans import model as ML
+from tickwise.plans import profile_state as PS
 from tickwise.plans import refresh as RF
 from tickwise.plans import rolling as RO
 from tickwise.plans import tree_table as TT
@@ -810,3 +811,34 @@ def m_tree_table(spark, sf_dir):
             F.count_if(~F.coalesce(F.abs(F.col("probability_up") - F.col("up")) < 1e-9, F.lit(False))).alias("probability_mismatches"),
         ).withColumn("model_type", F.lit(kind)))
     return out[0].unionByName(out[1])
+
+
+@register("f_summary_all")
+def f_summary_all(spark, sf_dir):
+    """Summary statistics of the whole table as one group, quartiles exact."""
+    df = PR.summary_selected(features_c2c(spark, sf_dir), FEATURE_DOUBLES)
+    return round6(df, ["mean", "stddev", "min", "p25", "p50", "p75", "max"])
+
+
+def _profile(spark, sf_dir):
+    """A profile made with the first load and brought up to date after later days and a correction of old ones."""
+    prices_path, path, state, profile = (_fresh_dir(spark, f"profile-{n}") for n in ("prices", "features", "rows", "table"))
+    p = FX.prices(spark, sf_dir)
+    wrong = (F.dayofmonth("date") == 15) & (F.month("date") == 3) & (F.year("date") == 1998)
+    said = p.withColumn("close", F.when(wrong, F.col("close") * 9).otherwise(F.col("close")))
+    early = F.col("date") < F.lit(dt.date(1998, 8, 1))
+    for batch in (said.filter(early), p.filter(~early), p.filter(wrong)):
+        done = SK.upsert_latest(spark, batch, prices_path, 2)
+        RO.refresh_rolling(spark, prices_path, path, state, done, RUN_DATE, n_buckets=2)
+        PS.refresh_profile(spark, path, profile)
+    return PS.read_profile(spark, profile)
+
+
+@register("k_profile_increment")
+def k_profile_increment(spark, sf_dir):
+    return PS.validation_report(_profile(spark, sf_dir), requested_tickers(spark, sf_dir))
+
+
+@register("k_profile_ranges")
+def k_profile_ranges(spark, sf_dir):
+    return round6(PS.feature_ranges(_profile(spark, sf_dir)), ["min_val", "max_val", "avg_val"])
