@@ -182,3 +182,14 @@ def test_bloom_filter_has_no_false_negatives(spark):
     asked = url_filter._hashed(rules, "host", "path", 16).join(bits, "block")
     assert bits.count() <= 16
     assert asked.filter(" AND ".join(f"(w{i} & m{i}) = m{i}" for i in range(8))).count() == 2000
+
+
+def test_urls_without_a_host_are_spread(spark):
+    """Two thirds of the pages have no host and one URL is hot: the last join has a key of its own on both sides."""
+    urls = [None] * 200 + ["no scheme"] * 200 + ["http://a.net/x"] * 150 + [f"http://h{k}.org/fr/{k}" for k in range(50)]
+    rules = spark.createDataFrame([("net", "/", "block"), ("org", "/fr/", "allow")], "host string, path string, action string")
+    out = url_filter.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(4), rules)
+    p = plan(out)
+    assert p.count("Exchange hashpartitioning(key") >= 2 and "monotonically_increasing_id" in p
+    got = [r["rule"] for r in out.collect()]
+    assert len(got) == 600 and got.count(None) == 400 and got.count("net/") == 150 and got.count("org/fr/") == 50

@@ -83,8 +83,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     exact = possible.join(own.select(F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "action"),
                           ["rule_host", "rule_path"])
     rule = F.concat("rule_host", "rule_path")
-    best = exact.groupBy("host", "path").agg(F.max(F.struct(
+    best = exact.groupBy(F.concat("host", "path").alias("url")).agg(F.max(F.struct(
         F.length(rule).alias("size"), F.length("rule_path").alias("path_size"), F.col("action"), rule.alias("rule"))).alias("best"))
-    return pages.join(best, ["host", "path"], "left").select(
+    # A key of its own on both sides, so a hot URL can be split (a host has no slash and a path begins with one, so host + path
+    # says both); what has no host meets nothing and is dealt out by its place.
+    key = F.when(F.length("host") > 0, F.concat(F.lit("u"), "host", "path")).otherwise(
+        F.concat(F.lit("n"), F.monotonically_increasing_id().cast("string")))
+    best = best.select(F.concat(F.lit("u"), "url").alias("key"), "best")
+    return pages.withColumn("key", key).join(best, "key", "left").select(
         F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.action", F.lit(default)).alias("verdict"))
