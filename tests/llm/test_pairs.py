@@ -159,6 +159,20 @@ def test_drop_near_copies(awkward, nothing):
     assert rows(simhash.drop_near_copies(nothing)) == [] and rows(simhash.simhash_groups(nothing)) == []
 
 
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_exact_dedup_many_repeats_of_a_row(spark, keep):
+    """A third of all rows are one row, with an id and without: exactly one of a class is kept, and no row is regrown."""
+    docs = [(None, None)] * 300 + [(5, "Same")] * 200 + [(9, "same")] * 3 + [(k, f"own {k}") for k in range(100, 400)]
+    out = exact_dedup.exact_dedup(spark.createDataFrame(docs, "doc_id long, text string").repartition(7), keep=keep)
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    got = out.collect()
+    assert len(got) == len(docs)
+    kept = sorted(str(r["doc_id"]) for r in got if r["kept"])
+    assert kept == sorted(["None", "5" if keep == "smallest" else "9", *map(str, range(100, 400))])
+    sizes = {r["doc_id"]: r["group_size"] for r in got}
+    assert sizes[None] == 300 and sizes[5] == sizes[9] == 203 and sizes[100] == 1
+
+
 # --- suffix dedup ---
 
 def slow_repeats(given, t, rank=str):

@@ -4,9 +4,10 @@ The grouping key of the one wide shuffle is (128-bit hash, SHA-256,
 normalised text). Grouping by the text itself is the byte comparison: two
 texts share a class only if all their bytes agree, whatever their hashes do.
 Map-side aggregation keeps one copy of a text per task, so a text that makes up
-a third of all rows costs each reducer one row per map task. The documents are
-then joined to their class by the two hashes alone (no text moves); a hot
-class is a skewed join key, which AQE splits.
+a third of all rows costs each reducer one row per map task. The documents (id, hashes and a place, no
+text) are checkpointed, the one that stays is picked by map-side aggregation, and they are joined to their class by
+the two hashes alone; a hot class is a skewed join key, which AQE splits, and of rows that repeat id and
+text the first place stays, so no row has to be regrown.
 
 Two different texts that agree in the 128-bit hash are told apart by their
 SHA-256. Should texts ever agree in both, the job stops with an error
@@ -19,11 +20,12 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tickwise.llm.textblocks import column
+from tickwise.session import ensure_checkpoint_dir
 
 
 def md5_128(text: bytes) -> bytes:
@@ -65,30 +67,31 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the same id and text exactly one is kept; no rows in, no rows out. Other
     columns of ``docs`` are not read, so their names can't clash.
     """
-    best: Column = {"smallest": F.min("id"), "largest": F.max("id")}[keep]
-    classes = (_hashed(docs, id_col, text_col, normalise, content_hash, True)
-               .groupBy("h", "sha", "norm").agg(F.count(F.lit(1)).alias("group_size"), best.alias("keep_id"))
-               # one text per (h, sha): a second one would be a double collision
-               .groupBy("h", "sha").agg(F.count(F.lit(1)).alias("texts"), F.max("group_size").alias("group_size"),
-                                        best_of(keep, "keep_id").alias("keep_id"))
-               .withColumn("group_size", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(
-                   F.raise_error(F.lit("two texts agree in both content hashes")).cast("long"))))
-    # one key column: both sides are dealt out anew for the join, so a hot class can be split
+    if keep not in ("smallest", "largest"):
+        raise ValueError(f"keep is 'smallest' or 'largest', not {keep!r}")
+    ensure_checkpoint_dir(docs.sparkSession)
+    # one key column: both sides are dealt out anew for the joins, so a hot class can be split
     key = F.concat("h", F.col("sha").cast("binary"))
-    classes = classes.select(key.alias("key"), "group_size", "keep_id")
-    rows = (_hashed(docs, id_col, text_col, normalise, content_hash, False)
-            .groupBy("id", "h", "sha").agg(F.count(F.lit(1)).alias("copies")).select("id", "sha", "copies", key.alias("key")))
-    out = (rows.join(classes, "key")
-           .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))
-    return out.select(F.col("id").alias(id_col), "keep_id", "group_size",
-                      (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
+    texts = (_hashed(docs, id_col, text_col, normalise, content_hash, True).groupBy("h", "sha", "norm").agg(F.count(F.lit(1)).alias("n"))
+             # one text per (h, sha): a second one would be a double collision
+             .groupBy("h", "sha").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n")).select(
+                 key.alias("key"), F.when(F.col("texts") == 1, F.col("n")).otherwise(
+                     F.raise_error(F.lit("two texts agree in both content hashes")).cast("long")).alias("group_size")))
+    # each row has a place of its own, settled by the checkpoint, which tells repeated rows apart
+    rows = _hashed(docs, id_col, text_col, normalise, content_hash, False).select(
+        "id", "sha", key.alias("key"), F.monotonically_increasing_id().alias("place")).checkpoint()
+    known = F.col("id").isNotNull()
+    if keep == "smallest":
+        best = F.min(F.struct((~known).alias("none"), F.col("id"), F.col("place")))
+    else:
+        best = F.max(F.struct(known.alias("none"), F.col("id"), (-F.col("place")).alias("place")))
+    stays = rows.groupBy("key").agg(best.alias("best")).select("key", F.col("best.id").alias("keep_id"), F.abs("best.place").alias("keep_place"))
+    classes = texts.join(stays, "key").select(F.concat("key", F.lit(b"#")).alias("of"), "group_size", "keep_id", "keep_place")
+    out = rows.withColumn("of", F.concat("key", F.lit(b"#"))).join(classes, "of")
+    return out.select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("place") == F.col("keep_place")).alias("kept"),
                       F.col("sha").alias("text_sha256"))
 
 
-def best_of(keep: str, name: str) -> Column:
-    return F.min(name) if keep == "smallest" else F.max(name)
-
-
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest",
                       normalise: Callable[[bytes], bytes] = ascii_lower) -> DataFrame:
     """``docs`` with one row per distinct text, all columns as they were."""
