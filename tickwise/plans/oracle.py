@@ -627,4 +627,11 @@ SELECT '{c}' AS feature, count({c}) AS count, ROUND_TEXT(avg({c}), 6) AS mean, R
   ROUND_TEXT(quantile_cont({c}, 0.25), 6) AS p25, ROUND_TEXT(quantile_cont({c}, 0.5), 6) AS p50, ROUND_TEXT(quantile_cont({c}, 0.75), 6) AS p75,
   ROUND_TEXT(max({c}), 6) AS max FROM feat""" for c in FEATURE_DOUBLES)
 
+SQL["k_catalog_read"] = SQL["f_typed_projection"]
+SQL["k_guarded"] = f"""SELECT *, 'stored' AS source FROM ({SQL['f_validation_report']})
+UNION ALL SELECT ticker, false, 0, 0, false, false, false, 0, '', false, 'absent' FROM ({SQL['f_validation_report']})"""
+SQL["k_counted"] = with_(PRICES, PRICES_DIRTY) + """
+SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS written, count(*) AS stored FROM prices_dirty WHERE year(date) IN (1996, 1997) GROUP BY 1"""
+SQL["p_session_view"] = with_(PRICES) + "SELECT ticker, max(close) AS top, count(*) AS days FROM prices WHERE volume > 10 GROUP BY ticker"
+
 SQL = {k: expanded(v) for k, v in SQL.items()}

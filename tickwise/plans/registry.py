@@ -842,3 +842,51 @@ def k_profile_increment(spark, sf_dir):
 @register("k_profile_ranges")
 def k_profile_ranges(spark, sf_dir):
     return round6(PS.feature_ranges(_profile(spark, sf_dir)), ["min_val", "max_val", "avg_val"])
+
+
+# --- catalog tables, guarded reads, session views, counted writes -------------------------------
+
+
+def _table_name(name):
+    return f"tickwise_{name}_{uuid.uuid4().hex}"
+
+
+@register("k_catalog_read")
+def k_catalog_read(spark, sf_dir):
+    """Typed features saved as a catalog table, replaced once, and read by name."""
+    name = _table_name("features")
+    f = FE.typed_features(features_c2c(spark, sf_dir))
+    SK.save_as_table(f.withColumn("close", F.lit(0.0)), name)
+    SK.save_as_table(f, name)
+    return round6(SP.read_table(spark, name), FEATURE_DOUBLES)
+
+
+@register("k_guarded")
+def k_guarded(spark, sf_dir):
+    """The validation report of a table that exists and of one that does not: the run goes on with failed rows."""
+    name = _table_name("guarded")
+    SK.save_as_table(features_c2c(spark, sf_dir), name)
+    asked = requested_tickers(spark, sf_dir)
+    reports = [QA.validate_source(spark, SP.read_table(spark, n, "skip"), asked).withColumn("source", F.lit(s))
+               for n, s in ((name, "stored"), (_table_name("absent"), "absent"))]
+    return reports[0].unionByName(reports[1])
+
+
+@register("k_counted")
+def k_counted(spark, sf_dir):
+    """Rows counted while they are written, and those read back, by year."""
+    out = []
+    p = dirty(spark, sf_dir)
+    for year in (1996, 1997):
+        path = _fresh_dir(spark, f"counted-{year}")
+        n = SK.overwrite_table(p.filter(F.year("date") == year), path)
+        back = SP.read_path(spark, path).agg(F.count(F.lit(1)).alias("stored"))
+        out.append(back.select(F.lit(year).alias("year"), F.lit(n).cast("bigint").alias("written"), "stored"))
+    return out[0].unionByName(out[1])
+
+
+@register("p_session_view")
+def p_session_view(spark, sf_dir):
+    """A session view queried by SQL text."""
+    view = SP.register_view(FX.prices(spark, sf_dir), "tickwise_prices_view")
+    return spark.sql(f"SELECT ticker, max(close) AS top, count(*) AS days FROM {view} WHERE volume > 10 GROUP BY ticker")
