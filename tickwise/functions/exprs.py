@@ -11,12 +11,12 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.try_divide(num, den)
 
 
-def ticker_window(partition: str = "ticker", order: str = "date") -> WindowSpec:
+def ticker_window(partition: str | list[str] = "ticker", order: str = "date") -> WindowSpec:
     """Per-ticker series in date order."""
     return Window.partitionBy(partition).orderBy(order)
 
 
-def trailing_rows(n: int, partition: str = "ticker", order: str = "date") -> WindowSpec:
+def trailing_rows(n: int, partition: str | list[str] = "ticker", order: str = "date") -> WindowSpec:
     """The current row and the n-1 rows before it (partial at the start)."""
     return ticker_window(partition, order).rowsBetween(-(n - 1), Window.currentRow)
 

@@ -28,6 +28,7 @@ from tickwise.schemas import (EXPECTED_FEATURE_TABLE_COLUMNS, FEATURE_SCHEMA,
                               LONG_WINDOW_ROWS, MOMENTUM_LAG_CLOSE_TO_CLOSE,
                               MOMENTUM_LAG_INTRADAY, SHORT_WINDOW_ROWS)
 
+Series = str | list[str]  # the columns that make up a series
 VARIANTS = ("intraday", "close_to_close")
 BASE_COLUMNS = ["ticker", "date", "open", "high", "low", "close", "volume"]
 
@@ -36,39 +37,50 @@ def intraday_return(df: DataFrame) -> Column:
     return safe_div(F.col("close") - F.col("open"), F.col("open"))
 
 
-def moving_avg(n: int) -> Column:
-    return F.avg("close").over(trailing_rows(n))
+def moving_avg(n: int, by: Series = "ticker") -> Column:
+    return F.avg("close").over(trailing_rows(n, by))
 
 
-def volatility(n: int, ret: str = "daily_return") -> Column:
-    return F.stddev_samp(ret).over(trailing_rows(n))
+def volatility(n: int, ret: str = "daily_return", by: Series = "ticker") -> Column:
+    return F.stddev_samp(ret).over(trailing_rows(n, by))
 
 
-def lagged_close(n: int) -> Column:
-    return F.lag("close", n).over(ticker_window())
+def lagged_close(n: int, by: Series = "ticker") -> Column:
+    return F.lag("close", n).over(ticker_window(by))
 
 
-def with_daily_return(df: DataFrame, variant: str = "intraday") -> DataFrame:
+def with_daily_return(df: DataFrame, variant: str = "intraday", by: Series = "ticker") -> DataFrame:
     if variant == "intraday":
         return df.withColumn("daily_return", intraday_return(df))
     # The lag is named once so the window computes it once.
-    return (df.withColumn("_prev_close", lagged_close(1))
+    return (df.withColumn("_prev_close", lagged_close(1, by))
               .withColumn("daily_return", pct_change(F.col("close"), F.col("_prev_close")))
               .drop("_prev_close"))
 
 
-def with_momentum(df: DataFrame, variant: str = "intraday") -> DataFrame:
+def with_momentum(df: DataFrame, variant: str = "intraday", by: Series = "ticker") -> DataFrame:
     if variant == "intraday":
-        lag = lagged_close(MOMENTUM_LAG_INTRADAY)
+        lag = lagged_close(MOMENTUM_LAG_INTRADAY, by)
         return (df.withColumn("_lag", lag)
                   .withColumn("momentum", safe_div(F.col("close"), F.col("_lag")))
                   .drop("_lag"))
-    lag = lagged_close(MOMENTUM_LAG_CLOSE_TO_CLOSE)
+    lag = lagged_close(MOMENTUM_LAG_CLOSE_TO_CLOSE, by)
     return (df.withColumn("_lag", lag)
               .withColumn("momentum", pct_change(F.col("close"), F.col("_lag")))
               .drop("_lag"))
 
 
+def with_features(df: DataFrame, variant: str = "intraday", by: Series = "ticker") -> DataFrame:
+    """All rolling features of one variant as further columns; ``by`` names what makes up a series."""
+    if variant not in VARIANTS:
+        raise ValueError(f"variant must be one of {VARIANTS}, got {variant!r}")
+    df = with_daily_return(df, variant, by)
+    df = (df.withColumn("moving_avg_7", moving_avg(SHORT_WINDOW_ROWS, by))
+            .withColumn("moving_avg_30", moving_avg(LONG_WINDOW_ROWS, by))
+            .withColumn("volatility_7", volatility(SHORT_WINDOW_ROWS, by=by)))
+    return with_momentum(df, variant, by)
+
+
 def create_features(clean_df: DataFrame, variant: str = "intraday",
                     run_date: dt.date | str | None = None,
                     typed: bool | None = None) -> DataFrame:
@@ -78,16 +90,12 @@ def create_features(clean_df: DataFrame, variant: str = "intraday",
     typed: cast to the feature schema (volume as double); default True for
     ``intraday``, False for ``close_to_close`` (volume stays long).
     """
-    if variant not in VARIANTS:
-        raise ValueError(f"variant must be one of {VARIANTS}, got {variant!r}")
-    run_date = run_date or dt.date.today()
-    df = clean_df.select(*BASE_COLUMNS)
-    df = with_daily_return(df, variant)
-    df = (df.withColumn("moving_avg_7", moving_avg(SHORT_WINDOW_ROWS))
-            .withColumn("moving_avg_30", moving_avg(LONG_WINDOW_ROWS))
-            .withColumn("volatility_7", volatility(SHORT_WINDOW_ROWS)))
-    df = with_momentum(df, variant)
-    df = df.withColumn("feature_timestamp", F.lit(run_date).cast("date"))
+    return finish_features(with_features(clean_df.select(*BASE_COLUMNS), variant), variant, run_date, typed)
+
+
+def finish_features(df: DataFrame, variant: str, run_date: dt.date | str | None = None, typed: bool | None = None) -> DataFrame:
+    """Stamp the run date, drop what the variant drops after the windows, project."""
+    df = df.withColumn("feature_timestamp", F.lit(run_date or dt.date.today()).cast("date"))
     if variant == "close_to_close":
         df = df.filter(F.col("daily_return").isNotNull())
     if typed is None:

@@ -634,4 +634,15 @@ SQL["k_counted"] = with_(PRICES, PRICES_DIRTY) + """
 SELECT CAST(year(date) AS INTEGER) AS year, count(*) AS written, count(*) AS stored FROM prices_dirty WHERE year(date) IN (1996, 1997) GROUP BY 1"""
 SQL["p_session_view"] = with_(PRICES) + "SELECT ticker, max(close) AS top, count(*) AS days FROM prices WHERE volume > 10 GROUP BY ticker"
 
+SQL["f_features_blocked"] = SQL["f_features_c2c"]
+SQL["f_asof_blocked"] = SQL["f_asof_join"]
+SQL["f_ticks_blocked"] = f"""
+WITH ticks AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE 'S' || cast(l_suppkey AS varchar) END AS ticker,
+         l_orderkey * 8 + l_linenumber AS trade, l_extendedprice AS px FROM lineitem)
+SELECT ticker, trade, px, ROUND_TEXT(avg(px) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 6) AS moving_avg_30,
+       max(px) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS top_7,
+       ROUND_TEXT(px - lag(px, 10) OVER w, 6) AS change_10
+FROM ticks WINDOW w AS (PARTITION BY ticker ORDER BY trade, px)"""
+
 SQL = {k: expanded(v) for k, v in SQL.items()}

@@ -12,10 +12,11 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwise.operators import asof as AS
+from tickwise.operators import blockwise as BW
 from tickwise.operators import clean as C
 from tickwise.operators import features as FE
 from tickwise.operators import labels as LB
@@ -890,3 +891,33 @@ def p_session_view(spark, sf_dir):
     """A session view queried by SQL text."""
     view = SP.register_view(FX.prices(spark, sf_dir), "tickwise_prices_view")
     return spark.sql(f"SELECT ticker, max(close) AS top, count(*) AS days FROM {view} WHERE volume > 10 GROUP BY ticker")
+
+
+# --- windows by blocks -----------------------------------------------------------------
+
+BLOCK_OF_BARS = 256  # rows; a ticker of the fixtures has some two thousand bars
+BLOCK_OF_TICKS = 1 << 12
+
+
+@register("f_features_blocked")
+def f_features_blocked(spark, sf_dir):
+    return round6(BW.create_features(clean_prices(spark, sf_dir), "close_to_close", RUN_DATE, block_rows=BLOCK_OF_BARS),
+                  FEATURE_DOUBLES)
+
+
+@register("f_asof_blocked")
+def f_asof_blocked(spark, sf_dir):
+    out = BW.asof_join(FX.asof_requests(spark, sf_dir), features_c2c(spark, sf_dir), FEATURE_VALUE_COLUMNS)
+    return round6(out, FEATURE_DOUBLES)
+
+
+@register("f_ticks_blocked")
+def f_ticks_blocked(spark, sf_dir):
+    """Rolling figures over single trades, of which one series holds a third."""
+    blocks = BW.in_blocks(FX.ticks(spark, sf_dir), ["ticker"], ["trade", "px"], block_rows=BLOCK_OF_TICKS)
+    w = Window.partitionBy("ticker", "_block").orderBy("trade", "px")
+    moved = blocks.select("ticker", "trade", "px", "_own",
+                          F.avg("px").over(w.rowsBetween(-29, 0)).alias("moving_avg_30"),
+                          F.max("px").over(w.rowsBetween(-6, 0)).alias("top_7"),
+                          (F.col("px") - F.lag("px", 10).over(w)).alias("change_10"))
+    return round6(moved.filter("_own").drop("_own"), ["moving_avg_30", "change_10"])

@@ -141,3 +141,11 @@ def asof_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.concat(F.lit("S"), (F.col("o_custkey") % n_tickers).cast("string"))
                      .alias("ticker"), F.explode(reqs).alias("_r"))
             .select("_r.request_id", "ticker", "_r.as_of_date"))
+
+
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single trades from ``lineitem``, ordered by ``trade`` and ``px``; the series HOT holds a third of all."""
+    hot = F.col("l_orderkey") % 3 == 0
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.when(hot, "HOT").otherwise(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).alias("ticker"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("trade"), F.col("l_extendedprice").alias("px"))
