@@ -112,8 +112,33 @@ def test_simhash_documents(spark, documents):
     assert sorted((str(i), f, str(c)) for i, f, c in got) == slow_groups(given)
 
 
-def test_links_find_every_pair_and_no_other(spark):
-    """Random fingerprints with planted neighbours at 0 to 4 bits, a dense ball and a long chain."""
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("bits", [1, 2, 3])
+def test_tally_finds_every_pair_of_a_list_within_the_limit(seed, bits):
+    rng = np.random.default_rng(seed)
+    keyed = 2 * (4 - bits)
+    rest = np.array([list(range(keyed, 8)), list(range(8 - keyed))])
+    fp, lists, choice = [], [], []
+    for n in range(12):
+        kind, base = n % 2, int(rng.integers(0, 2**64, dtype=np.uint64))
+        members = {base}
+        for _ in range(30):
+            x = base
+            for b in rng.choice(8 * (8 - keyed), int(rng.integers(0, 4)), replace=False):
+                x ^= 1 << int(b + 8 * rest[kind, 0])
+            members.add(x)
+        fp += sorted(members)
+        lists += [n] * len(members)
+        choice += [kind] * len(members)
+    got = simhash._tallied(np.array(fp, np.uint64), np.array(lists), np.array(choice), rest, bits)
+    want = {(i, j) for i in range(len(fp)) for j in range(i + 1, len(fp))
+            if lists[i] == lists[j] and (fp[i] ^ fp[j]).bit_count() <= bits}
+    assert set(map(tuple, got.tolist())) == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("max_bits, list_rows", [(2, simhash.LIST_ROWS), (2, 3), (2, 0), (1, 4), (3, 16), (4, 16)])
+def test_links_find_every_pair_and_no_other(spark, max_bits, list_rows):
+    """Random fingerprints with planted neighbours at 0 to 4 bits, a dense ball and a long chain; lists short and too long."""
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**64, 60, dtype=np.uint64)
     fps = set(base.tolist())
@@ -130,7 +155,7 @@ def test_links_find_every_pair_and_no_other(spark):
         fps.add(x)
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"))
+    edges = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), max_bits, list_rows)
     label = {n % (1 << 64): x for n, x in rows(simhash.components(edges))}
     parent = {f: f for f in fps}
 
@@ -141,7 +166,7 @@ def test_links_find_every_pair_and_no_other(spark):
 
     for i, a in enumerate(fps):
         for b in fps[:i]:
-            if (a ^ b).bit_count() <= 2:
+            if (a ^ b).bit_count() <= max_bits:
                 parent[find(a)] = find(b)
     want, got = defaultdict(set), defaultdict(set)
     for f in fps:

@@ -2,13 +2,16 @@
 
 A fingerprint is eight bytes. Two that differ in at most ``d`` bits differ in
 at most ``d`` bytes, so they share at least ``8 - d`` bytes at the same
-positions: the count filter's guaranteed minimum. The postings are therefore
-keyed by every choice of ``8 - d`` positional bytes (28 keys at d = 2): a pair
-reaches the minimum exactly if it meets under a key. The members of a posting
-list differ in ``d`` bytes only, so it has at most 256 ** d of them however hot it is,
-and verification looks each one's neighbours up (all flips of at most ``d`` of
-those bits) instead of forming pairs. A list sends on a star per connected
-part: fewer links than members.
+positions: the count filter's guaranteed minimum. At most ``d`` of the four byte pairs at
+fixed positions are touched, so two such fingerprints meet in a list keyed by ``4 - d`` whole
+pairs (6 keys at d = 2). Inside a list, postings by (position, byte) of the other positions
+are tallied per pair; pairs that reach the minimum together with the key's bytes are verified.
+
+A pair of fingerprints is tallied only in lists of at most ``LIST_ROWS`` members, which bounds a task's work. Longer
+lists give their members to a second index, keyed by every choice of ``8 - d`` bytes (28 keys at d = 2): there a
+pair reaches the minimum exactly if it meets under a key, and a list has at most 256 ** d members,
+whose neighbours are looked up instead of forming pairs. Both send on a star per connected part of a list:
+fewer links than members.
 
 Equal fingerprints are one row of the index. Components of the links are found
 by label propagation with pointer jumping, one reliable checkpoint a round.
@@ -16,6 +19,7 @@ by label propagation with pointer jumping, one reliable checkpoint a round.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,6 +33,7 @@ from tickwise.llm.textblocks import column
 from tickwise.session import ensure_checkpoint_dir
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
+LIST_ROWS = 256  # members of a list whose pairs are tallied; longer ones go to the second index
 _CHUNK = 1 << 15  # shingles counted at once
 
 
@@ -81,30 +86,128 @@ def _stars(members: np.ndarray, flips: np.ndarray, max_bits: int) -> np.ndarray:
             ok = np.flatnonzero(members[at] == other)
             pairs.append(np.column_stack([ok, at[ok]]))
         links = np.concatenate(pairs)
+    return members[_connected(n, links)]
+
+
+def _connected(n: int, pairs: np.ndarray) -> np.ndarray:
+    """The least index reachable over ``pairs`` (rows of two indexes) from each of ``n``."""
     label = np.arange(n)
-    while len(links):
+    both = np.concatenate([pairs, pairs[:, ::-1]])
+    while len(both):
         low = label.copy()
-        np.minimum.at(low, links[:, 0], label[links[:, 1]])
+        np.minimum.at(low, both[:, 0], label[both[:, 1]])
         low = low[low]
         if (low == label).all():
             break
         label = low
-    return members[label]
+    return label
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``a, b`` (a > b as unsigned): links that connect all fingerprints reachable by at most ``max_bits`` flips a step.
+def _run_pairs(run: np.ndarray) -> np.ndarray:
+    """All pairs of places inside runs of equal values of a sorted array."""
+    first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    ends = np.repeat(np.append(first[1:], len(run)), np.diff(np.append(first, len(run))))
+    later = ends - np.arange(len(run)) - 1  # partners after each place
+    left = np.repeat(np.arange(len(run)), later)
+    within = np.arange(len(left)) - np.repeat(np.cumsum(later) - later, later)
+    return np.column_stack([left, left + 1 + within])
+
+
+def _tallied(fp: np.ndarray, lists: np.ndarray, choice: np.ndarray, rest: np.ndarray, max_bits: int) -> np.ndarray:
+    """Pairs (rows of two indexes) within ``max_bits`` of each other, of members of the same list.
 
-    ``fps``: distinct values of ``fp``.
+    ``lists``: the list's number; ``choice``: its kind; ``rest``: the positions outside the key by kind. Those
+    positions are gone through one by one: members of a list with the same byte there are a posting, and each pair of a
+    posting counts one. A pair reaches the guaranteed minimum if it counts ``max_bits`` of the ``2 * max_bits`` positions.
     """
-    shared = 8 - max_bits
-    choices = list(combinations(range(8), shared))
+    data = fp.astype("<u8").view(np.uint8).reshape(-1, 8)
+    codes = []
+    for k in range(rest.shape[1]):
+        posting = lists * 256 + data[np.arange(len(fp)), rest[choice, k]]
+        order = np.argsort(posting, kind="stable")
+        pairs = order[_run_pairs(posting[order])]
+        codes.append(pairs.min(axis=1) * len(fp) + pairs.max(axis=1))
+    code, shared = np.unique(np.concatenate(codes), return_counts=True)
+    code = code[shared >= max_bits]
+    a, b = code // len(fp), code % len(fp)
+    near = np.bitwise_count(fp[a] ^ fp[b]) <= max_bits
+    return np.column_stack([a[near], b[near]])
+
+
+def _starts(cols: list[np.ndarray]) -> np.ndarray:
+    """Where the lists of rows sorted by the first two columns begin."""
+    if not len(cols[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])))
+
+
+def _postings(fps: DataFrame, choices: list[tuple[int, ...]]) -> DataFrame:
+    """``choice, bytes, fp``: each fingerprint under its bytes at each choice of positions, lists together and in order."""
     signed = lambda m: m - (1 << 64) if m >> 63 else m
     masks = [sum(0xFF << (8 * p) for p in c) for c in choices]
-    flips = [_flips([8 * p + i for p in range(8) if p not in c for i in range(8)], max_bits) for c in choices]
-    postings = fps.select("fp", F.explode(F.array(*[
+    keyed = fps.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bytes"))
         for i, m in enumerate(masks)])).alias("k")).select("k.choice", "k.bytes", "fp")
+    return keyed.repartition("choice", "bytes").sortWithinPartitions("choice", "bytes")
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS, list_rows: int = LIST_ROWS) -> DataFrame:
+    """``a, b`` (a > b as unsigned): links that connect all fingerprints reachable by at most ``max_bits`` flips a step.
+
+    ``fps``: distinct values of ``fp``. With four bits and more no byte pair need be whole, and the second
+    index does all.
+    """
+    if not 1 <= max_bits <= 3:
+        return links_by_minimum(fps, max_bits)
+    ensure_checkpoint_dir(fps.sparkSession)
+    choices = [tuple(p for unit in c for p in (2 * unit, 2 * unit + 1)) for c in combinations(range(4), 4 - max_bits)]
+    rest = np.array([[p for p in range(8) if p not in c] for c in choices])
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        long_key = None  # of the list that goes on and has been found to be long
+        for b in itertools.chain(batches, [None]):
+            if b is None:
+                cols, whole = held, len(held[0])
+            else:
+                cols = [np.concatenate([h, column(b, c).to_numpy()]) for h, c in zip(held, ("choice", "bytes", "fp"))]
+                whole = _starts(cols)[-1] if len(cols[0]) else 0  # the last list may go on in the next batch
+            new = _starts(cols)
+            size = np.diff(np.append(new, len(cols[0])))
+            long = size > list_rows
+            if len(new) and long_key == (cols[0][0], cols[1][0]):
+                long[0] = True
+            member = np.repeat(long, size)
+            if len(new):
+                last = (cols[0][-1], cols[1][-1])
+                long_key = last if long[-1] else None
+            at = np.arange(len(cols[0]))
+            done = ~member & (at < whole)
+            yield _closed([c[done] for c in cols], cols[2][member])
+            held = [c[~member & (at >= whole)] for c in cols]
+
+    def _closed(cols: list[np.ndarray], of_long: np.ndarray) -> pa.RecordBatch:
+        fp = cols[2].view(np.uint64)
+        order = np.lexsort((fp, cols[1], cols[0]))  # the least index of a part is its least fingerprint
+        choice, key, fp = cols[0][order], cols[1][order], fp[order]
+        new = _starts([choice, key])
+        lists = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(fp))))
+        least = _connected(len(fp), _tallied(fp, lists, choice, rest, max_bits)) if len(fp) else np.zeros(0, np.int64)
+        far = np.flatnonzero(least != np.arange(len(fp)))
+        a = np.concatenate([fp[far].view(np.int64), of_long])
+        b = np.concatenate([fp[least[far]].view(np.int64), of_long])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    # a member of a long list comes as a pair of itself
+    found = _postings(fps, choices).mapInArrow(tally, "a bigint, b bigint").distinct().checkpoint()
+    near, of_long = found.filter("a <> b"), found.filter("a = b").select(F.col("a").alias("fp"))
+    return near if of_long.isEmpty() else near.union(links_by_minimum(of_long, max_bits)).distinct()
+
+
+def links_by_minimum(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """The links of ``links`` from an index keyed by every choice of ``8 - max_bits`` positional bytes."""
+    choices = list(combinations(range(8), 8 - max_bits))
+    flips = [_flips([8 * p + i for p in range(8) if p not in c for i in range(8)], max_bits) for c in choices]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = [np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
@@ -119,11 +222,6 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         if len(rest[0]):
             yield _linked(rest, _starts(rest))
 
-    def _starts(cols) -> np.ndarray:
-        if not len(cols[0]):
-            return np.zeros(0, np.int64)
-        return np.flatnonzero(np.append(True, (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])))
-
     def _linked(cols, new) -> pa.RecordBatch:
         ends = np.append(new[1:], len(cols[0]))
         a, low = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
@@ -135,8 +233,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             low.append(least[far])
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (a, low)], ["a", "b"])
 
-    return (postings.repartition("choice", "bytes").sortWithinPartitions("choice", "bytes")
-            .mapInArrow(verify, "a bigint, b bigint").distinct())
+    return _postings(fps, choices).mapInArrow(verify, "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
