@@ -75,6 +75,30 @@ def test_decontaminate_brute_force(spark, part_bytes):
         assert lengths == sorted((w[0], w[5]) for w in want)
 
 
+@pytest.mark.parametrize("piece_bytes", [40, 100, 1000])
+def test_decontaminate_cuts_long_items(spark, piece_bytes):
+    """Items in overlapping pieces give the same rows, the longest match over pieces included; parts keep to their size."""
+    items, docs = items_and_docs()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole, cut = (rows(decontaminate.decontaminate(df, bench, piece_bytes=n)) for n in (decontaminate.PIECE_BYTES, piece_bytes))
+    assert sorted(map(str, whole)) == sorted(map(str, cut))
+    parts = list(decontaminate._parts(bench, "item_id", "text", 2000, piece_bytes=piece_bytes))
+    assert all(sum(len(p[3].encode()) for p in part) <= 2000 or len(part) == 1 for part in parts)
+
+
+def test_every_window_is_in_one_piece():
+    text = " ".join(f"w{k}" * (1 + k % 5) for k in range(300)) + " , é ends"
+    own = WORD.findall(text)
+    for size in (1, 50, 90, 400, 10_000):
+        pieces = list(decontaminate.cut_text(text.encode(), 13, size))
+        seen = [at + k for at, p in pieces for k in range(len(WORD.findall(p.decode())) - 12)]
+        assert seen == list(range(len(own) - 12))
+        assert all(WORD.findall(p.decode()) == own[at:at + len(WORD.findall(p.decode()))] for at, p in pieces)
+        assert all(len(p) <= size or len(WORD.findall(p.decode())) == 13 for _, p in pieces)
+    assert list(decontaminate.cut_text(b"", 13, 10)) == [(0, b"")] and list(decontaminate.cut_text(b" " * 99, 13, 10)) == []
+
+
 def test_remove_contaminated_keeps_columns_and_clean_rows(spark):
     items, docs = items_and_docs()
     df = with_clashes(spark.createDataFrame(docs, "doc_id long, text string"))

@@ -11,7 +11,9 @@ runs of occurrences along an item give the longest verbatim match.
 The training side never shuffles: every document is judged where it is read.
 The benchmark goes to the tasks in parts of at most ``part_bytes`` of text,
 each broadcast by itself, so what is broadcast at once has a fixed bound; a larger
-benchmark takes more narrow passes over the same partition, not a larger one.
+benchmark takes more narrow passes over the same partition, not a larger one. An item
+longer than ``PIECE_BYTES`` is cut into pieces that overlap by all but one word of a window,
+so each of its windows is in exactly one piece.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from tickwise.session import ensure_checkpoint_dir
 WINDOW = 13            # words in a window
 MIN_SHARE = (1, 20)    # share of a document's words that makes it contaminated
 PART_BYTES = 8 << 20   # benchmark text in one broadcast
+PIECE_BYTES = 1 << 20  # of an item in one row (or a window's words, if those are longer)
 
 
 @dataclass
@@ -45,25 +48,28 @@ class TestSuffixes:
     names: list          # item ids as strings
 
 
-def test_suffixes(items: list[tuple], window: int) -> TestSuffixes:
-    """Windows of the items; an item of fewer words is one window, one of none has none."""
-    data, offs = text_bytes(pa.array([t for _, t in items], pa.string()))
+def test_suffixes(pieces: list[tuple], window: int) -> TestSuffixes:
+    """Windows of items given as pieces (item id, item's key, number of the piece's first word, text). An item of fewer words
+    is one window, one of none has none."""
+    key_of: dict[tuple, int] = {}
+    owner = [key_of.setdefault((i, key), len(key_of)) for i, key, _, _ in pieces]
+    data, offs = text_bytes(pa.array([t for *_, t in pieces], pa.large_string()))
     w = Words(data, offs)
     h = w.hashes()
     vocab, at, ids = np.unique(h, return_index=True, return_inverse=True)
     ids = ids + 1
     text = [w.low[a:b].tobytes() for a, b in zip(w.start[at], w.end[at])]
     found: dict[int, dict[bytes, list]] = {}
-    for k in range(len(items)):
-        own = ids[w.first[k]:w.first[k + 1]]
+    for p, (_, _, at_word, _) in enumerate(pieces):
+        own = ids[w.first[p]:w.first[p + 1]]
         n = min(window, len(own))
         for i in range(len(own) - n + 1 if n else 0):
-            found.setdefault(n, {}).setdefault(own[i:i + n].astype(">u4").tobytes(), []).append((k, i))
+            found.setdefault(n, {}).setdefault(own[i:i + n].astype(">u4").tobytes(), []).append((owner[p], at_word + i))
     return TestSuffixes(
         vocab, text,
         {n: np.frombuffer(b"".join(x), ">u4").reshape(-1, n) for n, x in found.items()},
         {n: list(x.values()) for n, x in found.items()},
-        ["null" if i is None else str(i) for i, _ in items])
+        ["null" if i is None else str(i) for i, _ in key_of])
 
 
 def _padded(windows: np.ndarray, width: int, fill: int) -> np.ndarray:
@@ -151,13 +157,54 @@ def _verbatim(words: Words, tests: TestSuffixes, ids: np.ndarray, place: np.ndar
     return ~np.isin(place[:, None] + np.arange(length), wrong).any(axis=1)
 
 
-def _parts(benchmark: DataFrame, item_col: str, text_col: str, part_bytes: int) -> Iterator[list[tuple]]:
-    """The benchmark's different rows in parts of about ``part_bytes``: rows leave the cluster one part at a time."""
+def cut_text(text: bytes, window: int, piece_bytes: int) -> Iterator[tuple[int, bytes]]:
+    """``(first word's number, piece)``: a longer text in pieces of at most ``piece_bytes``, or a window's words if those are
+    longer; each piece begins with the last ``window - 1`` words of the one before it."""
+    if len(text) <= piece_bytes:
+        yield 0, text
+        return
+    w = Words(np.frombuffer(text, np.uint8), np.array([0, len(text)], np.int64))
+    n, at = len(w), 0
+    while n:
+        fits = int(np.searchsorted(w.end, w.start[at] + piece_bytes, "right"))
+        end = min(n, max(fits, at + window))
+        yield at, text[w.start[at]:w.end[end - 1]]
+        if end == n:
+            return
+        at = end - window + 1
+
+
+def _parts(benchmark: DataFrame, item_col: str, text_col: str, part_bytes: int, window: int = WINDOW,
+           piece_bytes: int = PIECE_BYTES) -> Iterator[list[tuple]]:
+    """The pieces of the benchmark's different rows in parts of at most ``part_bytes`` (or one piece); at least one part.
+
+    Rows leave the cluster one partition at a time, and there are about as many partitions as parts.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = column(b, "t").cast(pa.large_binary())
+            for r in range(b.num_rows):
+                t = texts[r].as_buffer().to_pybytes() if texts[r].is_valid else b""
+                for at, piece in cut_text(t, window, piece_bytes):
+                    yield pa.RecordBatch.from_arrays([column(b, "i").slice(r, 1), column(b, "key").slice(r, 1), pa.array([at], pa.int64()),
+                                                      pa.array([piece.decode()], pa.string())], ["i", "key", "at", "t"])
+
     own = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).distinct()
     total = own.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = max(1, math.ceil(total / part_bytes))
-    for k in range(n):
-        yield [tuple(r) for r in own.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
+    kind = dict(own.dtypes)["i"]
+    pieces = own.withColumn("key", F.xxhash64("i", "t")).mapInArrow(cut, f"i {kind}, key bigint, at bigint, t string")
+    dealt = pieces.repartition(max(1, math.ceil(total / part_bytes)), "key", F.floor(F.col("at") / 1_000_000)
+                               ).sortWithinPartitions("key", "at")
+    part, size, any_part = [], 0, False
+    for row in dealt.toLocalIterator():
+        n = len(row["t"].encode())
+        if part and size + n > part_bytes:
+            yield part
+            part, size, any_part = [], 0, True
+        part.append(tuple(row))
+        size += n
+    if part or not any_part:
+        yield part
 
 
 FOUND = [StructField("hits", ArrayType(StructType([StructField("first", LongType()), StructField("last", LongType())]))),
@@ -167,12 +214,13 @@ FOUND = [StructField("hits", ArrayType(StructType([StructField("first", LongType
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                 part_bytes: int = PART_BYTES) -> DataFrame:
+                 part_bytes: int = PART_BYTES, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """One row per document: ``row`` (the document's columns), ``n_words, hits, items, longest_match``.
 
     ``hits``: maximal runs of hit words (first and last word, from 0);
     ``items``: ids, as strings, of the items with a window in the document, sorted;
-    ``longest_match``: words of the longest verbatim match of at least a window.
+    ``longest_match``: words of the longest verbatim match of at least a window; a match that
+    runs over the end of a part of the benchmark counts by its longer piece.
     Defined results: a null or empty text has no words and no hits; a null
     item text has no window; a null item id counts as the string ``null``;
     repeated rows are judged one by one; empty tables give no rows, or no
@@ -186,7 +234,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     schema = StructType([StructField("row", StructType(docs.schema.fields)), *FOUND])
     place = docs.columns.index(text_col)
     shared = None
-    for part in _parts(benchmark, item_col, item_text_col, part_bytes):
+    for part in _parts(benchmark, item_col, item_text_col, part_bytes, window, piece_bytes):
         if shared is not None:
             ensure_checkpoint_dir(docs.sparkSession)
             out = out.checkpoint()
