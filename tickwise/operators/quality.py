@@ -171,14 +171,14 @@ def outlier_verdict(df: DataFrame) -> DataFrame:
 
 def top_outliers(df: DataFrame, rows: int = OUTLIER_SAMPLE_ROWS) -> DataFrame:
     """Largest extreme daily_return rows of every ticker, at most ``rows`` each, beside
-    ``n_extreme``, the ticker's number of extreme rows."""
+    ``n_extreme``, the ticker's number of extreme rows. A ticker's rows come in order of rank."""
     out = return_outliers(df).select("date", "ticker", "daily_return", "close")
-    rank = Window.partitionBy("ticker").orderBy(F.col("daily_return").desc_nulls_last(),
-                                                F.col("date").desc_nulls_last())
+    order = [F.col("daily_return").desc_nulls_last(), F.col("date").desc_nulls_last()]
+    rank = Window.partitionBy("ticker").orderBy(*order)
     # ranked first, so each task keeps its best rows and sends no others; counted apart
     top = out.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= rows).drop("_rn")
     counts = out.groupBy("ticker").agg(F.count(F.lit(1)).alias("n_extreme"))
-    return top.join(counts, "ticker")
+    return top.join(counts, "ticker").sortWithinPartitions("ticker", *order)
 
 
 # --- validation report ----------------------------------------------------------
