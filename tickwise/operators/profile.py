@@ -149,7 +149,8 @@ def summary_selected(df: DataFrame, features: list[str], groups: list[str] | Non
     wide = bounds.groupBy(F.col("_key").alias("_of")).agg(F.map_from_entries(F.collect_list(F.struct(
         F.concat_ws("#", "feature", F.col("q").cast("string")), F.struct("lo", "hi")))).alias("_bounds"))
     rows = df.select(key.alias("_key"), *[F.col(f).cast("double").alias(f) for f in features])
-    rows = rows.join(wide if groups else F.broadcast(wide), F.col("_key") == F.col("_of"))  # without groups: one row
+    # without groups the bounds are one row: a value of its own rather than a join on a constant
+    rows = rows.join(wide, F.col("_key") == F.col("_of")) if groups else rows.withColumn("_bounds", wide.select("_bounds").scalar())
     cells = []
     for f in features:
         for i in range(len(QUARTILES)):
