@@ -274,6 +274,21 @@ def test_completeness_band_boundaries(spark):
     assert r["momentum"]["completeness_pct"] == 95.0
 
 
+def test_thresholds_are_arguments(spark):
+    """One null momentum and one extreme return in 20 rows: each verdict turns with its own threshold, bounds as by default."""
+    n = price_rows(spark, [("TH", d, 1.0, 1.0, 1.0, 1.0, 1) for d in days("2024-01-01", 20)])
+    first = F.col("date") == D("2024-01-01")
+    df = n.withColumn("momentum", F.when(first, None).otherwise(F.lit(1.0))).withColumn("daily_return", F.when(first, 9.0).otherwise(F.lit(0.0)))
+    verdict = lambda **k: QA.ticker_checks(df.select("ticker", "momentum", "daily_return"), **k).first()
+    assert (verdict()["null_ok"], verdict()["outlier_ok"]) == (True, False)
+    assert verdict(completeness=0.95)["null_ok"] and not verdict(completeness=0.96)["null_ok"]
+    assert verdict(validity=0.94)["outlier_ok"] and not verdict(validity=0.95)["outlier_ok"]
+    bands = {r["column_name"]: r["band"] for r in QA.null_report(df.select("ticker", "momentum", "daily_return"), 4.0, 2.0).collect()}
+    assert bands == {"momentum": "fail", "daily_return": "ok"}
+    got = {r["feature"]: r["band"] for r in QA.completeness(df, ["momentum", "daily_return"], 99.0, 96.0).collect()}
+    assert got == {"momentum": "poor", "daily_return": "good"}
+
+
 def test_model_band_boundaries(spark):
     from tickwise.plans import model as ML
     def bands(train, test):

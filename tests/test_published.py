@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from tickwise.operators import clean as C
 from tickwise.operators import features as FE
+from tickwise.plans import daily_run as DR
 from tickwise.plans import rolling as RO
 from tickwise.sources import fixtures as FX
 from tickwise.sources import published as PB
 from tickwise.sources import sinks as SK
+from tickwise.streaming import ingest as ST
 
 RUN = D("2024-06-01")
 
@@ -180,3 +182,71 @@ def test_a_run_that_died_between_the_tables_is_made_up_for(spark, scratch, monke
     assert ran["ahead"] == 0 and ran["late"] == 2
     assert same(SK.read_features(spark, feats), full(spark, prices, "close_to_close"))
     assert RO.refresh_rolling(spark, prices, feats, state, None, RUN) == {"ahead": 0, "late": 0}
+
+
+# --- the daily job with a state ---
+
+def landed(spark, path, df):
+    df.select("ticker", F.col("date").alias("Date"), F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
+              F.col("close").alias("Close"), F.col("adj_close").alias("Adj Close"), F.col("volume").alias("Volume")).write.parquet(path)
+    return path
+
+
+def test_daily_run_with_a_state_equals_the_one_without(spark, scratch):
+    """History, a day, a correction with a row that turns invalid, nothing new: same features, status and report both ways."""
+    both = {name: [f"{scratch}/{name}-{t}" for t in ("prices", "features")] for name in ("plain", "state")}
+    asked = ["A", "AA", "NOPE"]
+    nan = bars(spark, ["AA"], "2024-02-05", 1).withColumn("close", F.lit(float("nan")))
+    batches = [bars(spark, ["A", "AA", "OTHER"], "2024-01-01", 40), bars(spark, ["A", "AA"], "2024-02-10", 2),
+               bars(spark, ["A"], "2024-01-20", 1, close=50.0).unionByName(nan)]
+    refreshed = []
+    for k, batch in enumerate([*batches, batches[-1]]):
+        path = landed(spark, f"{scratch}/landing-{k}", batch)
+        day = D("2024-06-01") + dt.timedelta(days=k)
+        plain = DR.run_daily(spark, path, *both["plain"], day, asked, n_buckets=2)
+        state = DR.run_daily(spark, path, *both["state"], day, asked, n_buckets=2, state_path=f"{scratch}/state")
+        refreshed.append(state.refreshed)
+        assert (state.changed_rows, state.rejected_rows) == (plain.changed_rows, plain.rejected_rows)
+        drop = lambda p: SK.read_features(spark, p[1]).drop("feature_timestamp")  # noqa: E731 - a day's date, another one a rerun
+        assert same(drop(both["state"]), drop(both["plain"]))
+        for x, y in ((state.status, plain.status), (state.report, plain.report)):
+            assert x.columns == y.columns and same(x, y)
+    assert refreshed[:2] == [{"ahead": 0, "late": 2}, {"ahead": 2, "late": 0}] and refreshed[2] == {"ahead": 0, "late": 2}
+    assert {r["ticker"]: r["status"] for r in state.status.collect()} == {"A": "processed", "AA": "processed", "NOPE": "failed"}
+
+
+def test_the_reports_of_a_state_read_no_table(spark, scratch):
+    path = landed(spark, f"{scratch}/landing", bars(spark, ["A", "B"], "2023-11-01", 100))
+    ran = DR.run_daily(spark, path, f"{scratch}/p", f"{scratch}/f", RUN, n_buckets=2, state_path=f"{scratch}/s")
+    status, report = DR.state_reports(spark, f"{scratch}/s", ran.status.select("ticker"))
+    for df in (status, report):
+        assert not [f for f in df.inputFiles() if f"{scratch}/p/" in f or f"{scratch}/f/" in f]
+    assert ran.refreshed == {"ahead": 0, "late": 2} and ran.feature_rows is None
+
+
+def test_a_daily_run_without_valid_rows(spark, scratch):
+    path = landed(spark, f"{scratch}/landing", bars(spark, ["A"], "2024-01-01", 5).withColumn("close", F.lit(float("nan"))))
+    ran = DR.run_daily(spark, path, f"{scratch}/p", f"{scratch}/f", RUN, n_buckets=2, state_path=f"{scratch}/s")
+    assert [(r["status"], r["reason"]) for r in ran.status.collect()] == [("failed", "no_valid_rows")]
+    assert [(r["table_exists"], r["passed"]) for r in ran.report.collect()] == [(False, False)]
+
+
+def test_features_made_without_a_state_are_refused(spark, scratch):
+    path = landed(spark, f"{scratch}/landing", bars(spark, ["A"], "2024-01-01", 5))
+    DR.run_daily(spark, path, f"{scratch}/p", f"{scratch}/f", RUN, n_buckets=2)
+    with pytest.raises(ValueError, match="without a state"):
+        DR.run_daily(spark, path, f"{scratch}/p", f"{scratch}/f", RUN, n_buckets=2, state_path=f"{scratch}/s")
+
+
+def test_stream_with_a_state(spark, scratch):
+    """Two micro-batches over the rolling state equal a full recompute, and a rerun with nothing new changes nothing."""
+    prices, feats, state, ckpt = (f"{scratch}/{n}" for n in ("p", "f", "s", "ckpt"))
+    for k, batch in enumerate((bars(spark, ["A", "AA"], "2024-01-01", 40), bars(spark, ["A", "AA"], "2024-02-10", 2))):
+        landed(spark, f"{scratch}/landing/part{k}", batch)
+        for _ in range(2):
+            q = ST.start_ingest(spark, f"{scratch}/landing/*", prices, ckpt, RUN, feats, n_buckets=2, state_path=state)
+            q.awaitTermination(300)
+            assert q.exception() is None
+        assert same(SK.read_features(spark, feats), full(spark, prices, "close_to_close"))
+    status, _ = DR.state_reports(spark, state, spark.createDataFrame([("A",), ("AA",)], "ticker string"))
+    assert {(r["ticker"], r["rows_before"], r["feature_rows"]) for r in status.collect()} == {("A", 42, 41), ("AA", 42, 41)}

@@ -51,9 +51,9 @@ def schema_check(df: DataFrame, expected: list[str] | None = None) -> DataFrame:
 
 # --- nulls and completeness ---------------------------------------------------
 
-def null_report(df: DataFrame) -> DataFrame:
+def null_report(df: DataFrame, fail_pct: float = NULL_FAIL_PCT, warn_pct: float = NULL_WARN_PCT) -> DataFrame:
     """Per ticker and column: null count, null percent and band
-    (fail > 5 %, warn > 1 %, else ok). NaN is not NULL here."""
+    (fail above ``fail_pct``, warn above ``warn_pct``, else ok). NaN is not NULL here."""
     cols = [c for c in df.columns if c != "ticker"]
     wide = df.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("_total"),
@@ -62,41 +62,48 @@ def null_report(df: DataFrame) -> DataFrame:
     pct = F.coalesce(safe_div(F.col("null_count") * 100.0, F.col("_total")), F.lit(0.0))
     return (long.withColumn("null_pct", pct)
                 .withColumn("band", band(F.col("null_pct"),
-                                         [(NULL_FAIL_PCT, "fail"), (NULL_WARN_PCT, "warn")],
+                                         [(fail_pct, "fail"), (warn_pct, "warn")],
                                          "ok", inclusive=False))
                 .select("ticker", "column_name", F.col("null_count").cast("bigint").alias("null_count"),
                         "null_pct", "band"))
 
 
-def ticker_checks(df: DataFrame) -> DataFrame:
+def ticker_checks(df: DataFrame, completeness: float = 1 - NULL_FAIL_PCT / 100,
+                  validity: float = 1 - OUTLIER_VERDICT_MAX_PCT / 100) -> DataFrame:
     """Null and outlier verdicts per ticker from ONE aggregation pass:
     rows, extreme daily_return outliers and their percent, outlier_ok,
     the columns whose null percent is above the fail band (comma list,
-    sorted) and null_ok."""
+    sorted) and null_ok.
+
+    ``completeness``: least share of a column's rows that are not null; ``validity``: the share of rows
+    without an extreme return has to be above it."""
     cols = sorted(c for c in df.columns if c != "ticker")
     t = OUTLIER_THRESHOLDS["daily_return"][0]
     wide = df.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(is_outlier("daily_return", t)).alias("extreme_outliers"),
         *[F.count_if(F.col(c).isNull()).alias(f"_n_{c}") for c in cols])
-    return checks_of(wide, cols, lambda c: F.col(f"_n_{c}"))
+    return checks_of(wide, cols, lambda c: F.col(f"_n_{c}"), completeness, validity)
 
 
-def checks_of(wide: DataFrame, cols: list[str], nulls: Callable[[str], Column]) -> DataFrame:
+def checks_of(wide: DataFrame, cols: list[str], nulls: Callable[[str], Column], completeness: float = 1 - NULL_FAIL_PCT / 100,
+              validity: float = 1 - OUTLIER_VERDICT_MAX_PCT / 100) -> DataFrame:
     """The verdicts from counts: ``rows``, ``extreme_outliers`` and the null count of each column."""
     def pct(c: Column) -> Column:
         return F.coalesce(safe_div(c * 100.0, F.col("rows")), F.lit(0.0))
-    high = F.array_compact(F.array(*[F.when(pct(nulls(c)) > NULL_FAIL_PCT, F.lit(c)) for c in cols]))
+    null_max, extreme_max = round(100 - 100 * completeness, 9), round(100 - 100 * validity, 9)
+    high = F.array_compact(F.array(*[F.when(pct(nulls(c)) > null_max, F.lit(c)) for c in cols]))
     extreme = pct(F.col("extreme_outliers"))
     return wide.select(
         "ticker", "rows", "extreme_outliers", extreme.alias("outlier_pct"),
-        (extreme < OUTLIER_VERDICT_MAX_PCT).alias("outlier_ok"),
+        (extreme < extreme_max).alias("outlier_ok"),
         F.array_join(high, ",").alias("high_null_columns"),
         (F.size(high) == 0).alias("null_ok"))
 
 
-def completeness(df: DataFrame, features: list[str] | None = None) -> DataFrame:
-    """Per ticker and feature: non-null percent, band good >= 95, fair >= 80."""
+def completeness(df: DataFrame, features: list[str] | None = None, good_pct: float = COMPLETENESS_GOOD_PCT,
+                 fair_pct: float = COMPLETENESS_FAIR_PCT) -> DataFrame:
+    """Per ticker and feature: non-null percent, band good from ``good_pct`` on, fair from ``fair_pct`` on, else poor."""
     features = features or FEATURE_COLUMNS
     wide = df.groupBy("ticker").agg(F.count(F.lit(1)).alias("_total"),
                                     *[F.count(c).alias(c) for c in features])
@@ -104,8 +111,7 @@ def completeness(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     pct = F.coalesce(safe_div(F.col("non_null") * 100.0, F.col("_total")), F.lit(0.0))
     return (long.withColumn("completeness_pct", pct)
                 .withColumn("band", band(F.col("completeness_pct"),
-                                         [(COMPLETENESS_GOOD_PCT, "good"),
-                                          (COMPLETENESS_FAIR_PCT, "fair")], "poor"))
+                                         [(good_pct, "good"), (fair_pct, "fair")], "poor"))
                 .select("ticker", "feature", F.col("non_null").cast("bigint").alias("non_null"),
                         "completeness_pct", "band"))
 
@@ -184,13 +190,14 @@ def top_outliers(df: DataFrame, rows: int = OUTLIER_SAMPLE_ROWS) -> DataFrame:
 # --- validation report ----------------------------------------------------------
 
 def validation_report(df: DataFrame, tickers: DataFrame | None = None,
-                      expected: list[str] | None = None) -> DataFrame:
+                      expected: list[str] | None = None, completeness: float = 1 - NULL_FAIL_PCT / 100,
+                      validity: float = 1 - OUTLIER_VERDICT_MAX_PCT / 100) -> DataFrame:
     """Per ticker: exists, rows, columns, schema/null/outlier checks, passed.
 
     ``tickers``: optional one-column frame of requested tickers; requested
-    tickers without rows get exists = false and fail.
+    tickers without rows get exists = false and fail. ``completeness`` and ``validity``: see ``ticker_checks``.
     """
-    return report_of(ticker_checks(df), df.columns, tickers, expected)
+    return report_of(ticker_checks(df, completeness, validity), df.columns, tickers, expected)
 
 
 def report_of(rep: DataFrame, columns: list[str], tickers: DataFrame | None = None, expected: list[str] | None = None) -> DataFrame:

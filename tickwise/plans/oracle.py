@@ -620,6 +620,13 @@ right_ones AS (SELECT fold, avg(CASE WHEN (daily_return > mean) = (next_day_up =
 SELECT fold, valid_start - 31 AS train_end, valid_start, valid_end, train_rows, rows AS valid_rows, ROUND_TEXT(accuracy, 6) AS accuracy,
   ROUND_TEXT(auc, 6) AS auc FROM folds JOIN trained USING (fold) JOIN fold_auc USING (fold) JOIN right_ones USING (fold)"""
 
+SQL["k_daily_run"] = REPORT_CTES + """
+SELECT report.*, coalesce(b.n, 0) AS rows_before, coalesce(a.n, 0) AS rows_after, row_count AS feature_rows,
+  CASE WHEN row_count > 0 THEN 'processed' ELSE 'failed' END AS status,
+  CASE WHEN row_count > 0 THEN NULL WHEN b.n IS NULL THEN 'no_data' WHEN a.n IS NULL THEN 'no_valid_rows' ELSE 'no_features' END AS reason,
+  CAST(0 AS BIGINT) AS late_in_order
+FROM report LEFT JOIN (SELECT ticker, count(*) AS n FROM prices GROUP BY ticker) b USING (ticker)
+LEFT JOIN (SELECT ticker, count(*) AS n FROM prices_clean GROUP BY ticker) a USING (ticker)"""
 SQL["k_profile_increment"] = SQL["f_validation_report"]
 SQL["k_profile_ranges"] = SQL["f_feature_ranges"]
 SQL["f_summary_all"] = with_(PRICES, PRICES_CLEAN, FEAT_C) + "\nUNION ALL\n".join(f"""

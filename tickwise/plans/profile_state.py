@@ -4,13 +4,17 @@ Counts, nulls, outliers, minima, maxima and sums of a partition (month and ticke
 per ticker in a profile table with the same partitions, published with the version of the feature table that it was made
 from. A refresh recomputes the partitions that differ between that version and the newest one, no others. Reading
 merges a ticker's rows, one a month: the validation report and the ranges then cost the size of the profile, not of the table.
+The price table has a profile of the same kind (``price_partials``): rows, and rows that cleaning keeps.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.operators import clean as C
 from tickwise.operators import quality as QA
 from tickwise.operators.profile import unpivot_stats
 from tickwise.schemas import EXPECTED_FEATURE_TABLE_COLUMNS, OUTLIER_THRESHOLDS
@@ -32,8 +36,16 @@ def partials(df: DataFrame) -> DataFrame:
     return df.groupBy("ticker", SK.MONTH, SK.BUCKET).agg(*aggs)
 
 
-def refresh_profile(spark: SparkSession, features_path: str, profile_path: str) -> list[str]:
-    """Recompute the partitions of the feature table that have changed since the profile was made; returns them."""
+def price_partials(df: DataFrame) -> DataFrame:
+    """``clean.clean_counts`` per ticker, month and bucket of a merged price table, which has one row a ticker and date."""
+    return df.groupBy("ticker", SK.MONTH, SK.BUCKET).agg(
+        F.count(F.lit(1)).alias("rows_before"), F.count_if(C.valid_row(df)).alias("rows_after"))
+
+
+def refresh_profile(spark: SparkSession, features_path: str, profile_path: str,
+                    made_by: Callable[[DataFrame], DataFrame] = partials) -> list[str]:
+    """Recompute the partitions of the feature table that have changed since the profile was made; returns them.
+    ``made_by`` makes a partition's rows of the profile (``price_partials`` for a price table)."""
     features_path, profile_path = features_path.rstrip("/"), profile_path.rstrip("/")
     now, profile = PB.current(spark, features_path), PB.current(spark, profile_path)
     changed = PB.changed_parts(PB.version(spark, features_path, int(profile.notes.get(MADE_FROM, 0))), now)
@@ -43,7 +55,7 @@ def refresh_profile(spark: SparkSession, features_path: str, profile_path: str)
     table = PB.read(spark, features_path, now, lambda v: f"{SK.MONTH}={v[SK.MONTH]}/{SK.BUCKET}={v[SK.BUCKET]}" in wanted) if wanted else None
     staged = {}
     if table is not None:
-        made = partials(table).hint("rebalance", SK.MONTH, SK.BUCKET)
+        made = made_by(table).hint("rebalance", SK.MONTH, SK.BUCKET)
         staged = PB.stage(made.sortWithinPartitions(SK.MONTH, SK.BUCKET, "ticker"), profile_path, [SK.MONTH, SK.BUCKET])
     PB.publish(spark, profile_path, profile, {**{p: [] for p in changed}, **staged}, {MADE_FROM: str(now.number)})
     return changed

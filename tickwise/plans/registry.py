@@ -751,6 +751,24 @@ def k_state_refresh(spark, sf_dir):
     return round6(back, FEATURE_DOUBLES).withColumn("late_in_order", F.lit(late).cast("bigint"))
 
 
+@register("k_daily_run")
+def k_daily_run(spark, sf_dir):
+    """The daily job with a state: history, then two later landings in order. Status and report of every requested ticker come from
+    the profiles, beside how many tickers went by look-back after the first run."""
+    root = _fresh_dir(spark, "daily")
+    landed = _landing_columns(FX.prices(spark, sf_dir))
+    day = lambda m: F.lit(dt.date(1998, m, 1))
+    late = 0
+    for k, rows in enumerate((landed.filter(F.col("Date") < day(6)), landed.filter((F.col("Date") >= day(6)) & (F.col("Date") < day(8))),
+                              landed.filter(F.col("Date") >= day(8)))):
+        rows.write.parquet(f"{root}/landing-{k}")
+        ran = DR.run_daily(spark, f"{root}/landing-{k}", f"{root}/prices", f"{root}/features", RUN_DATE, n_buckets=2,
+                           state_path=f"{root}/state")
+        late += ran.refreshed["late"] if k else 0
+    status, report = DR.state_reports(spark, f"{root}/state", requested_tickers(spark, sf_dir))
+    return report.join(status, "ticker").withColumn("late_in_order", F.lit(late).cast("bigint"))
+
+
 @register("k_compact")
 def k_compact(spark, sf_dir):
     """Small appends by year, compacted into bins: the same rows in fewer files."""

@@ -4,7 +4,7 @@ The daily load job as a file stream: each new file in the landing zone
 is read once (the stream checkpoint records which files were processed) with the declared
 schema, normalised to the price schema and merged with ``upsert_latest``;
 features of the tickers that changed are then refreshed from their earliest changed
-date on. A batch that is replayed after a failure changes nothing: it has the
+date on, or from the rolling state if one is named. A batch that is replayed after a failure changes nothing: it has the
 ingest date that was recorded for it the first time.
 
 Run it with ``trigger(availableNow=True)`` for a scheduled job that drains
@@ -19,6 +19,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tickwise.plans.daily_run import refresh_by_state
 from tickwise.plans.refresh import refresh_features
 from tickwise.sources import landing as LA
 from tickwise.sources import prices as SP
@@ -36,11 +37,14 @@ def start_ingest(spark: SparkSession, landing_path: str, prices_path: str,
                  checkpoint_path: str, run_date: dt.date | None = None, features_path: str | None = None,
                  fmt: str = "parquet", available_now: bool = True,
                  variant: str = "close_to_close",
-                 n_buckets: int | None = None, quarantine_path: str | None = None) -> StreamingQuery:
+                 n_buckets: int | None = None, quarantine_path: str | None = None,
+                 state_path: str | None = None) -> StreamingQuery:
     """Start the landing-zone stream; returns the running query.
 
     Each micro-batch gets the date it is first run on, or ``run_date`` for a backfill.
 
+    With ``state_path`` a micro-batch costs what it touches, as in ``daily_run.run_daily``.
+
     With ``quarantine_path`` the stream is one of file names: each micro-batch probes its files as the batch job does, reads
     those that can be read and records the others there, so a bad file does not stop the stream."""
     if quarantine_path:
@@ -64,7 +68,9 @@ def start_ingest(spark: SparkSession, landing_path: str, prices_path: str,
         own = batch.sparkSession
         day = epoch_date(own, checkpoint_path, epoch_id, run_date or dt.date.today())
         done = SK.upsert_latest(own, landed_rows(batch, day), prices_path, n_buckets)
-        if features_path:
+        if features_path and state_path:
+            refresh_by_state(own, prices_path, features_path, state_path, done, day, variant, n_buckets)
+        elif features_path:
             refresh_features(own, prices_path, features_path, done.first_dates, day, variant, n_buckets)
 
     writer = (stream.writeStream.foreachBatch(per_batch)
