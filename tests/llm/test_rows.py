@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from .rows import CLASHING, SMALL, awkward_rows, prose, with_clashes
 from tokenizers import Tokenizer
 
-from tickwise.llm import decontaminate, license_scan, packing, quality, registry, toxicity
+from tickwise.llm import decontaminate, license_scan, oracle, packing, quality, registry, toxicity
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -240,6 +241,43 @@ def test_license_scan_real_texts(text, label):
     assert needed >= scanner.scan(words)["wording"]
 
 
+def test_oracle_has_every_template():
+    """The regular expressions of the SQL against the automata: first words, mandatory words, most words."""
+    for label, markup in license_scan.TEMPLATES:
+        a, (expression, most) = license_scan.compile_template(label, markup), oracle.pattern(markup)
+        assert {w.decode() for s in a.closure({0}) for w in a.step[s]} == set(oracle.first_words(expression))
+        assert oracle.templates([(label, markup)]).endswith(f", {most}, {a.wording})")
+        # the longest text that the template takes, and one word more than a variable region holds
+        full = re.sub(r"<<var ?(\d*)>>.*?<</var>>", lambda m: " x" * int(m[1] or license_scan.MAX_VAR) + " ", markup)
+        words = re.sub(r"<<[^>]*>>", " ", full).split()
+        assert len(words) == most and a.longest([w.encode() for w in words], 0, {}) == most
+        assert re.match(expression, " ".join(words) + " ").end() == len(" ".join(words)) + 1
+
+
+def test_license_scan_against_sql(spark):
+    """Documents that hold licence texts whole, in pieces, one in another and cut off: the query's digest equals the SQL."""
+    rng = random.Random(9)
+    texts = [MIT_TEXT, MIT_TEXT + MIT_REST, BSD_TEXT, BSD_TEXT + BSD_THIRD, *(GNU.format(n) for n in ("General Public License", "Affero General Public License")),
+             *(re.sub(r"<<[^>]*>>", " ", m) for _, m in license_scan.TEMPLATES),
+             *(re.sub(r"<<optional>>.*?<</optional>>", " ", m) for _, m in license_scan.TEMPLATES)]
+    texts = [re.sub(r"<<[^>]*>>", " ", t) for t in texts]
+    given = [(i, t) for i, t in enumerate([*texts, "", None, "x" * 50])]
+    for i in range(120):
+        a, b = rng.choice(texts).split(), rng.choice(texts).split()
+        cut = rng.randrange(len(a))
+        made = a[:cut] + rng.choice([[], b, b, ["filler"]]) + a[cut:] + rng.choice([[], b])
+        given.append((1000 + i, " ".join(prose(rng, 5).split() + made)))
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = con.execute(oracle.SQL["op4_license_scan"])
+    names = [d[0] for d in want.description]
+    got = license_scan.digest(license_scan.scan_licenses(docs))
+    have, expected = (sorted(map(str, x)) for x in ((tuple(r) for r in got.select(*names).collect()), want.fetchall()))
+    assert have == expected
+    assert {x for r in got.collect() for x in r.labels.split(",")} >= {label for label, _ in license_scan.TEMPLATES}
+
+
 def test_license_scan_empty(nothing):
     assert rows(license_scan.digest(license_scan.scan_licenses(nothing))) == []
 

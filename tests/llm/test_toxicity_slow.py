@@ -1,0 +1,123 @@
+"""Kneser-Ney likelihoods and text features against a plain version: dictionaries of byte strings, one word at a time."""
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from .rows import SMALL, awkward_rows
+
+from tickwise.llm import toxicity
+from tickwise.llm.textblocks import Words, text_bytes
+
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+class SlowModels:
+    """``counts[k]``: occurrences of each word in the texts of class ``k``."""
+
+    def __init__(self, counts, order=toxicity.ORDER, shared=toxicity.SHARED, common=toxicity.COMMON):
+        self.order = order
+        seen = [Counter(), Counter()]  # occurrences of whole-length grams, and of shorter ones that begin a word
+        for k in (0, 1):
+            for word, n in counts[k].items():
+                padded = b" " + word + b" "
+                for i in range(len(padded) - order + 1):
+                    seen[k][padded[i:i + order]] += n
+                for size in range(2, min(order, len(padded) + 1)):
+                    seen[k][padded[:size]] += n
+        befores = [Counter(), Counter()]  # different bytes before a shorter gram
+        for k in (0, 1):
+            layer = {g for g in seen[k] if len(g) == order}
+            while layer and len(next(iter(layer))) > 1:
+                layer = Counter(g[1:] for g in layer)
+                befores[k].update(layer)
+        level = [{g: n for part in (seen[k], befores[k]) for g, n in part.items() if n > 0} for k in (0, 1)]
+        pooled = {g: level[0].get(g, 0) + level[1].get(g, 0) for g in level[0].keys() | level[1].keys()}
+        total = {g[0]: n for g, n in pooled.items() if len(g) == 1}
+        self.first = [(max(total.get(b, 0) - 0.75, 0) + 0.75 * len(total) / 256) / sum(total.values()) for b in range(256)]
+        self.p, self.rest = ({}, {}), ({}, {})
+        for size in range(2, order + 1):
+            grams = {g: n for g, n in pooled.items() if len(g) == size}
+            once, twice = sum(n == 1 for n in grams.values()), sum(n == 2 for n in grams.values())
+            discount = once / (once + 2 * twice) if once else 0.5
+            for k in (0, 1):
+                said = grams if size <= shared else {g: level[k].get(g, 0) for g in grams}
+                sums = Counter()
+                for g, n in said.items():
+                    sums[g[:-1]] += n
+                left = defaultdict(lambda: 1.0)
+                for g, n in said.items():
+                    if size <= shared or grams[g] >= common:
+                        self.p[k][g] = max(n - discount, 0) / max(sums[g[:-1]], 1)
+                        left[g[:-1]] -= self.p[k][g]
+                self.rest[k].update({c: max(x, 1e-3) for c, x in left.items()})
+
+    def likelihood(self, word, k):
+        """log P(word | class k)."""
+        padded, out = b" " + word + b" ", 0.0
+        for i in range(1, len(padded)):
+            p = self.first[padded[i]]
+            for size in range(2, min(self.order, i + 1) + 1):
+                gram = padded[i - size + 1:i + 1]
+                if gram[:-1] in self.rest[k]:
+                    p = self.p[k].get(gram, 0) + self.rest[k][gram[:-1]] * p
+            out += math.log(p)
+        return out
+
+    def score(self, word):
+        return self.likelihood(word, 1) - self.likelihood(word, 0)
+
+
+def words_of(texts):
+    return [w for t in texts for w in WORD.findall((t or "").encode().lower())]
+
+
+@pytest.fixture(scope="module")
+def counted(spark):
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    sides = [[r.text for r in docs if labels.get(r.doc_id) == k][:30] for k in (0, 1)]
+    assert all(sides)
+    return [Counter(words_of(s)) for s in sides]
+
+
+def fast(models, words):
+    length = np.array([len(w) for w in words])
+    return models.word_scores(np.frombuffer(b"".join(words), np.uint8), np.cumsum(length) - length, length)
+
+
+def both(counts, **k):
+    vocab = sorted(counts[0] | counts[1])
+    return SlowModels(counts, **k), toxicity.fit_models(vocab, np.array([[c[w] for c in counts] for w in vocab]), **k), vocab
+
+
+@pytest.mark.parametrize("k", [{}, {"order": 4, "shared": 1, "common": 1}, {"order": 6, "shared": 3, "common": 2}, {"order": 2, "shared": 1, "common": 3}])
+def test_likelihoods_word_by_word(counted, k):
+    slow, models, vocab = both(counted, **k)
+    rng = random.Random(5)
+    letters = b"abcdefghijklmnopqrstuvwxyz0123456789\xc3\xa9"
+    unseen = [bytes(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(300)]
+    mixed = [a[:3] + b[2:] for a, b in zip(rng.sample(vocab, 200), rng.sample(vocab, 200)) if a[:3] + b[2:]]
+    words = vocab[:1500] + unseen + mixed
+    assert np.allclose(fast(models, words), [slow.score(w) for w in words], rtol=0, atol=1e-9)
+    assert np.allclose(models.first, slow.first, rtol=0, atol=1e-12)
+
+
+def test_features_text_by_text(counted):
+    slow, models, _ = both(counted)
+    rng = random.Random(6)
+    texts = [t for _, t in awkward_rows() if len(t or "") < 20_000]
+    texts += [b" ".join(rng.choices(list(counted[k]), k=rng.randint(0, 60))).decode() for k in (0, 1) for _ in range(20)]
+    import pyarrow as pa
+    data, offs = text_bytes(pa.array([t or "" for t in texts]))
+    got = toxicity.Features(models).of(Words(data, offs))
+    known = {}
+    for x, t in zip(got, texts):
+        words = words_of([t])
+        each = [known.setdefault(w, slow.score(w)) for w in words]
+        best = sorted((known[w] for w in set(words) if known[w] > 0), reverse=True)[:toxicity.TOP]
+        want = [sum(each) / sum(len(w) + 1 for w in words), max(each), sum(best) / toxicity.TOP, math.log1p(len(words))] if words else [0] * 4
+        assert np.allclose(x, want, rtol=0, atol=1e-9), t

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from tickwise.llm import license_scan
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -77,33 +81,69 @@ best AS (SELECT r, max_by(h || s, length(h || s)) AS rule, max_by(action, length
   FROM p JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s) GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN best USING (r)"""
 
-# label, the template as a regular expression over words, its mandatory words
-_ANY = "[^ ]+"
-_TEMPLATES = [
-    ("mit", "(released )?(licensed )?under the (terms of the )?mit license", 4),
-    ("apache-2", "licensed under the apache license version 2( 0)?", 7),
-    ("cc-by-nc", f"licensed under (a )?(creative commons )?cc by nc( {_ANY} 0)?", 5),
-    ("cc-by-sa", f"licensed under (a )?(creative commons )?cc by sa( {_ANY} 0)?", 5),
-    ("cc-by", f"licensed under (a )?(creative commons )?cc by {_ANY} 0", 5),
-    ("gpl", f"(this ({_ANY} ){{1,2}}is )?licensed under the gnu general public license( version {_ANY})?", 7),
-    ("lgpl", f"licensed under the gnu lesser general public license( version( {_ANY}){{1,2}})?", 8),
-    ("bsd", f"licensed under the bsd (({_ANY} ){{1,2}})?license", 5),
-    ("proprietary", "all rights reserved", 3),
-]
-_FIRST = "['released', 'licensed', 'under', 'this', 'all', 'apache', 'cc']"
+
+def pattern(markup: str, max_var: int = license_scan.MAX_VAR) -> tuple[str, int]:
+    """A template as a regular expression over words that each have a space behind them, and the most words that it can take."""
+    out, most, skipped = "", 0, False
+    for part in re.split(r"(<<[^>]*>>)", markup):
+        mark = re.fullmatch(r"<<(/?)(optional|var)\s*(\d*)>>", part)
+        if not mark:
+            found = [] if skipped else re.findall(r"[0-9a-z]+", part)
+            out, most = out + "".join(w + " " for w in found), most + len(found)
+        elif mark[2] == "optional":
+            out += ")?" if mark[1] else "(?:"
+        elif mark[1]:
+            skipped = False
+        else:
+            n = int(mark[3] or max_var)
+            out, most, skipped = out + f"(?:[^ ]+ ){{1,{n}}}", most + n, True
+    return out, most
+
+
+def first_words(expression: str) -> list[str]:
+    """The words that a match can begin with: those of the optional regions at the front, and the first one behind them."""
+    out, depth = [], 0
+    for optional, end, word in re.findall(r"(\(\?:)(?!\[)|(\)\?)|([0-9a-z]+) ", expression):
+        if optional:
+            depth, fresh = depth + 1, True
+        elif end:
+            depth -= 1
+        elif not depth:
+            return [*out, word]
+        elif fresh:
+            out.append(word)
+            fresh = False
+    raise ValueError("a template without mandatory words")
+
+
+def templates(found: list[tuple[str, str]]) -> str:
+    """Rows of a VALUES list: number, label, first word, expression, most words, mandatory words."""
+    rows = []
+    for k, (label, markup) in enumerate(found):
+        expression, most = pattern(markup)
+        plain = expression
+        while "(?:" in plain:  # without regions, innermost first
+            plain = re.sub(r"\(\?:[^()]*\)(\?|\{1,\d+\})", "", plain)
+        rows += [f"({k}, '{label}', '{w}', '^{expression}', {most}, {len(plain.split())})" for w in first_words(expression)]
+    return ", ".join(rows)
+
+
+BASE_PHRASES = ", ".join(f"('{phrase}', '{label}')" for phrase, label in license_scan.BASE)
+BASE_FIRST = sorted({phrase.split()[0] for phrase, _ in license_scan.BASE})
 
 SQL["op4_license_scan"] = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
-spot AS (SELECT r, p - 1 AS p, array_to_string(w[p:p + 24], ' ') AS s
-  FROM d, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS p) WHERE list_contains({_FIRST}, w[p])),
+place AS (SELECT r, p, w[p] AS word FROM d, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS p)),
+t(k, label, first, expression, most, wording) AS (VALUES {templates(license_scan.TEMPLATES)}),
 base AS (
-  SELECT r, count(*) AS n, min(p) AS a, max(p) AS z, list_sort(list_distinct(list(label))) AS labels
-  FROM spot JOIN (VALUES ('under the mit license', 'mit'), ('apache license version 2', 'apache-2'), ('cc by nc', 'cc-by-nc')) b(s0, label)
-    ON starts_with(s || ' ', s0 || ' ') GROUP BY r),
+  SELECT r, count(*) AS n, min(p) - 1 AS a, max(p) - 1 AS z, list_sort(list_distinct(list(label))) AS labels
+  FROM place JOIN d USING (r) JOIN (VALUES {BASE_PHRASES}) b(phrase, label) ON word = split_part(phrase, ' ', 1)
+    AND array_to_string(w[p:p + len(string_split(phrase, ' ')) - 1], ' ') = phrase
+  WHERE word IN ({", ".join(f"'{w}'" for w in BASE_FIRST)}) GROUP BY r),
 found AS (
-  SELECT r, count(*) AS n, max(wording) AS wording, list_distinct(list(label)) AS labels
-  FROM spot JOIN (VALUES {', '.join(f"('{a}', '^({b})( |$)', {n})" for a, b, n in _TEMPLATES)}) t(label, re, wording)
-    ON regexp_matches(s, re) GROUP BY r)
+  SELECT r, count(DISTINCT (k, p)) AS n, max(wording) AS wording, list_distinct(list(label)) AS labels
+  FROM place JOIN t ON word = first JOIN d USING (r)
+  WHERE regexp_matches(array_to_string(w[p:p + most - 1], ' ') || ' ', expression) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, a AS first_word, z AS last_word,
   array_to_string(coalesce(base.labels, []), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(found.labels, []))), ',') AS labels,
