@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.exprs import ticker_window
+from tickwise.session import ensure_checkpoint_dir
 
 
 def symbol_counts(df: DataFrame) -> DataFrame:
@@ -130,6 +131,9 @@ def summary_selected(df: DataFrame, features: list[str], groups: list[str] | Non
     those between the bounds -- about 4 / ``SKETCH_ACCURACY`` of a group's rows, equal values as one row -- of which the
     quartile is picked by its rank. A group of no more rows than the sketch holds is bounded by its minimum and maximum."""
     groups = groups or []
+    # once for both passes
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.select(*groups, *features).checkpoint()
     gap = 2.0 / SKETCH_ACCURACY
     probs = [max(0.0, min(1.0, p + d)) for p in QUARTILES for d in (-gap, gap)]
     aggs = []
@@ -151,14 +155,19 @@ def summary_selected(df: DataFrame, features: list[str], groups: list[str] | Non
     rows = df.select(key.alias("_key"), *[F.col(f).cast("double").alias(f) for f in features])
     # without groups the bounds are one row: a value of its own rather than a join on a constant
     rows = rows.join(wide, F.col("_key") == F.col("_of")) if groups else rows.withColumn("_bounds", wide.select("_bounds").scalar())
-    cells = []
+    cells, below = [], []
     for f in features:
         for i in range(len(QUARTILES)):
-            b = F.col("_bounds")[f"{f}#{i}"]
-            below, between = F.col(f) < b["lo"], (F.col(f) >= b["lo"]) & (F.col(f) <= b["hi"])
-            cells.append(F.when(below | between, F.struct(F.lit(f).alias("feature"), F.lit(i).alias("q"), F.when(between, F.col(f)).alias("value"))))
-    counted = (rows.select("_key", F.explode(F.array_compact(F.array(*cells))).alias("_c")).groupBy("_key", "_c.feature", "_c.q", "_c.value")
-               .agg(F.count(F.lit(1)).alias("n")))
+            b, of = F.col("_bounds")[f"{f}#{i}"], (F.lit(f).alias("feature"), F.lit(i).alias("q"))
+            between = (F.col(f) >= b["lo"]) & (F.col(f) <= b["hi"])
+            cells.append(F.when(between, F.struct(*of, F.col(f).alias("value"))))
+            below.append((of, f"_n{len(below)}", F.count_if(F.col(f) < b["lo"])))
+    kept = (rows.select("_key", F.explode(F.array_compact(F.array(*cells))).alias("_c")).groupBy("_key", "_c.feature", "_c.q", "_c.value")
+            .agg(F.count(F.lit(1)).alias("n")))
+    # what lies below is a count in the group's one row, not a row for each
+    lower = rows.groupBy("_key").agg(*[n.alias(name) for _, name, n in below]).select("_key", F.explode(F.array(*[
+        F.struct(*of, F.lit(None).cast("double").alias("value"), F.col(name).alias("n")) for of, name, _ in below])).alias("_c"))
+    counted = kept.unionByName(lower.select("_key", "_c.*").filter("n > 0"))
     # what lies below the bound has no value and comes first; the rest is bounded by the sketch
     w = Window.partitionBy("_key", "feature", "q").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     placed = counted.withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0))).join(
