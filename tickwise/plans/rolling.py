@@ -20,6 +20,7 @@ import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +61,15 @@ def _replaced(spark: SparkSession, path: str, base: PB.Version, fresh: DataFrame
               columns: list[str]) -> dict[str, list[str]]:
     """Stage ``fresh`` in place of the stored rows from each ticker's first date on. Stored partitions of the changed tickers'
     buckets from the earliest month on lose rows, whether fresh ones come or not."""
-    fresh = SK.located(fresh.select(*columns), n)
+    # once for its partitions and for the write
+    fresh = SK.located(fresh.select(*columns), n).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _staged_over(spark, path, base, fresh, first_dates, n)
+    finally:
+        fresh.unpersist()
+
+
+def _staged_over(spark: SparkSession, path: str, base: PB.Version, fresh: DataFrame, first_dates: DataFrame, n: int) -> dict[str, list[str]]:
     # partitions that fresh rows go to, and stored ones of the changed tickers' buckets: at most one row a month and bucket
     mine = {f"{SK.MONTH}={m}/{SK.BUCKET}={b}" for m, b in fresh.select(SK.MONTH, SK.BUCKET).distinct().collect()}
     begin = dict(tuple(r) for r in first_dates.groupBy(SK.ticker_bucket(F.col("ticker"), n)).agg(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.operators.ranking import grouped_auc
-from tickwise.plans.model import assembler, classifier, persist_input, scaler, vector_to_array
+from tickwise.plans.model import assembler, classifier, persist_input, scaler, vector_to_array, without_summary
 from tickwise.schemas import LABEL_COLUMN, LONG_WINDOW_ROWS
 
 FOLDS, EMBARGO_DAYS = 5, LONG_WINDOW_ROWS
@@ -63,7 +63,7 @@ def walk_forward(labeled: DataFrame, fit: Fit, k: int = FOLDS, embargo: int = EM
 def fit_classifier(model_type: str = "gbt", **params) -> Fit:
     """A fold's pipeline of assembler, scaler and classifier; ``score`` is the probability of a rise."""
     def fit(train: DataFrame):
-        model = Pipeline(stages=[assembler(), scaler(), classifier(model_type, **params)]).fit(train)
+        model = without_summary(Pipeline(stages=[assembler(), scaler(), classifier(model_type, **params)]).fit(train))
 
         def apply(valid: DataFrame) -> DataFrame:
             scored = model.transform(valid).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
