@@ -10,8 +10,8 @@ There is no price table in the test data, so bars are derived:
                    negative and zero opens, picked by ticker/date arithmetic.
 * ``asof_requests`` (ticker, as_of_date) requests from ``orders``.
 
-Bars are built with one grouped aggregation: ``min_by``/``max_by`` over the
-full ordering key pick the open/close prices, so every map task combines
+Bars are built with one grouped aggregation: the least and the largest full
+ordering key pick the open/close prices, so every map task combines
 its rows per key before the shuffle and a hot (ticker, day) never lands as
 raw rows in one task.
 """
@@ -38,13 +38,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _bars(grouped_px: DataFrame, key_cols: list[str], order_key: Column,
+def _bars(grouped_px: DataFrame, key_cols: list[str], opened: Column, closed: Column,
           volume: Column) -> DataFrame:
     return grouped_px.groupBy(*key_cols).agg(
-        F.min_by("px", order_key).alias("open"),
+        opened.alias("open"),
         F.max("px").alias("high"),
         F.min("px").alias("low"),
-        F.max_by("px", order_key).alias("close"),
+        closed.alias("close"),
         volume.alias("volume"),
     )
 
@@ -61,7 +61,9 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         safe_div(F.col("l_extendedprice"), F.col("l_quantity")).alias("px"))
     order_key = F.struct("l_orderkey", "l_linenumber", "l_partkey",
                          "l_extendedprice", "l_quantity")
-    bars = _bars(li, ["ticker", "date"], order_key,
+    # the key holds what the price is made of, so the price isn't sorted and shuffled beside it
+    px_of = lambda first: safe_div(first["l_extendedprice"], first["l_quantity"])
+    bars = _bars(li, ["ticker", "date"], px_of(F.min(order_key)), px_of(F.max(order_key)),
                  F.sum("l_quantity").cast("bigint"))
     return bars.select(
         "ticker", "date", "open", "high", "low", "close",
@@ -74,7 +76,8 @@ def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select(
         F.col("event_type").alias("ticker"), F.to_date("ts").alias("date"),
         F.col("value").alias("px"), "ts", "event_id")
-    bars = _bars(ev, ["ticker", "date"], F.struct("ts", "event_id"),
+    order_key = F.struct("ts", "event_id")
+    bars = _bars(ev, ["ticker", "date"], F.min_by("px", order_key), F.max_by("px", order_key),
                  F.count(F.lit(1)).cast("bigint"))
     return bars.select(
         "ticker", "date", "open", "high", "low", "close",
