@@ -50,3 +50,53 @@ def test_rows_below_a_quartile_are_counted_not_exploded(spark):
     out = PR.summary_selected(df, ["x"])
     assert out.select("p25", "p50", "p75").first() == (9999.75, 19999.5, 29999.25)
     assert "count_if" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_bar_is_made_from_its_keys(spark):
+    """The price isn't sorted and shuffled beside an ordering key that holds its parts; same rows as by price and key."""
+    from conftest import D
+    from pyspark.sql import functions as F
+    made = FX.prices(spark, SF_SMALL)
+    assert "min_by" not in made._jdf.queryExecution().analyzed().toString()
+    key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
+    px = F.try_divide("l_extendedprice", "l_quantity")
+    rows = [(1, 1, 1, 1, 2.0, 30.0), (1, 1, 1, 2, 0.0, 5.0), (1, 2, 1, 1, None, 7.0), (2, 1, 1, 1, 4.0, None), (None, 9, 1, 1, 4.0, 12.0)]
+    lines = spark.createDataFrame([(s, o, p, n, q, e, D("2020-01-02")) for s, o, p, n, q, e in rows],
+                                  "l_suppkey long, l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate date")
+    want = lines.groupBy("l_suppkey").agg(F.min_by(px, key), F.max_by(px, key))
+    got = _bars_of(spark, lines).select(F.substring("ticker", 2, 9).cast("long"), "open", "close")
+    assert sorted(map(str, want.collect())) and {tuple(r) for r in want.collect()} == {tuple(r) for r in got.collect()}
+
+
+def _bars_of(spark, lines):
+    real, FX.read_table = FX.read_table, lambda *_: lines
+    try:
+        return FX.prices(spark, "")
+    finally:
+        FX.read_table = real
+
+
+def test_a_stored_training_frame_is_not_written_twice(spark):
+    """Over its checkpoint it is held in memory only."""
+    from tickwise.plans import model as ML
+    from tickwise.plans import registry as R
+    held = ML.persist_input(R.labeled(spark, SF_SMALL), reliable=True)
+    try:
+        assert held.storageLevel.useMemory and not held.storageLevel.useDisk
+    finally:
+        held.unpersist()
+
+
+@pytest.mark.parametrize("key", ["m_quality_bands", "m_model_roundtrip"])
+def test_predictions_are_made_while_the_rows_are_held(spark, monkeypatch, key):
+    """The close is not stored with the training rows, and every pass over these is before their release."""
+    from tickwise.plans import model as ML
+    from tickwise.plans import registry as R
+    said = []
+    release, gave, auc, load = ML.TrainResult.release, ML.train, R.RK.grouped_auc, ML.load_model
+    monkeypatch.setattr(ML, "train", lambda df, *a, **k: said.append(("columns", "close" in df.columns)) or gave(df, *a, **k))
+    monkeypatch.setattr(ML, "load_model", lambda *a: said.append("predicts") or load(*a))
+    monkeypatch.setattr(R.RK, "grouped_auc", lambda *a: said.append("predicts") or auc(*a))
+    monkeypatch.setattr(ML.TrainResult, "release", lambda res: said.append("release") or release(res))
+    out = QUERIES[key](spark, SF_SMALL)
+    assert said == [("columns", False), "predicts", "release"] and out.count() == 1
