@@ -1,0 +1,102 @@
+"""What a query keeps on disk while it runs: frames that several steps read are stored once and go with their last reader, and no
+older version of a table stays."""
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import D, SF_SMALL, price_rows
+from tickwise import session as SE
+from tickwise.plans import registry as R
+from tickwise.plans import rolling as RO
+from tickwise.plans.registry import QUERIES
+from tickwise.sources import published as PB
+from tickwise.sources import sinks as SK
+
+TABLES = {"k_features_buckets": 1}
+
+
+def _persists(spark, monkeypatch):
+    seen, kind = [], type(spark.range(1))
+    real = kind.persist
+    monkeypatch.setattr(kind, "persist", lambda df, *a: seen.append(df.columns) or real(df, *a))
+    return seen
+
+
+@pytest.mark.parametrize("key, tables", TABLES.items())
+def test_nothing_is_cached_and_no_older_version_stays(spark, monkeypatch, key, tables):
+    held, paths = _persists(spark, monkeypatch), []
+    real = R._fresh_dir
+    monkeypatch.setattr(R, "_fresh_dir", lambda spark, name: paths.append(real(spark, name)) or paths[-1])
+    out = QUERIES[key](spark, SF_SMALL)
+    rows = out.count()
+    assert held == [] and len(paths) == tables and rows > 0
+    root = SE.ensure_checkpoint_dir(spark).removeprefix("file://")
+    assert not [n for n in os.listdir(root) if n.startswith("stored-")]
+    for path in paths:
+        now, path = PB.current(spark, path), path.removeprefix("file://")
+        used = {n.split("/")[0] for own in now.parts.values() for n in own}
+        folders = [n for n in os.listdir(f"{path}/data") if any(f.endswith(".parquet") for _, _, fs in os.walk(f"{path}/data/{n}") for f in fs)]
+        assert sorted(folders) == sorted(used) and [n for n in os.listdir(f"{path}/_versions") if n.isdigit()] == [f"{now.number:012d}"]
+
+
+def test_a_stored_frame_is_made_once_and_removed(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(1, float("nan"), None), (1, -0.0, "a"), (None, None, "a")], "a int, b double, c string").mapInArrow(count, "a int, b double, c string")
+    want = sorted(map(str, df.collect()))
+    before = seen.value
+    with SE.stored_once(df) as once:
+        assert [sorted(map(str, once.collect())) for _ in range(2)] == [want] * 2 and once.schema == df.schema
+        folder = once.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert seen.value == before + 3 and not os.path.exists(folder)
+    with pytest.raises(ZeroDivisionError):
+        with SE.stored_once(df) as once:
+            folder = once.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+            1 / 0
+    assert not os.path.exists(folder) and spark.conf.get(SE.FREE_SHUFFLES) == "false"
+
+
+def _exchanges(df):
+    out = df._jdf.queryExecution().executedPlan().toString()
+    return out.count("Exchange hashpartitioning")
+
+
+def test_look_back_shuffles_prices_once(spark, scratch):
+    """History that is read by ticker is joined, cleaned and windowed without another shuffle of it."""
+    from tickwise.plans import refresh as RF
+    rows = [(t, f"2024-01-{d:02d}", 1.0, 1.0, 1.0, float(d), 5) for t in "AB" for d in range(1, 25)]
+    done = SK.upsert_latest(spark, price_rows(spark, rows), f"{scratch}/prices", 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in ("-1", "10m"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            history = SK.read_prices(spark, f"{scratch}/prices", done.first_dates, by_ticker=True)
+            made = RF.features_since(history, done.first_dates, "close_to_close", D("2024-02-01"))
+            of_dates = 3 if threshold == "-1" else 1  # the small side of each join, and its distinct tickers
+            assert _exchanges(made) <= 1 + of_dates and made.count() == 46
+            assert RO.newest_rows(history.select(*RO.STATE_COLUMNS)).count() == 48
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_fresh_rows_are_made_by_the_write_alone(spark, scratch):
+    """Features of a refresh are computed once, not for their partitions first."""
+    rows = [(t, f"2024-01-{d:02d}", 1.0, 1.0, 1.0, float(d), 5) for t in "AB" for d in range(1, 25)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    fresh = price_rows(spark, rows).select("ticker", "date", "close")
+    fresh = fresh.mapInArrow(count, fresh.schema)
+    first = price_rows(spark, rows).groupBy("ticker").agg(F.min("date").alias("first_date"))
+    staged = RO._replaced(spark, scratch, PB.Version(), fresh, first, 2, fresh.columns)
+    assert seen.value == 48 and {PB.values_of(p)["month"] for p in staged} == {"2024-01"}

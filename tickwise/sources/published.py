@@ -24,6 +24,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickwise.session import freed_shuffles
+
 VERSIONS, DATA, WRITE = "_versions", "data", "write"
 ATTEMPTS = 20
 SMALL_BYTES, TARGET_BYTES = 32 << 20, 128 << 20
@@ -124,7 +126,8 @@ def _leaves(fs, folder, depth: int, below: str) -> list[str]:
 def stage(df: DataFrame, path: str, partition_by: list[str]) -> dict[str, list[str]]:
     """Write a frame to a new folder; its partitions as ``publish`` takes them. Nothing is visible yet."""
     spark, name = df.sparkSession, f"{WRITE}=w{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(f"{path}/{DATA}/{name}")
+    with freed_shuffles(spark):
+        df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(f"{path}/{DATA}/{name}")
     fs, p = _fs(spark, f"{path}/{DATA}/{name}")
     return {leaf[len(name) + 1:]: [leaf] for leaf in _leaves(fs, p, len(partition_by), name)}
 
