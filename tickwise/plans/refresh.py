@@ -56,7 +56,7 @@ def refresh_features(spark: SparkSession, prices_path: str, features_path: str,
     touched = SK.bucket_ids(first_dates, n)
     if not touched:
         return 0
-    prices = SK.read_prices(spark, prices_path, first_dates)
+    prices = SK.read_prices(spark, prices_path, first_dates, by_ticker=True)
     fresh = features_since(prices, first_dates, variant, run_date)
     for _ in range(PB.ATTEMPTS):
         base = PB.current(spark, features_path.rstrip("/"))

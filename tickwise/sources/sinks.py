@@ -29,11 +29,11 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators.clean import KEY, dedupe_latest, keyed_rows, reject_counts
+from tickwise.session import ensure_checkpoint_dir, freed_shuffles, stored_once
 from tickwise.sources import published as PB
 
 PRICE_KEY = ["ticker", "date", "ingestion_timestamp"]
@@ -205,10 +205,7 @@ def upsert_latest(spark: SparkSession, df: DataFrame, path: str, n_buckets: int
     path = path.rstrip("/")
     rejected = reject_counts(df).first()["rejected"]
     n = bucket_count(spark, path, n_buckets)
-    new = located(dedupe_latest(keyed_rows(df)), n)
-    # once for all the steps below; lost blocks are computed again
-    new = new.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with stored_once(located(dedupe_latest(keyed_rows(df)), n)) as new:  # once for all the steps below
         places = _places(new)
         for _ in range(PB.ATTEMPTS):
             try:
@@ -216,31 +213,32 @@ def upsert_latest(spark: SparkSession, df: DataFrame, path: str, n_buckets: int
             except PB.Conflict:
                 continue
         raise PB.Conflict(f"{path} changed under {PB.ATTEMPTS} attempts to merge")
-    finally:
-        new.unpersist()
 
 
 def _merged_once(spark: SparkSession, new: DataFrame, places: dict[str, list[int]], path: str, rejected: int) -> Upserted:
     base = PB.current(spark, path)
-    stored = PB.read(spark, path, base, _within(places), merge_schema=True) if places else None
-    merged = new.withColumn("_changed", F.lit(True)) if stored is None else _rows_of_both(
-        new, stored.filter(_in_partitions(places)))
-    merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        changed = merged.filter("_changed")
-        places = _places(changed)
+    old = PB.read(spark, path, base, _within(places), merge_schema=True) if places else None
+    if old is None:  # every row of the batch is new
+        return _published(spark, new.withColumn("_changed", F.lit(True)), path, rejected, base)
+    with stored_once(_rows_of_both(new, old.filter(_in_partitions(places)))) as merged:
+        return _published(spark, merged, path, rejected, base)
+
+
+def _published(spark: SparkSession, merged: DataFrame, path: str, rejected: int, base: PB.Version) -> Upserted:
+    changed = merged.filter("_changed")
+    places = _places(changed)
+    ensure_checkpoint_dir(spark)
+    with freed_shuffles(spark):
         first = changed.groupBy("ticker").agg(F.min("date").alias("first_date")).checkpoint()
-        if not places:
-            return Upserted(0, rejected, first, {}, base, base)
-        out = (merged.filter(_in_partitions(places)).hint("rebalance", MONTH, BUCKET)
-               .sortWithinPartitions(MONTH, BUCKET, "ticker", "date"))
-        obs = Observation("changed")
-        out = out.observe(obs, F.count_if("_changed").alias("rows")).drop("_changed")
-        staged = PB.stage(out, path, [MONTH, BUCKET])
-        made = PB.publish(spark, path, base, staged)
-        return Upserted(int(obs.get["rows"]), rejected, first, places, base, made)
-    finally:
-        merged.unpersist()
+    if not places:
+        return Upserted(0, rejected, first, {}, base, base)
+    out = (merged.filter(_in_partitions(places)).hint("rebalance", MONTH, BUCKET)
+           .sortWithinPartitions(MONTH, BUCKET, "ticker", "date"))
+    obs = Observation("changed")
+    out = out.observe(obs, F.count_if("_changed").alias("rows")).drop("_changed")
+    staged = PB.stage(out, path, [MONTH, BUCKET])
+    made = PB.publish(spark, path, base, staged)
+    return Upserted(int(obs.get["rows"]), rejected, first, places, base, made)
 
 
 def _rows_of_both(new: DataFrame, stored: DataFrame) -> DataFrame:
@@ -264,12 +262,13 @@ def _within(places: dict[str, list[int]]):
 
 
 def read_prices(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None = None,
-                start=None, at: PB.Version | None = None, places: dict[str, list[int]] | None = None) -> DataFrame:
+                start=None, at: PB.Version | None = None, places: dict[str, list[int]] | None = None, by_ticker: bool = False) -> DataFrame:
     """The price table, optionally for some tickers, from a date on, or of some partitions (buckets by month): static
-    filters on bucket and month. ``at``: a version of the table, the newest one if not given."""
+    filters on bucket and month. ``at``: a version of the table, the newest one if not given. ``by_ticker``: dealt out by
+    ticker before anything else, so joins, grouping and windows by ticker that follow shuffle no rows again."""
     month = f"{start:%Y-%m}" if start is not None else None
     table = _pruned(spark, path, tickers, at, lambda v: (month is None or v[MONTH] >= month) and (
-        places is None or _within(places)(v)), True)
+        places is None or _within(places)(v)), True, by_ticker)
     if table is None:
         raise FileNotFoundError(f"no price table at {path}")
     if start is not None:
@@ -279,7 +278,8 @@ def read_prices(spark: SparkSession, path: str, tickers: DataFrame | list[str] |
     return table.drop(BUCKET, MONTH)
 
 
-def _pruned(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None, at: PB.Version | None, keep, merge_schema: bool) -> DataFrame | None:
+def _pruned(spark: SparkSession, path: str, tickers: DataFrame | list[str] | None, at: PB.Version | None, keep, merge_schema: bool,
+            by_ticker: bool = False) -> DataFrame | None:
     """Rows of the tickers; their buckets (at most as many integers as the table has) choose the folders that are listed at
     all, and are a static partition filter. An existing table of which nothing is chosen has no rows."""
     path = path.rstrip("/")
@@ -295,9 +295,12 @@ def _pruned(spark: SparkSession, path: str, tickers: DataFrame | list[str] | Non
     if table is None:
         one = next(iter(at.parts))
         table = PB.read(spark, path, PB.Version(at.number, {one: at.parts[one]}), None, merge_schema).filter(F.lit(False))
+    if ids is not None:
+        table = table.filter(F.col(BUCKET).isin(ids))
+    if by_ticker:
+        table = table.repartition("ticker")
     if ids is None:
         return table
-    table = table.filter(F.col(BUCKET).isin(ids))
     if names is not None:
         return table.filter(F.col("ticker").isin(names))
     return table.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
