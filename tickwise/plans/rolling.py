@@ -20,7 +20,6 @@ import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,21 +59,12 @@ def _changes(spark: SparkSession, prices_path: str, since: int, now: PB.Version)
 def _replaced(spark: SparkSession, path: str, base: PB.Version, fresh: DataFrame, first_dates: DataFrame, n: int,
               columns: list[str]) -> dict[str, list[str]]:
     """Stage ``fresh`` in place of the stored rows from each ticker's first date on. Stored partitions of the changed tickers'
-    buckets from the earliest month on lose rows, whether fresh ones come or not."""
-    # once for its partitions and for the write
-    fresh = SK.located(fresh.select(*columns), n).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _staged_over(spark, path, base, fresh, first_dates, n)
-    finally:
-        fresh.unpersist()
-
-
-def _staged_over(spark: SparkSession, path: str, base: PB.Version, fresh: DataFrame, first_dates: DataFrame, n: int) -> dict[str, list[str]]:
-    # partitions that fresh rows go to, and stored ones of the changed tickers' buckets: at most one row a month and bucket
-    mine = {f"{SK.MONTH}={m}/{SK.BUCKET}={b}" for m, b in fresh.select(SK.MONTH, SK.BUCKET).distinct().collect()}
+    buckets from the earliest month on lose rows, whether fresh ones come or not; fresh rows go to these and to new ones, since
+    none is before its ticker's first date. So they are made once, by the write."""
+    fresh = SK.located(fresh.select(*columns), n)
     begin = dict(tuple(r) for r in first_dates.groupBy(SK.ticker_bucket(F.col("ticker"), n)).agg(
         F.date_format(F.min("first_date"), "yyyy-MM")).collect())
-    mine |= {k for k in base.parts if (v := PB.values_of(k))[SK.MONTH] >= begin.get(int(v[SK.BUCKET]), "9999")}
+    mine = {k for k in base.parts if (v := PB.values_of(k))[SK.MONTH] >= begin.get(int(v[SK.BUCKET]), "9999")}
     stored = PB.read(spark, path, base, lambda v: f"{SK.MONTH}={v[SK.MONTH]}/{SK.BUCKET}={v[SK.BUCKET]}" in mine)
     if stored is not None:
         stored = stored.select(*fresh.columns)
@@ -120,7 +110,7 @@ def refresh_rolling(spark: SparkSession, prices_path: str, features_path: str, s
             F.col("date") >= F.col("first_date")).drop("first_date"))
         states.append(newest_rows(rows))
     if counts["late"]:
-        history = SK.read_prices(spark, prices_path, late, at=now)
+        history = SK.read_prices(spark, prices_path, late, at=now, by_ticker=True)
         fresh.append(features_since(history, late, variant, run_date))
         states.append(newest_rows(C.clean(history).select(*STATE_COLUMNS)))
 
