@@ -100,3 +100,26 @@ def test_fresh_rows_are_made_by_the_write_alone(spark, scratch):
     first = price_rows(spark, rows).groupBy("ticker").agg(F.min("date").alias("first_date"))
     staged = RO._replaced(spark, scratch, PB.Version(), fresh, first, 2, fresh.columns)
     assert seen.value == 48 and {PB.values_of(p)["month"] for p in staged} == {"2024-01"}
+
+
+def test_one_model_s_rows_are_on_disk_at_a_time(spark, monkeypatch):
+    """Labeled rows are not cached on disk before they are laid out, and a model's checkpoint goes before the next one's is made."""
+    from pyspark import StorageLevel
+    from tickwise.plans import model as ML
+    levels, kind, folders = [], type(spark.range(1)), []
+    real, keep = kind.persist, ML.persist_input
+    monkeypatch.setattr(kind, "persist", lambda df, level=StorageLevel.MEMORY_AND_DISK: levels.append(level.useDisk) or real(df, level))
+
+    def persist_input(df, *a):
+        assert not any(os.path.exists(f) for f in folders)
+        laid = keep(df, *a)
+        folders.append(laid._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:"))
+        assert os.path.exists(folders[-1])
+        return laid
+
+    monkeypatch.setattr(ML, "persist_input", persist_input)
+    out = QUERIES["m_tree_table"](spark, SF_SMALL)
+    assert len(folders) == 2 and not any(os.path.exists(f) for f in folders) and levels == [False, False]
+    assert [(r["model_type"], r["rows"] > 0, r["prediction_mismatches"], r["probability_mismatches"]) for r in out.orderBy("model_type").collect()] == [
+        ("gbt", True, 0, 0), ("rf", True, 0, 0)]
+    assert SE.drop_checkpoint(spark.range(3)) is None
