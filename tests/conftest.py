@@ -3,6 +3,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -21,6 +22,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def nothing_stays_cached():
+    """What the tests of a file have cached is released after it."""
+    yield
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        spark.catalog.clearCache()
+
+
 @pytest.fixture
 def scratch(tmp_path):
     """A fresh folder per test (pytest's own tmp dir, never reused)."""
